@@ -194,13 +194,6 @@ def keep_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[n for n in names if n in df.columns])
 
 
-def missing_required(df: DataFrame, schema: T.StructType) -> Column:
-    """Sorted names of the NOT NULL fields that are null in a row."""
-    required = sorted(f.name for f in schema.fields if not f.nullable)
-    flags = [F.when(F.col(n).isNull(), F.lit(n)) for n in required]
-    return F.filter(F.array(*flags), lambda name: name.isNotNull())
-
-
 def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
     """Project and cast to a sink schema, dropping extra columns.
 

@@ -24,36 +24,52 @@ MISSING_FEATURES = "missing_features"
 SHORT_REPLY = "short_reply"
 
 
-def _json_type(doc: Column, name: str) -> Column:
-    """Outer JSON type of a field: VOID for an explicit null, SQL null when absent."""
-    described = F.schema_of_variant(F.try_variant_get(doc, f"$.{name}", "variant"))
-    return F.regexp_extract(described, r"^[A-Z]+", 0)
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that later filters and projections refer to instead of re-evaluating.
 
+    The optimizer copies a projected expression into every filter pushed below it, which
+    would parse a payload again per rule.  Values that come out of a generator stay put.
+    """
+    fields = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.explode(F.array(fields)).alias("_once")).select(
+        *df.columns, "_once.*"
+    )
+
+
+def _opened(messages: DataFrame, payload: str, fields: tuple[str, ...]) -> DataFrame:
+    """Parses each payload once; per field its JSON type, text and number.
 
-def _as(doc: Column, name: str, type_name: str) -> Column:
-    return F.try_variant_get(doc, f"$.{name}", type_name)
+    The type is VOID for an explicit null and SQL null for an absent field.
+    """
+    text = F.try_validate_utf8(F.col(payload).cast("string"))
+    parsed = computed_once(messages, _doc=F.try_parse_json(text))
+    doc = F.col("_doc")
+    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+    opened = {"_object": is_object}
+    for name in fields:
+        described = F.schema_of_variant(F.try_variant_get(doc, f"$.{name}", "variant"))
+        opened[f"_type_{name}"] = F.regexp_extract(described, r"^[A-Z]+", 0)
+        opened[f"_text_{name}"] = F.try_variant_get(doc, f"$.{name}", "string")
+        opened[f"_number_{name}"] = F.try_variant_get(doc, f"$.{name}", "double")
+    return computed_once(parsed, **opened).drop("_doc")
 
 
-def lax_double(doc: Column, name: str) -> Column:
+def _lax_double(name: str) -> Column:
     """A finite double from a JSON number, boolean or numeric text, else null."""
-    kind = _json_type(doc, name)
-    text = _as(doc, name, "string")
+    kind, text, number = (F.col(f"_{part}_{name}") for part in ("type", "text", "number"))
     value = (
-        F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), _as(doc, name, "double"))
+        F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), number)
         .when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
         .when((kind == "STRING") & text.rlike(DECIMAL_TEXT), F.trim(text).try_cast("double"))
     )
-    finite = ~F.isnan(value) & (F.abs(value) != float("inf"))
-    return F.when(finite, value)
+    return F.nullif(F.nullif(F.nanvl(value, F.lit(None)), F.lit(float("inf"))), F.lit(-float("inf")))
 
 
-def lax_long(doc: Column, name: str) -> Column:
+def _lax_long(name: str) -> Column:
     """An integer from a whole JSON number, boolean or whole numeric text, else null."""
-    kind = _json_type(doc, name)
-    text = _as(doc, name, "string")
-    number = _as(doc, name, "double")
+    kind, text, number = (F.col(f"_{part}_{name}") for part in ("type", "text", "number"))
     return (
-        F.when(kind == "BIGINT", _as(doc, name, "bigint"))
+        F.when(kind == "BIGINT", text.try_cast("bigint"))
         .when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0))
         .when(
             kind.isin("DECIMAL", "DOUBLE", "FLOAT") & (number == F.floor(number)),
@@ -66,16 +82,9 @@ def lax_long(doc: Column, name: str) -> Column:
     )
 
 
-def _absent(doc: Column, name: str) -> Column:
-    return F.coalesce(_json_type(doc, name) == "VOID", F.lit(True))
-
-
-def _parsed(messages: DataFrame, payload: str) -> DataFrame:
-    """Adds ``_doc``: the payload as a JSON object, or null when it is not one."""
-    text = F.try_validate_utf8(F.col(payload).cast("string"))
-    doc = F.try_parse_json(text)
-    is_object = F.schema_of_variant(doc).startswith("OBJECT")
-    return messages.withColumn("_doc", doc).withColumn("_doc", F.when(is_object, F.col("_doc")))
+def _given(name: str) -> Column:
+    """The field is present and not null."""
+    return F.coalesce(F.col(f"_type_{name}") != "VOID", F.lit(False))
 
 
 def _error(kind: Column, message: Column) -> Column:
@@ -91,60 +100,51 @@ def read_feature_messages(messages: DataFrame, payload: str = "value") -> DataFr
     Four numbers are required; ``sample_id`` (integer) and ``timestamp`` (text) are optional.
     The first failing rule decides the error type.
     """
-    doc = F.col("_doc")
-    typed = _parsed(messages, payload).select(
-        *messages.columns,
-        doc.isNull().alias("_not_object"),
-        *[lax_double(doc, n).alias(n) for n in FEATURE_FIELDS],
-        lax_long(doc, "sample_id").alias("sample_id"),
-        F.when(_json_type(doc, "timestamp") == "STRING", _as(doc, "timestamp", "string")).alias(
-            "timestamp"
-        ),
-        _absent(doc, "sample_id").alias("_no_sample"),
-        _absent(doc, "timestamp").alias("_no_time"),
+    opened = _opened(messages, payload, (*FEATURE_FIELDS, "sample_id", "timestamp"))
+    typed = computed_once(
+        opened,
+        **{n: _lax_double(n) for n in FEATURE_FIELDS},
+        timestamp=F.when(F.col("_type_timestamp") == "STRING", F.col("_text_timestamp")),
+        sample_id=_lax_long("sample_id"),
     )
     rules = [F.when(F.col(n).isNull(), F.lit(n)) for n in FEATURE_FIELDS]
-    rules.append(F.when(F.col("sample_id").isNull() & ~F.col("_no_sample"), F.lit("sample_id")))
-    rules.append(F.when(F.col("timestamp").isNull() & ~F.col("_no_time"), F.lit("timestamp")))
-    failing = F.filter(F.array(*rules), lambda name: name.isNotNull())
-    kind = F.when(F.col("_not_object"), BAD_JSON).when(F.size(failing) > 0, INVALID)
-    message = F.when(F.col("_not_object"), F.lit("payload is not a JSON object")).otherwise(
+    rules += [
+        F.when(F.col(n).isNull() & _given(n), F.lit(n)) for n in ("sample_id", "timestamp")
+    ]
+    failing = F.array_compact(F.array(*rules))
+    no_object = ~F.col("_object")
+    kind = F.when(no_object, BAD_JSON).when(F.size(failing) > 0, INVALID)
+    message = F.when(no_object, F.lit("payload is not a JSON object")).otherwise(
         F.concat(F.lit("invalid or missing: "), F.array_join(failing, ", "))
     )
-    return typed.withColumn("error", _error(kind, message)).drop(
-        "_not_object", "_no_sample", "_no_time"
+    return computed_once(typed, error=_error(kind, message)).select(
+        *messages.columns, *FEATURE_FIELDS, "timestamp", "sample_id", "error"
     )
 
 
 def read_inference_messages(messages: DataFrame, payload: str = "value") -> DataFrame:
     """Entity id and pass-through timestamp of scoring requests plus ``error``."""
-    doc = F.col("_doc")
 
-    def scalar_text(name: str) -> Column:
+    def printed(name: str) -> Column:
         # A decimal such as 7.0 keeps its point, as it is printed in the message.
-        kind = _json_type(doc, name)
-        text = _as(doc, name, "string")
+        kind, text = F.col(f"_type_{name}"), F.col(f"_text_{name}")
         whole = kind.isin("DECIMAL", "DOUBLE") & ~text.contains(".") & ~text.contains("E")
-        return F.when(kind != "VOID", F.when(whole, F.concat(text, F.lit(".0"))).otherwise(text))
+        return F.when(_given(name), F.when(whole, F.concat(text, F.lit(".0"))).otherwise(text))
 
     # A number or boolean that is zero or false counts as "no entity id", as does "".
-    given = scalar_text("entity_id")
-    zero = (_json_type(doc, "entity_id") != "STRING") & given.isin("0", "0.0", "false", "[]", "{}")
-    entity = resolved_entity_id(F.when(~zero, given), scalar_text("sample_id"))
-    kind = F.when(F.col("_not_object"), BAD_JSON).when(F.col("entity_id").isNull(), MISSING_ID)
-    message = F.when(F.col("_not_object"), F.lit("payload is not a JSON object")).otherwise(
+    given = printed("entity_id")
+    zero = (F.col("_type_entity_id") != "STRING") & given.isin("0", "0.0", "false", "[]", "{}")
+    resolved = computed_once(
+        _opened(messages, payload, ("entity_id", "sample_id", "timestamp")),
+        entity_id=resolved_entity_id(F.when(~zero, given), printed("sample_id")),
+    )
+    no_object = ~F.col("_object")
+    kind = F.when(no_object, BAD_JSON).when(F.col("entity_id").isNull(), MISSING_ID)
+    message = F.when(no_object, F.lit("payload is not a JSON object")).otherwise(
         F.lit("Message missing entity_id and sample_id")
     )
-    return (
-        _parsed(messages, payload)
-        .select(
-            *messages.columns,
-            doc.isNull().alias("_not_object"),
-            entity.alias("entity_id"),
-            _as(doc, "timestamp", "string").alias("timestamp"),
-        )
-        .withColumn("error", _error(kind, message))
-        .drop("_not_object")
+    return computed_once(resolved, error=_error(kind, message)).select(
+        *messages.columns, "entity_id", F.col("_text_timestamp").alias("timestamp"), "error"
     )
 
 
@@ -182,5 +182,4 @@ def dead_letters(
 
 def missing_features(names: list[str] | tuple[str, ...]) -> Column:
     """Sorted names of the listed columns that are null in a row."""
-    flags = [F.when(F.col(n).isNull(), F.lit(n)) for n in sorted(names)]
-    return F.filter(F.array(*flags), lambda name: name.isNotNull())
+    return F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in sorted(names)]))
