@@ -101,7 +101,9 @@ def slot_rows(users: DataFrame, bucketed: DataFrame, ring: Ring) -> DataFrame:
     newest = _newest(bucketed, ring)
     spine = users.select("user_id").select(
         "user_id",
-        F.explode(F.sequence(F.lit(0), F.lit(ring.slots - 1))).cast("bigint").alias("slot"),
+        F.explode(
+            F.sequence(F.lit(0).cast("bigint"), F.lit(ring.slots - 1).cast("bigint"))
+        ).alias("slot"),
     )
     return spine.join(newest, ["user_id", "slot"], "left").select(
         "user_id",
