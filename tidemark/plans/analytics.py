@@ -399,13 +399,14 @@ _AVERAGES = (
     "unique_currencies_7d",
 )
 _ATTRIBUTES = ("account_age_days", "is_business", "is_kyc_verified", "country_risk_score")
-_GLOBAL_SQL = (
+_MEANS_SQL = (
     "SELECT "
-    + ", ".join(f"round(avg({c}), 6) AS global_{c}" for c in _AVERAGES)
+    + ", ".join(f"avg({c}) AS global_{c}" for c in _AVERAGES)
     + ", "
-    + ", ".join(f"round(avg({c}), 6) AS {c}" for c in _ATTRIBUTES)
+    + ", ".join(f"avg({c}) AS {c}" for c in _ATTRIBUTES)
     + " FROM transfer_features"
 )
+_GLOBAL_SQL = f"SELECT round(COLUMNS(*), 6) FROM ({_MEANS_SQL})"
 
 
 def _global_row(spark: SparkSession, folder: str) -> DataFrame:
@@ -551,7 +552,7 @@ SELECT c_custkey AS user_id, state, """ + ", ".join(
       AND sec >= epoch_us(TIMESTAMP '{MOMENT}') // 1000000 - 2592000 GROUP BY 1) l
     ON c_custkey = l.sender_id) c
 LEFT JOIN ({MERGE_SQL.format(moment=MOMENT)}) m ON m.user_id = c_custkey
-CROSS JOIN ({_GLOBAL_SQL.replace('round(avg(', '((avg(').replace(', 6)', ')')}) g"""
+CROSS JOIN ({_MEANS_SQL}) g"""
 
 
 @query("three_state_fallback", with_ctes(_STATE_SQL, "recent", "transfer_features"))

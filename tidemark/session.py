@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import tidemark
+
 RUNTIME_SETTINGS = {
     # All timestamps are UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -21,6 +24,8 @@ RUNTIME_SETTINGS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings the library relies on to an existing session."""
+    # Scorers and state processors travel inside their tasks; executors need no install.
+    cloudpickle.register_pickle_by_value(tidemark)
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
