@@ -37,7 +37,7 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _opened(messages: DataFrame, payload: str, fields: tuple[str, ...]) -> DataFrame:
-    """Parses each payload once; per field its JSON type, text and number.
+    """Parses each payload once; per field its JSON type and its text.
 
     The type is VOID for an explicit null and SQL null for an absent field.
     """
@@ -50,24 +50,24 @@ def _opened(messages: DataFrame, payload: str, fields: tuple[str, ...]) -> DataF
         described = F.schema_of_variant(F.try_variant_get(doc, f"$.{name}", "variant"))
         opened[f"_type_{name}"] = F.regexp_extract(described, r"^[A-Z]+", 0)
         opened[f"_text_{name}"] = F.try_variant_get(doc, f"$.{name}", "string")
-        opened[f"_number_{name}"] = F.try_variant_get(doc, f"$.{name}", "double")
     return computed_once(parsed, **opened).drop("_doc")
 
 
 def _lax_double(name: str) -> Column:
     """A finite double from a JSON number, boolean or numeric text, else null."""
-    kind, text, number = (F.col(f"_{part}_{name}") for part in ("type", "text", "number"))
+    kind, text = F.col(f"_type_{name}"), F.col(f"_text_{name}")
     value = (
-        F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), number)
+        F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), text.try_cast("double"))
         .when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
         .when((kind == "STRING") & text.rlike(DECIMAL_TEXT), F.trim(text).try_cast("double"))
     )
-    return F.nullif(F.nullif(F.nanvl(value, F.lit(None)), F.lit(float("inf"))), F.lit(-float("inf")))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def _lax_long(name: str) -> Column:
     """An integer from a whole JSON number, boolean or whole numeric text, else null."""
-    kind, text, number = (F.col(f"_{part}_{name}") for part in ("type", "text", "number"))
+    kind, text = F.col(f"_type_{name}"), F.col(f"_text_{name}")
+    number = text.try_cast("double")
     return (
         F.when(kind == "BIGINT", text.try_cast("bigint"))
         .when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0))

@@ -59,7 +59,7 @@ def train_test_split(
     only that bucket is ranked, with equal rows counted together.
     """
     digest = row_digest(key, seed)
-    bucket = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
+    bucket = F.substring(digest, 1, 4)
     histogram = df.select(bucket.alias("_b")).groupBy("_b").agg(F.count("*").alias("_n"))
     upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sized = histogram.select("_b", "_n", F.sum("_n").over(upto).alias("_upto"))
@@ -107,16 +107,14 @@ def train_test_split(
     return clear.unionByName(boundary)
 
 
-def nested_split(df: DataFrame, key: Sequence[str], seed: int = SPLIT_SEED) -> DataFrame:
-    """80/20, then the train part again 80/20: 'fit', 'holdout' and 'test'."""
-    outer = train_test_split(df, key, seed=seed)
-    inner = train_test_split(
-        outer.where("split = 'train'").drop("split"), key, seed=seed + 1, column="_inner"
+def nested_split(outer: DataFrame, key: Sequence[str], seed: int = SPLIT_SEED + 1) -> DataFrame:
+    """Splits the train part of a stored outer split again: 'fit', 'holdout' and 'test'."""
+    rows = outer.where("split = 'train'").drop("split")
+    inner = train_test_split(rows, key, seed=seed, column="_inner")
+    named = F.when(F.col("_inner") == "test", "holdout").otherwise("fit")
+    return inner.select(*rows.columns, named.alias("split")).unionByName(
+        outer.where("split = 'test'")
     )
-    return inner.select(
-        *df.columns,
-        F.when(F.col("_inner") == "test", "holdout").otherwise("fit").alias("split"),
-    ).unionByName(outer.where("split = 'test'"))
 
 
 def cutoff(df: DataFrame, time: str, share: float = 0.8) -> DataFrame:

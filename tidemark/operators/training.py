@@ -30,10 +30,10 @@ def _fit(df: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
 
 
 def fit_decision_tree(
-    df: DataFrame, features: Sequence[str], label: str, seed: int = 42
+    df: DataFrame, features: Sequence[str], label: str, seed: int = 42, depth: int = 30
 ) -> PipelineModel:
-    # MLlib trees stop at depth 30, the deepest they support.
-    tree = DecisionTreeClassifier(labelCol=label, maxDepth=30, seed=seed)
+    # Trees grow without a limit by default; 30 is the deepest that MLlib supports.
+    tree = DecisionTreeClassifier(labelCol=label, maxDepth=depth, seed=seed)
     return _fit(df, features, tree)
 
 
@@ -78,11 +78,12 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def check_feature_names(model: PipelineModel, expected: Sequence[str]) -> None:
-    """Fail unless the model takes exactly the contract's features, in order."""
+def check_feature_names(model: PipelineModel, expected: Sequence[str]) -> list[str]:
+    """The model's inputs; fails unless they are exactly the contract's features, in order."""
     names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
     if list(names) != list(expected):
         raise ValueError(f"model expects {names}, the contract has {list(expected)}")
+    return list(names)
 
 
 def batch_inference(

@@ -13,7 +13,13 @@ from tidemark.plans.analytics import folded_orders
 from tidemark.plans.bindings import with_ctes
 from tidemark.plans.registry import query
 from tidemark.plans.routing import CUTOFF_SQL
-from tidemark.plans.tables import NESTED_SQL, SPLIT_KEY, SPLIT_SQL, rule_scores
+from tidemark.plans.tables import (
+    NESTED_SQL,
+    SPLIT_KEY,
+    SPLIT_SQL,
+    rule_scores,
+    stored_split,
+)
 from tidemark.session import new_folder
 from tidemark.sources import tables
 
@@ -25,7 +31,8 @@ def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("nested_split", with_ctes(NESTED_SQL, "raw"))
 def nested_split(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.nested_split(b.raw(spark, folder), SPLIT_KEY)
+    outer = stored_split(splits.train_test_split(b.raw(spark, folder), SPLIT_KEY))
+    return splits.nested_split(outer, SPLIT_KEY)
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,13 +40,11 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
 
     Trees pass over their input many times, so it is worth cutting the lineage here.
     """
-    path = new_folder(spark, "training")
     rows = b.canonical(spark, folder).where("source = 'training'")
     coded = rows.withColumn("label", sc.label_code_strict(F.col("species")).cast("double"))
     kept = splits.drop_id_columns(coded.withColumn("y", F.col("label"))).drop("species")
-    split = splits.nested_split(kept, [*b.FEATURES, "y"])
-    split.write.partitionBy("split").parquet(path)
-    return spark.read.parquet(path)
+    key = ["sepal_width_cm", "petal_length_cm", "y"]
+    return stored_split(splits.nested_split(stored_split(splits.train_test_split(kept, key)), key))
 
 
 def _trained(spark: SparkSession, folder: str, fit, **options) -> DataFrame:
@@ -83,60 +88,100 @@ def score_batches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def small_tree(spark: SparkSession, folder: str):
+    """A shallow tree: these queries are about applying a model, not about its quality."""
+    rows = b.canonical(spark, folder).where("source = 'training'")
+    coded = rows.withColumn("y", sc.label_code_strict(F.col("species")).cast("double"))
+    return training.fit_decision_tree(coded, b.FEATURES, "y", depth=5)
+
+
 def stored_model(spark: SparkSession, folder: str) -> str:
     path = new_folder(spark, "model")
-    rows = labelled(spark, folder).where("split <> 'test'")
-    training.save_model(training.fit_decision_tree(rows, b.FEATURES, "y"), path)
+    training.save_model(small_tree(spark, folder), path)
     return path
 
 
-@query("predict_proba")
+@query(
+    "predict_proba",
+    with_ctes(
+        "SELECT entity_id, 3 AS classes, true AS sums_to_one, true AS class_is_likeliest"
+        " FROM features",
+        "features",
+    ),
+)
 def predict_proba(spark: SparkSession, folder: str) -> DataFrame:
-    rows = labelled(spark, folder)
-    model = training.fit_decision_tree(rows.where("split <> 'test'"), b.FEATURES, "y")
-    scored = training.predict(model, rows.where("split = 'test'"))
-    return scored.select(*b.FEATURES, "class_", "class_probabilities")
+    """The reply of a fitted tree for every row: a class and probabilities in class order."""
+    model = training.load_model(stored_model(spark, folder))
+    scored = training.predict(model, b.canonical(spark, folder))
+    chances = F.col("class_probabilities")
+    total = F.aggregate(chances, F.lit(0.0), lambda a, p: a + p)
+    return scored.select(
+        "entity_id",
+        F.size(chances).alias("classes"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        (F.get(chances, F.col("class_").cast("int")) == F.array_max(chances)).alias(
+            "class_is_likeliest"
+        ),
+    )
 
 
-@query("batch_inference")
+@query(
+    "batch_inference",
+    with_ctes(
+        f"SELECT entity_id, source, TIMESTAMP '{b.AS_OF_TEXT}' AS prediction_timestamp,"
+        " true AS known_class, true AS has_model_path FROM features WHERE source = 'batch_input'",
+        "features",
+    ),
+)
 def batch_inference(spark: SparkSession, folder: str) -> DataFrame:
     """Score the batch-input rows with a stored model and append them."""
     model_path, out = stored_model(spark, folder), new_folder(spark, "scored")
     rows = tables.scan_source(b.canonical(spark, folder), "batch_input")
     model = training.load_model(model_path)
     tables.write_append(training.batch_inference(model, rows, model_path, b.as_of()), out)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(
+        "entity_id",
+        "source",
+        "prediction_timestamp",
+        F.col("prediction").isin(list(sc.LABEL_CODES.values())).alias("known_class"),
+        (F.col("model_path") == model_path).alias("has_model_path"),
+    )
 
 
-@query("save_load_model")
+@query(
+    "save_load_model",
+    with_ctes("SELECT entity_id, true AS same FROM features", "features"),
+)
 def save_load_model(spark: SparkSession, folder: str) -> DataFrame:
-    """A reloaded model gives the predictions of the model that was saved."""
-    rows = labelled(spark, folder)
+    """A reloaded model predicts what the model that was saved predicts, row by row."""
     path = new_folder(spark, "model")
-    model = training.fit_decision_tree(rows.where("split <> 'test'"), b.FEATURES, "y")
+    model = small_tree(spark, folder)
     training.save_model(model, path)
-    test = rows.where("split = 'test'")
-    again = training.load_model(path)
-    return (
-        training.predict(model, test)
-        .select(F.col("class_").alias("saved"))
-        .groupBy("saved")
-        .agg(F.count("*").alias("rows"))
-        .join(
-            training.predict(again, test)
-            .groupBy(F.col("class_").alias("saved"))
-            .agg(F.count("*").alias("rows_reloaded")),
-            "saved",
-            "full_outer",
-        )
+    first = training.predict(model, b.canonical(spark, folder)).select(
+        "entity_id",
+        *b.FEATURES,
+        F.col("class_").alias("before"),
+        F.col("class_probabilities").alias("chances"),
     )
+    again = training.predict(training.load_model(path), first)
+    same = (F.col("class_") == F.col("before")) & (
+        F.col("class_probabilities") == F.col("chances")
+    )
+    return again.select("entity_id", same.alias("same"))
 
 
-@query("check_feature_names")
+@query(
+    "check_feature_names",
+    with_ctes(
+        f"SELECT entity_id, '{','.join(b.FEATURES)}' AS model_features FROM features", "features"
+    ),
+)
 def check_feature_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored model's inputs are the contract's features, in order."""
     model = training.load_model(stored_model(spark, folder))
-    training.check_feature_names(model, IRIS.feature_columns)
-    return training.predict(model, b.canonical(spark, folder)).select("entity_id", "class_")
+    names = training.check_feature_names(model, IRIS.feature_columns)
+    scored = training.predict(model, b.canonical(spark, folder))
+    return scored.select("entity_id", F.lit(",".join(names)).alias("model_features"))
 
 
 @query("fit_boosted_binary")

@@ -88,35 +88,44 @@ class RingState(StatefulProcessor):
         self._ring = handle.getMapState("ring", _KEY, _SLOT)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        # A ring has few slots, so it is read whole once and only touched slots are written.
+        ring = {slot[0]: values for slot, values in self._ring.iterator()}
         touched = set()
         for frame in rows:
-            for bucket, part in frame.groupby("bucket"):
-                slot = int(bucket) % self.slots
-                held = self._ring.getValue((slot,)) if self._ring.containsKey((slot,)) else None
-                if held is not None and held[0] > bucket:
+            combined = frame.groupby("bucket").agg(
+                tx_count=("tx_count", "sum"),
+                amount_sum=("amount_sum", "sum"),
+                amount_max=("amount_max", "max"),
+                cross_border_count=("cross_border_count", "sum"),
+                recipients=("recipient_id", lambda ids: set(ids.dropna())),
+            )
+            for part in combined.itertuples():
+                slot = int(part.Index) % self.slots
+                held = ring.get(slot)
+                if held is not None and held[0] > part.Index:
                     continue  # a late part of an earlier lap
-                if held is None or held[0] < bucket:
-                    held = (int(bucket), 0, 0.0, float("-inf"), 0, "")
+                if held is None or held[0] < part.Index:
+                    held = (int(part.Index), 0, 0.0, float("-inf"), 0, "")
                 known = set(held[5].split(_SEPARATOR)) - {""}
-                members = sorted(known | set(part["recipient_id"].dropna()))[:MAX_MEMBERS]
-                self._ring.updateValue(
-                    (slot,),
-                    (
-                        int(bucket),
-                        held[1] + int(part["tx_count"].sum()),
-                        held[2] + float(part["amount_sum"].sum()),
-                        max(held[3], float(part["amount_max"].max())),
-                        held[4] + int(part["cross_border_count"].sum()),
-                        _SEPARATOR.join(members),
-                    ),
+                members = sorted(known | part.recipients)[:MAX_MEMBERS]
+                ring[slot] = (
+                    held[0],
+                    held[1] + int(part.tx_count),
+                    held[2] + float(part.amount_sum),
+                    max(held[3], float(part.amount_max)),
+                    held[4] + int(part.cross_border_count),
+                    _SEPARATOR.join(members),
                 )
                 touched.add(slot)
+        for slot in touched:
+            self._ring.updateValue((slot,), ring[slot])
         if touched:
-            yield self._emitted(key[0])
+            yield self._emitted(key[0], ring)
 
-    def _emitted(self, user) -> pd.DataFrame:
+    @staticmethod
+    def _emitted(user, ring: dict) -> pd.DataFrame:
         """The user's whole ring, one row per written slot."""
-        out = [(user, slot[0], *values) for slot, values in self._ring.iterator()]
+        out = [(user, slot, *values) for slot, values in ring.items()]
         frame = pd.DataFrame(out, columns=["user_id", "slot", *_SLOT.fieldNames()])
         frame["recipients"] = [
             text.split(_SEPARATOR) if text else [] for text in frame["recipients"]
