@@ -212,6 +212,9 @@ def transfer_features(transfers: DataFrame, users: DataFrame, as_of: Column) ->
     User attributes join the per-second features, so the join sees at most one row per
     sender and second rather than every transfer of a hot sender.
     """
+    # The join with users drops transfers without a sender; dropping them first keeps the
+    # branches of the window plan equal, so their shuffles are reused.
+    transfers = transfers.where(F.col("sender_id").isNotNull())
     per_sender = window_features(transfers).withColumnsRenamed({"sender_id": "_s", "_sec": "_t"})
     attributed = per_sender.join(user_attributes(users), F.col("_s") == F.col("user_id"))
     keyed = transfers.withColumn("_sec", unix_second(F.col("created_at")))
