@@ -129,7 +129,7 @@ def hash_bucket(key: Column, seed: int, buckets: int = 100) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
 
 
-def log_chunk(value: Column, per_octave: int = 16) -> Column:
+def log_chunk(value: Column, per_octave: int = 64) -> Column:
     """Order-preserving coarse bucket of a number of unknown range.
 
     Used to split a long sorted run into pieces: a <= b implies log_chunk(a) <= log_chunk(b).

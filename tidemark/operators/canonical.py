@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import IRIS, FeatureContract, keep_columns
 from tidemark.functions.scalars import batch_entity_id, stream_entity_id
-from tidemark.operators.splits import row_digest
+from tidemark.operators.splits import COPY_BLOCK, row_digest
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -72,8 +72,8 @@ def append_with_next_id(
     """Number ``new`` from the largest existing id + 1 (from 1 when there is none).
 
     Rows are numbered in seeded md5 order.  Digest prefixes cut the numbering into 4096 even
-    chunks; the first number of each chunk comes from a histogram.  Equal rows are told apart
-    by a salt, so a large group of copies is spread over tasks as well.
+    chunks; the first number of each chunk comes from a histogram.  Equal rows are counted
+    together; a large group of copies gets its numbers block by block in several tasks.
     """
     columns = new.columns
     placed = new.withColumn("_digest", row_digest(columns, seed)).withColumn(
@@ -97,12 +97,15 @@ def append_with_next_id(
         .crossJoin(F.broadcast(top))  # one row
         .withColumn("_first", F.col("_top") + F.col("_start") + F.col("_ahead") + 1)
     )
-    block = 1_000_000
-    blocks = first.withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_m") - 1) / block)))
+    last = F.col("_first") + F.col("_m") - 1
+    few = first.where(F.col("_m") <= COPY_BLOCK).select(
+        F.explode(F.sequence("_first", last)).alias(id_column), *columns
     )
-    from_id = F.col("_first") + F.col("_block") * block
-    to_id = F.least(from_id + block - 1, F.col("_first") + F.col("_m") - 1)
-    return blocks.repartition("_chunk", "_block").select(
-        F.explode(F.sequence(from_id, to_id)).alias(id_column), *columns
+    blocks = (
+        first.where(F.col("_m") > COPY_BLOCK)
+        .withColumn("_from", F.explode(F.sequence("_first", last, F.lit(COPY_BLOCK).cast("bigint"))))
+        .repartition("_from")
     )
+    upto = F.least(F.col("_from") + COPY_BLOCK - 1, last)
+    many = blocks.select(F.explode(F.sequence("_from", upto)).alias(id_column), *columns)
+    return few.unionByName(many)

@@ -30,6 +30,11 @@ def confusion_matrix(df: DataFrame, label: str, predicted: str, classes: list) -
     return counted.where(F.col(label).isNotNull())
 
 
+def score_chunk(score: Column) -> Column:
+    """Cuts scores, which mostly lie in 0..1, into a few thousand ordered pieces."""
+    return log_chunk(score * 1024, per_octave=256)
+
+
 def threshold_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: true and false positives when everything at or above it is positive."""
     per_score = df.groupBy(F.col(score).alias("threshold")).agg(
@@ -38,7 +43,7 @@ def threshold_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     return running_totals(
         per_score,
         [],
-        [log_chunk(F.col("threshold") * 1024)],
+        [score_chunk(F.col("threshold"))],
         [F.col("threshold")],
         {"tp": F.col("_pos"), "fp": F.col("_neg")},
         descending=True,
@@ -102,7 +107,7 @@ def area_under_roc(df: DataFrame, score: str, label: str) -> DataFrame:
     below = running_totals(
         per_score,
         [],
-        [log_chunk(F.col("_s") * 1024)],
+        [score_chunk(F.col("_s"))],
         [F.col("_s")],
         {"_neg_upto": F.col("_neg")},
     )

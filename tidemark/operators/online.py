@@ -154,20 +154,11 @@ def enrich_with_retry(
     )
     for attempt in range(1, max_retries + 1):
         later = snapshots[min(attempt, len(snapshots) - 1)]
-        renamed = later.select(
-            F.col(entity).alias("_key"), *[F.col(f).alias(f"_new_{f}") for f in features]
-        )
-        again = F.size("missing") > 0
-        tried = (
-            tried.withColumn("_look", F.when(again, F.col(entity)))
-            .join(renamed, F.col("_look") == F.col("_key"), "left")
-            .withColumns(
-                {f: F.when(again, F.col(f"_new_{f}")).otherwise(F.col(f)) for f in features}
-                | {"retry_count": F.col("retry_count") + F.when(again, 1).otherwise(0)}
-            )
-            .drop("_look", "_key", *[f"_new_{f}" for f in features])
-            .withColumn("missing", missing_features(features))
-        )
+        complete = F.size("missing") == 0
+        again = enrich(
+            tried.where(~complete).drop(*features, "missing"), later, entity, features
+        ).withColumn("retry_count", F.col("retry_count") + 1)
+        tried = tried.where(complete).unionByName(again)
     return tried
 
 

@@ -29,6 +29,7 @@ class FeatureStream:
     store: OnlineStore
     dead_letter_path: str | None = None
     metrics_path: str | None = None
+    compact_every: int | None = None  # batches between rewrites of the online store's base
     as_of: Column | None = None
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
@@ -51,6 +52,8 @@ class FeatureStream:
                 f"{self.offline_path}/batch_id={batch_id}"
             )
             self.store.upsert(written, batch_id)
+            if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+                self.store.compact(batch_id)
             if self.dead_letter_path is not None:
                 letters = dead_letters(
                     refused(checked), "feature", "parse", now, payload=F.col("value")

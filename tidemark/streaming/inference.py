@@ -61,7 +61,11 @@ class InferenceStream:
         letters = dead_letters(
             refused(checked), "inference", "parse", now, payload=F.col("value")
         )
-        self._score(messages.sparkSession, parsed, letters, batch_id, now)
+        checked.persist()
+        try:
+            self._score(messages.sparkSession, parsed, letters, batch_id, now)
+        finally:
+            checked.unpersist()
 
     def drain(self, spark: SparkSession, batch_id: int) -> None:
         """Give the requests still waiting after batch ``batch_id - 1`` their retry."""

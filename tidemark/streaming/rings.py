@@ -64,20 +64,37 @@ def recipient_parts(transfers: DataFrame, lateness: str = "0 seconds") -> DataFr
     )
 
 
-_SLOT = T.StructType(
-    [
-        T.StructField("bucket", T.LongType()),
-        T.StructField("tx_count", T.LongType()),
-        T.StructField("amount_sum", T.DoubleType()),
-        T.StructField("amount_max", T.DoubleType()),
-        T.StructField("cross_border_count", T.LongType()),
-        T.StructField("recipients", T.StringType()),
-    ]
-)
 _KEY = T.StructType([T.StructField("slot", T.LongType())])
+_TOTALS = [
+    T.StructField("bucket", T.LongType()),
+    T.StructField("tx_count", T.LongType()),
+    T.StructField("amount_sum", T.DoubleType()),
+    T.StructField("amount_max", T.DoubleType()),
+    T.StructField("cross_border_count", T.LongType()),
+]
+_SLOT = T.StructType([*_TOTALS, T.StructField("recipients", T.StringType())])
 _SEPARATOR = "\x1f"
 
 
+def _combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of an Arrow batch combined per user and bucket, keeping the smallest members."""
+    for frame in frames:
+        yield (
+            frame.sort_values("recipient_id")
+            .groupby(["user_id", "bucket"], as_index=False, sort=False)
+            .agg(
+                tx_count=("tx_count", "sum"),
+                amount_sum=("amount_sum", "sum"),
+                amount_max=("amount_max", "max"),
+                cross_border_count=("cross_border_count", "sum"),
+                recipients=(
+                    "recipient_id",
+                    lambda ids: _SEPARATOR.join(ids.dropna().unique()[:MAX_MEMBERS]),
+                ),
+            )
+        )
+
+
 class RingState(StatefulProcessor):
     """Per user: slot -> newest bucket of that slot.  Expiry is the reader's business."""
 
@@ -92,29 +109,21 @@ class RingState(StatefulProcessor):
         ring = {slot[0]: values for slot, values in self._ring.iterator()}
         touched = set()
         for frame in rows:
-            combined = frame.groupby("bucket").agg(
-                tx_count=("tx_count", "sum"),
-                amount_sum=("amount_sum", "sum"),
-                amount_max=("amount_max", "max"),
-                cross_border_count=("cross_border_count", "sum"),
-                recipients=("recipient_id", lambda ids: set(ids.dropna())),
-            )
-            for part in combined.itertuples():
-                slot = int(part.Index) % self.slots
+            for part in frame.itertuples(index=False):
+                slot = int(part.bucket) % self.slots
                 held = ring.get(slot)
-                if held is not None and held[0] > part.Index:
+                if held is not None and held[0] > part.bucket:
                     continue  # a late part of an earlier lap
-                if held is None or held[0] < part.Index:
-                    held = (int(part.Index), 0, 0.0, float("-inf"), 0, "")
-                known = set(held[5].split(_SEPARATOR)) - {""}
-                members = sorted(known | part.recipients)[:MAX_MEMBERS]
+                if held is None or held[0] < part.bucket:
+                    held = (int(part.bucket), 0, 0.0, float("-inf"), 0, "")
+                known = {*held[5].split(_SEPARATOR), *part.recipients.split(_SEPARATOR)} - {""}
                 ring[slot] = (
                     held[0],
                     held[1] + int(part.tx_count),
                     held[2] + float(part.amount_sum),
                     max(held[3], float(part.amount_max)),
                     held[4] + int(part.cross_border_count),
-                    _SEPARATOR.join(members),
+                    _SEPARATOR.join(sorted(known)[:MAX_MEMBERS]),
                 )
                 touched.add(slot)
         for slot in touched:
@@ -139,15 +148,18 @@ class RingState(StatefulProcessor):
 def ring_state(parts: DataFrame, ring: Ring) -> DataFrame:
     """Rings of the users whose buckets closed in a micro-batch, as slot rows."""
     user_type = parts.schema["user_id"].dataType
+    key = T.StructField("user_id", user_type)
     schema = T.StructType(
         [
-            T.StructField("user_id", user_type),
+            key,
             T.StructField("slot", T.LongType()),
-            *_SLOT.fields[:-1],
+            *_TOTALS,
             T.StructField("recipients", T.ArrayType(T.StringType())),
         ]
     )
-    return parts.groupBy("user_id").transformWithStateInPandas(
+    # Combining before the shuffle by user keeps a hot user's many recipients out of one task.
+    combined = parts.mapInPandas(_combine, T.StructType([key, *_SLOT.fields]))
+    return combined.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=RingState(ring.slots),
         outputStructType=schema,
         outputMode="Append",
