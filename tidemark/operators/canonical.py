@@ -11,6 +11,8 @@ from tidemark.contract import IRIS, FeatureContract, keep_columns
 from tidemark.functions.scalars import batch_entity_id, stream_entity_id
 from tidemark.operators.splits import COPY_BLOCK, row_digest
 
+STREAM_SOURCE = "streaming"  # fixed value
+
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename the mapped columns the frame has; everything else passes through."""
@@ -60,7 +62,7 @@ def feature_rows(
     return messages.select(
         *[F.col(source).alias(canonical) for source, canonical in snake.items()],
         F.lit(None).cast("string").alias(contract.target_column),
-        F.lit("streaming").alias("source"),
+        F.lit(STREAM_SOURCE).alias("source"),
         stream_entity_id(F.col("sample_id")).alias(contract.entity_id_column),
         as_of.cast("timestamp").alias(contract.feature_timestamp_column),
     )

@@ -66,6 +66,19 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
+def model_scores(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Scores in the shape the batch scorer gives, computed inside the JVM."""
+    return predict(model, df).select(
+        *df.columns,
+        "class_",
+        "class_probabilities",
+        F.lit(None).cast("double").alias("processing_time"),
+        F.lit(None).cast("string").alias("score_error"),
+        F.lit(None).cast("string").alias("score_message"),
+        F.lit(0).cast("bigint").alias("score_retries"),
+    )
+
+
 def model_accuracy(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
     return accuracy(predict(model, df), label, "class_")
 

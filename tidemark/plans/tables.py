@@ -18,6 +18,7 @@ from tidemark.functions import messages as msg
 from tidemark.functions import scalars as sc
 from tidemark.operators import evaluate, online, scoring, splits
 from tidemark.operators.canonical import (
+    STREAM_SOURCE,
     canonicalise,
     default_timestamp,
     feature_rows,
@@ -209,7 +210,7 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = feature_rows(msg.accepted(msg.read_feature_messages(batch)), b.as_of())
-        tables.write_batch(rows, path, batch_id, FEATURE_SCHEMA)
+        tables.write_batch(rows, path, batch_id, FEATURE_SCHEMA, source=STREAM_SOURCE)
 
     stream = b.as_messages(event_stream(spark, folder), b.payload())
     start_batches(stream, write, marks).awaitTermination()

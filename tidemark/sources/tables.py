@@ -65,18 +65,18 @@ def scan_source(df: DataFrame, source: str) -> DataFrame:
     return df.where(F.col("source") == source)
 
 
-def write_refresh(
-    df: DataFrame, path: str, partition: Sequence[str] = ("source",), full: bool = False
-) -> None:
-    """Replace the partitions present in ``df``; with ``full`` replace the whole table.
+def write_refresh(df: DataFrame, path: str, full: bool = False) -> None:
+    """Replace the sources present in ``df``; with ``full`` replace the whole table.
 
-    Replacing only the partitions written keeps rows that streams append under other sources.
+    The offline table is laid out by source and batch.  A refresh writes batch 0 of its
+    sources, so rows that a stream appends under its own source stay.
     """
     mode = "static" if full else "dynamic"
     (
-        df.write.mode("overwrite")
+        df.withColumn("batch_id", F.lit(0))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
-        .partitionBy(*partition)
+        .partitionBy("source", "batch_id")
         .parquet(path)
     )
 
@@ -115,10 +115,12 @@ def write_batch(
     schema: T.StructType,
     strict: bool = False,
     day_of: str | None = None,
-) -> None:
-    """Append one micro-batch to an existing table, exactly once.
+    source: str | None = None,
+) -> DataFrame:
+    """Append one micro-batch to an existing table, exactly once, and return it as written.
 
-    Rows live below ``batch_id=N``; replaying a batch replaces that folder only.
+    Rows live below ``batch_id=N`` (of ``source`` in the offline table, whose rows then all
+    have that source); replaying a batch replaces that folder only.
     """
     require_table(df.sparkSession, path)
     shaped = conform(df, schema, strict=strict)
@@ -126,9 +128,16 @@ def write_batch(
     if day_of is not None:
         shaped = day_partitioned(shaped, day_of)
         partitions = ["dt"]
+    if source is None:
+        folder = f"{path}/batch_id={batch_id}"
+    else:
+        folder = f"{path}/source={source}/batch_id={batch_id}"
+        shaped = shaped.drop("source")
     shaped.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *partitions
-    ).parquet(f"{path}/batch_id={batch_id}")
+    ).parquet(folder)
+    written = df.sparkSession.read.schema(schema).option("basePath", path).parquet(folder)
+    return written.select(*schema.fieldNames())
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -16,7 +16,7 @@ from tidemark.functions.messages import (
     read_feature_messages,
     refused,
 )
-from tidemark.operators.canonical import feature_rows
+from tidemark.operators.canonical import STREAM_SOURCE, feature_rows
 from tidemark.operators.online import OnlineStore
 from tidemark.sources.tables import write_batch
 
@@ -46,10 +46,9 @@ class FeatureStream:
         checked.persist()
         try:
             rows = feature_rows(accepted(checked), now)
-            write_batch(rows, self.offline_path, batch_id, FEATURE_SCHEMA)
             # The store takes the rows as written: ids drawn at random agree in both sinks.
-            written = spark.read.schema(FEATURE_SCHEMA).parquet(
-                f"{self.offline_path}/batch_id={batch_id}"
+            written = write_batch(
+                rows, self.offline_path, batch_id, FEATURE_SCHEMA, source=STREAM_SOURCE
             )
             self.store.upsert(written, batch_id)
             if self.compact_every and batch_id and batch_id % self.compact_every == 0:

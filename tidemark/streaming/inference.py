@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from tidemark.operators.scoring import (
     score_failures,
     score_rows,
 )
+from tidemark.operators.training import model_scores
 from tidemark.sources.tables import path_exists, write_batch
 from tidemark.streaming.features import start_batches
 
@@ -37,7 +39,7 @@ class InferenceStream:
     """
 
     store: OnlineStore
-    scorer: Scorer
+    scorer: Scorer | PipelineModel
     service: str
     prediction_path: str
     work_path: str
@@ -111,9 +113,12 @@ class InferenceStream:
         )
 
         scores = f"{self.work_path}/scored/batch_id={batch_id}"
-        score_rows(
-            found.where(~again).drop("missing"), names, self.scorer, self.batch_rows
-        ).write.mode("overwrite").parquet(scores)
+        complete = found.where(~again).drop("missing")
+        if isinstance(self.scorer, PipelineModel):
+            rated = model_scores(self.scorer, complete)
+        else:
+            rated = score_rows(complete, names, self.scorer, self.batch_rows)
+        rated.write.mode("overwrite").parquet(scores)
         scored = spark.read.parquet(scores)
         write_batch(
             predictions(scored, names, self.service, now),
