@@ -21,7 +21,7 @@ class Flaky:
         if self.failures:
             self.failures -= 1
             raise self.error("trouble")
-        return [(1, [0.2, 0.8])] * len(matrix)
+        return [1] * len(matrix), [[0.2, 0.8]] * len(matrix)
 
 
 def nothing(seconds):
@@ -58,14 +58,14 @@ def test_other_errors_are_not_retried(rows):
 
 def test_short_reply(rows):
     def short(matrix):
-        return [(0, [1.0])] * (len(matrix) - 1)
+        return [0] * (len(matrix) - 1), [[1.0]] * (len(matrix) - 1)
 
     assert outcome(scoring.score_rows(rows, ["x"], short)) == {(None, 0): 117, ("short_reply", 0): 3}
 
 
 def test_groups_hold_at_most_the_batch_size(rows):
     def sizes(matrix):
-        return [(len(matrix), [])] * len(matrix)
+        return [len(matrix)] * len(matrix), [[]] * len(matrix)
 
     got = scoring.score_rows(rows, ["x"], sizes, batch_rows=50).groupBy("class_").count().collect()
     assert {(r.class_, r["count"]) for r in got} == {(50, 100), (20, 20)}

@@ -1,8 +1,8 @@
 """Batch scoring: groups of rows through a scorer, retries, and one row out per row in.
 
-A scorer is a picklable callable: a numpy matrix (rows x features) to a list of replies, each
-a ``(class or None, probabilities)`` pair.  Transport trouble is signalled by raising
-``TimeoutError`` or ``ConnectionError``.
+A scorer is a picklable callable from a numpy matrix (rows x features) to two sequences that
+run along the rows: the classes and the probability lists.  Transport trouble is signalled by
+raising ``TimeoutError`` or ``ConnectionError``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +25,8 @@ BATCH_ROWS = 50
 MAX_TRIES = 3
 BACKOFF_BASE = 2
 
-Reply = tuple[int | None, list[float]]
-Scorer = Callable[[np.ndarray], Sequence[Reply]]
+Reply = tuple[Sequence, Sequence]
+Scorer = Callable[[np.ndarray], Reply]
 
 _SCORED = [
     T.StructField("class_", T.LongType()),
@@ -44,19 +44,18 @@ class ThresholdRule:
     def __init__(self, feature: int, low: float, high: float):
         self.feature, self.low, self.high = feature, low, high
 
-    def __call__(self, matrix: np.ndarray) -> list[Reply]:
+    def __call__(self, matrix: np.ndarray) -> Reply:
         codes = np.digitize(matrix[:, self.feature], [self.low, self.high])
-        table = np.eye(3) * 0.7 + 0.1
-        return [(int(c), table[c].tolist()) for c in codes]
+        return codes, (np.eye(3) * 0.7 + 0.1)[codes]
 
 
 def _call(scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None]):
-    """Replies, or the error that remained after all tries, plus the number of retries."""
+    """The reply, or the error that remained after all tries, plus the number of retries."""
     problem: Exception | None = None
     retries = 0
     for attempt in range(MAX_TRIES):
         try:
-            return list(scorer(matrix)), None, retries
+            return scorer(matrix), None, retries
         except (TimeoutError, ConnectionError) as failure:
             problem = failure
             retries += 1
@@ -65,7 +64,7 @@ def _call(scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None]):
         except Exception as failure:  # not transport trouble: another try would not help
             problem = failure
             break
-    return [], problem, retries
+    return ((), ()), problem, retries
 
 
 def _label(problem: Exception) -> str:
@@ -88,35 +87,52 @@ def score_rows(
     names = list(features)
     schema = T.StructType([*df.schema.fields, *_SCORED])
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            matrix = frame[names].to_numpy(dtype=float)
-            outcome: list[tuple] = []
-            for start in range(0, len(frame), batch_rows):
-                group = matrix[start : start + batch_rows]
-                began = time.monotonic()
-                replies, problem, retries = _call(scorer, group, wait)
-                per_row = (time.monotonic() - began) / len(group)
-                for i in range(len(group)):
-                    if problem is not None:
-                        outcome.append((None, None, None, _label(problem), str(problem), retries))
-                    elif i < len(replies):
-                        outcome.append((*replies[i], per_row, None, None, retries))
-                    else:
-                        text = f"{len(replies)} replies for {len(group)} rows"
-                        outcome.append((None, None, None, SHORT_REPLY, text, retries))
-            columns = list(zip(*outcome)) if outcome else [()] * len(_SCORED)
-            added = {
-                "class_": pd.array(columns[0], dtype="Int64"),
-                "class_probabilities": pd.Series(columns[1], dtype=object).to_numpy(),
-                "processing_time": pd.array(columns[2], dtype="Float64"),
-                "score_error": pd.Series(columns[3], dtype=object).to_numpy(),
-                "score_message": pd.Series(columns[4], dtype=object).to_numpy(),
-                "score_retries": pd.array(columns[5], dtype="Int64"),
-            }
-            yield frame.assign(**added)
-
-    return df.mapInPandas(score, schema)
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Only the features leave Arrow; every other column is handed through as it is.
+            columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+            matrix = np.column_stack(columns).astype(float)
+            parts = [
+                _group(scorer, matrix[start : start + batch_rows], wait)
+                for start in range(0, len(matrix), batch_rows)
+            ]
+            if not parts:
+                continue
+            scored = [pa.concat_arrays(column) for column in zip(*parts)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *scored], [*batch.schema.names, *[f.name for f in _SCORED]]
+            )
+
+    return df.mapInArrow(score, schema)
+
+
+def _group(
+    scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None]
+) -> tuple[pa.Array, ...]:
+    """The scored columns of one group of rows."""
+    size = len(matrix)
+    began = time.monotonic()
+    (classes, chances), problem, retries = _call(scorer, matrix, wait)
+    per_row = (time.monotonic() - began) / size
+    answered = min(len(classes), size)
+    unanswered = size - answered
+    if problem is not None:
+        error, text = _label(problem), str(problem)
+    else:
+        error, text = SHORT_REPLY, f"{len(classes)} replies for {size} rows"
+
+    def column(values, filler, kind: pa.DataType) -> pa.Array:
+        return pa.array([*values, *[filler] * unanswered], type=kind)
+
+    none = [None] * answered
+    return (
+        column(classes[:answered], None, pa.int64()),
+        column(chances[:answered], None, pa.list_(pa.float64())),
+        column([per_row] * answered, None, pa.float64()),
+        column(none, error, pa.string()),
+        column(none, text, pa.string()),
+        pa.array([retries] * size, type=pa.int64()),
+    )
 
 
 def predictions(

@@ -377,7 +377,8 @@ class ShortReply:
         self.rule = rule
 
     def __call__(self, matrix):
-        return self.rule(matrix)[:-1]
+        classes, chances = self.rule(matrix)
+        return classes[:-1], chances[:-1]
 
 
 @query(
