@@ -24,7 +24,7 @@ def transfers():
                 draw.choice(["r1", "r2", "r3", "r4", None]),
                 "EUR",
                 draw.choice(["EUR", "USD", "GBP", None]),
-                round(draw.uniform(0, 500), 2),
+                draw.choice([None, *[round(draw.uniform(0, 500), 2)] * 5]),
                 at.replace(tzinfo=None),
                 "training",
             )
@@ -39,6 +39,8 @@ def transfers():
     add(3, 10 * DAY - 1)
     add(4, 3 * DAY - 1)
     add(4, 10 * DAY)
+    for _ in range(4):  # transfers without a sender form a group of their own
+        add(None, draw.randrange(2 * DAY))
     return rows
 
 
@@ -58,14 +60,16 @@ def brute(rows):
             ]
 
         week, day = frame(7 * DAY), frame(DAY)
+        amounts = [r[5] for r in week if r[5] is not None]
+        today = [r[5] for r in day if r[5] is not None]
         expected[row[0]] = (
             len(frame(3600)),
             len(day),
             len(week),
             len(frame(30 * DAY)),
-            pytest.approx(sum(r[5] for r in week) / len(week)),
-            max(r[5] for r in week),
-            pytest.approx(sum(r[5] for r in day)),
+            pytest.approx(sum(amounts) / len(amounts)) if amounts else None,
+            max(amounts, default=None),
+            pytest.approx(sum(today)) if today else None,
             pytest.approx(
                 sum(1 for r in week if r[4] is not None and r[3] != r[4]) / len(week)
             ),
@@ -81,10 +85,13 @@ SCHEMA = (
 )
 
 
-def test_windows_match_brute_force(spark):
+@pytest.mark.parametrize("busy_rows", [0, 20, 10**9])
+def test_windows_match_brute_force(spark, busy_rows):
+    """All senders the linear way, only the hot one, and none."""
     rows = transfers()
     expected = brute(rows)
-    got = velocity.with_windows(spark.createDataFrame(rows, SCHEMA)).collect()
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = velocity.with_windows(df, busy_rows=busy_rows).collect()
     assert len(got) == len(rows)
     for r in got:
         assert expected[r.transfer_id] == (

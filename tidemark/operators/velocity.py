@@ -1,11 +1,15 @@
 """Trailing-window features per sender over transfers, exact and safe for a hot sender.
 
-Frames are ranges of whole seconds that include the current second.  Transfers are first
-combined per (sender, second), so a sender contributes at most one row per second of history
-however many transfers it makes.  Trailing sums then become running totals: a second adds its
-amount when it enters a frame and subtracts it when it leaves.  The work is linear in the
-number of rows instead of rows x frame length, and runs are cut into days (see ordered.py).
-Amounts are summed as decimals, so adding and subtracting leaves no rounding residue.
+Frames are ranges of whole seconds that include the current second.  Two ways lead to them:
+
+* Senders with few transfers use plain window frames: one shuffle, short frames.
+* Busy senders would cost rows x frame length there.  Their transfers are combined per second,
+  so a sender has at most one row per second of history however many transfers it makes, and
+  trailing sums become running totals: a second adds its amount when it enters a frame and
+  subtracts it when it leaves.  That is linear, and runs are cut into days (see ordered.py).
+
+Amounts are summed as decimals in both, so adding and subtracting leaves no residue and the way
+taken cannot be seen in the result.
 """
 
 from __future__ import annotations
@@ -25,21 +29,35 @@ from tidemark.functions.scalars import (
 )
 
 HOUR, DAY, WEEK, MONTH = 3_600, 86_400, 604_800, 2_592_000
-# Frame lengths in seconds of the additive measures.
-FRAMES = {"1h": HOUR, "24h": DAY, "7d": WEEK, "30d": MONTH}
+FRAMES = {"1h": HOUR, "24h": DAY, "7d": WEEK, "30d": MONTH}  # frame lengths in seconds
+BUSY_ROWS = 512  # senders with more transfers than this take the linear way
+
+WINDOW_FEATURES = (
+    *[f"tx_count_{frame}" for frame in FRAMES],
+    "avg_amount_7d",
+    "max_amount_7d",
+    "total_amount_24h",
+    "cross_border_ratio_7d",
+    "unique_recipients_7d",
+    "unique_currencies_7d",
+)
+
+# Kinds of change: a second enters all frames, leaves the frame of that many seconds, or a
+# distinct member comes (+1) or goes (-1).
+ENTER, RECIPIENT, CURRENCY = 0, 1, 2
 
+# Measure -> (summed column, frame it is summed over).
 ADDITIVE = {
-    "tx_count_1h": ("_n", HOUR),
-    "tx_count_24h": ("_n", DAY),
-    "tx_count_7d": ("_n", WEEK),
-    "tx_count_30d": ("_n", MONTH),
-    "total_amount_24h": ("_amount", DAY),
+    **{f"tx_count_{frame}": ("_n", seconds) for frame, seconds in FRAMES.items()},
+    "_known_24h": ("_known", DAY),
+    "_known_7d": ("_known", WEEK),
+    "_amount_24h": ("_amount", DAY),
     "_amount_7d": ("_amount", WEEK),
     "_cross_7d": ("_cross", WEEK),
 }
 DISTINCT = {
-    "unique_recipients_7d": "recipient_id",
-    "unique_currencies_7d": "target_currency",
+    "unique_recipients_7d": ("recipient_id", RECIPIENT),
+    "unique_currencies_7d": ("target_currency", CURRENCY),
 }
 MEASURES = [*ADDITIVE, *DISTINCT]
 
@@ -48,86 +66,89 @@ def cross_border() -> Column:
     return flag(F.col("source_currency") != F.col("target_currency"))
 
 
+def _keyed(transfers: DataFrame) -> DataFrame:
+    return transfers.withColumn("_sec", unix_second(F.col("created_at")))
+
+
 def per_second(transfers: DataFrame) -> DataFrame:
     """Transfers combined per sender and second."""
     return (
-        transfers.withColumn("_sec", unix_second(F.col("created_at")))
+        _keyed(transfers)
         .groupBy("sender_id", "_sec")
         .agg(
             F.count("*").alias("_n"),
-            F.sum(F.col("source_amount").cast(MONEY)).cast("decimal(38,9)").alias("_amount"),
+            F.count("source_amount").alias("_known"),
+            F.coalesce(F.sum(F.col("source_amount").cast(MONEY)), F.lit(0))
+            .cast("decimal(38,9)")
+            .alias("_amount"),
             F.sum(cross_border()).alias("_cross"),
             F.max("source_amount").alias("_max"),
         )
     )
 
 
-def _entering_and_leaving(seconds: DataFrame) -> DataFrame:
-    """Five rows per second: one entering every frame, one leaving each of the frames."""
-
-    def change(leaves: int | None) -> Column:
-        fields = []
-        for name, (measure, frame) in ADDITIVE.items():
-            if leaves is None:
-                value = F.col(measure)
-            else:
-                value = -F.col(measure) if leaves == frame else F.lit(0)
-            as_type = "decimal(38,9)" if measure == "_amount" else "bigint"
-            fields.append(value.cast(as_type).alias(name))
-        leaving_max = F.col("_max") if leaves == WEEK else F.lit(None).cast("double")
-        return F.struct(
-            (F.col("_sec") + (0 if leaves is None else leaves + 1)).alias("_at"),
-            F.lit(leaves is None).alias("_real"),
-            *fields,
-            *[F.lit(0).cast("bigint").alias(n) for n in DISTINCT],
-            (F.col("_max") if leaves is None else F.lit(None).cast("double")).alias("_in_max"),
-            leaving_max.alias("_out_max"),
-        )
+_CHANGE = ["sender_id", "_at", "_kind", "_n", "_known", "_amount", "_cross", "_max"]
 
-    changes = F.array(change(None), *[change(frame) for frame in FRAMES.values()])
-    return seconds.select("sender_id", F.explode(changes).alias("c")).select("sender_id", "c.*")
+
+def _entering_and_leaving(seconds: DataFrame) -> DataFrame:
+    """Five rows per second: it enters every frame and leaves each of the four."""
+    kinds = F.explode(F.array(*[F.lit(k) for k in (ENTER, *FRAMES.values())]))
+    at = F.col("_sec") + F.when(F.col("_kind") == ENTER, 0).otherwise(F.col("_kind") + 1)
+    return seconds.withColumn("_kind", kinds).withColumn("_at", at).select(*_CHANGE)
 
 
-def _distinct_changes(transfers: DataFrame, member: str, name: str) -> DataFrame:
+def _distinct_changes(transfers: DataFrame, member: str, kind: int) -> DataFrame:
     """+1 when a member is seen, -1 when it is seen again or a week has passed."""
     seen = (
-        transfers.where(F.col(member).isNotNull())
-        .select(
-            "sender_id",
-            F.col(member).alias("_member"),
-            unix_second(F.col("created_at")).alias("_sec"),
-        )
+        _keyed(transfers)
+        .where(F.col(member).isNotNull())
+        .select("sender_id", F.col(member).alias("_member"), "_sec")
         .distinct()
     )
     by_member = Window.partitionBy("sender_id", "_member").orderBy("_sec")
     left = F.least(F.lead("_sec").over(by_member), F.col("_sec") + WEEK + 1)
-
-    def change(at: str, by: int) -> Column:
-        return F.struct(
-            F.col(at).alias("_at"),
-            F.lit(False).alias("_real"),
-            *[
-                F.lit(0).cast("decimal(38,9)" if m == "_amount" else "bigint").alias(n)
-                for n, (m, _) in ADDITIVE.items()
-            ],
-            *[F.lit(by if n == name else 0).cast("bigint").alias(n) for n in DISTINCT],
-            F.lit(None).cast("double").alias("_in_max"),
-            F.lit(None).cast("double").alias("_out_max"),
-        )
-
+    both = F.array(
+        *[
+            F.struct(at.alias("_at"), F.lit(by).cast("bigint").alias("_n"))
+            for at, by in ((F.col("_sec"), 1), (F.col("_left"), -1))
+        ]
+    )
+    zero = F.lit(0).cast("bigint")
     return (
         seen.withColumn("_left", left)
-        .select("sender_id", F.explode(F.array(change("_sec", 1), change("_left", -1))).alias("c"))
-        .select("sender_id", "c.*")
+        .select("sender_id", F.explode(both).alias("c"))
+        .select(
+            "sender_id",
+            "c._at",
+            F.lit(kind).alias("_kind"),
+            "c._n",
+            zero.alias("_known"),
+            F.lit(0).cast("decimal(38,9)").alias("_amount"),
+            zero.alias("_cross"),
+            F.lit(None).cast("double").alias("_max"),
+        )
     )
 
 
+def _signed(measure: str) -> Column:
+    """What a change adds to a measure."""
+    kind = F.col("_kind")
+    if measure in DISTINCT:
+        return F.when(kind == DISTINCT[measure][1], F.col("_n")).otherwise(0)
+    column, frame = ADDITIVE[measure]
+    return (
+        F.when(kind == ENTER, F.col(column)).when(kind == frame, -F.col(column)).otherwise(0)
+    ).cast("decimal(38,9)" if column == "_amount" else "bigint")
+
+
 def window_features(transfers: DataFrame) -> DataFrame:
-    """Trailing features per (sender_id, second): one row per second with a transfer."""
+    """Trailing features per (sender_id, second), linear in the number of rows."""
     changes = _entering_and_leaving(per_second(transfers))
-    for name, member in DISTINCT.items():
-        changes = changes.unionByName(_distinct_changes(transfers, member, name))
+    for member, kind in DISTINCT.values():
+        changes = changes.unionByName(_distinct_changes(transfers, member, kind))
     changes = changes.withColumn("_day", F.floor(F.col("_at") / DAY))
+    entering = F.when(F.col("_kind") == ENTER, F.col("_max"))
+    leaving = F.when(F.col("_kind") == WEEK, F.col("_max"))
 
     in_day = Window.partitionBy("sender_id", "_day").orderBy("_at")
     so_far = in_day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -142,18 +163,18 @@ def window_features(transfers: DataFrame) -> DataFrame:
         "sender_id",
         "_day",
         "_at",
-        "_real",
-        *[F.sum(m).over(so_far).alias(m) for m in MEASURES],
-        F.greatest(F.max("_in_max").over(so_far), F.max("_out_max").over(not_yet_left)).alias(
+        "_kind",
+        *[F.sum(_signed(m)).over(so_far).alias(m) for m in MEASURES],
+        F.greatest(F.max(entering).over(so_far), F.max(leaving).over(not_yet_left)).alias(
             "_max_ends"
         ),
-    ).where("_real")
+    ).where(F.col("_kind") == ENTER)
 
     last_second = F.col("_at") % DAY == DAY - 1
     per_day = changes.groupBy("sender_id", "_day").agg(
-        *[F.sum(m).alias(m) for m in MEASURES],
-        F.max("_in_max").alias("_day_max"),
-        F.max(F.when(last_second, F.col("_in_max"))).alias("_last_second_max"),
+        *[F.sum(_signed(m)).alias(m) for m in MEASURES],
+        F.max(entering).alias("_day_max"),
+        F.max(F.when(last_second, entering)).alias("_last_second_max"),
     )
     days = Window.partitionBy("sender_id").orderBy("_day")
     earlier = days.rowsBetween(Window.unboundedPreceding, -1)
@@ -174,16 +195,64 @@ def window_features(transfers: DataFrame) -> DataFrame:
         *[(F.col(m) + F.col(f"_pre_{m}")).alias(m) for m in MEASURES],
         F.greatest("_max_ends", "_max_between").alias("max_amount_7d"),
     )
-    return totals.select(
-        "sender_id",
-        "_sec",
-        *[f"tx_count_{frame}" for frame in FRAMES],
-        safe_divide(F.col("_amount_7d"), F.col("tx_count_7d")).alias("avg_amount_7d"),
-        "max_amount_7d",
-        F.col("total_amount_24h").cast("double").alias("total_amount_24h"),
-        safe_divide(F.col("_cross_7d"), F.col("tx_count_7d")).alias("cross_border_ratio_7d"),
-        *DISTINCT,
+    return totals.select("sender_id", "_sec", *_finished())
+
+
+def _finished() -> list[Column]:
+    """The features from the summed measures."""
+    derived = {
+        "avg_amount_7d": safe_divide(F.col("_amount_7d"), F.col("_known_7d")),
+        "total_amount_24h": F.when(F.col("_known_24h") > 0, F.col("_amount_24h").cast("double")),
+        "cross_border_ratio_7d": safe_divide(F.col("_cross_7d"), F.col("tx_count_7d")),
+    }
+    return [derived.get(n, F.col(n)).alias(n) for n in WINDOW_FEATURES]
+
+
+def _framed(transfers: DataFrame) -> DataFrame:
+    """Transfers with their trailing features by plain window frames."""
+    order = Window.partitionBy("sender_id").orderBy("_sec")
+
+    def frame(seconds: int):
+        return order.rangeBetween(-seconds, Window.currentRow)
+
+    summed = {
+        "_n": F.lit(1),
+        "_known": F.when(F.col("source_amount").isNotNull(), 1).otherwise(0),
+        "_amount": F.col("source_amount").cast(MONEY),
+        "_cross": cross_border(),
+    }
+    framed = _keyed(transfers).select(
+        "*",
+        *[F.sum(summed[c]).over(frame(s)).alias(m) for m, (c, s) in ADDITIVE.items()],
+        F.max("source_amount").over(frame(WEEK)).alias("max_amount_7d"),
+        *[
+            F.size(F.collect_set(member).over(frame(WEEK))).cast("bigint").alias(n)
+            for n, (member, _) in DISTINCT.items()
+        ],
     )
+    return framed.select(*transfers.columns, *_finished())
+
+
+def with_windows(
+    transfers: DataFrame, users: DataFrame | None = None, busy_rows: int = BUSY_ROWS
+) -> DataFrame:
+    """Transfers with the trailing features of their sender, and its attributes if given.
+
+    ``users`` is keyed by ``user_id``; transfers of senders it lacks are dropped.
+    """
+    counts = transfers.groupBy("sender_id").agg(F.count("*").alias("_rows"))
+    busy = counts.where(F.col("_rows") > busy_rows).select(F.col("sender_id").alias("_busy"))
+    is_busy = F.col("sender_id").eqNullSafe(F.col("_busy"))
+    few = _framed(transfers.join(busy, is_busy, "left_anti"))
+    many = transfers.join(busy, is_busy, "left_semi")
+    features = window_features(many).withColumnsRenamed({"sender_id": "_s", "_sec": "_t"})
+    if users is not None:
+        few = few.join(users, F.col("sender_id") == F.col("user_id"))
+        # Joined here, users meet one row per second of a hot sender, not every transfer.
+        features = features.join(users, F.col("_s") == F.col("user_id"))
+    match = F.col("sender_id").eqNullSafe(F.col("_s")) & (F.col("_sec") == F.col("_t"))
+    swept = _keyed(many).join(features, match).drop("_s", "_t", "_sec")
+    return few.unionByName(swept)
 
 
 def user_attributes(users: DataFrame) -> DataFrame:
@@ -198,29 +267,14 @@ def user_attributes(users: DataFrame) -> DataFrame:
     )
 
 
-def with_windows(transfers: DataFrame) -> DataFrame:
-    """Transfers with the trailing features of their sender and second."""
-    features = window_features(transfers).withColumnsRenamed({"sender_id": "_s", "_sec": "_t"})
-    keyed = transfers.withColumn("_sec", unix_second(F.col("created_at")))
-    match = F.col("sender_id").eqNullSafe(F.col("_s")) & (F.col("_sec") == F.col("_t"))
-    return keyed.join(features, match).drop("_s", "_t", "_sec")
-
-
-def transfer_features(transfers: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
-    """The transfer-grained feature table: windows, calendar parts and user attributes.
-
-    User attributes join the per-second features, so the join sees at most one row per
-    sender and second rather than every transfer of a hot sender.
-    """
+def transfer_features(
+    transfers: DataFrame, users: DataFrame, as_of: Column, busy_rows: int = BUSY_ROWS
+) -> DataFrame:
+    """The transfer-grained feature table: windows, calendar parts and user attributes."""
     # The join with users drops transfers without a sender; dropping them first keeps the
     # branches of the window plan equal, so their shuffles are reused.
-    transfers = transfers.where(F.col("sender_id").isNotNull())
-    per_sender = window_features(transfers).withColumnsRenamed({"sender_id": "_s", "_sec": "_t"})
-    attributed = per_sender.join(user_attributes(users), F.col("_s") == F.col("user_id"))
-    keyed = transfers.withColumn("_sec", unix_second(F.col("created_at")))
-    joined = keyed.join(
-        attributed, (F.col("sender_id") == F.col("_s")) & (F.col("_sec") == F.col("_t"))
-    )
+    sent = transfers.where(F.col("sender_id").isNotNull())
+    joined = with_windows(sent, user_attributes(users), busy_rows)
     ts = F.col("created_at")
     return joined.select(
         F.concat(F.col("transfer_id"), F.lit("_"), F.col("source")).alias("entity_id"),
@@ -232,12 +286,7 @@ def transfer_features(transfers: DataFrame, users: DataFrame, as_of: Column) ->
         cross_border().alias("is_cross_border"),
         hour_of_day(ts).alias("hour_of_day"),
         day_of_week(ts).alias("day_of_week"),
-        *[f"tx_count_{frame}" for frame in FRAMES],
-        "avg_amount_7d",
-        "max_amount_7d",
-        "total_amount_24h",
-        "cross_border_ratio_7d",
-        *DISTINCT,
+        *WINDOW_FEATURES,
         days_since(F.col("registration_date"), ts).alias("account_age_days"),
         "is_business",
         "is_kyc_verified",
