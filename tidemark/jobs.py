@@ -1,6 +1,6 @@
 """The pipelines as jobs: ingest, sync, train, batch inference and the two streams.
 
-Run one with ``spark-submit -m tidemark.jobs <job> --help`` or call the functions.
+Run one with ``python -m tidemark.jobs <job> --help`` or call the functions.
 """
 
 from __future__ import annotations

@@ -96,8 +96,7 @@ def append_with_next_id(
     first = (
         distinct.withColumn("_ahead", F.coalesce(F.sum("_m").over(inside), F.lit(0)))
         .join(F.broadcast(starts), "_chunk")  # at most 4096 rows
-        .crossJoin(F.broadcast(top))  # one row
-        .withColumn("_first", F.col("_top") + F.col("_start") + F.col("_ahead") + 1)
+        .withColumn("_first", top.scalar() + F.col("_start") + F.col("_ahead") + 1)
     )
     last = F.col("_first") + F.col("_m") - 1
     few = first.where(F.col("_m") <= COPY_BLOCK).select(

@@ -50,30 +50,26 @@ def threshold_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     ).drop("_pos", "_neg")
 
 
-def _totals(df: DataFrame, label: str) -> DataFrame:
-    return df.agg(
-        F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")
-    )
+def _total(df: DataFrame, label: str, value: int) -> Column:
+    return df.agg(F.count_if(F.col(label) == value)).scalar()
 
 
 def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """fpr and tpr per threshold (finite thresholds only)."""
-    counts = threshold_counts(df, score, label).crossJoin(F.broadcast(_totals(df, label)))
-    return counts.select(
+    return threshold_counts(df, score, label).select(
         "threshold",
-        F.try_divide(F.col("fp"), F.col("_n")).alias("fpr"),
-        F.try_divide(F.col("tp"), F.col("_p")).alias("tpr"),
+        F.try_divide(F.col("fp"), _total(df, label, 0)).alias("fpr"),
+        F.try_divide(F.col("tp"), _total(df, label, 1)).alias("tpr"),
     )
 
 
 def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """precision, recall and number of predicted positives per threshold."""
-    counts = threshold_counts(df, score, label).crossJoin(F.broadcast(_totals(df, label)))
     support = F.col("tp") + F.col("fp")
-    return counts.select(
+    return threshold_counts(df, score, label).select(
         "threshold",
         F.try_divide(F.col("tp"), support).alias("precision"),
-        F.try_divide(F.col("tp"), F.col("_p")).alias("recall"),
+        F.try_divide(F.col("tp"), _total(df, label, 1)).alias("recall"),
         support.alias("support"),
     )
 

@@ -33,10 +33,8 @@ def prediction_distribution(predictions: DataFrame, as_of: Column, hours: int =
 
 def latest_run(predictions: DataFrame) -> DataFrame:
     """Rows of the newest batch run."""
-    newest = predictions.agg(F.max("prediction_timestamp").alias("_newest"))
-    return predictions.join(
-        F.broadcast(newest), F.col("prediction_timestamp") == F.col("_newest")
-    ).drop("_newest")  # the broadcast side is one row
+    newest = predictions.agg(F.max("prediction_timestamp")).scalar()
+    return predictions.where(F.col("prediction_timestamp") == newest)
 
 
 def dead_letter_rates(letters: DataFrame, as_of: Column, hours: int = 1) -> DataFrame:

@@ -115,7 +115,7 @@ def exact_quantiles(
     if keys:
         placed = _join_carry(placed, size, keys)
     else:
-        placed = placed.crossJoin(F.broadcast(size))  # one row
+        placed = placed.withColumn("_size", size.scalar())
 
     def value_at(index: Column) -> Column:
         covers = (F.col("_upto") - F.col("_n") <= index) & (index < F.col("_upto"))

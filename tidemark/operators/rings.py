@@ -244,13 +244,13 @@ def three_state(
     known = F.col("feature_timestamp").isNotNull()
     stale = known & (unix_second(as_of) - unix_second(F.col("feature_timestamp")) > max_age_s)
     state = F.when(~known, "global").when(stale, "stale").otherwise("live")
-    defaults = global_row.select(*[f"global_{c}" for c in SCALARS])
+    defaults = global_row.select(F.struct(*[f"global_{c}" for c in SCALARS])).scalar()
     empty = {"avg_amount_7d", "max_amount_7d", "cross_border_ratio_7d"}
 
     def resolved(column: str) -> Column:
         idle = F.lit(None).cast("double") if column in empty else F.lit(0.0)
         return (
-            F.when(F.col("state") == "global", F.col(f"global_{column}"))
+            F.when(F.col("state") == "global", F.col("_defaults").getField(f"global_{column}"))
             .when(F.col("state") == "stale", idle)
             .otherwise(F.col(column).cast("double"))
             .alias(column)
@@ -259,7 +259,7 @@ def three_state(
     return (
         requests.join(users, "user_id", "left")
         .withColumn("state", state)
-        .crossJoin(F.broadcast(defaults))  # one row
+        .withColumn("_defaults", defaults)
         .select(*requests.columns, "state", *[resolved(c) for c in SCALARS])
     )
 

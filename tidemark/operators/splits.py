@@ -65,14 +65,19 @@ def train_test_split(
     sized = histogram.select("_b", "_n", F.sum("_n").over(upto).alias("_upto"))
     total = histogram.agg(F.ceil(F.sum("_n") * F.lit(test_share)).cast("bigint").alias("_want"))
     cut = (
-        sized.crossJoin(F.broadcast(total))
+        sized.withColumn("_want", total.scalar())
         .where(F.col("_upto") >= F.col("_want"))
         .agg(
-            F.min("_b").alias("_cut"),
-            F.min_by(F.col("_want") - (F.col("_upto") - F.col("_n")), "_b").alias("_need"),
+            F.struct(
+                F.min("_b").alias("bucket"),
+                F.min_by(F.col("_want") - (F.col("_upto") - F.col("_n")), "_b").alias("need"),
+            )
         )
+        .scalar()
+    )
+    placed = df.withColumns(
+        {"_b": bucket, "_cut": cut.getField("bucket"), "_need": cut.getField("need")}
     )
-    placed = df.withColumn("_b", bucket).crossJoin(F.broadcast(cut))  # one row
     clear = placed.where(F.col("_b") != F.col("_cut")).select(
         *df.columns, F.when(F.col("_b") < F.col("_cut"), "test").otherwise("train").alias(column)
     )
@@ -137,7 +142,7 @@ def time_user_split(
     Users with any row at or after the cutoff belong to test and lose their earlier rows.
     """
     late = F.unix_micros(F.col(time).cast("timestamp")) >= F.col("cutoff_us")
-    placed = df.crossJoin(F.broadcast(cutoff(df, time, share))).withColumn("_late", late)
+    placed = df.withColumn("cutoff_us", cutoff(df, time, share).scalar()).withColumn("_late", late)
     test_users = placed.where("_late").select(user).distinct()
     test = placed.where("_late").withColumn("split", F.lit("test"))
     train = (
@@ -163,7 +168,7 @@ def time_series_folds(
     size = F.expr(f"_n div {folds + 1}")
     from_end = F.floor((F.col("_n") - F.col("_rank")) / size)
     return (
-        ranked.crossJoin(F.broadcast(total))
+        ranked.withColumn("_n", total.scalar())
         .withColumn("fold", F.greatest(F.lit(0), F.lit(folds) - from_end).cast("bigint"))
         .drop("_n", "_rank")
     )

@@ -273,8 +273,8 @@ def select_threshold(spark: SparkSession, folder: str) -> DataFrame:
 )
 def brier_ece(spark: SparkSession, folder: str) -> DataFrame:
     rows = b.scored(spark, folder)
-    both = evaluate.brier_score(rows, "score", "label").crossJoin(  # one row each
-        evaluate.expected_calibration_error(rows, "score", "label")
+    both = evaluate.brier_score(rows, "score", "label").withColumn(
+        "ece", evaluate.expected_calibration_error(rows, "score", "label").scalar()
     )
     return rounded(both, 9, "brier", "ece")
 

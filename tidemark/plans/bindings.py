@@ -263,10 +263,10 @@ def _samples(events: DataFrame, value: Column) -> DataFrame:
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Events with a score in 0..1 and a 0/1 label."""
     events = load(spark, folder, "events")
-    top = events.agg(F.max("value").alias("_top"))
-    return events.crossJoin(F.broadcast(top)).select(  # one row
+    top = events.agg(F.max("value")).scalar()
+    return events.select(
         "event_id",
-        (F.col("value") / F.col("_top")).alias("score"),
+        (F.col("value") / top).alias("score"),
         F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label"),
     )
 

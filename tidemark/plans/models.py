@@ -222,11 +222,10 @@ def beta_calibration(spark: SparkSession, folder: str) -> DataFrame:
     mapped = rows.withColumn("calibrated", training.calibrate(F.col("score"), map_))
     result = None
     for name in ("score", "calibrated"):
-        row = (
-            evaluate.brier_score(mapped, name, "label")
-            .crossJoin(evaluate.expected_calibration_error(mapped, name, "label"))
-            .crossJoin(evaluate.area_under_roc(mapped, name, "label"))
-            .select(F.lit(name).alias("scores"), "*")
+        ece = evaluate.expected_calibration_error(mapped, name, "label").scalar()
+        auc = evaluate.area_under_roc(mapped, name, "label").scalar()
+        row = evaluate.brier_score(mapped, name, "label").select(
+            F.lit(name).alias("scores"), "brier", ece.alias("ece"), auc.alias("auc")
         )
         result = row if result is None else result.unionByName(row)
     return result

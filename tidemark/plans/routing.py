@@ -341,10 +341,8 @@ def exclude_boundary_users(spark: SparkSession, folder: str) -> DataFrame:
 def cutoff_cross(spark: SparkSession, folder: str) -> DataFrame:
     """Every row meets the one-row cutoff."""
     orders = b.load(spark, folder, "orders")
-    late = F.unix_micros("o_orderdate") >= F.col("cutoff_us")
-    return orders.crossJoin(F.broadcast(splits.cutoff(orders, "o_orderdate"))).select(
-        "o_orderkey", flag(late).alias("after_cutoff")
-    )
+    late = F.unix_micros("o_orderdate") >= splits.cutoff(orders, "o_orderdate").scalar()
+    return orders.select("o_orderkey", flag(late).alias("after_cutoff"))
 
 
 _SLOT_SQL = """SELECT u.user_id, CAST(s.slot AS BIGINT) AS slot,
