@@ -15,25 +15,22 @@ SAMPLE_ROWS = 2000
 #: Words in a window that counts as repeated.
 WINDOW = 8
 
-#: A document is rejected if any of these holds; over the text and the columns of ``measures``.
-RULES: dict[str, Column] = {
+#: A document is rejected if any of these holds: SQL over the text and the columns of ``measures``.
+RULES: dict[str, str] = {
     # Symbols: one for every two words.
-    "symbols": 2 * F.col("n_symbols") > F.col("n_words"),
+    "symbols": "2 * n_symbols > n_words",
     # Shouting: more than half of the letters are capitals.
-    "capitals": 2 * F.regexp_count("text", F.lit(r"\p{Lu}"))
-    > F.regexp_count("text", F.lit(r"\p{L}")),
+    "capitals": r"2 * regexp_count(text, r'\p{Lu}') > regexp_count(text, r'\p{L}')",
     # Exclamation marks: at the end of more than a third of the words.
-    "exclaimed": 3 * F.regexp_count("text", F.lit(r"!(?=[\x20\x09-\x0D]|$)")) > F.col("n_words"),
+    "exclaimed": r"3 * regexp_count(text, r'!(?=[\x20\x09-\x0D]|$)') > n_words",
     # No prose: words with a letter are less than two thirds.
-    "letters": 3 * F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*"))
-    < 2 * F.col("n_words"),
+    "letters": r"3 * regexp_count(text, r'[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*') < 2 * n_words",
     # Word length: shorter than 2 or longer than 20 characters on average.
-    "word_length": (F.col("word_chars") < 2 * F.col("n_words"))
-    | (F.col("word_chars") > 20 * F.col("n_words")),
+    "word_length": "word_chars < 2 * n_words or word_chars > 20 * n_words",
     # Stuttering: more than a third of the words equal the next one.
-    "stutter": 3 * F.col("n_stutters") > F.col("n_words"),
+    "stutter": "3 * n_stutters > n_words",
     # Lines that stand there again: more than a third.
-    "repeated_lines": 3 * F.col("n_dup_lines") > F.regexp_count("text", F.lit(r"\n")) + 1,
+    "repeated_lines": r"3 * n_dup_lines > regexp_count(text, r'\n') + 1",
 }
 
 
@@ -103,7 +100,7 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     return made.withColumn("base_failed", failed).drop(*dropped)
 
 
-def rule_order(measured: DataFrame, rules: Mapping[str, Column], rows: int) -> list[str]:
+def rule_order(measured: DataFrame, rules: Mapping[str, str], rows: int) -> list[str]:
     """Names of the rules, the one with most rejections per second of a sample first.
 
     The sample (at most ``rows`` rows) is written once; each rule's time is that of its own pass
@@ -120,7 +117,7 @@ def rule_order(measured: DataFrame, rules: Mapping[str, Column], rows: int) -> l
     idle = min(timed(F.lit(False))[0] for _ in range(2))
     gain = {}
     for name, rule in rules.items():
-        seconds, hits = timed(rule)
+        seconds, hits = timed(F.expr(rule))
         gain[name] = hits / max(seconds - idle, 1e-3)
     return sorted(rules, key=lambda name: (-gain[name], name))
 
@@ -134,7 +131,7 @@ def cascade(rules: Sequence[Column]) -> Column:
 
 
 def quality_rules(
-    df: DataFrame, rules: Mapping[str, Column] = RULES, sample_rows: int = SAMPLE_ROWS
+    df: DataFrame, rules: Mapping[str, str] = RULES, sample_rows: int = SAMPLE_ROWS
 ) -> DataFrame:
     """``df`` with the measures and ``kept``: not ``base_failed`` and rejected by no rule.
 
@@ -143,7 +140,7 @@ def quality_rules(
     """
     fields = measures(df)
     order = rule_order(fields, rules, sample_rows)
-    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade([rules[n] for n in order]))
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade([F.expr(rules[n]) for n in order]))
     return fields.withColumn("kept", kept)
 
 
