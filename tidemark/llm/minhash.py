@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import documents, query, written
+from tidemark.llm.shared import documents, query, scan_filters, written
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE, PERCENT = 5, 75
@@ -270,11 +270,14 @@ def _alike_columns(n, m):
 
 def confirmed(pairs: DataFrame, df: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough; sets are made for their rows only."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(
-        pairs.select(F.col("b").alias("id"))
-    ).distinct()
+    wanted = written(
+        pairs.select(F.explode(F.array("a", "b")).alias("id"))
+        .distinct()
+        .withColumn("n", F.lit(1)),
+        "wanted",
+    )
     rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    rows = rows.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    rows = rows.join(wanted.where("n > 0").select("id"), "id", "left_semi").dropDuplicates(["id"])
     kind = df.schema[id_col].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +288,8 @@ def confirmed(pairs: DataFrame, df: DataFrame, id_col: str, text: str, shingle:
                 [batch.column(0), pa.array(made, pa.binary())], ["id", "shingles"]
             )
 
-    full = written(rows.mapInArrow(sets, f"id {kind}, shingles binary"), "shingles")
+    with scan_filters(df.sparkSession):
+        full = written(rows.mapInArrow(sets, f"id {kind}, shingles binary"), "shingles")
     both = pairs.join(
         full.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a"
     ).join(full.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scan_filters(spark: SparkSession) -> Iterator[None]:
+    """Joins planned inside send a Bloom filter of the smaller table's keys to the larger scan.
+
+    Spark does so by itself for large scans; for the joins planned here, which keep a small part
+    of the documents, it always pays, since what the filter drops is not shuffled.
+    """
+    setting = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     ascii_only = F.octet_length(text) == F.char_length(text)
