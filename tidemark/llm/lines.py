@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import WORD, documents, query, written
+from tidemark.llm.shared import WORD, documents, query, scan_filters, written
 
 #: Characters of a shingle and the least similarity of two lines' shingle sets, in percent.
 SHINGLE, PERCENT = 5, 75
@@ -60,70 +60,73 @@ def _mask(i: int) -> int:
 
 
 def band_pairs(distinct: DataFrame) -> DataFrame:
-    """Pairs of each line and the least and greatest key of each band that it shares."""
+    """Pairs of each line and the one with the least key in each band that it shares."""
     key = F.struct("k1", "k2").alias("key")
     rows = distinct.select(key, F.explode("bands").alias("band"))
     leaders = (
         rows.groupBy("band")
-        .agg(
-            F.min("key.k1").alias("least"),
-            F.max("key.k1").alias("greatest"),
-        )
-        .where("least < greatest")
+        .agg(F.min("key.k1").alias("leader"), F.max("key.k1").alias("greatest"))
+        .where("leader < greatest")
+        .drop("greatest")
     )
     return (
         rows.join(leaders, "band")
-        .select(F.col("key"), F.explode(F.array("least", "greatest")).alias("leader"))
         .where(F.col("key.k1") != F.col("leader"))
+        .select("key", "leader")
         .distinct()
     )
 
 
-def similar(pairs: DataFrame, distinct: DataFrame, df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough."""
-    spark = df.sparkSession
+def shingled(df: DataFrame, line: str, made: str) -> DataFrame:
+    """``df`` with the distinct hashed character shingles of a line; a short line is one.
+
+    The characters are a column of their own, or each shingle would split the line again; for
+    the same reason nothing that is computed from the result may be filtered in the same plan.
+    """
+    chars = f"_chars_{made}"
+    last = F.greatest(F.size(chars) - SHINGLE, F.lit(0))
+
+    def shingle(i: Column) -> Column:
+        return F.xxhash64(*[F.get(chars, i + k) for k in range(SHINGLE)])
+
+    return (
+        df.withColumn(chars, F.split(line, ""))
+        .withColumn(made, F.array_distinct(F.transform(F.sequence(F.lit(0), last), shingle)))
+        .drop(chars)
+    )
+
+
+def similar(
+    pairs: DataFrame, distinct: DataFrame, df: DataFrame, id_col: str, text: str
+) -> DataFrame:
+    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough.
+
+    Only documents that hold a line of a pair are shuffled to fetch it, and lines travel as text.
+    """
     wanted = written(
-        pairs.select("key.k1").unionByName(pairs.select(F.col("leader").alias("k1"))).distinct()
+        pairs.select(F.explode(F.array("key.k1", "leader")).alias("k1"))
+        .distinct()
         .join(distinct.select("k1", "k2", "doc"), "k1"),
         "wanted-lines",
     )
     docs = written(wanted.select("doc").distinct().withColumn("n", F.lit(1)), "wanted-documents")
-    # Only documents that hold a wanted line are shuffled: a Bloom filter goes to the scan.
-    setting = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "0")
-    try:
-        rows = df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).join(
-            docs.where("n > 0").select("doc"), "doc", "left_semi"
-        )
-        lines = exploded(rows, "doc", "text").join(wanted, ["doc", "k1", "k2"])
-        sets = written(
-            shingle_hashes(lines).dropDuplicates(["k1", "k2"]),
-            "line-shingles",
-        )
-    finally:
-        spark.conf.set(setting, before)
-    mine = sets.select(F.struct("k1", "k2").alias("key"), F.col("set").alias("mine"))
-    theirs = sets.select(
-        F.col("k1").alias("leader"), F.struct("k1", "k2").alias("b"), F.col("set").alias("theirs")
+    rows = df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).join(
+        docs.where("n > 0").select("doc"), "doc", "left_semi"
     )
+    lines = exploded(rows, "doc", "text").join(wanted, ["doc", "k1", "k2"])
+    lines = lines.select("k1", "k2", "line").dropDuplicates(["k1", "k2"])
+    with scan_filters(df.sparkSession):
+        lines = written(lines, "line-texts")
+    key = F.struct("k1", "k2")
+    mine = lines.select(key.alias("key"), F.col("line").alias("x"))
+    theirs = lines.select(F.col("k1").alias("leader"), key.alias("b"), F.col("line").alias("y"))
     both = pairs.join(mine, "key").join(theirs, "leader")
-    common = F.size(F.array_intersect("mine", "theirs"))
-    all_of = F.size("mine") + F.size("theirs") - common
-    return both.where(100 * common >= PERCENT * all_of).select(F.col("key").alias("a"), "b")
-
-
-def shingle_hashes(lines: DataFrame) -> DataFrame:
-    """``set``: the distinct hashed character shingles of ``line``; a shorter line is one shingle."""
-    # The characters are a column of their own, or each shingle would split the line again.
-    chars = lines.select("k1", "k2", F.split("line", "").alias("chars"))
-    last = F.greatest(F.size("chars") - SHINGLE, F.lit(0))
-
-    def shingle(i: Column) -> Column:
-        return F.xxhash64(*[F.get("chars", i + k) for k in range(SHINGLE)])
-
-    made = F.array_distinct(F.transform(F.sequence(F.lit(0), last), shingle))
-    return chars.select("k1", "k2", made.alias("set"))
+    sets = shingled(shingled(both, "x", "of_x"), "y", "of_y")
+    common = F.size(F.array_intersect("of_x", "of_y")).alias("common")
+    counts = [F.size("of_x").alias("nx"), F.size("of_y").alias("ny"), common]
+    compared = written(sets.select(F.col("key").alias("a"), "b", *counts), "compared")
+    enough = 100 * F.col("common") >= PERCENT * (F.col("nx") + F.col("ny") - F.col("common"))
+    return compared.where(enough).select("a", "b")
 
 
 def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
