@@ -60,21 +60,18 @@ def _mask(i: int) -> int:
 
 
 def band_pairs(distinct: DataFrame) -> DataFrame:
-    """Pairs of each line and the one with the least key in each band that it shares."""
-    key = F.struct("k1", "k2").alias("key")
-    rows = distinct.select(key, F.explode("bands").alias("band"))
+    """Pairs of each line and the one with the least key in each band that it shares.
+
+    First keys stand for lines here; should two lines have the same one, both are compared.
+    """
+    rows = distinct.select("k1", F.explode("bands").alias("band"))
     leaders = (
         rows.groupBy("band")
-        .agg(F.min("key.k1").alias("leader"), F.max("key.k1").alias("greatest"))
+        .agg(F.min("k1").alias("leader"), F.max("k1").alias("greatest"))
         .where("leader < greatest")
         .drop("greatest")
     )
-    return (
-        rows.join(leaders, "band")
-        .where(F.col("key.k1") != F.col("leader"))
-        .select("key", "leader")
-        .distinct()
-    )
+    return rows.join(leaders, "band").where("k1 != leader").select("k1", "leader").distinct()
 
 
 def shingled(df: DataFrame, line: str, made: str) -> DataFrame:
@@ -104,7 +101,7 @@ def similar(
     Only documents that hold a line of a pair are shuffled to fetch it, and lines travel as text.
     """
     wanted = written(
-        pairs.select(F.explode(F.array("key.k1", "leader")).alias("k1"))
+        pairs.select(F.explode(F.array("k1", "leader")).alias("k1"))
         .distinct()
         .join(distinct.select("k1", "k2", "doc"), "k1"),
         "wanted-lines",
@@ -118,13 +115,13 @@ def similar(
     with scan_filters(df.sparkSession):
         lines = written(lines, "line-texts")
     key = F.struct("k1", "k2")
-    mine = lines.select(key.alias("key"), F.col("line").alias("x"))
+    mine = lines.select("k1", key.alias("a"), F.col("line").alias("x"))
     theirs = lines.select(F.col("k1").alias("leader"), key.alias("b"), F.col("line").alias("y"))
-    both = pairs.join(mine, "key").join(theirs, "leader")
+    both = pairs.join(mine, "k1").join(theirs, "leader")
     sets = shingled(shingled(both, "x", "of_x"), "y", "of_y")
     common = F.size(F.array_intersect("of_x", "of_y")).alias("common")
     counts = [F.size("of_x").alias("nx"), F.size("of_y").alias("ny"), common]
-    compared = written(sets.select(F.col("key").alias("a"), "b", *counts), "compared")
+    compared = written(sets.select("a", "b", *counts), "compared")
     enough = 100 * F.col("common") >= PERCENT * (F.col("nx") + F.col("ny") - F.col("common"))
     return compared.where(enough).select("a", "b")
 
