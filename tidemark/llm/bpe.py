@@ -18,7 +18,7 @@ SPLIT = (
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 #: Words whose ids a worker keeps; beyond it the kept ones are forgotten.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 700_000
 
 
 class _Memory(dict):
