@@ -157,23 +157,23 @@ OP1_COLUMNS = [
 
 OP1_SQL = r"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS text,
+  SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 win AS (
-  SELECT doc_id, i, array_to_string(w[i:i+7], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
-again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win) WHERE n > 1),
+  SELECT rid, i, array_to_string(w[i:i+7], ' ') AS s
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+again AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, s) AS n FROM win) WHERE n > 1),
 gaps AS (
-  SELECT doc_id, least(8, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i), 8)) AS g FROM again),
-rep AS (SELECT doc_id, sum(g)::BIGINT AS n FROM gaps GROUP BY doc_id),
+  SELECT rid, least(8, coalesce(i - lag(i) OVER (PARTITION BY rid ORDER BY i), 8)) AS g FROM again),
+rep AS (SELECT rid, sum(g)::BIGINT AS n FROM gaps GROUP BY rid),
 m AS (
-  SELECT d.doc_id, text, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  SELECT doc_id, text, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n_stutters,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
-  FROM d LEFT JOIN rep USING (doc_id)),
+  FROM d LEFT JOIN rep USING (rid)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed

@@ -143,12 +143,13 @@ class Automaton:
                 settled.append(state)
 
     def score(self, word: str) -> float:
-        """Log-likelihood of a word; unseen steps count as half an observation."""
+        """Log-likelihood of a word; an unseen step counts as half an observation and stays."""
         state, sum_log = 0, 0.0
         for symbol in word:
             move, n = self.moves[state].get(symbol), self.total(state)
             if move is None:
-                return -math.inf
+                sum_log += math.log(0.5 / (n + 1))
+                continue
             sum_log += math.log(move[0] / n)
             state = move[1]
         return sum_log + math.log(max(self.ends[state], 0.5) / max(self.total(state), 1))
