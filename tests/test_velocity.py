@@ -112,3 +112,14 @@ def test_equal_branches_share_their_shuffles(spark):
     features = velocity.window_features(spark.createDataFrame(transfers(), SCHEMA))
     features.collect()
     assert "Reused" in features._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_time_survives_for_busy_senders(spark):
+    rows = spark.sql(
+        "select cast(id as string) as transfer_id, 'training' as source, 's' as sender_id, "
+        "cast(id % 3 as string) as recipient_id, 'EUR' as source_currency, "
+        "'USD' as target_currency, double(id) as source_amount, "
+        "if(id = 5, null, timestamp_seconds(1700000000 + id * 60)) as created_at from range(6)"
+    )
+    assert velocity.with_windows(rows, busy_rows=512).count() == 6
+    assert velocity.with_windows(rows, busy_rows=2).count() == 6

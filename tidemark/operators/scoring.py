@@ -49,26 +49,31 @@ class ThresholdRule:
         return codes, (np.eye(3) * 0.7 + 0.1)[codes]
 
 
-def _call(scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None]):
-    """The reply, or the error that remained after all tries, plus the number of retries."""
-    problem: Exception | None = None
-    retries = 0
-    for attempt in range(MAX_TRIES):
-        try:
-            return scorer(matrix), None, retries
-        except (TimeoutError, ConnectionError) as failure:
-            problem = failure
-            retries += 1
-            if attempt + 1 < MAX_TRIES:
-                wait(BACKOFF_BASE**attempt)
-        except Exception as failure:  # not transport trouble: another try would not help
-            problem = failure
-            break
-    return ((), ()), problem, retries
+# What another try may mend, and the name under which it is reported.
+TRANSIENT = {TimeoutError: "timeout", ConnectionError: "connection"}
 
 
 def _label(problem: Exception) -> str:
-    return "timeout" if isinstance(problem, TimeoutError) else "connection"
+    return next((name for kind, name in TRANSIENT.items() if isinstance(problem, kind)), "connection")
+
+
+def _outcome(work: Callable[[], Reply]) -> tuple[Reply | None, Exception | None]:
+    try:
+        return work(), None
+    except Exception as problem:  # a row's error, not the task's
+        return None, problem
+
+
+def _call(scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None]):
+    """The reply, or the error that remained after all tries, plus the number of failed tries."""
+    pauses = [BACKOFF_BASE**i for i in range(MAX_TRIES - 1)]
+    reply, problem = _outcome(lambda: scorer(matrix))
+    failed = int(isinstance(problem, tuple(TRANSIENT)))
+    while failed and pauses and isinstance(problem, tuple(TRANSIENT)):
+        wait(pauses.pop(0))
+        reply, problem = _outcome(lambda: scorer(matrix))
+        failed += isinstance(problem, tuple(TRANSIENT))
+    return ((), ()) if problem else reply, problem, failed
 
 
 def score_rows(

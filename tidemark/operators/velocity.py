@@ -188,7 +188,7 @@ def window_features(transfers: DataFrame) -> DataFrame:
         ).alias("_max_between"),
     )
     totals = today.join(
-        carry, F.col("sender_id").eqNullSafe(F.col("_s")) & (F.col("_day") == F.col("_d"))
+        carry, F.col("sender_id").eqNullSafe(F.col("_s")) & F.col("_day").eqNullSafe(F.col("_d"))
     ).select(
         "sender_id",
         F.col("_at").alias("_sec"),
@@ -250,7 +250,7 @@ def with_windows(
         few = few.join(users, F.col("sender_id") == F.col("user_id"))
         # Joined here, users meet one row per second of a hot sender, not every transfer.
         features = features.join(users, F.col("_s") == F.col("user_id"))
-    match = F.col("sender_id").eqNullSafe(F.col("_s")) & (F.col("_sec") == F.col("_t"))
+    match = F.col("sender_id").eqNullSafe(F.col("_s")) & F.col("_sec").eqNullSafe(F.col("_t"))
     swept = _keyed(many).join(features, match).drop("_s", "_t", "_sec")
     return few.unionByName(swept)
 
