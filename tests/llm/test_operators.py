@@ -182,6 +182,33 @@ def test_lines(spark):
     assert [made[i].n_dropped for i in range(4)] == [0, 1, 1, 0]
 
 
+def test_line_links_against_brute_force(spark):
+    """Lines edited more and more: every group of the exact links is found, and no other."""
+    pick, texts = random.Random(3), []
+    for i in range(150):
+        words = prose(i, pick.choice([3, 12, 40])).split()
+        for n in range(6):
+            copy = list(words)
+            for _ in range(n // 2):
+                copy[pick.randrange(len(copy))] = pick.choice(WORDS)
+            texts.append(" ".join(copy))
+    texts += ["a", "ab", "abcd", "abcde", "abcd"]
+    grams = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in texts]
+    group = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if 100 * len(grams[a] & grams[b]) >= 75 * len(grams[a] | grams[b]):
+                x, y = sorted((group[a], group[b]))
+                group = [x if g == y else g for g in group]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {r.doc_id: r.n_dropped == 0 for r in lines.deduplicated(frame, "doc_id", "text").collect()}
+    wrong = [i for i in made if made[i] != (group[i] == i)]
+    assert len(wrong) <= 0.01 * len(texts)
+    signer = lines.LineSigner()
+    together, alone = signer.of(texts), [signer.of([t])[0] for t in texts]
+    assert all((t == a).all() for t, a in zip(together, alone))
+
+
 def test_classifier_agrees_with_labels(spark):
     folder = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -2,128 +2,341 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import WORD, documents, query, scan_filters, written
+from tidemark.llm.shared import documents, query, scan_filters, written
 
 #: Characters of a shingle and the least similarity of two lines' shingle sets, in percent.
 SHINGLE, PERCENT = 5, 75
-#: Bands and hashes of a band: lines at the least similarity meet in one with 99.3 %.
-BANDS, ROWS = 6, 2
-#: Characters of the shingles that are hashed for signatures; they begin at words.
-SIGNED = 8
-
-
-def exploded(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per line with a word: ``doc``, ``at`` (its number), trimmed ``line``, two keys."""
-    lines = df.select(F.col(id_col).alias("doc"), F.posexplode_outer(F.split(text, "\n", -1)))
-    named = lines.select("doc", F.col("pos").alias("at"), F.trim("col").alias("line"))
-    return named.where(F.col("line").rlike(WORD)).select(
-        "doc", "at", "line", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(7)).alias("k2")
-    )
+#: Bands and hashes of a band: lines at the least similarity meet in one with 97.8 %.
+BANDS, ROWS = 10, 4
+#: A band key ends with a sketch: a size step and one bit of each of the first minima.
+SIZE_BITS, SKETCH_BITS = 6, 22
+#: Bits of two sketches that agree at least; lines at the least similarity do with 99.6 %.
+AGREEING = 15
+#: Rows on either side of a cut between partitions that are compared across it.
+ENDS = 4
+#: Characters that are signed at a time, and repeated lines that a worker recognises.
+BLOCK, SEEN = 1 << 16, 200_000
+#: Pairs of lines that are compared at a time.
+TOGETHER = 200
+
+_U64 = np.uint64
+_TAIL = SIZE_BITS + SKETCH_BITS
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective mixing of 64-bit values."""
+    x = (x ^ (x >> _U64(32))) * _U64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> _U64(32))) * _U64(0xD6E8FEB86659FD93)
+    return x ^ (x >> _U64(32))
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """One row per distinct line: keys, first document, occurrences and MinHash bands.
+def _fixed(n: int, seed: int) -> np.ndarray:
+    """``n`` fixed pseudo-random odd 64-bit values."""
+    return _mixed(np.arange(1, n + 1, dtype=_U64) + _U64(seed << 32)) | _U64(1)
 
-    Signatures hash the character shingles that begin at a word, a part of the line's shingles
-    that does not depend on position, so an edited line keeps most of it.  Minima are taken by
-    the aggregation that also combines equal lines, before anything is shuffled.
+
+class LineSigner:
+    """MinHash bands of lines from one hash of each character shingle.
+
+    Hashes fall into bins and each bin's least one is a MinHash; an empty bin borrows from a
+    full one that its own fixed sequence of bins meets first, so the result depends on the set
+    of shingles alone.
     """
-    masks = [_mask(i) for i in range(BANDS * ROWS)]
-    words = F.split("line", " ").alias("words")
-    starts = lines.select("doc", "k1", "k2", words).select(
-        "doc", "k1", "k2", "words", F.posexplode_outer("words").alias("i", "word")
-    )
-    following = [F.coalesce(F.get("words", F.col("i") + n), F.lit("")) for n in (1, 2, 3)]
-    shingle = F.substring(F.concat_ws(" ", "word", *following), 1, SIGNED)
-    hashed = starts.select("doc", "k1", "k2", "i", F.xxhash64(shingle).alias("h"))
-    least = hashed.groupBy("k1", "k2").agg(
-        F.min("doc").alias("doc"),
-        F.sum((F.col("i") == 0).cast("long")).alias("n"),
-        *[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks)],
-    )
-    bands = [
-        F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)])
-        for b in range(BANDS)
-    ]
-    return least.select("k1", "k2", "doc", "n", F.array(*bands).alias("bands"))
 
+    def __init__(self):
+        self._at = _fixed(SHINGLE, 1)
+        self._row = _fixed(ROWS, 2)
+        self._band = _fixed(BANDS, 3)
+        bins = BANDS * ROWS
+        draws = _mixed(np.arange(bins * 32, dtype=_U64) + _U64(7 << 32)) % _U64(bins)
+        self._lenders = draws.astype(np.int64).reshape(32, bins)
+
+    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashed shingles of all lines, repeats included, and how many each line has.
 
-def _mask(i: int) -> int:
-    """A fixed 64-bit value for the i-th order of hashes."""
-    mixed = (i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)
-    mixed = (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 & (2**64 - 1)
-    return mixed - 2**64 if mixed >> 63 else mixed
+        A line that is shorter than a shingle is one.
+        """
+        gap = "\n" * (SHINGLE - 1)
+        codes = np.frombuffer((gap.join(lines) + gap).encode("utf-32-le", "surrogatepass"), "<u4")
+        lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+        counts = np.maximum(lengths - SHINGLE + 1, 1)
+        parts = np.empty(2 * len(lines), np.int64)
+        parts[::2], parts[1::2] = counts, lengths + len(gap) - counts
+        real = np.repeat(np.tile([True, False], len(lines)), parts)
+        codes = np.concatenate([codes, np.zeros(SHINGLE - 1, codes.dtype)]).astype(_U64)
+        made = codes[: len(real)] * self._at[0]
+        for k in range(1, SHINGLE):
+            made += codes[k : k + len(real)] * self._at[k]
+        return _mixed(made[real]), counts
 
+    def of(self, lines: list[str]) -> np.ndarray:
+        """For each line its band keys: a hash of the band, then the line's sketch."""
+        bins = BANDS * ROWS
+        hashes, counts = self.hashes(lines)
+        places = ((hashes >> _U64(40)) * _U64(bins) >> _U64(24)).astype(np.int64)
+        places += np.repeat(np.arange(len(lines)) * bins, counts)
+        none = np.iinfo(_U64).max
+        least = np.full(len(lines) * bins, none, _U64)
+        np.minimum.at(least, places, hashes)
+        least = least.reshape(len(lines), bins)
+        whole, empty = least, least == none
+        if empty.any():
+            least = whole.copy()
+            for lenders in self._lenders:
+                line, at = np.nonzero(empty)
+                if not len(line):
+                    break
+                least[line, at] = whole[line, lenders[at]]
+                empty = least == none
+            line, at = np.nonzero(empty)
+            least[line, at] = whole.min(axis=1)[line]
+        keys = (least.reshape(len(lines), BANDS, ROWS) * self._row).sum(axis=2, dtype=_U64)
+        keys = _mixed(keys * self._band + self._band)
+        bits = (_mixed(least[:, :SKETCH_BITS]) & _U64(1)) << np.arange(SKETCH_BITS, dtype=_U64)
+        # Steps of a quarter: similar lines' sizes are at most two steps apart.
+        step = np.minimum(np.log(counts) / np.log(4 / 3), 2**SIZE_BITS - 1).astype(_U64)
+        sketch = bits.sum(axis=1, dtype=_U64) | step << _U64(SKETCH_BITS)
+        return (keys >> _U64(_TAIL) << _U64(_TAIL) | sketch[:, None]).view(np.int64)
 
-def band_pairs(distinct: DataFrame) -> DataFrame:
-    """Pairs of each line and the one with the least key in each band that it shares.
 
-    First keys stand for lines here; should two lines have the same one, both are compared.
+def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the sketches of two rows of band keys allow a link."""
+    low = np.int64((1 << SKETCH_BITS) - 1)
+    differ = np.bitwise_count((x ^ y) & low)
+    steps = np.int64((1 << SIZE_BITS) - 1)
+    apart = ((x >> SKETCH_BITS) & steps) - ((y >> SKETCH_BITS) & steps)
+    return (differ <= SKETCH_BITS - AGREEING) & (np.abs(apart) <= 2)
+
+
+def numbered(text: str | None) -> Iterator[tuple[int, str]]:
+    """The lines with a word, without blanks at their ends, and their numbers."""
+    for at, line in enumerate((text or "").split("\n")):
+        line = line.strip(" ")
+        if line.strip("\t\x0b\x0c\r "):
+            yield at, line
+
+
+def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """One row per line with a word: ``doc``, ``at``, two halves of a digest, band keys.
+
+    A line that a worker has just seen has null bands.
     """
-    rows = distinct.select("k1", F.explode("bands").alias("band"))
-    leaders = (
-        rows.groupBy("band")
-        .agg(F.min("k1").alias("leader"), F.max("k1").alias("greatest"))
-        .where("leader < greatest")
-        .drop("greatest")
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer, seen = LineSigner(), set()
+        for batch in batches:
+            of, ats, digests, new = [], [], [], []
+            waiting, size, bands = [], 0, []
+            for row, one in enumerate(batch.column(1)):
+                for at, line in numbered(one.as_py()):
+                    digest = hashlib.blake2b(
+                        line.encode("utf-8", "surrogatepass"), digest_size=16
+                    ).digest()
+                    of.append(row)
+                    ats.append(at)
+                    digests.append(digest)
+                    new.append(digest not in seen)
+                    if new[-1]:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(digest)
+                        waiting.append(line)
+                        size += len(line)
+                        if size >= BLOCK:
+                            bands.append(signer.of(waiting))
+                            waiting, size = [], 0
+            if waiting:
+                bands.append(signer.of(waiting))
+            keys = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            signed = np.concatenate(bands or [np.empty((0, BANDS), np.int64)])
+            ends = np.concatenate([[0], np.cumsum(new, dtype=np.int64) * BANDS]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(
+                pa.array(ends, mask=None), pa.array(signed.ravel()), mask=pa.array(~np.array(new, bool))
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(of, pa.int64())),
+                    pa.array(ats, pa.int32()),
+                    pa.array(keys[:, 0].copy()),
+                    pa.array(keys[:, 1].copy()),
+                    lists,
+                ],
+                ["doc", "at", "k1", "k2", "bands"],
+            )
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).mapInArrow(
+        sign, f"doc {kind}, at int, k1 long, k2 long, bands array<bigint>"
     )
-    return rows.join(leaders, "band").where("k1 != leader").select("k1", "leader").distinct()
 
 
-def shingled(df: DataFrame, line: str, made: str) -> DataFrame:
-    """``df`` with the distinct hashed character shingles of a line; a short line is one.
+def band_pairs(lines: DataFrame) -> DataFrame:
+    """Pairs ``k1`` - ``other`` of lines that share a band and have sketches that allow a link.
 
-    The characters are a column of their own, or each shingle would split the line again; for
-    the same reason nothing that is computed from the result may be filtered in the same plan.
+    Rows are sorted by band over all partitions, so a band of any size may be cut.  Within one,
+    each line is paired with the first and with the one before, which has the nearest sketch of
+    those sorted before it.  First keys stand for lines here; should two lines have the same
+    one, both are compared.
     """
-    chars = f"_chars_{made}"
-    last = F.greatest(F.size(chars) - SHINGLE, F.lit(0))
+    rows = lines.where("bands is not null").select(F.explode("bands").alias("band"), "k1")
+    rows = rows.repartitionByRange("band", "k1").sortWithinPartitions("band", "k1")
 
-    def shingle(i: Column) -> Column:
-        return F.xxhash64(*[F.get(chars, i + k) for k in range(SHINGLE)])
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, bands = np.empty(0, np.int64), np.empty(0, np.int64)
+        first, last = None, None
+        for batch in batches:
+            carried = len(bands)
+            bands = np.concatenate([bands, batch.column(0).to_numpy()])
+            keys = np.concatenate([keys, batch.column(1).to_numpy()])
+            runs = bands >> _TAIL
+            starts = np.flatnonzero(np.diff(runs, prepend=runs[0] - 1))
+            leader = np.repeat(starts, np.diff(starts, append=len(runs)))
+            here = np.arange(carried, len(runs))
+            a, b = [], []
+            for there in (leader[here], np.maximum(here - 1, leader[here])):
+                good = (keys[here] != keys[there]) & _alike(bands[here], bands[there])
+                a.append(keys[here][good])
+                b.append(keys[there][good])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield _rows(np.minimum(a, b), np.maximum(a, b), None)
+            if first is None:
+                first = keys[:ENDS], bands[:ENDS]
+            last = keys[-ENDS:], bands[-ENDS:]
+            # The next batch goes on with this one's last run: its leader and its last line.
+            ends = [leader[-1], len(runs) - 1] if leader[-1] < len(runs) - 1 else [leader[-1]]
+            keys, bands = keys[ends], bands[ends]
+        for head, end in ((True, first), (False, last)):
+            if end is not None:
+                yield _rows(*end, head)
+        if first is not None:
+            yield _rows(keys[:1], bands[:1], False)
 
-    return (
-        df.withColumn(chars, F.split(line, ""))
-        .withColumn(made, F.array_distinct(F.transform(F.sequence(F.lit(0), last), shingle)))
-        .drop(chars)
+    def _rows(k1, other, head) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(k1), pa.array(other), pa.array([head] * len(k1), pa.bool_())],
+            ["k1", "other", "head"],
+        )
+
+    found = written(rows.mapInArrow(pair, "k1 long, other long, head boolean"), "band-pairs")
+    # The ends of partitions (a few rows each), where a band may go on in the next one.
+    ends = found.where("head is not null").select(
+        "k1", F.shiftright("other", _TAIL).alias("band"), F.col("other").alias("x"), "head"
+    )
+    after = ends.where("head").select(F.col("k1").alias("k"), "band", F.col("x").alias("y"))
+    across = (
+        ends.where("not head")
+        .join(after, "band")
+        .where("k1 != k")
+        .select(F.least("k1", "k").alias("k1"), F.greatest("k1", "k").alias("other"))
     )
+    return found.where("head is null").select("k1", "other").unionByName(across).distinct()
 
 
 def similar(
-    pairs: DataFrame, distinct: DataFrame, df: DataFrame, id_col: str, text: str
+    pairs: DataFrame, lines: DataFrame, df: DataFrame, id_col: str, text: str
 ) -> DataFrame:
     """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough.
 
-    Only documents that hold a line of a pair are shuffled to fetch it, and lines travel as text.
+    Each line of a pair is fetched from one document; only such documents are shuffled.
     """
+    kind = df.schema[id_col].dataType.simpleString()
     wanted = written(
-        pairs.select(F.explode(F.array("k1", "leader")).alias("k1"))
-        .distinct()
-        .join(distinct.select("k1", "k2", "doc"), "k1"),
-        "wanted-lines",
+        pairs.select(F.explode(F.array("k1", "other")).alias("k1")).distinct(), "wanted-lines"
     )
-    docs = written(wanted.select("doc").distinct().withColumn("n", F.lit(1)), "wanted-documents")
-    rows = df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).join(
-        docs.where("n > 0").select("doc"), "doc", "left_semi"
-    )
-    lines = exploded(rows, "doc", "text").join(wanted, ["doc", "k1", "k2"])
-    lines = lines.select("k1", "k2", "line").dropDuplicates(["k1", "k2"])
     with scan_filters(df.sparkSession):
-        lines = written(lines, "line-texts")
+        found = (
+            lines.select("k1", "k2", "doc", "at")
+            .join(wanted, "k1")
+            .groupBy("k1", "k2")
+            .agg(F.min(F.struct("doc", "at")).alias("of"))
+        )
+        per_document = written(
+            found.groupBy(F.col("of.doc").alias("doc")).agg(
+                F.collect_list(F.struct("of.at", "k1", "k2")).alias("lines")
+            ),
+            "wanted-documents",
+        )
+        rows = df.select(F.col(id_col).alias("doc"), F.col(text).alias("text"))
+        rows = rows.join(per_document.where(F.size("lines") > 0), "doc")
+
+        def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                k1, k2, made = [], [], []
+                for whole, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    of = dict(numbered(whole))
+                    for place in places:
+                        if place["at"] in of:
+                            k1.append(place["k1"])
+                            k2.append(place["k2"])
+                            made.append(of[place["at"]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(made, pa.string())],
+                    ["k1", "k2", "line"],
+                )
+
+        texts = written(
+            rows.select("text", "lines").mapInArrow(fetch, "k1 long, k2 long, line string"),
+            "line-texts",
+        )
     key = F.struct("k1", "k2")
-    mine = lines.select("k1", key.alias("a"), F.col("line").alias("x"))
-    theirs = lines.select(F.col("k1").alias("leader"), key.alias("b"), F.col("line").alias("y"))
-    both = pairs.join(mine, "k1").join(theirs, "leader")
-    sets = shingled(shingled(both, "x", "of_x"), "y", "of_y")
-    common = F.size(F.array_intersect("of_x", "of_y")).alias("common")
-    counts = [F.size("of_x").alias("nx"), F.size("of_y").alias("ny"), common]
-    compared = written(sets.select("a", "b", *counts), "compared")
-    enough = 100 * F.col("common") >= PERCENT * (F.col("nx") + F.col("ny") - F.col("common"))
-    return compared.where(enough).select("a", "b")
+    mine = texts.select("k1", key.alias("a"), F.col("line").alias("x"))
+    theirs = texts.select(F.col("k1").alias("other"), key.alias("b"), F.col("line").alias("y"))
+    both = pairs.join(mine, "k1").join(theirs, "other")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = ShingleSets()
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                keep = sets.alike(part.column(2).to_pylist(), part.column(3).to_pylist())
+                yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    node = "struct<k1: bigint, k2: bigint>"
+    return both.select("a", "b", "x", "y").mapInArrow(compare, f"a {node}, b {node}")
+
+
+class ShingleSets:
+    """Sets of hashed shingles; those of the last lines are kept, up to a number of shingles."""
+
+    def __init__(self, most: int = 1 << 21):
+        self._signer, self._most = LineSigner(), most
+        self._sets, self._held = {}, 0
+
+    def _load(self, lines: set[str]) -> None:
+        if self._held > self._most:
+            self._sets.clear()
+            self._held = 0
+        new = [line for line in lines if line not in self._sets]
+        if new:
+            hashes, counts = self._signer.hashes(new)
+            for line, made in zip(new, np.split(hashes, np.cumsum(counts)[:-1])):
+                made = np.sort(made)
+                self._sets[line] = made[np.diff(made, prepend=~made[:1]) != 0]
+            self._held += len(hashes)
+
+    def alike(self, left: list[str], right: list[str]) -> list[bool]:
+        """Whether each line on the left is similar enough to the one on the right."""
+        self._load({*left, *right})
+        return [self._enough(self._sets[x], self._sets[y]) for x, y in zip(left, right)]
+
+    @staticmethod
+    def _enough(one: np.ndarray, two: np.ndarray) -> bool:
+        less, more = sorted((len(one), len(two)))
+        if 100 * less < PERCENT * more:
+            return False
+        both = np.concatenate([one, two])
+        both.sort()
+        common = int(np.count_nonzero(both[1:] == both[:-1]))
+        return 100 * common >= PERCENT * (less + more - common)
 
 
 def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -134,40 +347,26 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     and empty texts are not listed; rows with the same id are taken for one document, whose
     lines have the same numbers.
     """
-    distinct = written(signatures(exploded(df, id_col, text)), "lines")
-    pairs = written(band_pairs(distinct), "line-pairs")
-    grouped = components(similar(pairs, distinct, df, id_col, text))
-    named = (
-        distinct.select(F.struct("k1", "k2").alias("node"), "doc", "n")
-        .join(grouped, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    # A line that occurs once and is linked with none is settled; the others name their group.
-    several = named.where("n > 1 or component != node").unionByName(
-        named.where("n = 1 and component = node").join(
-            grouped.select("component").distinct(), "component", "left_semi"
-        ).select(*named.columns)
+    lines = written(places(df, id_col, text), "lines")
+    pairs = written(band_pairs(lines), "line-pairs")
+    grouped = components(similar(pairs, lines, df, id_col, text)).select(
+        F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "component"
     )
-    several = written(several.select("node", "component", "doc"), "repeated")
-    keeper = several.groupBy("component").agg(F.min("doc").alias("keeper"))
-    groups = several.join(keeper, "component").select(
-        F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "component", "keeper"
-    )
-    places = exploded(df, id_col, text).select("doc", "at", "k1", "k2")
-    found = (
-        places.join(groups, ["k1", "k2"])
-        .groupBy("doc", "component", "keeper")
-        .agg(F.array_sort(F.collect_set("at")).alias("at"))
+    named = (
+        lines.select("doc", "at", "k1", "k2")
+        .join(grouped, ["k1", "k2"], "left")
+        .select("doc", "at", F.coalesce("component", F.struct("k1", "k2")).alias("component"))
     )
-    dropped = F.when(
-        F.col("doc") == F.col("keeper"), F.slice("at", F.lit(2), F.size("at"))
-    ).otherwise(F.col("at"))
-    return (
-        found.select("doc", dropped.alias("at"))
-        .where(F.size("at") > 0)
-        .groupBy("doc")
-        .agg(F.flatten(F.collect_list("at")).alias("dropped"))
+    place = F.struct("doc", "at")
+    # Rows with the same id are one document, so a group of one place has nothing to drop.
+    groups = (
+        named.groupBy("component")
+        .agg(F.min(place).alias("keeper"), F.max(place).alias("last"))
+        .where(F.col("keeper") != F.col("last"))
+        .select("component", "keeper")
     )
+    gone = named.join(groups, "component").where(place != F.col("keeper"))
+    return gone.groupBy("doc").agg(F.collect_set("at").alias("dropped"))
 
 
 def deduplicated(df: DataFrame, id_col: str, text: str) -> DataFrame:
