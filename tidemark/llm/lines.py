@@ -126,15 +126,15 @@ def numbered(text: str | None) -> Iterator[tuple[int, str]]:
 
 
 def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per line with a word: ``doc``, ``at``, two halves of a digest, band keys.
+    """One row per line with a word: ``doc``, ``at``, two halves of a digest, line, band keys.
 
-    A line that a worker has just seen has null bands.
+    A line that a worker has just seen has null text and bands.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen = LineSigner(), set()
         for batch in batches:
-            of, ats, digests, new = [], [], [], []
+            of, ats, digests, new, texts = [], [], [], [], []
             waiting, size, bands = [], 0, []
             for row, one in enumerate(batch.column(1)):
                 for at, line in numbered(one.as_py()):
@@ -145,6 +145,7 @@ def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
                     ats.append(at)
                     digests.append(digest)
                     new.append(digest not in seen)
+                    texts.append(line if new[-1] else None)
                     if new[-1]:
                         if len(seen) >= SEEN:
                             seen.clear()
@@ -168,14 +169,15 @@ def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
                     pa.array(ats, pa.int32()),
                     pa.array(keys[:, 0].copy()),
                     pa.array(keys[:, 1].copy()),
+                    pa.array(texts, pa.string()),
                     lists,
                 ],
-                ["doc", "at", "k1", "k2", "bands"],
+                ["doc", "at", "k1", "k2", "line", "bands"],
             )
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).mapInArrow(
-        sign, f"doc {kind}, at int, k1 long, k2 long, bands array<bigint>"
+        sign, f"doc {kind}, at int, k1 long, k2 long, line string, bands array<bigint>"
     )
 
 
@@ -241,50 +243,18 @@ def band_pairs(lines: DataFrame) -> DataFrame:
     return found.where("head is null").select("k1", "other").unionByName(across).distinct()
 
 
-def similar(
-    pairs: DataFrame, lines: DataFrame, df: DataFrame, id_col: str, text: str
-) -> DataFrame:
-    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough.
-
-    Each line of a pair is fetched from one document; only such documents are shuffled.
-    """
-    kind = df.schema[id_col].dataType.simpleString()
+def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough."""
     wanted = written(
-        pairs.select(F.explode(F.array("k1", "other")).alias("k1")).distinct(), "wanted-lines"
+        pairs.select(F.explode(F.array("k1", "other")).alias("k1"))
+        .distinct()
+        .withColumn("n", F.lit(1)),
+        "wanted-lines",
     )
-    with scan_filters(df.sparkSession):
-        found = (
-            lines.select("k1", "k2", "doc", "at")
-            .join(wanted, "k1")
-            .groupBy("k1", "k2")
-            .agg(F.min(F.struct("doc", "at")).alias("of"))
-        )
-        per_document = written(
-            found.groupBy(F.col("of.doc").alias("doc")).agg(
-                F.collect_list(F.struct("of.at", "k1", "k2")).alias("lines")
-            ),
-            "wanted-documents",
-        )
-        rows = df.select(F.col(id_col).alias("doc"), F.col(text).alias("text"))
-        rows = rows.join(per_document.where(F.size("lines") > 0), "doc")
-
-        def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                k1, k2, made = [], [], []
-                for whole, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    of = dict(numbered(whole))
-                    for place in places:
-                        if place["at"] in of:
-                            k1.append(place["k1"])
-                            k2.append(place["k2"])
-                            made.append(of[place["at"]])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(made, pa.string())],
-                    ["k1", "k2", "line"],
-                )
-
+    texts = lines.where("line is not null").select("k1", "k2", "line")
+    with scan_filters(lines.sparkSession):
         texts = written(
-            rows.select("text", "lines").mapInArrow(fetch, "k1 long, k2 long, line string"),
+            texts.join(wanted.where("n > 0").select("k1"), "k1").dropDuplicates(["k1", "k2"]),
             "line-texts",
         )
     key = F.struct("k1", "k2")
@@ -347,26 +317,39 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     and empty texts are not listed; rows with the same id are taken for one document, whose
     lines have the same numbers.
     """
-    lines = written(places(df, id_col, text), "lines")
+    lines = written(places(df, id_col, text), "lines", "zstd")
     pairs = written(band_pairs(lines), "line-pairs")
-    grouped = components(similar(pairs, lines, df, id_col, text)).select(
-        F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "component"
+    grouped = components(similar(pairs, lines)).select(
+        F.col("node.k1").alias("k1"),
+        F.col("node.k2").alias("k2"),
+        F.col("component.k1").alias("c1"),
+        F.col("component.k2").alias("c2"),
     )
     named = (
         lines.select("doc", "at", "k1", "k2")
         .join(grouped, ["k1", "k2"], "left")
-        .select("doc", "at", F.coalesce("component", F.struct("k1", "k2")).alias("component"))
+        .select("doc", "at", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"))
     )
-    place = F.struct("doc", "at")
-    # Rows with the same id are one document, so a group of one place has nothing to drop.
     groups = (
-        named.groupBy("component")
-        .agg(F.min(place).alias("keeper"), F.max(place).alias("last"))
-        .where(F.col("keeper") != F.col("last"))
-        .select("component", "keeper")
+        named.groupBy("c1", "c2")
+        .agg(F.min("doc").alias("keeper"), F.count("*").alias("n"))
+        .where("n > 1")
+        .drop("n")
+    )
+    found = (
+        named.join(groups, ["c1", "c2"])
+        .groupBy("doc", "c1", "c2", "keeper")
+        .agg(F.array_sort(F.collect_set("at")).alias("at"))
+    )
+    dropped = F.when(
+        F.col("doc") == F.col("keeper"), F.slice("at", F.lit(2), F.size("at"))
+    ).otherwise(F.col("at"))
+    return (
+        found.select("doc", dropped.alias("at"))
+        .where(F.size("at") > 0)
+        .groupBy("doc")
+        .agg(F.flatten(F.collect_list("at")).alias("dropped"))
     )
-    gone = named.join(groups, "component").where(place != F.col("keeper"))
-    return gone.groupBy("doc").agg(F.collect_set("at").alias("dropped"))
 
 
 def deduplicated(df: DataFrame, id_col: str, text: str) -> DataFrame:

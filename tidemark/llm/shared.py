@@ -16,11 +16,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
