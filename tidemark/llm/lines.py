@@ -336,8 +336,10 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
         .where("n > 1")
         .drop("n")
     )
+    # Dealt by document after the join, so that a group of any size can be split in it.
     found = (
         named.join(groups, ["c1", "c2"])
+        .repartition("doc")
         .groupBy("doc", "c1", "c2", "keeper")
         .agg(F.array_sort(F.collect_set("at")).alias("at"))
     )
