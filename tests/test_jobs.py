@@ -36,7 +36,7 @@ def test_batch_pipeline(spark):
     stored = spark.read.schema(FEATURE_SCHEMA).parquet(path["features"])
     assert stored.count() == 170
 
-    jobs.sync(spark, path["features"], path["store"], 0)
+    jobs.sync(spark, path["features"], path["store"])
     snapshot = OnlineStore(spark, path["store"], "entity_id", NAMES).snapshot()
     assert snapshot.count() == 170
 

@@ -13,7 +13,7 @@ from tidemark.sources import tables
 from tidemark.streaming.features import FeatureStream
 from tidemark.streaming.inference import InferenceStream
 
-NAMES = list(IRIS.feature_columns)
+NAMES = list(IRIS.features)
 
 
 def feature(sample, length=5.0):

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import (
     DEAD_LETTER_SCHEMA,
-    FEATURE_SCHEMA,
     PREDICTION_SCHEMA,
     contract,
 )
@@ -46,17 +45,17 @@ def ingest(
 
 def _store(spark: SparkSession, path: str, project: str) -> online.OnlineStore:
     roles = contract(project)
-    if not roles.online_serving:
+    if not roles.served:
         raise ValueError(f"contract {project!r} is not served online")
-    return online.OnlineStore(spark, path, roles.entity_id_column, roles.feature_columns)
+    return online.OnlineStore(spark, path, roles.entity, roles.features)
 
 
 def sync(
-    spark: SparkSession, features: str, store: str, version: int, project: str = "iris"
+    spark: SparkSession, features: str, store: str, project: str = "iris"
 ) -> None:
-    """Offline table -> online store; ``version`` has to exceed the batches already stored."""
-    offline = tables.read_batches(spark, features, FEATURE_SCHEMA)
-    _store(spark, store, project).sync(offline, version)
+    """Offline table -> online store."""
+    offline = tables.read_batches(spark, features, contract(project).sink)
+    _store(spark, store, project).sync(offline)
 
 
 def train(
@@ -74,10 +73,10 @@ def train(
     choice is made on the outer test part.
     """
     roles = contract(project)
-    names, label = list(roles.feature_columns), "_label"
-    stored = tables.read_batches(spark, features, FEATURE_SCHEMA)
+    names, label = list(roles.features), "_label"
+    stored = tables.read_batches(spark, features, contract(project).sink)
     rows = tables.scan_source(stored, "training").select(
-        *names, label_code_strict(F.col(roles.target_column)).cast("double").alias(label)
+        *names, label_code_strict(F.col(roles.label)).cast("double").alias(label)
     )
     key = [*names, label]
     outer = f"{work}/split"
@@ -115,8 +114,8 @@ def batch_inference(
 ) -> None:
     """Append predictions for the batch-input rows."""
     fitted = training.load_model(model)
-    training.check_feature_names(fitted, contract(project).feature_columns)
-    stored = tables.read_batches(spark, features, FEATURE_SCHEMA)
+    training.check_feature_names(fitted, contract(project).features)
+    stored = tables.read_batches(spark, features, contract(project).sink)
     rows = tables.scan_source(stored, "batch_input")
     # One moment per run: all its rows carry the same prediction time.
     now = spark.sql("SELECT current_timestamp() AS t").first().t if as_of is None else None
@@ -189,7 +188,7 @@ def inference_stream(
         prediction_path=predictions,
         work_path=f"{checkpoint}/work",
         dead_letter_path=dead_letters or None,
-        features=list(contract(project).feature_columns),
+        features=list(contract(project).features),
         batch_rows=batch_size,
     )
     every = None if available_now else flush_trigger(max_batch_duration_secs)
@@ -198,11 +197,15 @@ def inference_stream(
 
 
 def create_tables(
-    spark: SparkSession, features: str = "", predictions: str = "", dead_letters: str = ""
+    spark: SparkSession,
+    features: str = "",
+    predictions: str = "",
+    dead_letters: str = "",
+    project: str = "iris",
 ) -> None:
     """Create the stream sinks that are named."""
     for path, schema in (
-        (features, FEATURE_SCHEMA),
+        (features, contract(project).sink),
         (predictions, PREDICTION_SCHEMA),
         (dead_letters, DEAD_LETTER_SCHEMA),
     ):
@@ -225,9 +228,7 @@ def parser() -> argparse.ArgumentParser:
             if isinstance(p.default, bool):
                 command.add_argument(f"--{name}", action="store_true")
             elif p.default is inspect.Parameter.empty:
-                command.add_argument(
-                    f"--{name}", required=True, type=int if name == "version" else str
-                )
+                command.add_argument(f"--{name}", required=True)
             else:
                 command.add_argument(f"--{name}", default=p.default, type=type(p.default))
     return root

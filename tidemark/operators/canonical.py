@@ -41,30 +41,30 @@ def canonicalise(
     frames: Sequence[DataFrame | None], contract: FeatureContract, as_of: Column
 ) -> DataFrame | None:
     """Rename, union, derive timestamp and entity id, and trim to the contract."""
-    camel = contract.column_mappings["camel"]
+    camel = contract.renames("camel")
     combined = union_by_name(None if f is None else rename_columns(f, camel) for f in frames)
     if combined is None:
         return None
     derived = combined.withColumns(
         {
-            contract.feature_timestamp_column: default_timestamp(combined, as_of),
-            contract.entity_id_column: batch_entity_id(F.col("Id"), F.col("source")),
+            contract.time: default_timestamp(combined, as_of),
+            contract.entity: batch_entity_id(F.col("Id"), F.col("source")),
         }
     )
-    return keep_columns(derived, contract.columns)
+    return keep_columns(derived, contract.schema.fieldNames())
 
 
 def feature_rows(
     messages: DataFrame, as_of: Column, contract: FeatureContract = IRIS
 ) -> DataFrame:
     """Validated stream messages as rows of the offline table."""
-    snake = contract.column_mappings["snake"]
+    snake = contract.renames("snake")
     return messages.select(
         *[F.col(source).alias(canonical) for source, canonical in snake.items()],
-        F.lit(None).cast("string").alias(contract.target_column),
+        F.lit(None).cast("string").alias(contract.label),
         F.lit(STREAM_SOURCE).alias("source"),
-        stream_entity_id(F.col("sample_id")).alias(contract.entity_id_column),
-        as_of.cast("timestamp").alias(contract.feature_timestamp_column),
+        stream_entity_id(F.col("sample_id")).alias(contract.entity),
+        as_of.cast("timestamp").alias(contract.time),
     )
 
 

@@ -14,7 +14,7 @@ from tidemark.operators.canonical import canonicalise
 
 AS_OF_TEXT = "2024-01-31 00:00:00"
 SERVICE = "rule://threshold"
-FEATURES = list(IRIS.feature_columns)
+FEATURES = list(IRIS.features)
 
 
 def as_of(text: str = AS_OF_TEXT) -> Column:
