@@ -47,6 +47,24 @@ def test_null_features_keep_their_value(spark):
     assert [r.entity_id for r in store.lookup(keys).collect()] == ["z"]
 
 
+def test_sync_hides_no_change(spark):
+    store = online.new_store(spark, "entity_id", ["a", "b"])
+    store.upsert(spark.createDataFrame([("x", 1.0, "p", at(0))], SCHEMA), 500)
+    store.sync(spark.createDataFrame([("x", 1.0, "p", at(0)), ("y", 3.0, "q", at(0))], SCHEMA))
+    assert values(store) == {"x": (1.0, "p"), "y": (3.0, "q")}
+    store.upsert(spark.createDataFrame([("x", 2.0, None, at(1))], SCHEMA), 501)
+    assert values(store) == {"x": (2.0, "p"), "y": (3.0, "q")}
+    before = values(store)
+    for batch in (501, 501):
+        store.compact(batch)
+        assert values(store) == before
+    store.upsert(spark.createDataFrame([("y", 4.0, None, at(2))], SCHEMA), 502)
+    assert values(store) == {"x": (2.0, "p"), "y": (4.0, "q")}
+    # What an earlier base had replaced is gone; the last two bases and new changes are left.
+    names = tables.committed_folders(spark, store.path)
+    assert sorted(n.split("-")[0] for n in names) == ["base", "base", "change"]
+
+
 def test_lookup_retry(spark):
     asked = spark.createDataFrame([("x",), ("y",), ("w",), ("x",)], "entity_id string")
     schema = "entity_id string, a double, b double"

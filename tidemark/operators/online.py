@@ -53,12 +53,18 @@ def store_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.select(*[typed(c) if c in features else F.col(c) for c in df.columns])
 
 
+def _next_generation(bases: Sequence[tuple[int, int, str]]) -> int:
+    return 1 + max((generation for generation, _, _ in bases), default=-1)
+
+
 class OnlineStore:
     """Key -> latest feature values, kept as a base table plus appended change batches.
 
     A micro-batch appends only its own rows, so the cost of an upsert follows the batch and
     not the store.  ``snapshot`` merges base and changes; ``compact`` writes that merge as the
-    next base.  Change folders are named by batch, so replaying a batch replaces itself.
+    next base.  Change folders are named by batch, so replaying a batch replaces itself.  Bases
+    have a number of their own, and name the last batch that they contain: later changes come on
+    top of a base whoever wrote it.
     """
 
     ORDER = ("feature_timestamp", "batch_id")
@@ -79,33 +85,60 @@ class OnlineStore:
         rows = merge_latest(self._rows(df, batch_id), self.entity, self.features, self.ORDER)
         rows.write.mode("overwrite").parquet(f"{self.path}/change-{batch_id:012d}")
 
-    def sync(self, offline: DataFrame, batch_id: int) -> None:
-        """Rebuild the store from the latest offline row of every entity."""
-        latest = latest_per_entity(offline, self.entity, ["feature_timestamp", *self.features])
-        self._rows(latest, batch_id).write.mode("overwrite").parquet(
-            f"{self.path}/base-{batch_id:012d}"
+    def _write_base(self, df: DataFrame, generation: int, contains: int) -> None:
+        df.write.mode("overwrite").parquet(
+            f"{self.path}/base-{generation:012d}-{contains + 1:012d}"
         )
 
+    def sync(self, offline: DataFrame) -> None:
+        """Rebuild the store from the latest offline row of every entity.
+
+        Batches stored by now are in the offline table already, as streams write there first.
+        """
+        bases, changes = self._folders()
+        contains = max([n for n, _ in changes] + [n for _, n, _ in bases], default=-1)
+        latest = latest_per_entity(offline, self.entity, ["feature_timestamp", *self.features])
+        self._write_base(self._rows(latest, contains), _next_generation(bases), contains)
+
     def compact(self, batch_id: int) -> None:
-        """Write everything up to ``batch_id`` as the new base; readers switch when it is whole."""
-        self.snapshot(batch_id).write.mode("overwrite").parquet(
-            f"{self.path}/base-{batch_id:012d}"
-        )
+        """Write everything up to ``batch_id`` as the new base; readers switch when it is whole.
+
+        What the base before it had already replaced is removed: its readers are long done.
+        """
+        bases, changes = self._folders()
+        merged = self.snapshot(batch_id)
+        if merged is None:
+            return
+        self._write_base(merged, _next_generation(bases), batch_id)
+        if bases:
+            generation, contains, _ = max(bases)
+            replaced = [name for g, _, name in bases if g < generation]
+            replaced += [name for n, name in changes if n <= contains]
+            tables.remove_folders(self.spark, self.path, replaced)
+
+    def _folders(self) -> tuple[list[tuple[int, int, str]], list[tuple[int, str]]]:
+        """Whole bases (number, last batch contained, name) and changes (batch, name)."""
+        bases, changes = [], []
+        for name in tables.committed_folders(self.spark, self.path):
+            kind, *numbers = name.split("-")
+            if kind == "base":
+                bases.append((int(numbers[0]), int(numbers[1]) - 1, name))
+            elif kind == "change":
+                changes.append((int(numbers[0]), name))
+        return sorted(bases), sorted(changes)
 
     def parts(self, upto: int | None = None) -> list[str]:
-        """Folders that make up the current state: the newest whole base and later changes."""
-        whole = sorted(tables.committed_folders(self.spark, self.path))
-        numbered = [(int(name.rsplit("-", 1)[1]), name) for name in whole]
+        """Folders that make up the state: the newest whole base and changes it lacks."""
+        bases, changes = self._folders()
         if upto is not None:
-            numbered = [(n, name) for n, name in numbered if n <= upto]
-        bases = [n for n, name in numbered if name.startswith("base-")]
-        start = max(bases, default=-1)
-        return [
-            f"{self.path}/{name}"
-            for n, name in numbered
-            if (name.startswith("base-") and n == start)
-            or (name.startswith("change-") and n > start)
-        ]
+            bases = [base for base in bases if base[1] <= upto]
+            changes = [change for change in changes if change[0] <= upto]
+        contains, names = -1, []
+        if bases:
+            _, contains, name = bases[-1]
+            names.append(name)
+        names += [name for n, name in changes if n > contains]
+        return [f"{self.path}/{name}" for name in names]
 
     def snapshot(self, upto: int | None = None) -> DataFrame | None:
         parts = self.parts(upto)

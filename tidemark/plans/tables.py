@@ -101,17 +101,18 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "stream_source",
     with_ctes(
-        "SELECT trace_id, head AS payload FROM msgs WHERE event_type = 'error'"
-        " UNION ALL SELECT trace_id, head || 'null' || tail || CAST(user_id AS VARCHAR) || '}'"
-        " FROM msgs WHERE event_type = 'signup'",
+        "SELECT trace_id, CASE event_type WHEN 'purchase' THEN head || k || tail || who || '}'"
+        " WHEN 'click' THEN head || '\" ' || k || '.5 \"' || tail || who || '.0}'"
+        " WHEN 'view' THEN head || 'true' || tail || '\"' || who || '\", \"extra\": [1]}'"
+        " WHEN 'signup' THEN head || 'null' || tail || who || '}' ELSE head END AS payload"
+        " FROM (SELECT *, CAST(user_id AS VARCHAR) AS who FROM msgs)",
         "msgs",
     ),
 )
 def stream_source(spark: SparkSession, folder: str) -> DataFrame:
-    """Message bytes as the stream delivers them (the malformed kinds are compared)."""
+    """Message bytes as the stream delivers them (well-formed and malformed)."""
     path, marks = new_folder(spark, "bytes"), new_folder(spark, "marks")
-    events = event_stream(spark, folder).where("event_type in ('error', 'signup')")
-    stream = b.as_messages(events, b.payload())
+    stream = b.as_messages(event_stream(spark, folder), b.payload())
     started = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", marks)
@@ -171,14 +172,14 @@ def sink_truncate(spark: SparkSession, folder: str) -> DataFrame:
     "sink_append",
     with_ctes(
         "SELECT entity_id, model_path, sepal_length_cm FROM features,"
-        " (VALUES ('run-1'), ('run-2')) AS r(model_path) WHERE source = 'batch_input'",
+        " (VALUES ('run-1'), ('run-2')) AS r(model_path)",
         "features",
     ),
 )
 def sink_append(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs accumulate."""
     path = new_folder(spark, "runs")
-    rows = b.canonical(spark, folder).where("source = 'batch_input'")
+    rows = b.canonical(spark, folder)
     for run in ("run-1", "run-2"):
         tables.write_append(
             rows.select("entity_id", "sepal_length_cm", F.lit(run).alias("model_path")), path
@@ -221,13 +222,13 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     "stream_append_day_partitioned",
     with_ctes(
         "SELECT entity_id, prediction, prediction_timestamp,"
-        " CAST(prediction_timestamp AS DATE) AS dt FROM preds"
-        " WHERE prediction_timestamp > TIMESTAMP '2024-01-10 12:00:00'",
+        " CAST(prediction_timestamp AS DATE) AS dt,"
+        " prediction_timestamp > TIMESTAMP '2024-01-10 12:00:00' AS recent FROM preds",
         "preds",
     ),
 )
 def stream_append_day_partitioned(spark: SparkSession, folder: str) -> DataFrame:
-    """Predictions appended by day, then read with a partition predicate."""
+    """Predictions appended by day; those after a moment are read with a partition predicate."""
     path, marks = new_folder(spark, "predictions"), new_folder(spark, "marks")
     events = event_stream(spark, folder)
     value = F.col("value")
@@ -245,8 +246,11 @@ def stream_append_day_partitioned(spark: SparkSession, folder: str) -> DataFrame
         .start(path)
     )
     started.awaitTermination()
-    return tables.between_days(
-        spark.read.parquet(path), "prediction_timestamp", b.as_of("2024-01-10 12:00:00")
+    stored, moment = spark.read.parquet(path), b.as_of("2024-01-10 12:00:00")
+    recent = tables.between_days(stored, "prediction_timestamp", moment)
+    earlier = stored.where(F.col("prediction_timestamp") <= moment)
+    return recent.withColumn("recent", F.lit(True)).unionByName(
+        earlier.withColumn("recent", F.lit(False))
     )
 
 
@@ -331,16 +335,15 @@ _LATEST = f"SELECT entity_id, {_FEATURE_LIST}, feature_timestamp FROM latest"
 )
 def online_sync(spark: SparkSession, folder: str) -> DataFrame:
     store = online.new_store(spark, "entity_id", b.FEATURES)
-    store.sync(b.canonical(spark, folder), 0)
+    store.sync(b.canonical(spark, folder))
     return store.snapshot().drop("batch_id")
 
 
-@query("feature_view", with_ctes(_LATEST + " WHERE source = 'training'", "latest"))
+@query("feature_view", with_ctes(_LATEST, "latest"))
 def feature_view(spark: SparkSession, folder: str) -> DataFrame:
     online.feature_view(b.canonical(spark, folder), "iris_features", "entity_id", b.FEATURE_ORDER)
     return spark.sql(
         f"SELECT entity_id, {_FEATURE_LIST}, feature_timestamp FROM iris_features"
-        " WHERE source = 'training'"
     )
 
 
@@ -448,7 +451,7 @@ def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
 )
 def rename(spark: SparkSession, folder: str) -> DataFrame:
     rows = b.raw(spark, folder).drop("source", "load_timestamp")
-    return rename_columns(rows, IRIS.column_mappings["camel"])
+    return rename_columns(rows, IRIS.renames("camel"))
 
 
 @query(
@@ -602,14 +605,14 @@ def label_normalise(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("feature_vector", with_ctes(f"SELECT entity_id, {_FEATURE_LIST} FROM features", "features"))
 def feature_vector(spark: SparkSession, folder: str) -> DataFrame:
-    return b.canonical(spark, folder).select("entity_id", *IRIS.feature_columns)
+    return b.canonical(spark, folder).select("entity_id", *IRIS.features)
 
 
 @query("features_json", with_ctes(f"SELECT entity_id, {_FEATURE_LIST} FROM features", "features"))
 def features_json(spark: SparkSession, folder: str) -> DataFrame:
     """The JSON snapshot, compared by the values it holds."""
     rows = b.canonical(spark, folder).select(
-        "entity_id", sc.features_json(IRIS.feature_columns).alias("features")
+        "entity_id", sc.features_json(IRIS.features).alias("features")
     )
     return rows.select(
         "entity_id",

@@ -40,6 +40,15 @@ def committed_folders(spark: SparkSession, path: str) -> list[str]:
     ]
 
 
+def remove_folders(spark: SparkSession, path: str, names: Sequence[str]) -> None:
+    """Delete sub-folders; their success marks go first, so no reader takes a half for a whole."""
+    fs, _ = _file_system(spark, path)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        fs.delete(at(f"{path}/{name}/_SUCCESS"), False)
+        fs.delete(at(f"{path}/{name}"), True)
+
+
 def scan_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
