@@ -1,9 +1,9 @@
 """Physical plans: what reaches the scan and what is combined before a shuffle."""
 
-from pyspark.sql import functions as F
+import pytest
 
-from tidemark.contract import IRIS
-from tidemark.operators import online, rings, splits
+from tidemark.functions import messages as msg
+from tidemark.operators import online, rings, splits, velocity
 from tidemark.plans import bindings as b
 from tidemark.session import new_folder
 from tidemark.sources import tables
@@ -42,9 +42,10 @@ def test_only_needed_columns_are_read(spark):
     assert "l_extendedprice" not in plan(latest)
 
 
-def test_member_cap_is_applied_before_the_shuffle(spark):
+def test_members_are_distinct_before_they_meet_in_a_bucket(spark):
     text = plan(rings.buckets(b.transfers(spark, FOLDER), rings.HOURLY))
-    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "ObjectHashAggregate" in text and "partial_collect_list" in text
+    assert "HashAggregate(keys=[user_id" in text
 
 
 def test_split_does_not_shuffle_the_rows(spark):
@@ -54,6 +55,18 @@ def test_split_does_not_shuffle_the_rows(spark):
     assert "Exchange hashpartitioning" not in rows_branch
 
 
-def test_no_plan_uses_row_at_a_time_python(spark):
-    rows = b.canonical(spark, FOLDER).select(*IRIS.feature_columns)
-    assert "BatchEvalPython" not in plan(rows.select(F.sum(IRIS.feature_columns[0])))
+@pytest.mark.parametrize(
+    "made",
+    [
+        lambda spark: b.canonical(spark, FOLDER),
+        lambda spark: msg.read_feature_messages(b.messages(spark, FOLDER)),
+        lambda spark: velocity.transfer_features(
+            b.transfers(spark, FOLDER), b.users(spark, FOLDER), b.as_of()
+        ),
+        lambda spark: rings.user_rings(b.transfers(spark, FOLDER), b.as_of()),
+        lambda spark: splits.train_test_split(b.raw(spark, FOLDER), ["Id"]),
+    ],
+)
+def test_batch_plans_have_no_python(spark, made):
+    text = plan(made(spark))
+    assert not any(kind in text for kind in ("BatchEvalPython", "ArrowEval", "MapInPandas"))

@@ -85,13 +85,11 @@ SCHEMA = (
 )
 
 
-@pytest.mark.parametrize("busy_rows", [0, 20, 10**9])
-def test_windows_match_brute_force(spark, busy_rows):
-    """All senders the linear way, only the hot one, and none."""
+def test_windows_match_brute_force(spark):
     rows = transfers()
     expected = brute(rows)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = velocity.with_windows(df, busy_rows=busy_rows).collect()
+    got = velocity.with_windows(df).collect()
     assert len(got) == len(rows)
     for r in got:
         assert expected[r.transfer_id] == (
@@ -114,12 +112,30 @@ def test_equal_branches_share_their_shuffles(spark):
     assert "Reused" in features._jdf.queryExecution().executedPlan().toString()
 
 
-def test_null_time_survives_for_busy_senders(spark):
+def test_transfers_without_a_time_form_a_group(spark):
     rows = spark.sql(
         "select cast(id as string) as transfer_id, 'training' as source, 's' as sender_id, "
         "cast(id % 3 as string) as recipient_id, 'EUR' as source_currency, "
         "'USD' as target_currency, double(id) as source_amount, "
-        "if(id = 5, null, timestamp_seconds(1700000000 + id * 60)) as created_at from range(6)"
+        "if(id >= 5, null, timestamp_seconds(1700000000 + id * 60)) as created_at from range(7)"
     )
-    assert velocity.with_windows(rows, busy_rows=512).count() == 6
-    assert velocity.with_windows(rows, busy_rows=2).count() == 6
+    got = {
+        r.transfer_id: (r.tx_count_7d, r.total_amount_24h, r.unique_recipients_7d)
+        for r in velocity.with_windows(rows).collect()
+    }
+    assert len(got) == 7
+    assert got["4"] == (5, 10.0, 3)
+    assert got["5"] == got["6"] == (2, 11.0, 2)
+
+
+def test_a_sender_of_100_000_transfers_in_a_day(spark):
+    rows = spark.sql(
+        "select cast(id as string) as transfer_id, 'training' as source, 's' as sender_id, "
+        "cast(id % 5000 as string) as recipient_id, 'EUR' as source_currency, "
+        "'USD' as target_currency, 1.0D as source_amount, "
+        "timestamp_seconds(1700006400 + id % 80000) as created_at from range(100000)"
+    )
+    made = velocity.with_windows(rows)
+    assert made.count() == 100_000
+    last = made.where("transfer_id = '79999'").first()
+    assert (last.tx_count_24h, last.unique_recipients_7d) == (100_000, 5000)

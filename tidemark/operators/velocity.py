@@ -1,15 +1,14 @@
 """Trailing-window features per sender over transfers, exact and safe for a hot sender.
 
-Frames are ranges of whole seconds that include the current second.  Two ways lead to them:
-
-* Senders with few transfers use plain window frames: one shuffle, short frames.
-* Busy senders would cost rows x frame length there.  Their transfers are combined per second,
-  so a sender has at most one row per second of history however many transfers it makes, and
-  trailing sums become running totals: a second adds its amount when it enters a frame and
-  subtracts it when it leaves.  That is linear, and runs are cut into days (see ordered.py).
-
-Amounts are summed as decimals in both, so adding and subtracting leaves no residue and the way
-taken cannot be seen in the result.
+Frames are ranges of whole seconds that include the current second.  Spark's sliding frames would
+cost rows x frame length for a busy sender.  Transfers are therefore combined per second, so a
+sender has at most one row per second of history however many transfers it makes, and trailing
+sums become running totals: a second adds its amount when it enters a frame and subtracts it when
+it leaves.  That is linear, and runs are cut into days (see ordered.py).  Every sender goes this
+way, so features do not depend on how many transfers a sender has.
+
+Amounts are summed as decimals, so adding and subtracting leaves no residue.  Transfers without a
+time form a group of their own per sender: each sees all of them and no others.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.contract import SCALARS
 from tidemark.functions.scalars import (
     MONEY,
     country_risk,
@@ -30,17 +30,8 @@ from tidemark.functions.scalars import (
 
 HOUR, DAY, WEEK, MONTH = 3_600, 86_400, 604_800, 2_592_000
 FRAMES = {"1h": HOUR, "24h": DAY, "7d": WEEK, "30d": MONTH}  # frame lengths in seconds
-BUSY_ROWS = 512  # senders with more transfers than this take the linear way
-
-WINDOW_FEATURES = (
-    *[f"tx_count_{frame}" for frame in FRAMES],
-    "avg_amount_7d",
-    "max_amount_7d",
-    "total_amount_24h",
-    "cross_border_ratio_7d",
-    "unique_recipients_7d",
-    "unique_currencies_7d",
-)
+
+WINDOW_FEATURES = SCALARS
 
 # Kinds of change: a second enters all frames, leaves the frame of that many seconds, or a
 # distinct member comes (+1) or goes (-1).
@@ -94,18 +85,22 @@ def _entering_and_leaving(seconds: DataFrame) -> DataFrame:
     """Five rows per second: it enters every frame and leaves each of the four."""
     kinds = F.explode(F.array(*[F.lit(k) for k in (ENTER, *FRAMES.values())]))
     at = F.col("_sec") + F.when(F.col("_kind") == ENTER, 0).otherwise(F.col("_kind") + 1)
-    return seconds.withColumn("_kind", kinds).withColumn("_at", at).select(*_CHANGE)
+    changes = seconds.withColumn("_kind", kinds).withColumn("_at", at).select(*_CHANGE)
+    return changes.where((F.col("_kind") == ENTER) | F.col("_at").isNotNull())
 
 
 def _distinct_changes(transfers: DataFrame, member: str, kind: int) -> DataFrame:
-    """+1 when a member is seen, -1 when it is seen again or a week has passed."""
+    """+1 when a member is seen, -1 when it is seen again or a week has passed.
+
+    Changes are combined per second, so members do not multiply a sender's rows.
+    """
     seen = (
         _keyed(transfers)
         .where(F.col(member).isNotNull())
         .select("sender_id", F.col(member).alias("_member"), "_sec")
         .distinct()
     )
-    by_member = Window.partitionBy("sender_id", "_member").orderBy("_sec")
+    by_member = Window.partitionBy("sender_id", "_member", F.col("_sec").isNull()).orderBy("_sec")
     left = F.least(F.lead("_sec").over(by_member), F.col("_sec") + WEEK + 1)
     both = F.array(
         *[
@@ -117,11 +112,15 @@ def _distinct_changes(transfers: DataFrame, member: str, kind: int) -> DataFrame
     return (
         seen.withColumn("_left", left)
         .select("sender_id", F.explode(both).alias("c"))
+        .where("c._at is not null or c._n > 0")
+        .groupBy("sender_id", F.col("c._at").alias("_at"))
+        .agg(F.sum("c._n").alias("_n"))
+        .where("_n != 0")
         .select(
             "sender_id",
-            "c._at",
+            "_at",
             F.lit(kind).alias("_kind"),
-            "c._n",
+            "_n",
             zero.alias("_known"),
             F.lit(0).cast("decimal(38,9)").alias("_amount"),
             zero.alias("_cross"),
@@ -176,7 +175,7 @@ def window_features(transfers: DataFrame) -> DataFrame:
         F.max(entering).alias("_day_max"),
         F.max(F.when(last_second, entering)).alias("_last_second_max"),
     )
-    days = Window.partitionBy("sender_id").orderBy("_day")
+    days = Window.partitionBy("sender_id", F.col("_day").isNull()).orderBy("_day")
     earlier = days.rowsBetween(Window.unboundedPreceding, -1)
     carry = per_day.select(
         F.col("sender_id").alias("_s"),
@@ -208,51 +207,17 @@ def _finished() -> list[Column]:
     return [derived.get(n, F.col(n)).alias(n) for n in WINDOW_FEATURES]
 
 
-def _framed(transfers: DataFrame) -> DataFrame:
-    """Transfers with their trailing features by plain window frames."""
-    order = Window.partitionBy("sender_id").orderBy("_sec")
-
-    def frame(seconds: int):
-        return order.rangeBetween(-seconds, Window.currentRow)
-
-    summed = {
-        "_n": F.lit(1),
-        "_known": F.when(F.col("source_amount").isNotNull(), 1).otherwise(0),
-        "_amount": F.col("source_amount").cast(MONEY),
-        "_cross": cross_border(),
-    }
-    framed = _keyed(transfers).select(
-        "*",
-        *[F.sum(summed[c]).over(frame(s)).alias(m) for m, (c, s) in ADDITIVE.items()],
-        F.max("source_amount").over(frame(WEEK)).alias("max_amount_7d"),
-        *[
-            F.size(F.collect_set(member).over(frame(WEEK))).cast("bigint").alias(n)
-            for n, (member, _) in DISTINCT.items()
-        ],
-    )
-    return framed.select(*transfers.columns, *_finished())
-
-
-def with_windows(
-    transfers: DataFrame, users: DataFrame | None = None, busy_rows: int = BUSY_ROWS
-) -> DataFrame:
+def with_windows(transfers: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """Transfers with the trailing features of their sender, and its attributes if given.
 
     ``users`` is keyed by ``user_id``; transfers of senders it lacks are dropped.
     """
-    counts = transfers.groupBy("sender_id").agg(F.count("*").alias("_rows"))
-    busy = counts.where(F.col("_rows") > busy_rows).select(F.col("sender_id").alias("_busy"))
-    is_busy = F.col("sender_id").eqNullSafe(F.col("_busy"))
-    few = _framed(transfers.join(busy, is_busy, "left_anti"))
-    many = transfers.join(busy, is_busy, "left_semi")
-    features = window_features(many).withColumnsRenamed({"sender_id": "_s", "_sec": "_t"})
+    features = window_features(transfers).withColumnsRenamed({"sender_id": "_s", "_sec": "_t"})
     if users is not None:
-        few = few.join(users, F.col("sender_id") == F.col("user_id"))
         # Joined here, users meet one row per second of a hot sender, not every transfer.
         features = features.join(users, F.col("_s") == F.col("user_id"))
     match = F.col("sender_id").eqNullSafe(F.col("_s")) & F.col("_sec").eqNullSafe(F.col("_t"))
-    swept = _keyed(many).join(features, match).drop("_s", "_t", "_sec")
-    return few.unionByName(swept)
+    return _keyed(transfers).join(features, match).drop("_s", "_t", "_sec")
 
 
 def user_attributes(users: DataFrame) -> DataFrame:
@@ -267,14 +232,12 @@ def user_attributes(users: DataFrame) -> DataFrame:
     )
 
 
-def transfer_features(
-    transfers: DataFrame, users: DataFrame, as_of: Column, busy_rows: int = BUSY_ROWS
-) -> DataFrame:
+def transfer_features(transfers: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
     """The transfer-grained feature table: windows, calendar parts and user attributes."""
     # The join with users drops transfers without a sender; dropping them first keeps the
     # branches of the window plan equal, so their shuffles are reused.
     sent = transfers.where(F.col("sender_id").isNotNull())
-    joined = with_windows(sent, user_attributes(users), busy_rows)
+    joined = with_windows(sent, user_attributes(users))
     ts = F.col("created_at")
     return joined.select(
         F.concat(F.col("transfer_id"), F.lit("_"), F.col("source")).alias("entity_id"),
