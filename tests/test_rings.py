@@ -42,12 +42,15 @@ def test_idle_user_is_zero(spark):
     assert merged.unique_recipients_7d == 0
 
 
-def test_member_cap_keeps_the_smallest(spark):
-    rows = [transfer(i, 1, 0, recipient=f"r{i:03d}") for i in range(100)]
+def test_a_bucket_of_200_recipients(spark):
+    rows = [transfer(i, 1, 0, recipient=f"r{i:03d}") for i in range(200)]
+    rows += [transfer(200, None, 0, amount=None)]
     df = spark.createDataFrame(rows, SCHEMA)
-    kept = rings.buckets(df, rings.HOURLY).first()
-    assert kept.recipients == [f"r{i:03d}" for i in range(64)]
-    assert kept.tx_count == 100
+    kept = {r.user_id: r for r in rings.buckets(df, rings.HOURLY).collect()}
+    assert kept[1].recipients == [f"r{i:03d}" for i in range(200)]
+    assert kept[None].recipients == ["r"] and kept[None].tx_count == 1
+    merged = rings.read_time_merge(rings.user_rings(df.where("sender_id = 1"), moment(1)), moment(1))
+    assert merged.first().unique_recipients_7d == 200
 
 
 def test_three_states(spark):
@@ -84,7 +87,7 @@ def test_merge_equals_windows_on_aligned_data(spark):
 
 def test_reconcile(spark):
     schema = "user_id long, bucket long, n long"
-    streamed = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 9, 1)], schema)
-    truth = spark.createDataFrame([(1, 1, 5), (1, 2, 7), (3, 3, 1)], schema)
+    streamed = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 9, 1), (None, 1, 4)], schema)
+    truth = spark.createDataFrame([(1, 1, 5), (1, 2, 7), (3, 3, 1), (None, 1, 4)], schema)
     got = {(r.user_id, r.status) for r in rings.reconcile(streamed, truth, ["user_id", "bucket"]).collect()}
     assert got == {(1, "different"), (3, "missing"), (2, "extra")}

@@ -7,15 +7,16 @@ so nothing has to be written for idle users.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.contract import SCALARS, USER_ATTRIBUTES
 from tidemark.functions.scalars import MONEY, unix_second
 from tidemark.operators.velocity import cross_border
 
-MAX_MEMBERS = 64  # fixed value: ids kept per bucket, smallest first
 NEVER = -1  # fixed value: bucket number of a slot that was never written
 GLOBAL_USER = "__global__"  # fixed value: id of the row with population averages
 
@@ -32,27 +33,9 @@ class Ring:
 HOURLY = Ring("hourly", "hourly_bucket_hour", 3_600, 24, False)
 DAILY = Ring("daily", "daily_bucket_day", 86_400, 30, True)
 
-SCALARS = (
-    "tx_count_1h",
-    "tx_count_24h",
-    "tx_count_7d",
-    "tx_count_30d",
-    "avg_amount_7d",
-    "max_amount_7d",
-    "total_amount_24h",
-    "cross_border_ratio_7d",
-    "unique_recipients_7d",
-    "unique_currencies_7d",
-)
-
-
-def _members(rows: DataFrame, column: str, cap: int | None) -> DataFrame:
-    """Sorted distinct members per (user, bucket), the smallest ``cap`` of them."""
+def _members(rows: DataFrame, column: str) -> DataFrame:
+    """Sorted distinct members per (user, bucket)."""
     distinct = rows.where(F.col(column).isNotNull()).select("user_id", "bucket", column).distinct()
-    if cap is not None:
-        # A rank filter is applied before the shuffle too, so a hot bucket sends few rows.
-        rank = F.row_number().over(Window.partitionBy("user_id", "bucket").orderBy(column))
-        distinct = distinct.withColumn("_rank", rank).where(F.col("_rank") <= cap)
     return distinct.groupBy("user_id", "bucket").agg(
         F.sort_array(F.collect_list(column)).alias("members")
     )
@@ -83,17 +66,18 @@ def buckets(transfers: DataFrame, ring: Ring, as_of: Column | None = None) -> Da
         F.max("source_amount").alias("amount_max"),
         F.sum("_cross").alias("cross_border_count"),
     )
-    key = ["user_id", "bucket"]
-    lists = _members(rows, "recipient_id", MAX_MEMBERS).withColumnRenamed("members", "recipients")
-    result = totals.join(lists, key, "left")
-    empty = F.array().cast("array<string>")
+    lists = {"recipients": "recipient_id"}
     if ring.currencies:
-        # A currency code has a few hundred values, so this list needs no cap.
-        codes = _members(rows, "target_currency", None).withColumnRenamed("members", "currencies")
-        result = result.join(codes, key, "left").withColumn(
-            "currencies", F.coalesce("currencies", empty)
+        lists["currencies"] = "target_currency"
+    result = totals
+    for name, column in lists.items():
+        found = _members(rows, column).select(
+            F.col("user_id").alias("_u"), F.col("bucket").alias("_b"), F.col("members").alias(name)
         )
-    return result.withColumn("recipients", F.coalesce("recipients", empty))
+        same = F.col("user_id").eqNullSafe(F.col("_u")) & F.col("bucket").eqNullSafe(F.col("_b"))
+        result = result.join(found, same, "left").drop("_u", "_b")
+    empty = F.array().cast("array<string>")
+    return result.withColumns({name: F.coalesce(name, empty) for name in lists})
 
 
 def slot_rows(users: DataFrame, bucketed: DataFrame, ring: Ring) -> DataFrame:
@@ -215,16 +199,13 @@ def read_time_merge(rings: DataFrame, as_of: Column, keep: tuple[str, ...] = ())
 
 def global_averages(features: DataFrame) -> DataFrame:
     """The cold-start row: population averages of attributes and derived scalars."""
-    averaged = [c for c in features.columns if c in SCALARS or c in _ATTRIBUTES]
+    averaged = [c for c in features.columns if c in SCALARS or c in USER_ATTRIBUTES]
     return features.agg(
         F.lit(GLOBAL_USER).alias("user_id"),
         *[F.avg(F.col(c).cast("double")).alias(_global_name(c)) for c in averaged],
     )
 
 
-_ATTRIBUTES = ("account_age_days", "is_business", "is_kyc_verified", "country_risk_score")
-
-
 def _global_name(column: str) -> str:
     return f"global_{column}" if column in SCALARS else column
 
@@ -271,15 +252,20 @@ def reconcile(streamed: DataFrame, recomputed: DataFrame, key: list[str]) -> Dat
     """
     values = [c for c in recomputed.columns if c not in key]
     left = streamed.select(*key, F.struct(*values).alias("_streamed"))
-    right = recomputed.select(*key, F.struct(*values).alias("_truth"))
+    right = recomputed.select(
+        *[F.col(k).alias(f"_{k}") for k in key], F.struct(*values).alias("_truth")
+    )
+    same = functools.reduce(
+        Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    )
     status = (
         F.when(F.col("_streamed").isNull(), "missing")
         .when(F.col("_truth").isNull(), "extra")
         .when(~F.col("_streamed").eqNullSafe(F.col("_truth")), "different")
     )
     return (
-        left.join(right, key, "full_outer")
+        left.join(right, same, "full_outer")
         .withColumn("status", status)
         .where(F.col("status").isNotNull())
-        .select(*key, "status")
+        .select(*[F.coalesce(k, f"_{k}").alias(k) for k in key], "status")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -128,24 +129,25 @@ def beta_inputs(score: Column) -> list[Column]:
 def fit_beta_calibration(df: DataFrame, score: str, label: str) -> dict[str, float]:
     """Coefficients a, b, c of p = 1 / (1 + exp(-(a ln s - b ln(1 - s) + c))).
 
-    A negative coefficient would reorder scores, so it is set to zero and the other refitted.
+    Starts with both terms and leaves out, one at a time, a term that would lower the
+    probability of higher scores; without any, the probability is the share of positives.
     """
     inputs = df.select(F.col(label).cast("double").alias("y"), *beta_inputs(F.col(score)))
-
-    def fit(columns: Sequence[str]):
-        regression = LogisticRegression(featuresCol="features", labelCol="y")
-        model = _fit(inputs, columns, regression).stages[-1]
-        return model.coefficients.toArray().tolist(), float(model.intercept)
-
-    (a, b), c = fit(["ln_s", "ln_1s"])
-    if a < 0:
-        (b,), c = fit(["ln_1s"])
-        a = 0.0
-    elif b < 0:
-        (a,), c = fit(["ln_s"])
-        b = 0.0
-    # With both shapes falling the scores carry no rising signal; keep the map non-decreasing.
-    return {"a": max(a, 0.0), "b": max(b, 0.0), "c": c}
+    used, weights = ["ln_s", "ln_1s"], {}
+    while used:
+        model = _fit(inputs, used, LogisticRegression(labelCol="y")).stages[-1]
+        weights = dict(zip(used, model.coefficients.toArray().tolist()))
+        falling = [term for term in used if weights[term] < 0]
+        if not falling:
+            return {
+                "a": weights.get("ln_s", 0.0),
+                "b": weights.get("ln_1s", 0.0),
+                "c": float(model.intercept),
+            }
+        used.remove(falling[0])
+    share = inputs.select(F.avg("y")).first()[0]
+    share = min(max(share, 1e-6), 1 - 1e-6)
+    return {"a": 0.0, "b": 0.0, "c": math.log(share / (1 - share))}
 
 
 def calibrate(score: Column, coefficients: Mapping[str, float]) -> Column:

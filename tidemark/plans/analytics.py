@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.contract import SCALARS, USER_ATTRIBUTES
 from tidemark.functions import scalars as sc
 from tidemark.operators import evaluate, investigate, rings, splits, velocity
 from tidemark.operators.canonical import append_with_next_id
@@ -386,24 +387,11 @@ def transfer_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rows, 9, "cross_border_ratio_7d", "amount_ratio_to_avg")
 
 
-_AVERAGES = (
-    "tx_count_1h",
-    "tx_count_24h",
-    "tx_count_7d",
-    "tx_count_30d",
-    "avg_amount_7d",
-    "max_amount_7d",
-    "total_amount_24h",
-    "cross_border_ratio_7d",
-    "unique_recipients_7d",
-    "unique_currencies_7d",
-)
-_ATTRIBUTES = ("account_age_days", "is_business", "is_kyc_verified", "country_risk_score")
 _MEANS_SQL = (
     "SELECT "
-    + ", ".join(f"avg({c}) AS global_{c}" for c in _AVERAGES)
+    + ", ".join(f"avg({c}) AS global_{c}" for c in SCALARS)
     + ", "
-    + ", ".join(f"avg({c}) AS {c}" for c in _ATTRIBUTES)
+    + ", ".join(f"avg({c}) AS {c}" for c in USER_ATTRIBUTES)
     + " FROM transfer_features"
 )
 _GLOBAL_SQL = f"SELECT round(COLUMNS(*), 6) FROM ({_MEANS_SQL})"
@@ -436,7 +424,7 @@ def global_averages(spark: SparkSession, folder: str) -> DataFrame:
         "label",
     )
     everyone = people.unionByName(_global_row(spark, folder), allowMissingColumns=True)
-    averaged = [f"global_{c}" for c in _AVERAGES] + list(_ATTRIBUTES)
+    averaged = [f"global_{c}" for c in SCALARS] + list(USER_ATTRIBUTES)
     return rounded(everyone, 6, *averaged)
 
 
@@ -452,7 +440,7 @@ def _bucket_sql(unit: str, span: int, currencies: bool) -> str:
     return f"""SELECT sender_id AS user_id, {unit} AS bucket, count(*) AS tx_count,
       round(sum(source_amount), 6) AS amount_sum, max(source_amount) AS amount_max,
       CAST(sum(is_cross_border) AS BIGINT) AS cross_border_count,
-      array_to_string(list_sort(list(DISTINCT recipient_id))[1:64], ',') AS recipients{extra}
+      array_to_string(list_sort(list(DISTINCT recipient_id)), ',') AS recipients{extra}
     FROM recent WHERE sec >= now - {span} AND sec <= now GROUP BY sender_id, {unit}"""
 
 
@@ -543,13 +531,12 @@ SELECT c_custkey AS user_id, state, """ + ", ".join(
     f"""round(CASE state WHEN 'global' THEN g.global_{c}
       WHEN 'stale' THEN {'NULL' if c in ('avg_amount_7d', 'max_amount_7d', 'cross_border_ratio_7d')
                          else '0'} ELSE CAST(m.{c} AS DOUBLE) END, 6) AS {c}"""
-    for c in _AVERAGES
+    for c in SCALARS
 ) + f""" FROM (SELECT c_custkey, CASE WHEN last_sec IS NULL THEN 'global'
     WHEN epoch_us(TIMESTAMP '{MOMENT}') // 1000000 - last_sec > 36000 THEN 'stale'
     ELSE 'live' END AS state
   FROM customer LEFT JOIN (SELECT sender_id, max(sec) AS last_sec FROM recent
-    WHERE created_at <= TIMESTAMP '{MOMENT}'
-      AND sec >= epoch_us(TIMESTAMP '{MOMENT}') // 1000000 - 2592000 GROUP BY 1) l
+    WHERE created_at <= TIMESTAMP '{MOMENT}' GROUP BY 1) l
     ON c_custkey = l.sender_id) c
 LEFT JOIN ({MERGE_SQL.format(moment=MOMENT)}) m ON m.user_id = c_custkey
 CROSS JOIN ({_MEANS_SQL}) g"""
@@ -565,10 +552,11 @@ def three_state_fallback(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy(F.col("sender_id").alias("user_id"))
         .agg(F.max("created_at").alias("feature_timestamp"))
     )
-    people = merged(spark, folder, moment).join(seen, "user_id")
+    # Users without a transfer in the rings' span keep their row; their age tells them stale.
+    people = seen.join(merged(spark, folder, moment), "user_id", "left")
     asked = b.users(spark, folder).select("user_id")
     result = rings.three_state(asked, people, _global_row(spark, folder), moment, 36_000)
-    return rounded(result, 6, *rings.SCALARS)
+    return rounded(result, 6, *SCALARS)
 
 
 # --- splits ------------------------------------------------------------------------------------------

@@ -381,7 +381,10 @@ class ShortReply:
 
 @query(
     "zip_predictions",
-    with_ctes("SELECT entity_id, true AS paired FROM features", "features"),
+    with_ctes(
+        "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS wrong, true AS answered FROM features",
+        "features",
+    ),
 )
 def zip_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Replies pair with rows by position; a row without a reply is reported, not dropped."""
@@ -390,5 +393,10 @@ def zip_predictions(spark: SparkSession, folder: str) -> DataFrame:
     petal = F.col("petal_length_cm")
     expected = F.when(petal < 0.03, 0).when(petal < 0.07, 1).otherwise(2)
     unanswered = F.col("class_").isNull() & (F.col("score_error") == msg.SHORT_REPLY)
-    paired = F.coalesce(F.col("class_") == expected, F.lit(False)) | unanswered
-    return scored.select("entity_id", paired.alias("paired"))
+    right = F.coalesce(F.col("class_") == expected, F.lit(False))
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(~(right | unanswered)).alias("wrong"),
+        # One row of each group goes unanswered, and no more.
+        (F.count_if(unanswered) <= 0.1 * F.count("*")).alias("answered"),
+    )

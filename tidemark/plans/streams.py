@@ -106,34 +106,30 @@ def dual_write(spark: SparkSession, folder: str) -> DataFrame:
           CASE WHEN s.v < 20 THEN '0' WHEN s.v < 60 THEN '1' ELSE '2' END AS outcome,
           CAST(NULL AS BIGINT) AS retry_count
         FROM msgs m JOIN (SELECT user_id, arg_max(value, ts) AS v FROM msgs
-          WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-03 00:00:00' GROUP BY 1) s
+          WHERE event_type = 'purchase' GROUP BY 1) s
           ON m.user_id = s.user_id WHERE event_type IN ('purchase', 'click', 'view')
         UNION ALL SELECT 'dead_letter', CAST(m.user_id AS VARCHAR) || '_streaming',
           'missing_features', 1
         FROM msgs m WHERE event_type IN ('purchase', 'click', 'view') AND user_id NOT IN (
-          SELECT user_id FROM msgs WHERE event_type = 'purchase'
-            AND ts < TIMESTAMP '2024-01-03 00:00:00')
+          SELECT user_id FROM msgs WHERE event_type = 'purchase')
         UNION ALL SELECT 'dead_letter', NULL, CASE event_type WHEN 'signup' THEN 'json_decode'
           ELSE 'missing_field' END, NULL FROM msgs WHERE event_type IN ('signup', 'error')""",
         "msgs",
     ),
 )
 def inference_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Requests of all events against a store that knows the buyers of the first two days."""
+    """Requests of all events against a store that knows all buyers."""
     base = new_folder(spark, "inference-stream")
     store = online.OnlineStore(spark, f"{base}/online", "entity_id", ["last_value", "last_k"])
     events = b.load(spark, folder, "events")
-    bought = events.where("event_type = 'purchase'").where(
-        F.col("ts") < b.as_of("2024-01-03 00:00:00")
-    )
+    bought = events.where("event_type = 'purchase'")
     store.sync(
         bought.select(
             F.concat(F.col("user_id").cast("string"), F.lit("_streaming")).alias("entity_id"),
             F.col("value").alias("last_value"),
             b.member().cast("double").alias("last_k"),
             F.col("ts").alias("feature_timestamp"),
-        ),
-        0,
+        )
     )
     stream = InferenceStream(
         store=store,
@@ -210,7 +206,7 @@ def streamed_hours(spark: SparkSession, folder: str) -> DataFrame:
     path, marks = new_folder(spark, "hours"), new_folder(spark, "marks")
     stream = b.as_transfers(event_stream(spark, folder))
     run = (
-        ring_stream.hourly_tumbling(stream)
+        ring_stream.hourly_tumbling(stream, "0 seconds")
         .writeStream.format("parquet")
         .option("checkpointLocation", marks)
         .outputMode("append")
@@ -218,13 +214,13 @@ def streamed_hours(spark: SparkSession, folder: str) -> DataFrame:
         .start(path)
     )
     run.awaitTermination()
-    return spark.read.parquet(path).withColumn("amount_sum", F.round("amount_sum", 6))
+    return spark.read.parquet(path)
 
 
 @query("hourly_tumbling", with_ctes(_HOURLY, "recent"))
 def hourly_tumbling(spark: SparkSession, folder: str) -> DataFrame:
     """Closed clock hours per sender, as the stream emitted them."""
-    return streamed_hours(spark, folder)
+    return streamed_hours(spark, folder).withColumn("amount_sum", F.round("amount_sum", 6))
 
 
 _STREAM_RING = f"""SELECT user_id, bucket % 24 AS slot, bucket, tx_count, amount_sum, amount_max,
@@ -233,7 +229,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id, bucket % 24 ORDER BY bu
   FROM (SELECT sender_id AS user_id, sec // 3600 AS bucket, count(*) AS tx_count,
     round(sum(source_amount), 6) AS amount_sum, max(source_amount) AS amount_max,
     CAST(sum(is_cross_border) AS BIGINT) AS cross_border_count,
-    array_to_string(list_sort(list(DISTINCT recipient_id))[1:64], ',') AS recipients
+    array_to_string(list_sort(list(DISTINCT recipient_id)), ',') AS recipients
   FROM recent WHERE {_CLOSED} GROUP BY 1, 2)) WHERE rn = 1"""
 
 
@@ -241,13 +237,13 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id, bucket % 24 ORDER BY bu
 def ring_state(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly rings kept as keyed state, as last emitted per user."""
     path, marks = new_folder(spark, "rings"), new_folder(spark, "marks")
-    parts = ring_stream.recipient_parts(b.as_transfers(event_stream(spark, folder)))
+    closed = ring_stream.closed_buckets(b.as_transfers(event_stream(spark, folder)), "0 seconds")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     run = (
-        ring_stream.ring_state(parts, rings.HOURLY)
+        ring_stream.ring_state(closed, rings.HOURLY)
         .writeStream.foreachBatch(write)
         .outputMode("append")
         .option("checkpointLocation", marks)
@@ -272,11 +268,7 @@ def ring_state(spark: SparkSession, folder: str) -> DataFrame:
 def reconcile(spark: SparkSession, folder: str) -> DataFrame:
     """Buckets the stream has not delivered (hours still open) against the batch truth."""
     streamed = streamed_hours(spark, folder)
-    truth = (
-        rings.buckets(b.transfers(spark, folder), rings.HOURLY)
-        .drop("recipients")
-        .withColumn("amount_sum", F.round("amount_sum", 6))
-    )
+    truth = rings.buckets(b.transfers(spark, folder), rings.HOURLY).drop("recipients")
     return rings.reconcile(streamed.select(*truth.columns), truth, ["user_id", "bucket"])
 
 

@@ -5,61 +5,77 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.operators.rings import MAX_MEMBERS, Ring
+from tidemark.functions.scalars import MONEY
+from tidemark.operators.rings import Ring
 from tidemark.operators.velocity import cross_border
 
 
-def hourly_tumbling(transfers: DataFrame, lateness: str = "0 seconds") -> DataFrame:
-    """One aggregate per sender and closed clock hour."""
+_SEPARATOR = "\x1f"
+
+
+def _hours(transfers: DataFrame, lateness: str, *keys: str) -> DataFrame:
+    """Closed clock hours per key; amounts are summed as decimals, as in the batch buckets."""
     return (
         transfers.withColumn("created_at", F.col("created_at").cast("timestamp"))
         .withWatermark("created_at", lateness)
-        .groupBy("sender_id", F.window("created_at", "1 hour"))
+        .groupBy(*keys, F.window("created_at", "1 hour"))
         .agg(
             F.count("*").alias("tx_count"),
-            F.sum("source_amount").alias("amount_sum"),
+            F.sum(F.col("source_amount").cast(MONEY)).alias("amount_sum"),
             F.max("source_amount").alias("amount_max"),
             F.sum(cross_border()).alias("cross_border_count"),
         )
-        .select(
-            F.col("sender_id").alias("user_id"),
-            F.floor(F.unix_seconds("window.start") / 3600).alias("bucket"),
-            "tx_count",
-            "amount_sum",
-            "amount_max",
-            "cross_border_count",
-        )
     )
 
 
-def recipient_parts(transfers: DataFrame, lateness: str = "0 seconds") -> DataFrame:
-    """Closed hours per sender and recipient: parts of a bucket, one row per recipient.
+def _bucket() -> Column:
+    return F.floor(F.unix_seconds("window.start") / 3600).cast("bigint").alias("bucket")
+
+
+def hourly_tumbling(transfers: DataFrame, lateness: str) -> DataFrame:
+    """One aggregate per sender and closed clock hour.
 
-    A hot sender combines to its distinct recipients before it reaches the keyed state.
+    Transfers that come later than ``lateness`` behind the newest one are left out; ``reconcile``
+    finds the hours they belong to.
     """
+    return _hours(transfers, lateness, "sender_id").select(
+        F.col("sender_id").alias("user_id"),
+        _bucket(),
+        "tx_count",
+        F.col("amount_sum").cast("double").alias("amount_sum"),
+        "amount_max",
+        "cross_border_count",
+    )
+
+
+def closed_buckets(transfers: DataFrame, lateness: str) -> DataFrame:
+    """One row per sender and closed clock hour, with its distinct recipients.
+
+    A hot sender combines to its distinct recipients before it meets in one bucket.
+    """
+    parts = _hours(transfers, lateness, "sender_id", "recipient_id")
     return (
-        transfers.withColumn("created_at", F.col("created_at").cast("timestamp"))
-        .withWatermark("created_at", lateness)
-        .groupBy("sender_id", "recipient_id", F.window("created_at", "1 hour"))
+        parts.groupBy("sender_id", F.window(F.window_time("window"), "1 hour"))
         .agg(
-            F.count("*").alias("tx_count"),
-            F.sum("source_amount").alias("amount_sum"),
-            F.max("source_amount").alias("amount_max"),
-            F.sum(cross_border()).cast("bigint").alias("cross_border_count"),
+            F.sum("tx_count").alias("tx_count"),
+            F.sum("amount_sum").cast("double").alias("amount_sum"),
+            F.max("amount_max").alias("amount_max"),
+            F.sum("cross_border_count").cast("bigint").alias("cross_border_count"),
+            F.sort_array(F.collect_set("recipient_id")).alias("recipients"),
         )
         .select(
             F.col("sender_id").alias("user_id"),
-            "recipient_id",
-            F.floor(F.unix_seconds("window.start") / 3600).cast("bigint").alias("bucket"),
+            _bucket(),
             "tx_count",
-            "amount_sum",
-            "amount_max",
+            F.coalesce("amount_sum", F.lit(0.0)).alias("amount_sum"),
+            F.coalesce("amount_max", F.lit(0.0)).alias("amount_max"),
             "cross_border_count",
+            F.array_join("recipients", _SEPARATOR).alias("recipients"),
         )
     )
 
@@ -73,28 +89,6 @@ _TOTALS = [
     T.StructField("cross_border_count", T.LongType()),
 ]
 _SLOT = T.StructType([*_TOTALS, T.StructField("recipients", T.StringType())])
-_SEPARATOR = "\x1f"
-
-
-def _combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of an Arrow batch combined per user and bucket, keeping the smallest members."""
-    for frame in frames:
-        yield (
-            frame.sort_values("recipient_id")
-            .groupby(["user_id", "bucket"], as_index=False, sort=False)
-            .agg(
-                tx_count=("tx_count", "sum"),
-                amount_sum=("amount_sum", "sum"),
-                amount_max=("amount_max", "max"),
-                cross_border_count=("cross_border_count", "sum"),
-                recipients=(
-                    "recipient_id",
-                    lambda ids: _SEPARATOR.join(ids.dropna().unique()[:MAX_MEMBERS]),
-                ),
-            )
-        )
-
-
 class RingState(StatefulProcessor):
     """Per user: slot -> newest bucket of that slot.  Expiry is the reader's business."""
 
@@ -109,23 +103,12 @@ class RingState(StatefulProcessor):
         ring = {slot[0]: values for slot, values in self._ring.iterator()}
         touched = set()
         for frame in rows:
-            for part in frame.itertuples(index=False):
+            for part in frame[_SLOT.fieldNames()].itertuples(index=False):
                 slot = int(part.bucket) % self.slots
-                held = ring.get(slot)
-                if held is not None and held[0] > part.bucket:
-                    continue  # a late part of an earlier lap
-                if held is None or held[0] < part.bucket:
-                    held = (int(part.bucket), 0, 0.0, float("-inf"), 0, "")
-                known = {*held[5].split(_SEPARATOR), *part.recipients.split(_SEPARATOR)} - {""}
-                ring[slot] = (
-                    held[0],
-                    held[1] + int(part.tx_count),
-                    held[2] + float(part.amount_sum),
-                    max(held[3], float(part.amount_max)),
-                    held[4] + int(part.cross_border_count),
-                    _SEPARATOR.join(sorted(known)[:MAX_MEMBERS]),
-                )
-                touched.add(slot)
+                # A bucket closes once; one of an earlier lap comes too late for its slot.
+                if slot not in ring or ring[slot][0] < part.bucket:
+                    ring[slot] = tuple(part)
+                    touched.add(slot)
         for slot in touched:
             self._ring.updateValue((slot,), ring[slot])
         if touched:
@@ -145,9 +128,9 @@ class RingState(StatefulProcessor):
         pass
 
 
-def ring_state(parts: DataFrame, ring: Ring) -> DataFrame:
+def ring_state(buckets: DataFrame, ring: Ring) -> DataFrame:
     """Rings of the users whose buckets closed in a micro-batch, as slot rows."""
-    user_type = parts.schema["user_id"].dataType
+    user_type = buckets.schema["user_id"].dataType
     key = T.StructField("user_id", user_type)
     schema = T.StructType(
         [
@@ -157,9 +140,7 @@ def ring_state(parts: DataFrame, ring: Ring) -> DataFrame:
             T.StructField("recipients", T.ArrayType(T.StringType())),
         ]
     )
-    # Combining before the shuffle by user keeps a hot user's many recipients out of one task.
-    combined = parts.mapInPandas(_combine, T.StructType([key, *_SLOT.fields]))
-    return combined.groupBy("user_id").transformWithStateInPandas(
+    return buckets.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=RingState(ring.slots),
         outputStructType=schema,
         outputMode="Append",
