@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import documents, query, scan_filters, written
+from tidemark.llm.shared import documents, possible, query, written
 
 #: Characters of a shingle and the least similarity of two lines' shingle sets, in percent.
 SHINGLE, PERCENT = 5, 75
@@ -125,27 +125,47 @@ def numbered(text: str | None) -> Iterator[tuple[int, str]]:
             yield at, line
 
 
+def digest_of(line: str) -> bytes:
+    return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def line_texts(df: DataFrame, text: str) -> DataFrame:
+    """``k1``, ``k2`` and the text of each line with a word; repeats within a batch once."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = {line for one in batch.column(0) for _, line in numbered(one.as_py())}
+            keys = np.frombuffer(b"".join(map(digest_of, lines)), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys[:, 0].copy()),
+                    pa.array(keys[:, 1].copy()),
+                    pa.array(list(lines), pa.string()),
+                ],
+                ["k1", "k2", "line"],
+            )
+
+    return df.select(text).mapInArrow(split, "k1 long, k2 long, line string")
+
+
 def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per line with a word: ``doc``, ``at``, two halves of a digest, line, band keys.
+    """One row per line with a word: ``doc``, ``at``, two halves of a digest, band keys.
 
-    A line that a worker has just seen has null text and bands.
+    A line that a worker has just seen has null bands.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen = LineSigner(), set()
         for batch in batches:
-            of, ats, digests, new, texts = [], [], [], [], []
+            of, ats, digests, new = [], [], [], []
             waiting, size, bands = [], 0, []
             for row, one in enumerate(batch.column(1)):
                 for at, line in numbered(one.as_py()):
-                    digest = hashlib.blake2b(
-                        line.encode("utf-8", "surrogatepass"), digest_size=16
-                    ).digest()
+                    digest = digest_of(line)
                     of.append(row)
                     ats.append(at)
                     digests.append(digest)
                     new.append(digest not in seen)
-                    texts.append(line if new[-1] else None)
                     if new[-1]:
                         if len(seen) >= SEEN:
                             seen.clear()
@@ -169,15 +189,14 @@ def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
                     pa.array(ats, pa.int32()),
                     pa.array(keys[:, 0].copy()),
                     pa.array(keys[:, 1].copy()),
-                    pa.array(texts, pa.string()),
                     lists,
                 ],
-                ["doc", "at", "k1", "k2", "line", "bands"],
+                ["doc", "at", "k1", "k2", "bands"],
             )
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).mapInArrow(
-        sign, f"doc {kind}, at int, k1 long, k2 long, line string, bands array<bigint>"
+        sign, f"doc {kind}, at int, k1 long, k2 long, bands array<bigint>"
     )
 
 
@@ -243,20 +262,22 @@ def band_pairs(lines: DataFrame) -> DataFrame:
     return found.where("head is null").select("k1", "other").unionByName(across).distinct()
 
 
-def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough."""
+def similar(pairs: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough.
+
+    Texts are cut out of ``df`` again for the lines of pairs only.
+    """
     wanted = written(
-        pairs.select(F.explode(F.array("k1", "other")).alias("k1"))
-        .distinct()
-        .withColumn("n", F.lit(1)),
-        "wanted-lines",
+        pairs.select(F.explode(F.array("k1", "other")).alias("k1")).distinct(), "wanted-lines"
+    )
+    marked = possible(line_texts(df, text), F.col("k1"), wanted).where("_possible")
+    texts = written(
+        marked.select("k1", "k2", "line")
+        .join(wanted, "k1", "left_semi")
+        .dropDuplicates(["k1", "k2"]),
+        "line-texts",
+        "zstd",
     )
-    texts = lines.where("line is not null").select("k1", "k2", "line")
-    with scan_filters(lines.sparkSession):
-        texts = written(
-            texts.join(wanted.where("n > 0").select("k1"), "k1").dropDuplicates(["k1", "k2"]),
-            "line-texts",
-        )
     key = F.struct("k1", "k2")
     mine = texts.select("k1", key.alias("a"), F.col("line").alias("x"))
     theirs = texts.select(F.col("k1").alias("other"), key.alias("b"), F.col("line").alias("y"))
@@ -317,9 +338,9 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     and empty texts are not listed; rows with the same id are taken for one document, whose
     lines have the same numbers.
     """
-    lines = written(places(df, id_col, text), "lines", "zstd")
+    lines = written(places(df, id_col, text), "lines")
     pairs = written(band_pairs(lines), "line-pairs")
-    grouped = components(similar(pairs, lines)).select(
+    grouped = components(similar(pairs, df, text)).select(
         F.col("node.k1").alias("k1"),
         F.col("node.k2").alias("k2"),
         F.col("component.k1").alias("c1"),
@@ -358,7 +379,12 @@ def deduplicated(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """``df`` with its repeated lines taken out of ``text``, and ``n_lines``, ``n_dropped``."""
     gone = written(repeated_lines(df, id_col, text), "dropped-lines")
     gone = gone.withColumnRenamed("doc", "_doc").withColumnRenamed("dropped", "_dropped")
-    joined = df.join(gone, df[id_col] == gone["_doc"], "left")
+    # Documents that surely lose no line go on where they are read; only the others are shuffled.
+    marked = possible(df, F.col(id_col), gone.select("_doc"))
+    touched = marked.where("_possible").drop("_possible")
+    joined = touched.join(gone, F.col(id_col) == F.col("_doc"), "left").unionByName(
+        marked.where("not _possible").drop("_possible"), allowMissingColumns=True
+    )
     lines = F.split(text, "\n", -1)
     # The dropped numbers are few; a map of them is looked up once per line.
     kept = F.filter(lines, lambda line, at: ~F.array_contains("_dropped", at))

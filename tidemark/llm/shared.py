@@ -40,6 +40,34 @@ def scan_filters(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+#: Words of 64 bits of a key filter: at most so many rows of two numbers (about 20 MB) travel.
+FILTER_WORDS = 1 << 19
+
+
+def possible(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``df`` with ``_possible``: false for rows whose key is surely not the one column of ``keys``.
+
+    A Bloom filter with one hash as a table of words of bits, bounded whatever the number of keys.
+    The more keys, the more rows pass that have none, so callers join what passes; rows that do
+    not pass need no shuffle.
+    """
+    word, bit = f"h & {FILTER_WORDS - 1}", "cast(shiftrightunsigned(h, 58) as int)"
+    bits = written(
+        keys.select(F.xxhash64(keys.columns[0]).alias("h"))
+        .groupBy(F.expr(word).alias("_word"))
+        .agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("_bits")),
+        "key-filter",
+    )
+    hashed = df.withColumn("_h", F.xxhash64(key))
+    looked = hashed.join(
+        F.broadcast(bits), F.expr(word.replace("h", "_h", 1)) == F.col("_word"), "left"
+    )
+    found = F.expr(f"(shiftrightunsigned(_bits, {bit.replace('(h', '(_h')}) & 1L) = 1L")
+    return looked.withColumn("_possible", F.coalesce(found, F.lit(False))).drop(
+        "_h", "_word", "_bits"
+    )
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     ascii_only = F.octet_length(text) == F.char_length(text)
