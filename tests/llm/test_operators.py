@@ -7,11 +7,12 @@ import zlib
 import pytest
 import public_tokenizers
 from compare import difference, duck
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import bpe, catalog, lines, minhash, packing, secrets, tokens, weak
-from tidemark.llm.shared import documents
+from tidemark.llm.shared import documents, possible
 
 FOLDER = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -224,3 +225,28 @@ def test_pipeline(spark, odd):
     packed = corpus_pipeline.run(spark, FOLDER)
     ids = {r.doc_id for r in documents(spark, FOLDER).collect()}
     assert packed.count() > 0 and {r.doc_id for r in packed.collect()} <= ids
+
+
+def test_lines_carry_columns_with_the_names_used_inside(spark):
+    rows = [(1, "same line of words here\nown words", "a", 7, 8), (2, "same line of words here", "b", 7, 8)]
+    rows += [(3, "nothing in common", "c", 7, 8), (4, None, "d", 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _dropped string, n_dropped int, _h int")
+    staged = {r.doc_id: r for r in lines.line_stage(spark, docs, "").collect()}
+    assert {i: r.text for i, r in staged.items()} == {
+        1: "same line of words here\nown words", 2: "", 3: "nothing in common", 4: None
+    }
+    assert {(r._dropped, r.n_dropped, r._h) for r in staged.values()} == {(c, 7, 8) for c in "abcd"}
+    made = {r.doc_id: (r.n_dropped, r._h) for r in lines.deduplicated(docs, "doc_id", "text").collect()}
+    assert made == {1: (0, 8), 2: (1, 8), 3: (0, 8), 4: (0, 8)}
+    only = docs.select("doc_id", "text")
+    assert lines.deduplicated(only, "doc_id", "text").columns == ["doc_id", "text", "n_lines", "n_dropped"]
+
+
+def test_key_filter_passes_every_key(spark):
+    df = spark.range(20_000).withColumn("key", F.expr("if(id % 100 = 0, null, id * 31)"))
+    keys = df.where("id % 7 = 0 and key is not null").select("key")
+    marked = possible(df, F.col("key"), keys)
+    assert marked.count() == 20_000
+    assert marked.where("id % 7 = 0 and key is not null and not _possible").count() == 0
+    assert marked.where("id % 7 != 0 and _possible").count() < 200
+    assert possible(df, F.col("key"), keys.limit(0)).where("_possible").count() == 0

@@ -375,12 +375,15 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     )
 
 
-def deduplicated(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``df`` with its repeated lines taken out of ``text``, and ``n_lines``, ``n_dropped``."""
+def _without_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Id, text without its repeated lines, all other columns as ``rest``, and both counts."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (id_col, text)]
+    rest = F.struct(*others) if others else F.lit(None)
     gone = written(repeated_lines(df, id_col, text), "dropped-lines")
-    gone = gone.withColumnRenamed("doc", "_doc").withColumnRenamed("dropped", "_dropped")
+    gone = gone.withColumnsRenamed({"doc": "_doc", "dropped": "_dropped"})
     # Documents that surely lose no line go on where they are read; only the others are shuffled.
-    marked = possible(df, F.col(id_col), gone.select("_doc"))
+    rows = df.select(id_col, text, rest.alias("rest"))
+    marked = possible(rows, F.col(id_col), gone.select("_doc"))
     touched = marked.where("_possible").drop("_possible")
     joined = touched.join(gone, F.col(id_col) == F.col("_doc"), "left").unionByName(
         marked.where("not _possible").drop("_possible"), allowMissingColumns=True
@@ -388,26 +391,46 @@ def deduplicated(df: DataFrame, id_col: str, text: str) -> DataFrame:
     lines = F.split(text, "\n", -1)
     # The dropped numbers are few; a map of them is looked up once per line.
     kept = F.filter(lines, lambda line, at: ~F.array_contains("_dropped", at))
-    return joined.withColumns(
-        {
-            text: F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(
-                F.array_join(kept, "\n")
-            ),
-            "n_lines": F.coalesce(F.size(lines), F.lit(0)),
-            "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)),
-        }
-    ).drop("_doc", "_dropped")
+    return joined.select(
+        id_col,
+        F.when(F.col("_dropped").isNull(), F.col(text))
+        .otherwise(F.array_join(kept, "\n"))
+        .alias(text),
+        "rest",
+        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size("_dropped"), F.lit(0)).alias("n_dropped"),
+    )
+
+
+def deduplicated(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``df`` with its repeated lines taken out of ``text``, and ``n_lines``, ``n_dropped``.
+
+    Columns of ``df`` with these two names are replaced; all others are carried as they are.
+    """
+    made = _without_repeats(df, id_col, text)
+    counts = ["n_lines", "n_dropped"]
+    carried = [
+        F.col(c) if c in (id_col, text) else F.col("rest").getField(c).alias(c)
+        for c in df.columns
+        if c not in counts
+    ]
+    return made.select(*carried, *counts)
 
 
 def line_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their repeated lines taken out; ``n_chars`` follows the text."""
-    made = deduplicated(docs, "doc_id", "text")
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        made = made.withColumn(
-            "n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars"))
-        )
-    return made.select(*docs.columns)
+    made = _without_repeats(docs, "doc_id", "text")
+
+    def carried(name: str):
+        if name in ("doc_id", "text"):
+            return F.col(name)
+        value = F.col("rest").getField(name)
+        if name == "n_chars":
+            length = F.length("text").cast(docs.schema[name].dataType)
+            value = F.when(F.col("n_dropped") > 0, length).otherwise(value)
+        return value.alias(name)
+
+    return made.select(*map(carried, docs.columns))
 
 
 @query("op8_line_dedup")
