@@ -210,6 +210,15 @@ def test_line_links_against_brute_force(spark):
     assert all((t == a).all() for t, a in zip(together, alone))
 
 
+def test_lines_with_equal_sets_of_shingles(spark):
+    """Rulers and repeated phrases of any length have equal sets, so one of each kind stays."""
+    texts = ["-" * n for n in (10, 20, 400)] + ["ha " * n + "ha" for n in (10, 40, 900)]
+    texts += ["=" * 12, "na na batman " * 5 + "na", "na na batman " * 30 + "na"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {r.doc_id: r.n_dropped for r in lines.deduplicated(frame, "doc_id", "text").collect()}
+    assert made == {0: 0, 1: 1, 2: 1, 3: 0, 4: 1, 5: 1, 6: 0, 7: 0, 8: 1}
+
+
 def test_classifier_agrees_with_labels(spark):
     folder = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -102,8 +102,12 @@ class LineSigner:
         keys = (least.reshape(len(lines), BANDS, ROWS) * self._row).sum(axis=2, dtype=_U64)
         keys = _mixed(keys * self._band + self._band)
         bits = (_mixed(least[:, :SKETCH_BITS]) & _U64(1)) << np.arange(SKETCH_BITS, dtype=_U64)
-        # Steps of a quarter: similar lines' sizes are at most two steps apart.
-        step = np.minimum(np.log(counts) / np.log(4 / 3), 2**SIZE_BITS - 1).astype(_U64)
+        # Steps of a quarter of the distinct shingles: similar lines are at most two steps apart.
+        line = np.repeat(np.arange(len(lines), dtype=_U64), counts)
+        each = np.sort(line << _U64(40) | hashes & _U64((1 << 40) - 1))
+        fresh = np.diff(each, prepend=~each[:1]) != 0
+        sizes = np.bincount((each[fresh] >> _U64(40)).astype(np.int64), minlength=len(lines))
+        step = np.minimum(np.log(sizes) / np.log(4 / 3), 2**SIZE_BITS - 1).astype(_U64)
         sketch = bits.sum(axis=1, dtype=_U64) | step << _U64(SKETCH_BITS)
         return (keys >> _U64(_TAIL) << _U64(_TAIL) | sketch[:, None]).view(np.int64)
 
