@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 import public_tokenizers
 from compare import difference, duck
@@ -210,6 +211,43 @@ def test_line_links_against_brute_force(spark):
     assert all((t == a).all() for t, a in zip(together, alone))
 
 
+def test_crowded_band_of_lines_against_brute_force(spark):
+    """Thousands of lines of one template, 0.6-0.8 alike, few of which have a partner."""
+    pick, texts = random.Random(5), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    head = "the service has accepted a new request of the customer and will answer it before "
+    for i in range(2000):
+        own = "".join(pick.choices(letters, k=18))
+        texts.append(head + own)
+        if i % 5 == 0:
+            texts.append(head + own[:12] + "".join(pick.choices(letters, k=6)))
+    pick.shuffle(texts)
+    grams = [{t[i : i + 5] for i in range(len(t) - 4)} for t in texts]
+    number = {g: n for n, g in enumerate(set().union(*grams))}
+    rows = np.zeros((len(texts), len(number)), np.float32)
+    for row, made in zip(rows, grams):
+        row[[number[g] for g in made]] = 1
+    rows = rows[:, rows.sum(axis=0) > 1]
+    common, sizes = rows @ rows.T, np.array(list(map(len, grams)))
+    linked = 100 * common >= 75 * (sizes[:, None] + sizes - common)
+    links = list(zip(*np.nonzero(np.triu(linked, 1))))
+    assert len(links) >= 300 and np.median(common / (sizes[:, None] + sizes - common)) > 0.6
+
+    def named(links):
+        group = np.arange(len(texts))
+        for a, b in links:
+            x, y = sorted((group[a], group[b]))
+            group[group == y] = x
+        return group.tolist()
+
+    group = named(links)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {r.doc_id: r.n_dropped == 0 for r in lines.deduplicated(frame, "doc_id", "text").collect()}
+    wrong = [i for i in made if made[i] != (group[i] == i)]
+    assert len(wrong) <= 0.002 * len(texts)
+    assert named(zip(*lines.ShingleSets().joining(texts, np.arange(len(texts))))) == group
+
+
 def test_lines_with_equal_sets_of_shingles(spark):
     """Rulers and repeated phrases of any length have equal sets, so one of each kind stays."""
     texts = ["-" * n for n in (10, 20, 400)] + ["ha " * n + "ha" for n in (10, 40, 900)]

@@ -27,6 +27,10 @@ ENDS = 4
 BLOCK, SEEN = 1 << 16, 200_000
 #: Pairs of lines that are compared at a time.
 TOGETHER = 200
+#: Distinct lines of a band up to which the first and the previous one are all the others.
+WHOLE = 3
+#: Lines and characters of a part of a crowded band; larger bands are compared part by part.
+PART_LINES, PART_CHARS = 1000, 1 << 22
 
 _U64 = np.uint64
 _TAIL = SIZE_BITS + SKETCH_BITS
@@ -204,9 +208,11 @@ def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
     )
 
 
-def band_pairs(lines: DataFrame) -> DataFrame:
+def band_pairs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs ``k1`` - ``other`` of lines that share a band and have sketches that allow a link.
 
+    Also the lines ``run``, ``k1`` of crowded bands, in which these are not all the pairs.
+
     Rows are sorted by band over all partitions, so a band of any size may be cut.  Within one,
     each line is paired with the first and with the one before, which has the nearest sketch of
     those sorted before it.  First keys stand for lines here; should two lines have the same
@@ -217,8 +223,10 @@ def band_pairs(lines: DataFrame) -> DataFrame:
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, bands = np.empty(0, np.int64), np.empty(0, np.int64)
-        first, last = None, None
+        first, last, counted = None, None, 0
         for batch in batches:
+            if not batch.num_rows:
+                continue
             carried = len(bands)
             bands = np.concatenate([bands, batch.column(0).to_numpy()])
             keys = np.concatenate([keys, batch.column(1).to_numpy()])
@@ -226,6 +234,15 @@ def band_pairs(lines: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.diff(runs, prepend=runs[0] - 1))
             leader = np.repeat(starts, np.diff(starts, append=len(runs)))
             here = np.arange(carried, len(runs))
+            fresh = np.ones(len(runs), np.int64)
+            fresh[1:] = (np.diff(bands) != 0) | (np.diff(keys) != 0)
+            count = np.cumsum(fresh)
+            count -= count[leader] - 1
+            if carried:
+                count[leader == 0] += counted - count[carried - 1]
+            counted = count[-1]
+            crowded = np.unique(runs[here][count[here] > WHOLE])
+            yield _rows(crowded, crowded, None, True)
             a, b = [], []
             for there in (leader[here], np.maximum(here - 1, leader[here])):
                 good = (keys[here] != keys[there]) & _alike(bands[here], bands[there])
@@ -244,14 +261,37 @@ def band_pairs(lines: DataFrame) -> DataFrame:
                 yield _rows(*end, head)
         if first is not None:
             yield _rows(keys[:1], bands[:1], False)
+            # Bands at the ends may be crowded together with another partition's lines.
+            edges = np.array([first[1][0], last[1][-1]]) >> _TAIL
+            yield _rows(edges, edges, None, True)
 
-    def _rows(k1, other, head) -> pa.RecordBatch:
+    def _rows(k1, other, head, crowd=False) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(k1), pa.array(other), pa.array([head] * len(k1), pa.bool_())],
-            ["k1", "other", "head"],
+            [
+                pa.array(k1),
+                pa.array(other),
+                pa.array([head] * len(k1), pa.bool_()),
+                pa.array([crowd] * len(k1), pa.bool_()),
+            ],
+            ["k1", "other", "head", "crowd"],
         )
 
-    found = written(rows.mapInArrow(pair, "k1 long, other long, head boolean"), "band-pairs")
+    found = written(
+        rows.mapInArrow(pair, "k1 long, other long, head boolean, crowd boolean"), "band-pairs"
+    )
+    crowds = written(found.where("crowd").select(F.col("k1").alias("run")).distinct(), "crowds")
+    runs = lines.where("bands is not null").select(
+        "k1", F.explode(F.transform("bands", lambda b: F.shiftright(b, _TAIL))).alias("run")
+    )
+    members = written(
+        possible(runs, F.col("run"), crowds)
+        .where("_possible")
+        .join(crowds, "run", "left_semi")
+        .select("run", "k1")
+        .distinct(),
+        "crowd-members",
+    )
+    found = found.where("not crowd")
     # The ends of partitions (a few rows each), where a band may go on in the next one.
     ends = found.where("head is not null").select(
         "k1", F.shiftright("other", _TAIL).alias("band"), F.col("other").alias("x"), "head"
@@ -263,25 +303,30 @@ def band_pairs(lines: DataFrame) -> DataFrame:
         .where("k1 != k")
         .select(F.least("k1", "k").alias("k1"), F.greatest("k1", "k").alias("other"))
     )
-    return found.where("head is null").select("k1", "other").unionByName(across).distinct()
-
+    pairs = found.where("head is null").select("k1", "other").unionByName(across).distinct()
+    return pairs, members
 
-def similar(pairs: DataFrame, df: DataFrame, text: str) -> DataFrame:
-    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough.
 
-    Texts are cut out of ``df`` again for the lines of pairs only.
-    """
+def wanted_texts(pairs: DataFrame, members: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """``k1``, ``k2``, ``line`` of the lines of pairs and of crowded bands, cut out of ``df`` again."""
     wanted = written(
-        pairs.select(F.explode(F.array("k1", "other")).alias("k1")).distinct(), "wanted-lines"
+        pairs.select(F.explode(F.array("k1", "other")).alias("k1"))
+        .unionByName(members.select("k1"))
+        .distinct(),
+        "wanted-lines",
     )
     marked = possible(line_texts(df, text), F.col("k1"), wanted).where("_possible")
-    texts = written(
+    return written(
         marked.select("k1", "k2", "line")
         .join(wanted, "k1", "left_semi")
         .dropDuplicates(["k1", "k2"]),
         "line-texts",
         "zstd",
     )
+
+
+def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough."""
     key = F.struct("k1", "k2")
     mine = texts.select("k1", key.alias("a"), F.col("line").alias("x"))
     theirs = texts.select(F.col("k1").alias("other"), key.alias("b"), F.col("line").alias("y"))
@@ -299,6 +344,92 @@ def similar(pairs: DataFrame, df: DataFrame, text: str) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, f"a {node}, b {node}")
 
 
+def crowd_links(members: DataFrame, texts: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Links ``a`` - ``b`` that join what is still apart in crowded bands.
+
+    ``grouped`` has the groups of lines linked so far.  A band whose lines are all in one group is
+    settled.  In any other, every line is compared with all lines of other groups, exactly; large
+    bands are cut into parts, and each two parts meet in a task of their own.
+    """
+    named = written(
+        texts.join(
+            grouped.select(
+                F.col("node.k1").alias("k1"),
+                F.col("node.k2").alias("k2"),
+                F.col("component.k1").alias("c1"),
+                F.col("component.k2").alias("c2"),
+            ),
+            ["k1", "k2"],
+            "left",
+        ).select(
+            "k1", "k2", "line", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2")
+        ),
+        "named-lines",
+        "zstd",
+    )
+    group = F.struct("c1", "c2")
+    open_runs = written(
+        members.join(named.select("k1", "c1", "c2", F.length("line").alias("size")), "k1")
+        .groupBy("run")
+        .agg(
+            F.min(group).alias("low"),
+            F.max(group).alias("high"),
+            F.greatest(
+                F.ceil(F.count("*") / PART_LINES), F.ceil(F.sum("size") / PART_CHARS)
+            ).alias("parts"),
+        )
+        .where("low != high")
+        .select("run", "parts"),
+        "open-bands",
+    )
+    part = F.pmod(F.xxhash64("k1"), "parts").cast("int")
+    dealt = (
+        members.join(open_runs, "run")
+        .select("run", "k1", part.alias("x"), F.explode(F.expr("sequence(0, cast(parts - 1 as int))")).alias("y"))
+        .select("run", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "k1")
+        .join(named, "k1")
+        .repartition("run", "x", "y")
+        .sortWithinPartitions("run", "x", "y")
+    )
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = ShingleSets()
+        for part in _parts(batches):
+            k = [np.asarray(part.column(at)) for at in range(3, 7)]
+            _, group = np.unique(np.stack(k[2:], axis=1), axis=0, return_inverse=True)
+            a, b = sets.joining(part.column(7).to_pylist(), group.ravel())
+            halves = [pa.array(k[0]), pa.array(k[1])]
+            nodes = pa.StructArray.from_arrays(halves, ["k1", "k2"])
+            yield pa.RecordBatch.from_arrays(
+                [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], ["a", "b"]
+            )
+
+    node = "struct<k1: bigint, k2: bigint>"
+    return dealt.select("run", "x", "y", "k1", "k2", "c1", "c2", "line").mapInArrow(
+        settle, f"a {node}, b {node}"
+    )
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each part of a band, which stand together, whatever the batches."""
+    kept: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([np.asarray(batch.column(at)).astype(np.int64) for at in range(3)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+        for start, end in zip(cuts, cuts[1:]):
+            key = tuple(keys[start])
+            if key != last and kept:
+                yield pa.concat_tables(kept).combine_chunks()
+                kept = []
+            last = key
+            kept.append(pa.Table.from_batches([batch.slice(start, end - start)]))
+    if kept:
+        yield pa.concat_tables(kept).combine_chunks()
+
+
 class ShingleSets:
     """Sets of hashed shingles; those of the last lines are kept, up to a number of shingles."""
 
@@ -318,6 +449,41 @@ class ShingleSets:
                 self._sets[line] = made[np.diff(made, prepend=~made[:1]) != 0]
             self._held += len(hashes)
 
+    def joining(self, lines: list[str], group: np.ndarray) -> tuple[list[int], list[int]]:
+        """Places of two lines each: links that join all groups which similar lines join.
+
+        Similar lines share one of the rarest shingles of each, of which a quarter is looked at;
+        lines that do are then compared on all shingles.
+        """
+        self._load(set(lines))
+        sets = [self._sets[line] for line in lines]
+        sizes = np.array([len(s) for s in sets])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.lexsort((token, count[token], owner))
+        rank = np.arange(len(token)) - ends[owner]
+        # Of n shingles at least three quarters are common, so one of these stands on both sides.
+        prefix = np.zeros(len(token), bool)
+        prefix[order] = rank < (sizes - -(-PERCENT * sizes // 100) + 1)[owner]
+        looked = _Postings(token, owner, prefix & (count[token] > 1))
+        every = _Postings(token, owner, count[token] > 1)
+        group, a, b = group.copy(), [], []
+        for i in range(len(sets)):
+            mine = token[ends[i] : ends[i + 1]]
+            near = looked.of(mine[prefix[ends[i] : ends[i + 1]]])
+            near = near[(near > i) & (group[near] != group[i])]
+            if not len(near):
+                continue
+            near = np.unique(near)
+            common = np.bincount(every.of(mine), minlength=len(sets))[near]
+            for j in near[100 * common >= PERCENT * (sizes[i] + sizes[near] - common)]:
+                if group[i] != group[j]:
+                    a.append(i)
+                    b.append(int(j))
+                    group[group == group[j]] = group[i]
+        return a, b
+
     def alike(self, left: list[str], right: list[str]) -> list[bool]:
         """Whether each line on the left is similar enough to the one on the right."""
         self._load({*left, *right})
@@ -334,6 +500,21 @@ class ShingleSets:
         return 100 * common >= PERCENT * (less + more - common)
 
 
+class _Postings:
+    """The owners of each token, of those entries that are marked."""
+
+    def __init__(self, token: np.ndarray, owner: np.ndarray, marked: np.ndarray):
+        token, owner = token[marked], owner[marked]
+        order = np.argsort(token, kind="stable")
+        self._token, self._owner = token[order], owner[order]
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        start = np.searchsorted(self._token, tokens)
+        size = np.searchsorted(self._token, tokens, "right") - start
+        skip = np.repeat(start - np.cumsum(size) + size, size)
+        return self._owner[np.arange(len(skip)) + skip]
+
+
 def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """``doc`` and ``dropped``: the numbers of the lines of each document that go.
 
@@ -343,8 +524,13 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     lines have the same numbers.
     """
     lines = written(places(df, id_col, text), "lines")
-    pairs = written(band_pairs(lines), "line-pairs")
-    grouped = components(similar(pairs, df, text)).select(
+    pairs, members = band_pairs(lines)
+    pairs = written(pairs, "line-pairs")
+    texts = wanted_texts(pairs, members, df, text)
+    first = written(components(similar(pairs, texts)), "first-groups")
+    more = crowd_links(members, texts, first)
+    stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    grouped = components(stars.unionByName(more)).select(
         F.col("node.k1").alias("k1"),
         F.col("node.k2").alias("k2"),
         F.col("component.k1").alias("c1"),
