@@ -265,6 +265,27 @@ def test_classifier_agrees_with_labels(spark):
     assert sum(made[d] for d, q in truth.items() if q) >= 0.99 * sum(truth.values())
 
 
+def test_variety_reads_every_word():
+    """Repetition anywhere in a text counts the same, and no length makes the measure jump."""
+    own, same = [f"w{i}" for i in range(2000)], ["again"] * 2000
+    first, last = (weak.measured(w, " ".join(w))[-1] for w in (same + own, own + same))
+    assert first == last and abs(first - 0.5) < 0.01
+    words = prose(7, 401).split()
+    short, long = (weak.measured(w, " ".join(w))[-1] for w in (words[:400], words))
+    assert abs(short - long) < 0.005
+
+
+def test_training_reads_whole_texts(spark):
+    text = prose(8, 5000)
+    seen = []
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(weak.Scorer, "trained", lambda rows, epochs: seen.extend(rows))
+        weak.train(frame, "doc_id", "text")
+    slots, values = weak.features(text.split(), weak.measured(text.split(), text))
+    assert len(text) > 20_000 and (seen[0][0] == slots).all() and (seen[0][1] == values).all()
+
+
 def test_pipeline(spark, odd):
     docs = documents(spark, odd)
     for name, stage in corpus_pipeline.STAGES[:-1]:

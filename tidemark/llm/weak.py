@@ -23,6 +23,8 @@ FALSE_VOTES = 0.001
 DIMENSIONS = 1 << 16
 #: Rounds of expectation-maximisation and of training.
 ROUNDS, EPOCHS = 50, 12
+#: Words of a window in which repeated words are counted.
+WINDOW = 400
 #: Words whose features a worker keeps.
 KEPT_WORDS = 300_000
 
@@ -37,7 +39,7 @@ BORDERS = {
     "again": 0.40,  # three-word runs that stood there before
     "lines": 0.40,  # lines that stood there before
     "wordless": 0.40,  # words without a letter
-    "variety": 0.80,  # words that stood there before
+    "variety": 0.80,  # words that stood in their window before
 }
 
 
@@ -53,10 +55,16 @@ def measured(words: list[str], text: str) -> list[float]:
         1 - len(set(zip(words, words[1:], words[2:]))) / runs if n > 2 else 0.0,
         1 - len(set(lines)) / max(len(lines), 1),
         sum(1 for w in words if not w[0].isalpha() and not LETTERS.search(w)) / n,
-        1 - len(set(words)) / n if n <= 400 else 1 - len(set(words[: n // 2])) / (n // 2),
+        repeated(words),
     ]
 
 
+def repeated(words: list[str]) -> float:
+    """The share of words that stood in their window of ``WINDOW`` words before; over all words."""
+    n = len(words)
+    return 1 - sum(len(set(words[at : at + WINDOW])) for at in range(0, n, WINDOW)) / n
+
+
 def votes(measures: list[float]) -> str:
     """One letter per labeller: b(ad) or - (abstains)."""
     return "".join("b" if m >= border else "-" for m, border in zip(measures, BORDERS.values()))
@@ -187,19 +195,43 @@ def train(df: DataFrame, id_col: str, text: str, rows: int = TRAINING_ROWS) -> S
     chosen = written(
         df.select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(rows), "training-ids"
     )
-    texts = (
-        df.select(id_col, F.substring(text, 1, 20_000).alias("text"))
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots, values, patterns = [], [], []
+            for one in batch.column(1).to_pylist():
+                words = (one or "").split()
+                m = measured(words, one) if words else None
+                found = features(words, m) if words else (None, None)
+                slots.append(found[0])
+                values.append(found[1])
+                patterns.append(votes(m) if words else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(slots, pa.list_(pa.int64())),
+                    pa.array(values, pa.list_(pa.float64())),
+                    pa.array(patterns, pa.string()),
+                ],
+                ["id", "slots", "values", "votes"],
+            )
+
+    # Features of whole texts are made where the texts are; they are bounded by the dimensions.
+    found = (
+        df.select(F.col(id_col), F.col(text).alias("_text"))
         .join(F.broadcast(chosen), id_col)
         .limit(rows)
+        .select(F.col(id_col).alias("id"), "_text")
+        .mapInArrow(made, f"id {kind}, slots array<bigint>, values array<double>, votes string")
+        .where("votes is not null")
         .collect()
     )
-    made = []
-    for r in sorted(texts, key=lambda r: zlib.crc32(str(r[0]).encode())):
-        words = (r["text"] or "").split()
-        if words:
-            m = measured(words, r["text"])
-            made.append((*features(words, m), labels.get(votes(m), 0.5)))
-    return Scorer.trained(made, EPOCHS)
+    made_of = [
+        (np.array(r["slots"]), np.array(r["values"]), labels.get(r["votes"], 0.5))
+        for r in sorted(found, key=lambda r: zlib.crc32(str(r["id"]).encode()))
+    ]
+    return Scorer.trained(made_of, EPOCHS)
 
 
 def classify(df: DataFrame, id_col: str, text: str, rows: int = TRAINING_ROWS) -> DataFrame:
