@@ -175,6 +175,18 @@ def test_learned_formats_on_held_out_credentials():
     assert not any(grammar.accepts(secrets.symbols(w)) for w in words)
 
 
+def test_rare_kinds_of_credentials_are_learned(spark):
+    """One kind in one of 6000 documents, far from its start; short ones are scored, words not."""
+    drawn = ["%040x" % random.Random(i).getrandbits(160) for i in range(60)]
+    rows = [(i, prose(i, 10)) for i in range(6000)]
+    rows[77] = (77, prose(77, 4000) + "".join(f"\ntoken={t[:12]}" for t in drawn[:40]))
+    rows[78] = (78, f"an extraordinarily long sentence {drawn[50][:12]} representative")
+    found = secrets.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"
+    ).where("doc_id = 78").first()["found"]
+    assert [(s["kind"], rows[78][1][s["start"] : s["end"]]) for s in found] == [("format", drawn[50][:12])]
+
+
 def test_lines(spark):
     base = "the quick brown fox jumps over the lazy dog while seven wizards mix strange potions"
     texts = [base, base.replace("seven", "eight") + "\nan entirely different line of text", base, None]

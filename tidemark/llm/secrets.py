@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import documents, query
+from tidemark.llm.shared import documents, query, written
 
 #: The patterns of the base kinds and the least length of what they find.
 ASSIGN = re.compile(
@@ -25,12 +25,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGNED_LEAST = 8
 KINDS = ("assign", "access", "hex")
 
-#: Strings that are scored by format: long runs of credential characters, digits and letters.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+#: Strings that are scored by format: all runs of credential characters but the full stop.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 
-#: Documents sampled for labelled credentials, and the most credentials of a kind to learn from.
-SAMPLE_DOCUMENTS, EXAMPLES = 4000, 400
+#: The most credentials of a kind that an automaton is inferred from.
+EXAMPLES = 400
+#: Thresholds are rounded down to so many steps of one.
+STEPS = 1000
 #: Confidence of the merge test, and the share of examples that may score below the threshold.
 ALPHA, MISSED = 0.05, 0.05
 
@@ -172,24 +173,109 @@ class Grammar:
         return any(self.odds(kind, shape) >= self.thresholds[kind] for kind in self.automata)
 
 
+def labelled(text: str) -> Iterator[tuple[str, str]]:
+    """Kind and value of the credentials that the fixed patterns find."""
+    for start, end, kind in base_spans(text):
+        yield kind, ASSIGN.match(text, start)[1] if kind == "assign" else text[start:end]
+
+
+def plain_symbols(text: str) -> Counter[str]:
+    """How often each class of characters stands in a text, blanks and line feeds left out."""
+    made: Counter[str] = Counter()
+    for c, n in Counter(text).items():
+        if c not in " \n":
+            made[symbols(c)] += n
+    return made
+
+
+def inferred(shapes: dict[str, Sequence[str]], plain: dict[str, int], alpha: float) -> Grammar:
+    """A grammar whose thresholds are still open."""
+    total = sum(plain.values()) + 5
+    background = {c: math.log((plain.get(c, 0) + 1) / total) for c in "fzA0-"}
+    automata = {k: Automaton.inferred(sorted(shapes[k]), alpha) for k in KINDS if shapes.get(k)}
+    return Grammar(automata, {}, background)
+
+
+def threshold(steps: dict[int, int]) -> float:
+    """The step that all but a share of the labelled credentials reach, from counts of steps."""
+    left = int(sum(steps.values()) * MISSED)
+    for step in sorted(steps):
+        left -= steps[step]
+        if left < 0:
+            return max(step / STEPS, 0.0)
+    return math.inf
+
+
 def learn(texts: Sequence[str], examples: int = EXAMPLES, alpha: float = ALPHA) -> Grammar:
     """A grammar from the credentials and the ordinary words of some texts."""
-    labelled: dict[str, list[str]] = defaultdict(list)
+    shapes: dict[str, list[str]] = defaultdict(list)
     plain: Counter[str] = Counter()
     for text in texts:
-        for start, end, kind in base_spans(text):
-            value = ASSIGN.match(text, start)[1] if kind == "assign" else text[start:end]
-            if len(labelled[kind]) < examples:
-                labelled[kind].append(symbols(value))
-        plain.update(symbols(text[:2000].replace(" ", "").replace("\n", "")))
-    total = sum(plain.values()) + 5
-    background = {c: math.log((plain[c] + 1) / total) for c in "fzA0-"}
-    made = Grammar({}, {}, background)
-    for kind in KINDS:
-        if labelled[kind]:
-            made.automata[kind] = Automaton.inferred(sorted(labelled[kind]), alpha)
-            odds = sorted(made.odds(kind, shape) for shape in labelled[kind])
-            made.thresholds[kind] = max(odds[int(len(odds) * MISSED)], 0.0)
+        for kind, value in labelled(text):
+            shapes[kind].append(symbols(value))
+        plain.update(plain_symbols(text))
+    made = inferred({k: v[:examples] for k, v in shapes.items()}, plain, alpha)
+    for kind in made.automata:
+        steps = Counter(math.floor(made.odds(kind, shape) * STEPS) for shape in shapes[kind])
+        made.thresholds[kind] = threshold(steps)
+    return made
+
+
+def learned(df: DataFrame, text: str, examples: int = EXAMPLES, alpha: float = ALPHA) -> Grammar:
+    """A grammar from all rows: every credential counts for thresholds, every character for the
+    background; automata are inferred from at most ``examples`` values a kind, by a hash."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made: Counter[tuple[str, int, str]] = Counter()
+            for one in batch.column(0).to_pylist():
+                for kind, value in labelled(one or ""):
+                    digest = hashlib.blake2b(value.encode(), digest_size=8).digest()
+                    made[kind, int.from_bytes(digest, "big", signed=True), symbols(value)] += 1
+                for c, n in plain_symbols(one or "").items():
+                    made["plain", 0, c] += n
+            kinds, keys, shapes = zip(*made) if made else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(kinds, pa.string()),
+                    pa.array(keys, pa.int64()),
+                    pa.array(shapes, pa.string()),
+                    pa.array(made.values(), pa.int64()),
+                ],
+                ["kind", "key", "shape", "n"],
+            )
+
+    counted = df.select(text).mapInArrow(count, "kind string, key long, shape string, n long")
+    counted = written(counted.groupBy("kind", "key", "shape").agg(F.sum("n").alias("n")), "labelled")
+    plain = {r["shape"]: r["n"] for r in counted.where("kind = 'plain'").collect()}
+    shapes = {
+        kind: [
+            r["shape"]
+            for r in counted.where(F.col("kind") == kind).orderBy("key", "shape").limit(examples).collect()
+        ]
+        for kind in KINDS
+    }
+    made = inferred(shapes, plain, alpha)
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odds = functools.lru_cache(50_000)(made.odds)
+        for batch in batches:
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            steps = pa.array([math.floor(odds(*pair) * STEPS) for pair in pairs], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), steps, batch.column(2)], ["kind", "step", "n"]
+            )
+
+    rated = (
+        counted.where("kind != 'plain'")
+        .select("kind", "shape", "n")
+        .mapInArrow(rate, "kind string, step long, n long")
+        .groupBy("kind", "step")
+        .agg(F.sum("n").alias("n"))
+        .collect()
+    )
+    for kind in made.automata:
+        made.thresholds[kind] = threshold({r["step"]: r["n"] for r in rated if r["kind"] == kind})
     return made
 
 
@@ -198,34 +284,25 @@ def spans(text: str, grammar: Grammar, accepts) -> list[tuple[int, int, str]]:
     base = base_spans(text)
     found = list(base)
     for m in CANDIDATE.finditer(text):
-        mixed = DIGIT.search(m[0]) and LETTER.search(m[0])
-        if mixed and not any(s < m.end() and m.start() < e for s, e, _ in base):
+        if not any(s < m.end() and m.start() < e for s, e, _ in base):
             if accepts(symbols(m[0])):
                 found.append((m.start(), m.end(), "format"))
     order = (*KINDS, "format")
     return sorted(found, key=lambda s: (s[0], order.index(s[2])))
 
 
-def sample_texts(df: DataFrame, id_col: str, text: str, rows: int) -> list[str]:
-    """The texts of at most ``rows`` ids, chosen by a hash of the id."""
-    chosen = df.select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(rows)
-    found = df.select(id_col, text).join(F.broadcast(chosen), id_col, "left_semi").limit(rows)
-    # Long texts are cut for learning only, so the sample has a fixed size.
-    return [r[0] or "" for r in found.select(F.substring(text, 1, 20_000)).collect()]
-
-
 def find_secrets(
-    df: DataFrame, id_col: str, text: str, sample_rows: int = SAMPLE_DOCUMENTS
+    df: DataFrame, id_col: str, text: str, examples: int = EXAMPLES
 ) -> DataFrame:
     """One row per input row with its spans.
 
-    Credentials that the fixed patterns find in a bounded sample of documents label the formats;
-    one automaton for each kind is inferred from them, and every candidate string of every whole
-    text is scored by all automata.  Strings at or above a kind's threshold are added as kind
+    Credentials that the fixed patterns find in any document label the formats; one automaton for
+    each kind is inferred from a bounded number of them, thresholds and background come from all,
+    and every candidate string of every whole text is scored by all automata.  Strings at or above a kind's threshold are added as kind
     ``format``.  Null texts are empty.  Without any labelled credential only base spans are given.
     Columns: id, ``found`` (array of kind, start, end; code points, end exclusive).
     """
-    grammar = learn(sample_texts(df, id_col, text, sample_rows))
+    grammar = learned(df, text, examples)
     kind = df.schema[id_col].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
