@@ -17,10 +17,9 @@ from tidemark.llm.shared import documents, query, written
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Phrases of one broadcast trie; more phrases make more tries, each with a pass over the texts.
 TRIE_PHRASES = 1_000_000
-#: Frequent words that are broadcast; if there are more, pairs are counted without looking at them.
-DICTIONARY_WORDS = 1_000_000
-#: Bytes of text that a task cuts into words at a time, and keys it gathers before it hands them on.
-CHUNK_BYTES, GATHERED = 2_000_000, 500_000
+#: Bytes of text that a task cuts into words at a time; names, and states of eight bytes, that it
+#: gathers before it hands them on.
+CHUNK_BYTES, NAMES, STATES = 2_000_000, 500_000, 4_000_000
 
 #: Bytes that end a piece; in UTF-8 they are never part of another character, and 0xFF never occurs.
 ENDS, BREAK = b".,;:!?\n\x0b\x0c\r", b"\xff"
@@ -58,113 +57,88 @@ def word_chunks(batch: pa.RecordBatch, size: int = CHUNK_BYTES) -> Iterator[tupl
         yield words(lang)
 
 
-def _scan(texts: DataFrame, schema: str, gather: Callable, empty: Callable) -> DataFrame:
-    """Rows (tuples) of ``schema`` from a pass over all texts.
+def _scan(texts: DataFrame, schema: str, shard: Callable) -> DataFrame:
+    """Rows of ``schema`` from a pass over all texts, with what ``shard()`` gathers in each task.
 
-    ``gather(state, lang, words)`` adds a chunk to the task's state; ``empty(state)`` hands the
-    state on as rows, once it is large and at the end of the task.
+    It has ``add(lang, words)``, which tells whether it is full, and ``columns()``, which gives
+    all that was added and forgets it.
     """
-    names = [c.split(" ")[0] for c in schema.split(", ")]
-    kinds = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}
-    types = [kinds[c.split(" ")[1]] for c in schema.split(", ")]
+    names, kinds = zip(*(c.split(" ") for c in schema.split(", ")))
+    types = [{"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}[k] for k in kinds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: dict = {}
+        own = shard()
+
+        def rows() -> pa.RecordBatch:
+            made = [pa.array(c, t) for c, t in zip(own.columns(), types)]
+            return pa.RecordBatch.from_arrays(made, list(names))
+
         for batch in batches:
             for lang, words in word_chunks(batch):
-                gather(state, lang, words)
-                if sum(map(len, state.values())) > GATHERED:
-                    yield rows(empty(state))
-                    state.clear()
-        yield rows(empty(state))
-
-    def rows(made) -> pa.RecordBatch:
-        columns = list(zip(*made)) or [[]] * len(names)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], names
-        )
+                if own.add(lang, words):
+                    yield rows()
+        yield rows()
 
     return texts.mapInArrow(run, schema)
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(lang, phrase, a) of every word, counted in the tasks before Spark sums."""
+class NameShard:
+    """Counts by name: (lang, word), or what is made of a text."""
 
-    def gather(state: dict, lang: str, words: list) -> None:
-        state.setdefault(lang, Counter()).update(words)
+    def __init__(self, names: Callable):
+        self.names, self.counts = names, {}
 
-    def empty(state: dict) -> list:
-        return [
-            (lang, w, n) for lang, c in state.items() for w, n in c.items() if w and w != BREAK
+    def add(self, lang: str, words: list) -> bool:
+        self.counts.setdefault(lang, Counter()).update(self.names(lang, words))
+        return sum(map(len, self.counts.values())) > NAMES
+
+    def columns(self) -> list[list]:
+        for counts in self.counts.values():
+            counts.pop(BREAK, None), counts.pop(b"", None)
+        made = [
+            [lang for lang, counts in self.counts.items() for _ in counts],
+            [name for counts in self.counts.values() for name in counts],
+            [n for counts in self.counts.values() for n in counts.values()],
         ]
+        self.counts = {}
+        return made
 
-    shards = _scan(texts, "lang string, phrase binary, a long", gather, empty)
-    return shards.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
+class StateShard:
+    """Counts of accepting states: sorted numbers, each with how often it was reached."""
 
-def _numbered(spark: SparkSession, table: pa.Table, label: str) -> DataFrame:
-    """The rows of a bounded table that the driver holds, with their ``number`` from 0."""
-    numbers = pa.array(np.arange(len(table)), pa.int64())
-    return written(spark.createDataFrame(table.append_column("number", numbers)), label)
+    def __init__(self, reached: Callable, columns: Callable):
+        self.reached, self.named = reached, columns
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
+    def _sum(self) -> int:
+        states = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in self.parts)])
+        counts = np.concatenate([np.zeros(0, np.int64), *(p[1] for p in self.parts)])
+        states, place = np.unique(states, return_inverse=True)
+        self.parts = [(states, np.bincount(place, counts, len(states)).astype(np.int64))]
+        return len(states)
 
-def pair_counts(
-    texts: DataFrame, frequent: DataFrame, least: int, most: int = DICTIONARY_WORDS
-) -> DataFrame:
-    """(lang, phrase, a) of the pairs of frequent words that occur ``least`` times.
+    def add(self, lang: str, words: list) -> bool:
+        self.parts.append(np.unique(self.reached(lang, words), return_counts=True))
+        return sum(len(p[0]) for p in self.parts) > 2 * STATES and self._sum() > STATES
 
-    The trie of all pairs of a dictionary is complete: the state after two words is a number, row
-    times size plus column, and needs no arrays; only states that occur are counted.  A dictionary
-    of more than ``most`` words is not broadcast; then all pairs are counted, which is as exact.
-    """
-    spark = texts.sparkSession
-    if frequent.count() > most:
-
-        def gather(state: dict, lang: str, words: list) -> None:
-            clean = [w for w in words if w]
-            pairs = Counter(zip(clean, clean[1:]))
-            state.setdefault(lang, Counter()).update(pairs)
-
-        def empty(state: dict) -> list:
-            return [
-                (lang, b" ".join(pair), n)
-                for lang, c in state.items()
-                for pair, n in c.items()
-                if BREAK not in pair
-            ]
-
-        shards = _scan(texts, "lang string, phrase binary, a long", gather, empty)
-        pairs = shards.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
-        return pairs.where(F.col("a") >= least)
-
-    table = frequent.select("lang", "phrase").toArrow()
-    sent = spark.sparkContext.broadcast(
-        (table.column("lang").to_pylist(), table.column("phrase").to_pylist())
+    def columns(self) -> list[np.ndarray]:
+        self._sum()
+        (states, counts), self.parts = self.parts[0], []
+        return [*self.named(states), counts]
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(lang, phrase, a) of every word, counted in the tasks before Spark sums."""
+    shards = _scan(
+        texts, "lang string, phrase binary, a long", lambda: NameShard(lambda lang, words: words)
     )
-    size = len(table)
-    numbers: dict[str, dict] = {}  # of a worker
-
-    def gather(state: dict, lang: str, words: list) -> None:
-        if not numbers:
-            for i, (of, word) in enumerate(zip(*sent.value)):
-                numbers.setdefault(of, {})[word] = i
-        known = numbers.get(lang, {})
-        at = np.array([known.get(w, -1) for w in words if w], np.int64)
-        both = (at[:-1] >= 0) & (at[1:] >= 0)
-        keys, counts = np.unique(at[:-1][both] * size + at[1:][both], return_counts=True)
-        state.setdefault("pairs", Counter()).update(dict(zip(keys.tolist(), counts.tolist())))
-
-    def empty(state: dict) -> list:
-        return [(*divmod(key, size), n) for c in state.values() for key, n in c.items()]
-
-    shards = _scan(texts, "first long, second long, a long", gather, empty)
-    pairs = shards.groupBy("first", "second").agg(F.sum("a").alias("a"))
-    pairs = written(pairs.where(F.col("a") >= least), "pair-numbers")
-    named = _numbered(spark, table, "word-numbers")
-    first = named.select("lang", F.col("phrase").alias("_first"), F.col("number").alias("first"))
-    second = named.select(F.col("phrase").alias("_second"), F.col("number").alias("second"))
-    phrase = F.concat("_first", F.lit(b" "), "_second").alias("phrase")
-    return pairs.join(first, "first").join(second, "second").select("lang", phrase, "a")
+    return shards.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+
+
+def _numbered(df: DataFrame, label: str) -> DataFrame:
+    """The rows with a ``number`` that stays, as it is written."""
+    return written(df.withColumn("number", F.monotonically_increasing_id()), label)
 
 
 @dataclass
@@ -175,7 +149,7 @@ class Trie:
     words: dict[bytes, int]
     base: np.ndarray
     check: np.ndarray
-    leaves: np.ndarray  # the accepting state of each phrase
+    phrases: np.ndarray  # of each accepting state, the number of its phrase
 
     def step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states, and where there is one."""
@@ -250,64 +224,97 @@ def build_trie(langs: pa.Array, phrases: pa.Array) -> Trie:
         base[parent], check[place] = place - word, parent
         states = place[own]
     size = int(used.nonzero()[0][-1]) + 2  # the last one leads nowhere, for steps beyond the end
-    return Trie(starts, words, base[:size], check[:size], states)
+    phrase_of = np.zeros(size, np.int64)
+    phrase_of[states] = np.arange(len(states))
+    return Trie(starts, words, base[:size], check[:size], phrase_of)
 
 
-def trie_pass(
-    texts: DataFrame, candidates: DataFrame, length: int, most: int = TRIE_PHRASES
-) -> DataFrame | None:
-    """Counts of all candidates, and the longer phrases that can be frequent where they occur.
+def longer_counts(
+    texts: DataFrame, frequent: DataFrame, length: int, least: int, most: int = TRIE_PHRASES
+) -> DataFrame:
+    """(lang, phrase, a) of the phrases one word longer that occur ``least`` times.
 
-    Rows (lang, phrase, word, a): of a candidate itself ``word`` is null; else ``word`` comes
-    after the phrase somewhere, and ``a`` is null.  With one trie a word is listed only if the
-    candidate that begins one word later stands there too; with several, whose candidates lie in
-    other tries, the caller has to check that.  So candidates grow with what occurs in the texts
-    and not with all that could be joined.
+    ``frequent`` are all frequent phrases of ``length`` words.  By Apriori a longer phrase can be
+    frequent only if it begins and, one word on, ends with one of them.  So candidates are pairs of
+    accepting states one word apart; the trie's last level is these pairs, numbered and not
+    stored, for all that could be joined grow with the square of a word's neighbours.  Only states
+    that are reached are counted.
+
+    If the phrases take several tries, the end of a phrase may lie in another one; then the next
+    word itself is counted, whatever it is, which is as exact.
     """
-    spark = texts.sparkSession
-    tries = -(-candidates.count() // most)
-    made = None
+    context = texts.sparkSession.sparkContext
+    tries = -(-frequent.count() // most)
+    made = []
     for i in range(tries):
-        own = candidates.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)) == i)
-        table = own.select("lang", "phrase").toArrow().combine_chunks()
+        own = frequent.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)) == i)
+        names = _numbered(own.select("lang", "phrase"), "trie-phrases")
+        table = names.toArrow()  # at most about `most` phrases
         if not len(table):
             continue
         trie = build_trie(*(table.column(c).combine_chunks() for c in ("lang", "phrase")))
-        sent, alone = spark.sparkContext.broadcast(trie), tries == 1
-
-        def gather(state: dict, lang: str, words: list, sent=sent, alone=alone) -> None:
-            trie = sent.value
-            words = [w for w in words if w]
-            at = np.array([trie.words.get(w, 0) for w in words], np.int64)
-            where, states = trie.walk(lang, at, length)
-            own = state.setdefault("counts", {})
-            counts = np.bincount(states, minlength=len(trie.base))
-            own["all"] = own["all"] + counts if "all" in own else counts
-            if length < LONGEST and len(where):
-                follows = where + length < len(words)
-                if alone:
-                    follows &= np.r_[where[1:] == where[:-1] + 1, False]
-                ids = states[follows].tolist()
-                after = (words[i] for i in (where[follows] + length).tolist())
-                state.setdefault("longer", set()).update(zip(ids, after))
-
-        def empty(state: dict, sent=sent) -> Iterator[tuple]:
-            leaves = sent.value.leaves
-            if state:
-                counts = state["counts"]["all"][leaves]
-                for i in np.flatnonzero(counts).tolist():
-                    yield i, None, int(counts[i])
-                phrase_of = dict(zip(leaves.tolist(), range(len(leaves))))
-                for leaf, word in state.get("longer", ()):
-                    if word != BREAK:
-                        yield phrase_of[leaf], word, None
-
-        found = _scan(texts, "number long, word binary, a long", gather, empty)
-        found = found.groupBy("number", "word").agg(F.sum("a").alias("a"))
-        names = _numbered(spark, table, "trie-phrases")
-        named = written(found, "trie-counts").join(names, "number")
-        made = named if made is None else made.unionByName(named)
-    return made
+        sent = context.broadcast((trie, table.column("number").to_numpy()))
+        del table, trie
+        walk = _pairs if tries == 1 else _followers
+        counted = walk(texts, sent, names, length, least)
+        made.append(written(counted, "longer-phrases"))
+        sent.unpersist()
+    whole = made[0]
+    for one in made[1:]:
+        whole = whole.unionByName(one)
+    return whole
+
+
+def _at(trie: Trie, words: list) -> np.ndarray:
+    return np.fromiter((trie.words.get(w, 0) for w in words), np.int64, len(words))
+
+
+def _pairs(texts: DataFrame, sent, names: DataFrame, length: int, least: int) -> DataFrame:
+    """Counts of pairs of phrases of one trie that stand one word apart."""
+
+    def reached(lang: str, words: list) -> np.ndarray:
+        trie, numbers = sent.value
+        where, states = trie.walk(lang, _at(trie, [w for w in words if w]), length)
+        apart = np.flatnonzero(where[1:] == where[:-1] + 1)
+        phrases = trie.phrases[states]
+        return phrases[apart] * len(numbers) + phrases[apart + 1]
+
+    def columns(states: np.ndarray) -> tuple:
+        numbers = sent.value[1]
+        return tuple(numbers[i] for i in np.divmod(states, len(numbers)))
+
+    shards = _scan(
+        texts, "first long, second long, a long", lambda: StateShard(reached, columns)
+    )
+    pairs = shards.groupBy("first", "second").agg(F.sum("a").alias("a"))
+    pairs = written(pairs.where(F.col("a") >= least), "pairs")
+    first = names.withColumnsRenamed({"number": "first", "phrase": "_first"})
+    second = names.select(
+        F.col("number").alias("second"), _cut(F.col("phrase"), length, 1).alias("_last")
+    )
+    phrase = F.concat("_first", F.lit(b" "), "_last").alias("phrase")
+    return pairs.join(first, "first").join(second, "second").select("lang", phrase, "a")
+
+
+def _followers(texts: DataFrame, sent, names: DataFrame, length: int, least: int) -> DataFrame:
+    """Counts of the words that stand after phrases of the trie."""
+
+    def followed(lang: str, words: list) -> Iterator[bytes]:
+        trie, numbers = sent.value
+        words = [w for w in words if w]
+        where, states = trie.walk(lang, _at(trie, words), length)
+        for number, at in zip(numbers[trie.phrases[states]].tolist(), (where + length).tolist()):
+            if at < len(words) and words[at] != BREAK:
+                yield b"%d %b" % (number, words[at])
+
+    shards = _scan(
+        texts, "lang string, phrase binary, a long", lambda: NameShard(followed)
+    )
+    found = shards.groupBy("phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    parts = F.split(F.col("phrase").cast("string"), " ")
+    found = found.select(parts[0].cast("long").alias("number"), parts[1].alias("_last"), "a")
+    phrase = F.concat("phrase", F.lit(b" "), F.col("_last").cast("binary")).alias("phrase")
+    return found.join(names, "number").select("lang", phrase, "a")
 
 
 def _cut(phrase: Column, first: Column | int, count: Column | int) -> Column:
@@ -317,38 +324,18 @@ def _cut(phrase: Column, first: Column | int, count: Column | int) -> Column:
 
 
 def frequent_phrases(
-    texts: DataFrame, least: int = LEAST, most: int = TRIE_PHRASES, words: int = DICTIONARY_WORDS
+    texts: DataFrame, least: int = LEAST, most: int = TRIE_PHRASES
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, n), and (lang, length, phrase, a) of all phrases of 1 to 5 words with a >= least."""
-    everything = written(word_counts(texts), "words")
-    totals = everything.groupBy("lang").agg(F.sum("a").alias("n"))
-    enough = F.col("a") >= least
-    levels = [written(everything.where(enough), "frequent-words")]
-    levels.append(written(pair_counts(texts, levels[0], least, words), "frequent-pairs"))
-    candidates, length = levels[1], 2
-    while length <= LONGEST and not candidates.isEmpty():
-        found = written(trie_pass(texts, candidates, length, most), f"phrases-{length}")
-        if length > 2:
-            counted = found.where(F.col("word").isNull() & enough)
-            levels.append(written(counted.select("lang", "phrase", "a"), "frequent-phrases"))
-        # By Apriori, a phrase can be frequent only if its first and its last words are.
-        known = levels[-1].select("lang", "phrase")
-        longer = F.concat("phrase", F.lit(b" "), "word")
-        listed = found.where("word is not null").join(known, ["lang", "phrase"], "left_semi")
-        listed = listed.select(
-            "lang", longer.alias("_longer"), _cut(longer, 2, length).alias("phrase")
-        )
-        candidates = listed.join(known, ["lang", "phrase"], "left_semi").select(
-            "lang", F.col("_longer").alias("phrase")
-        )
-        candidates = written(candidates.distinct(), "candidates")
-        length += 1
-    all_levels = [
-        level.withColumn("length", F.lit(i)) for i, level in enumerate(levels, 1)
-    ]
-    whole = all_levels[0]
-    for level in all_levels[1:]:
-        whole = whole.unionByName(level)
+    words = written(word_counts(texts), "words")
+    totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
+    level = written(words.where(F.col("a") >= least), "frequent-words")
+    whole = level.withColumn("length", F.lit(1))
+    for length in range(1, LONGEST):
+        if level.isEmpty():
+            break
+        level = longer_counts(texts, level, length, least, most)
+        whole = whole.unionByName(level.withColumn("length", F.lit(length + 1)))
     return totals, whole
 
 
@@ -359,7 +346,6 @@ def collocations(
     least: int = LEAST,
     top: int = TOP,
     most: int = TRIE_PHRASES,
-    words: int = DICTIONARY_WORDS,
 ) -> DataFrame:
     """The ``top`` phrases of 2 to 5 words of each lang: lang, rank, phrase, a, l, r, n, score.
 
@@ -367,16 +353,16 @@ def collocations(
     each; an empty table, or one without a frequent phrase, gives an empty result.  Other columns
     are not looked at.  Equal scores and counts stand in the byte order of their phrases.
 
-    Words are counted first, pairs of frequent words next.  From three words on, candidates are
-    counted by tries of at most ``most`` phrases, broadcast one after the other; each task counts
-    accepting states in an array and Spark sums the arrays.  Candidates are the phrases whose two
-    parts, without the last and without the first word, are frequent, among those that occur.
+    Words are counted first.  Then, for 1 to 4 words, a trie of the frequent phrases is broadcast
+    (of at most ``most`` phrases, else several, one after the other), all positions of the texts
+    walk it at once, and each task counts which phrases stand one word apart; Spark sums.  Passes
+    and broadcasts are bounded by the frequent phrases, not by the candidates.
     """
     texts = df.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.col(text).cast("binary").alias("text"),
     )
-    totals, whole = frequent_phrases(texts, least, most, words)
+    totals, whole = frequent_phrases(texts, least, most)
     counts = whole.select("lang", F.col("phrase").alias("_part"), F.col("a").alias("_count"))
     phrases = whole.where("length > 1")
     # A longer candidate that is as frequent takes the place of both its parts; what lies deeper
