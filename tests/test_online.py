@@ -62,7 +62,54 @@ def test_sync_hides_no_change(spark):
     assert values(store) == {"x": (2.0, "p"), "y": (4.0, "q")}
     # What an earlier base had replaced is gone; the last two bases and new changes are left.
     names = tables.committed_folders(spark, store.path)
-    assert sorted(n.split("-")[0] for n in names) == ["base", "base", "change"]
+    assert sorted(n.split("=")[0] for n in names) == ["_base", "_base", "_change"]
+
+
+def test_lookup_reads_the_buckets_of_its_keys_only(spark):
+    store = online.new_store(spark, "entity_id", ["a", "b"])
+    rows = spark.range(600_000).select(
+        F.concat(F.lit("e"), F.col("id")).alias("entity_id"),
+        F.col("id").cast("double").alias("a"),
+        F.lit("p").alias("b"),
+        F.lit(at(0)).alias("feature_timestamp"),
+    )
+    store.sync(rows)
+    store.upsert(spark.createDataFrame([("e5", -5.0, None, at(1)), ("new", 1.0, "q", at(1))], SCHEMA), 0)
+    asked = [("e5",), ("e7",), ("new",), ("none",), (None,), ("e5",)]
+    keys = spark.createDataFrame(asked, "entity_id string")
+    found = store.lookup(keys)
+    got = {r.entity_id: (r.a, r.b) for r in found.collect()}
+    assert got == {"e5": (-5.0, "p"), "e7": (7.0, "p"), "new": (1.0, "q")}
+    # Of 256 buckets of the base, those of four keys are read, and of one file each.
+    base, _ = store._parts()
+    assert base.bits == 8
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [_bucket" in plan.toString()
+    whole = store._base(base)
+    buckets = {n.n >> (online.MOST_BITS - 8) for n in keys.dropna().select(online.bucket("entity_id", online.MOST_BITS).alias("n")).collect()}
+    read = whole.where(F.col("_bucket").isin(sorted(buckets)))
+    assert len(read.inputFiles()) == 256 and read.count() < 5 * 600_000 / 256 * 1.5
+    files = read.select(F.input_file_name()).distinct().count()
+    assert files == len(buckets) <= 4
+
+
+def test_buckets_nest_and_follow_the_rows(spark):
+    keys = spark.range(1000).select(F.col("id").alias("k"))
+    fine, coarse = online.bucket("k", 14), online.bucket("k", 4)
+    assert keys.where(F.shiftright(fine, 10) != coarse).isEmpty()
+    assert keys.select(online.bucket("k", 0).alias("n")).distinct().count() == 1
+    assert [online.bits_for(n) for n in (0, 1, 4096, 4097, 10**7, 10**12)] == [0, 0, 0, 1, 12, 14]
+
+
+def test_an_empty_batch_changes_nothing(spark):
+    store = online.new_store(spark, "entity_id", ["a", "b"])
+    none = spark.createDataFrame([], SCHEMA)
+    store.upsert(none, 0)
+    assert store.snapshot() is None and store.lookup(none) is None
+    store.compact(0)
+    store.upsert(spark.createDataFrame([("x", 1.0, "p", at(0))], SCHEMA), 1)
+    assert store.lookup(none).count() == 0
+    assert values(store) == {"x": (1.0, "p")}
 
 
 def test_lookup_retry(spark):

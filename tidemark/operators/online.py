@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,13 +57,42 @@ def store_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.select(*[typed(c) if c in features else F.col(c) for c in df.columns])
 
 
-def _next_generation(bases: Sequence[tuple[int, int, str]]) -> int:
-    return 1 + max((generation for generation, _, _ in bases), default=-1)
+#: Rows of a base per bucket, and bits of the key's hash that a bucket number has at most.
+BUCKET_ROWS, MOST_BITS = 4096, 14
+#: Bits of the bucket numbers of a change batch, which has few rows.
+CHANGE_BITS = 4
+
+
+def bucket(entity: str, bits: int) -> Column:
+    """The first ``bits`` bits of the key's hash: buckets of fewer bits contain those of more."""
+    hashed = F.xxhash64(F.col(entity).cast("string"))
+    return F.shiftrightunsigned(hashed, 64 - bits).cast("int") if bits else F.lit(0)
+
+
+def bits_for(rows: int) -> int:
+    return min(max(math.ceil(math.log2(max(rows, 1) / BUCKET_ROWS)), 0), MOST_BITS)
+
+
+@dataclass(frozen=True, order=True)
+class Base:
+    """A whole base: its number, the last batch it contains, the bits of its buckets."""
+
+    generation: int
+    contains: int
+    bits: int
+
+    @property
+    def name(self) -> str:
+        return f"_base={self.generation:012d}-{self.contains + 1:012d}-{self.bits:02d}"
 
 
 class OnlineStore:
     """Key -> latest feature values, kept as a base table plus appended change batches.
 
+    Base and changes are partitioned by a bucket of the key's hash and sorted by key within it.
+    A lookup collects the buckets of its keys (at most 2 ** ``MOST_BITS`` small numbers) and reads
+    no others; the number of buckets of a base follows its rows, so that a bucket stays small.
+
     A micro-batch appends only its own rows, so the cost of an upsert follows the batch and
     not the store.  ``snapshot`` merges base and changes; ``compact`` writes that merge as the
     next base.  Change folders are named by batch, so replaying a batch replaces itself.  Bases
@@ -72,6 +105,7 @@ class OnlineStore:
     def __init__(self, spark: SparkSession, path: str, entity: str, features: Sequence[str]):
         self.spark, self.path, self.entity = spark, path, entity
         self.features = list(features)
+        self._opened: dict[Base, DataFrame | None] = {}
 
     def _rows(self, df: DataFrame, batch_id: int) -> DataFrame:
         return store_values(df, self.features).select(
@@ -81,14 +115,22 @@ class OnlineStore:
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
 
+    def _write(self, df: DataFrame, name: str, bits: int) -> None:
+        """Each bucket is one file, whose rows are sorted by key."""
+        rows = df.withColumn("_bucket", bucket(self.entity, bits)).repartition("_bucket")
+        rows.sortWithinPartitions("_bucket", self.entity).write.mode("overwrite").partitionBy(
+            "_bucket"
+        ).parquet(f"{self.path}/{name}")
+
     def upsert(self, df: DataFrame, batch_id: int) -> None:
         rows = merge_latest(self._rows(df, batch_id), self.entity, self.features, self.ORDER)
-        rows.write.mode("overwrite").parquet(f"{self.path}/change-{batch_id:012d}")
+        self._write(rows, f"_change={batch_id:012d}", CHANGE_BITS)
 
-    def _write_base(self, df: DataFrame, generation: int, contains: int) -> None:
-        df.write.mode("overwrite").parquet(
-            f"{self.path}/base-{generation:012d}-{contains + 1:012d}"
-        )
+    def _write_base(self, df: DataFrame, rows: int, contains: int) -> None:
+        bases, _ = self._folders()
+        generation = 1 + max((base.generation for base in bases), default=-1)
+        base = Base(generation, contains, bits_for(rows))
+        self._write(df, base.name, base.bits)
 
     def sync(self, offline: DataFrame) -> None:
         """Rebuild the store from the latest offline row of every entity.
@@ -96,9 +138,10 @@ class OnlineStore:
         Batches stored by now are in the offline table already, as streams write there first.
         """
         bases, changes = self._folders()
-        contains = max([n for n, _ in changes] + [n for _, n, _ in bases], default=-1)
+        contains = max([*changes, *(base.contains for base in bases)], default=-1)
+        entities = offline.agg(F.approx_count_distinct(self.entity)).first()[0]
         latest = latest_per_entity(offline, self.entity, ["feature_timestamp", *self.features])
-        self._write_base(self._rows(latest, contains), _next_generation(bases), contains)
+        self._write_base(self._rows(latest, contains), entities, contains)
 
     def compact(self, batch_id: int) -> None:
         """Write everything up to ``batch_id`` as the new base; readers switch when it is whole.
@@ -106,56 +149,93 @@ class OnlineStore:
         What the base before it had already replaced is removed: its readers are long done.
         """
         bases, changes = self._folders()
-        merged = self.snapshot(batch_id)
-        if merged is None:
+        stored = self._stored(batch_id)
+        if stored is None:
             return
-        self._write_base(merged, _next_generation(bases), batch_id)
+        # Rows before the merge, from the files' footers: at least as many as after it.
+        self._write_base(self._merged(stored), stored.count(), batch_id)
         if bases:
-            generation, contains, _ = max(bases)
-            replaced = [name for g, _, name in bases if g < generation]
-            replaced += [name for n, name in changes if n <= contains]
+            latest = bases[-1]
+            replaced = [base.name for base in bases[:-1]]
+            replaced += [f"_change={n:012d}" for n in changes if n <= latest.contains]
             tables.remove_folders(self.spark, self.path, replaced)
 
-    def _folders(self) -> tuple[list[tuple[int, int, str]], list[tuple[int, str]]]:
-        """Whole bases (number, last batch contained, name) and changes (batch, name)."""
+    def _folders(self) -> tuple[list[Base], list[int]]:
+        """Whole bases, the newest last, and the numbers of whole changes."""
         bases, changes = [], []
         for name in tables.committed_folders(self.spark, self.path):
-            kind, *numbers = name.split("-")
-            if kind == "base":
-                bases.append((int(numbers[0]), int(numbers[1]) - 1, name))
-            elif kind == "change":
-                changes.append((int(numbers[0]), name))
+            kind, _, numbers = name.partition("=")
+            if kind == "_base":
+                generation, after, bits = map(int, numbers.split("-"))
+                bases.append(Base(generation, after - 1, bits))
+            elif kind == "_change":
+                changes.append(int(numbers))
         return sorted(bases), sorted(changes)
 
-    def parts(self, upto: int | None = None) -> list[str]:
-        """Folders that make up the state: the newest whole base and changes it lacks."""
+    def _parts(self, upto: int | None = None) -> tuple[Base | None, list[int]]:
+        """What makes up the state: the newest whole base and the changes it lacks."""
         bases, changes = self._folders()
         if upto is not None:
-            bases = [base for base in bases if base[1] <= upto]
-            changes = [change for change in changes if change[0] <= upto]
-        contains, names = -1, []
-        if bases:
-            _, contains, name = bases[-1]
-            names.append(name)
-        names += [name for n, name in changes if n > contains]
-        return [f"{self.path}/{name}" for name in names]
+            bases = [base for base in bases if base.contains <= upto]
+            changes = [n for n in changes if n <= upto]
+        base = bases[-1] if bases else None
+        return base, [n for n in changes if base is None or n > base.contains]
+
+    def parts(self, upto: int | None = None) -> list[str]:
+        """Folders that make up the state."""
+        base, changes = self._parts(upto)
+        names = [] if base is None else [base.name]
+        return [f"{self.path}/{name}" for name in [*names, *(f"_change={n:012d}" for n in changes)]]
+
+    def _read(self, paths: list[str]) -> DataFrame | None:
+        """The folders' rows with their ``_bucket``; None when none of them has a row."""
+        try:
+            return self.spark.read.option("basePath", self.path).parquet(*paths)
+        except AnalysisException as problem:
+            if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return None
+            raise
+
+    def _base(self, base: Base) -> DataFrame | None:
+        """A base never changes, so its files are listed once however many lookups follow."""
+        if base not in self._opened:
+            self._opened = {base: self._read([f"{self.path}/{base.name}"])}
+        return self._opened[base]
+
+    def _stored(self, upto: int | None, buckets: set[int] | None = None) -> DataFrame | None:
+        """Rows of base and changes, of some buckets (numbers of ``MOST_BITS`` bits) or of all."""
+        base, changes = self._parts(upto)
+        found = []
+        if base is not None:
+            found.append((self._base(base), base.bits))
+        if changes:
+            paths = [f"{self.path}/_change={n:012d}" for n in changes]
+            found.append((self._read(paths), CHANGE_BITS))
+        frames = []
+        for rows, bits in found:
+            if rows is None:
+                continue
+            if buckets is not None and bits:
+                own = sorted({number >> (MOST_BITS - bits) for number in buckets})
+                rows = rows.where(F.col("_bucket").isin(own))
+            frames.append(rows.select(self.entity, *self.features, *self.ORDER))
+        return functools.reduce(DataFrame.unionByName, frames) if frames else None
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        return merge_latest(rows, self.entity, self.features, self.ORDER)
 
     def snapshot(self, upto: int | None = None) -> DataFrame | None:
-        parts = self.parts(upto)
-        if not parts:
-            return None
-        merged = self.spark.read.parquet(*parts)
-        return merge_latest(merged, self.entity, self.features, self.ORDER)
+        stored = self._stored(upto)
+        return None if stored is None else self._merged(stored)
 
     def lookup(self, keys: DataFrame, upto: int | None = None) -> DataFrame | None:
-        """Snapshot rows of the wanted keys only: the merge sees no other entity."""
-        parts = self.parts(upto)
-        if not parts:
+        """Snapshot rows of the wanted keys only, read from the buckets these keys are in."""
+        wanted = keys.where(F.col(self.entity).isNotNull()).select(self.entity).distinct()
+        numbers = wanted.select(bucket(self.entity, MOST_BITS).alias("n")).distinct().collect()
+        stored = self._stored(upto, {r.n for r in numbers})
+        if stored is None:
             return None
-        stored = self.spark.read.parquet(*parts)
-        wanted = keys.select(self.entity).distinct()
-        found = stored.join(wanted, self.entity, "left_semi")
-        return merge_latest(found, self.entity, self.features, self.ORDER)
+        return self._merged(stored.join(wanted, self.entity, "left_semi"))
 
 
 def new_store(spark: SparkSession, entity: str, features: Sequence[str]) -> OnlineStore:
