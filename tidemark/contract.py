@@ -223,6 +223,11 @@ DEAD_LETTER_SCHEMA = _schema(
 )
 
 
+def traced(schema: T.StructType) -> T.StructType:
+    """A sink's schema with the id of the message that each row comes from."""
+    return T.StructType([*schema.fields, T.StructField("trace_id", _S, True)])
+
+
 def keep_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Ordered projection that skips names the frame does not have."""
     return df.select(*[n for n in names if n in df.columns])

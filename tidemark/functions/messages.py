@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import DEAD_LETTER_SCHEMA, conform
+from tidemark.contract import DEAD_LETTER_SCHEMA, conform, traced
 from tidemark.functions.scalars import readable, resolved_entity_id, truncated
 
 FEATURE_FIELDS = ("sepal_length", "sepal_width", "petal_length", "petal_width")
@@ -21,6 +21,7 @@ BAD_JSON = "json_decode"
 INVALID = "validation"
 MISSING_ID = "missing_field"
 MISSING_FEATURES = "missing_features"
+FETCH_ERROR = "fetch_error"
 SHORT_REPLY = "short_reply"
 
 
@@ -164,8 +165,9 @@ def dead_letters(
     entity_id: Column | None = None,
     payload: Column | None = None,
     retry_count: Column | None = None,
+    trace_id: Column | None = None,
 ) -> DataFrame:
-    """Dead-letter rows of a frame that carries an ``error`` struct."""
+    """Dead-letter rows of a frame that carries an ``error`` struct; traced if there is an id."""
     null = F.lit(None)
     rows = failed.select(
         (null if entity_id is None else entity_id).alias("entity_id"),
@@ -176,8 +178,9 @@ def dead_letters(
         (null if payload is None else readable(payload)).alias("original_message"),
         as_of.alias("timestamp"),
         (null if retry_count is None else retry_count).alias("retry_count"),
+        (null if trace_id is None else trace_id).alias("trace_id"),
     )
-    return conform(rows, DEAD_LETTER_SCHEMA)
+    return conform(rows, DEAD_LETTER_SCHEMA if trace_id is None else traced(DEAD_LETTER_SCHEMA))
 
 
 def missing_features(names: list[str] | tuple[str, ...]) -> Column:

@@ -22,7 +22,7 @@ from tidemark.operators.canonical import canonicalise
 from tidemark.session import configure
 from tidemark.sources import messages, tables
 from tidemark.streaming.batching import FLUSH_SECONDS, SCORE_ROWS, flush_trigger
-from tidemark.streaming.features import FeatureStream
+from tidemark.streaming.features import COMPACT_EVERY, FeatureStream
 from tidemark.streaming.inference import InferenceStream
 
 
@@ -124,13 +124,18 @@ def batch_inference(
 
 
 def _messages(spark: SparkSession, source: str, topic: str) -> DataFrame:
-    """A Kafka topic (``source`` names the servers), or a folder of ``value`` files."""
+    """A Kafka topic (``source`` names the servers), or a folder of ``value`` files.
+
+    A file's messages are known by its name and their place in it.
+    """
     if topic:
         return messages.broker_stream(
             spark, {"kafka.bootstrap.servers": source, "subscribe": topic}
         )
     schema = "value binary"
-    return messages.file_stream(spark, source, schema)
+    stream = messages.file_stream(spark, source, schema)
+    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string")]
+    return stream.withColumn("trace_id", F.concat_ws("-", *place))
 
 
 def _running(query, wait: bool):
@@ -149,7 +154,7 @@ def feature_stream(
     dead_letters: str = "",
     metrics: str = "",
     project: str = "iris",
-    compact_every: int = 0,
+    compact_every: int = COMPACT_EVERY,
     available_now: bool = False,
     no_wait: bool = False,
 ):
@@ -174,13 +179,18 @@ def inference_stream(
     checkpoint: str,
     topic: str = "",
     dead_letters: str = "",
+    metrics: str = "",
     project: str = "iris",
     batch_size: int = SCORE_ROWS,
     max_batch_duration_secs: float = FLUSH_SECONDS,
     available_now: bool = False,
     no_wait: bool = False,
 ):
-    """Requests -> features from the store -> scores -> predictions by day."""
+    """Requests -> features from the store -> scores -> predictions by day.
+
+    Requests without features get their retries from a second query, which an endless job runs
+    beside the first one, and a job over what is available after it, until none waits.
+    """
     stream = InferenceStream(
         store=_store(spark, store, project),
         scorer=training.load_model(model),
@@ -188,12 +198,22 @@ def inference_stream(
         prediction_path=predictions,
         work_path=f"{checkpoint}/work",
         dead_letter_path=dead_letters or None,
+        metrics_path=metrics or None,
         features=list(contract(project).features),
         batch_rows=batch_size,
     )
     every = None if available_now else flush_trigger(max_batch_duration_secs)
-    marks = f"{checkpoint}/marks"
-    return _running(stream.start(_messages(spark, source, topic), marks, every), not no_wait)
+    asked = _messages(spark, source, topic)
+    served = stream.start(asked, f"{checkpoint}/marks", every)
+    retry_marks = f"{checkpoint}/retry-marks"
+    if every is not None:
+        stream.start_retries(spark, retry_marks, every)
+        if not no_wait:
+            spark.streams.awaitAnyTermination()
+    elif not no_wait:
+        served.awaitTermination()
+        stream.settle(spark, retry_marks)
+    return served
 
 
 def create_tables(

@@ -65,6 +65,7 @@ def feature_rows(
         F.lit(STREAM_SOURCE).alias("source"),
         stream_entity_id(F.col("sample_id")).alias(contract.entity),
         as_of.cast("timestamp").alias(contract.time),
+        *[c for c in ("trace_id",) if c in messages.columns],
     )
 
 

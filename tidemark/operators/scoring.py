@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contract import PREDICTION_SCHEMA, conform
+from tidemark.contract import PREDICTION_SCHEMA, conform, traced
 from tidemark.functions.messages import SHORT_REPLY, dead_letters
 from tidemark.functions.scalars import features_json, prediction_text
 
@@ -57,23 +57,18 @@ def _label(problem: Exception) -> str:
     return next((name for kind, name in TRANSIENT.items() if isinstance(problem, kind)), "connection")
 
 
-def _outcome(work: Callable[[], Reply]) -> tuple[Reply | None, Exception | None]:
-    try:
-        return work(), None
-    except Exception as problem:  # a row's error, not the task's
-        return None, problem
-
-
 def _call(scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None]):
     """The reply, or the error that remained after all tries, plus the number of failed tries."""
-    pauses = [BACKOFF_BASE**i for i in range(MAX_TRIES - 1)]
-    reply, problem = _outcome(lambda: scorer(matrix))
-    failed = int(isinstance(problem, tuple(TRANSIENT)))
-    while failed and pauses and isinstance(problem, tuple(TRANSIENT)):
-        wait(pauses.pop(0))
-        reply, problem = _outcome(lambda: scorer(matrix))
-        failed += isinstance(problem, tuple(TRANSIENT))
-    return ((), ()) if problem else reply, problem, failed
+    for failed in range(MAX_TRIES):
+        if failed:
+            wait(BACKOFF_BASE ** (failed - 1))
+        try:
+            return scorer(matrix), None, failed
+        except tuple(TRANSIENT) as trouble:
+            problem = trouble
+        except Exception as trouble:  # a row's error, not the task's; another try mends nothing
+            return ((), ()), trouble, failed
+    return ((), ()), problem, MAX_TRIES
 
 
 def score_rows(
@@ -141,9 +136,13 @@ def _group(
 
 
 def predictions(
-    scored: DataFrame, features: Sequence[str], service: str, as_of: Column
+    scored: DataFrame,
+    features: Sequence[str],
+    service: str,
+    as_of: Column,
+    trace_id: Column | None = None,
 ) -> DataFrame:
-    """Prediction rows of the rows that were scored."""
+    """Prediction rows of the rows that were scored; traced if there is an id."""
     return conform(
         scored.where(F.col("score_error").isNull()).select(
             "entity_id",
@@ -157,12 +156,15 @@ def predictions(
             F.lit(service).alias("model_service"),
             "processing_time",
             as_of.alias("dataflow_processing_time"),
+            *([] if trace_id is None else [trace_id.alias("trace_id")]),
         ),
-        PREDICTION_SCHEMA,
+        PREDICTION_SCHEMA if trace_id is None else traced(PREDICTION_SCHEMA),
     )
 
 
-def score_failures(scored: DataFrame, as_of: Column) -> DataFrame:
+def score_failures(
+    scored: DataFrame, as_of: Column, trace_id: Column | None = None
+) -> DataFrame:
     """One dead letter per row that was not scored."""
     failed = scored.where(F.col("score_error").isNotNull()).withColumn(
         "error",
@@ -178,6 +180,7 @@ def score_failures(scored: DataFrame, as_of: Column) -> DataFrame:
         as_of,
         entity_id=F.col("entity_id"),
         retry_count=F.col("score_retries"),
+        trace_id=trace_id,
     )
 
 

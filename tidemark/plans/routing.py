@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.contract import DEAD_LETTER_SCHEMA, PREDICTION_SCHEMA
 from tidemark.functions import messages as msg
 from tidemark.functions.scalars import flag
 from tidemark.operators import asof, online, rings, scoring, splits
@@ -12,7 +13,10 @@ from tidemark.operators.velocity import user_attributes
 from tidemark.plans import bindings as b
 from tidemark.plans.bindings import with_ctes
 from tidemark.plans.registry import query
-from tidemark.plans.tables import VALID_SQL
+from tidemark.plans.tables import VALID_SQL, event_stream
+from tidemark.session import new_folder
+from tidemark.sources import tables
+from tidemark.streaming.inference import InferenceStream
 
 
 @query("validate_feature_msg", with_ctes(VALID_SQL, "msgs"))
@@ -54,18 +58,21 @@ def _known(before: str | None = None) -> str:
   FROM msgs {where}) WHERE rn = 1"""
 
 
-def user_snapshot(spark: SparkSession, folder: str, before: str | None = None) -> DataFrame:
-    """Latest event per user, under ids shifted by 20 so that some lookups miss."""
-    events = b.load(spark, folder, "events")
-    if before is not None:
-        events = events.where(F.col("ts") < b.as_of(before))
-    rows = events.select(
+def user_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Feature rows of all events, under ids shifted by 20 so that some lookups miss."""
+    return b.load(spark, folder, "events").select(
         (F.col("user_id") + 20).alias("entity_id"),
         F.col("value").alias("last_value"),
         b.member().cast("double").alias("last_k"),
-        F.col("ts").alias("feature_timestamp"),
+        F.col("ts").cast("timestamp").alias("feature_timestamp"),
+    )
+
+
+def user_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest event per user."""
+    return online.latest_per_entity(
+        user_events(spark, folder), "entity_id", ["feature_timestamp"]
     )
-    return online.latest_per_entity(rows, "entity_id", ["feature_timestamp"])
 
 
 NAMES = ["last_value", "last_k"]
@@ -87,6 +94,8 @@ def _requests(spark: SparkSession, folder: str) -> DataFrame:
         f" UNION ALL SELECT 'fetch', CASE WHEN s.entity_id IS NULL THEN 'missing_features'"
         f" ELSE 'none' END FROM msgs m LEFT JOIN ({_known()}) s"
         " ON m.user_id = s.entity_id"
+        " UNION ALL SELECT 'fetch', 'fetch_error' FROM msgs"
+        " WHERE event_type IN ('purchase', 'click', 'view')"
         " UNION ALL SELECT 'predict', 'timeout' FROM msgs"
         " UNION ALL SELECT 'predict', 'connection' FROM msgs)",
         "msgs",
@@ -107,7 +116,7 @@ def error_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
     fetch = looked.withColumn("error", online.missing_error()).select(
         F.lit("fetch").alias("stage"), kind
     )
-    result = parse.unionByName(asked).unionByName(fetch)
+    result = parse.unionByName(asked).unionByName(fetch).unionByName(_unreadable(spark, folder))
     for scorer in (_slow, _down):
         tried = scoring.score_rows(
             b.load(spark, folder, "events").select("event_id", "value"),
@@ -121,6 +130,17 @@ def error_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+def _unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of requests when the store cannot be read: the stream goes on."""
+    store = online.new_store(spark, "entity_id", NAMES)
+    broken = spark.createDataFrame([("not parquet",)], "value string")
+    broken.write.text(f"{store.path}/_change={0:012d}")
+    stream = _inference(spark, new_folder(spark, "unreadable"), store, max_retries=0)
+    stream.process(b.requests(spark, folder), 0)
+    letters = tables.read_batches(spark, stream.dead_letter_path, DEAD_LETTER_SCHEMA)
+    return letters.where("stage = 'fetch'").select("stage", "error_type")
+
+
 def _slow(matrix):
     raise TimeoutError("no reply in time")
 
@@ -201,9 +221,12 @@ def missing_features(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def online_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    looked = online.enrich(
-        _requests(spark, folder), user_snapshot(spark, folder), "entity_id", NAMES
-    )
+    """Requests against the key-bucketed store: a base, and the latest events as a change."""
+    store = online.new_store(spark, "entity_id", NAMES)
+    store.sync(user_events(spark, folder).where(F.col("feature_timestamp") < b.as_of("2024-01-15")))
+    store.upsert(user_snapshot(spark, folder), 0)
+    asked = _requests(spark, folder)
+    looked = online.enrich(asked, store.lookup(asked), "entity_id", NAMES)
     return looked.select(
         F.col("event_id").cast("string").alias("trace_id"),
         "entity_id",
@@ -221,24 +244,40 @@ def online_lookup(spark: SparkSession, folder: str) -> DataFrame:
         " AS error_type FROM msgs m"
         f" LEFT JOIN ({_known('2024-01-01 06:00:00')}) a"
         " ON m.user_id = a.entity_id"
-        f" LEFT JOIN ({_known('2024-01-02 00:00:00')}) z"
-        " ON m.user_id = z.entity_id",
+        f" LEFT JOIN ({_known()}) z ON m.user_id = z.entity_id",
         "msgs",
     ),
 )
 def lookup_retry(spark: SparkSession, folder: str) -> DataFrame:
-    """Requests that miss in the first snapshot are tried once more in the next one."""
-    snapshots = [
-        user_snapshot(spark, folder, moment)
-        for moment in ("2024-01-01 06:00:00", "2024-01-02 00:00:00")
-    ]
-    tried = online.enrich_with_retry(_requests(spark, folder), snapshots, "entity_id", NAMES)
-    return tried.withColumn("error", online.missing_error()).select(
-        F.col("event_id").cast("string").alias("trace_id"),
-        "last_value",
-        "retry_count",
-        F.col("error.error_type").alias("error_type"),
+    """Requests of all events; what misses at first is tried again once its timer has fired."""
+    base = new_folder(spark, "lookup-retry")
+    store = online.new_store(spark, "entity_id", NAMES)
+    known = user_events(spark, folder).withColumn("entity_id", F.col("entity_id").cast("string"))
+    store.sync(known.where(F.col("feature_timestamp") < b.as_of("2024-01-01 06:00:00")))
+    stream = _inference(spark, base, store)
+    asked = F.concat(F.lit('{"entity_id": "'), F.col("user_id").cast("string"), F.lit('"}'))
+    messages = b.as_messages(event_stream(spark, folder), asked)
+    stream.start(messages, f"{base}/marks").awaitTermination()
+    store.upsert(known, 0)  # features that come while requests wait
+    stream.settle(spark, f"{base}/retry-marks")
+    return stream.lookups(spark).select("trace_id", "last_value", "retry_count", "error_type")
+
+
+def _inference(spark: SparkSession, base: str, store: online.OnlineStore, **how) -> InferenceStream:
+    stream = InferenceStream(
+        store=store,
+        scorer=scoring.ThresholdRule(0, 20.0, 60.0),
+        service=b.SERVICE,
+        prediction_path=f"{base}/predictions",
+        work_path=f"{base}/work",
+        dead_letter_path=f"{base}/letters",
+        features=NAMES,
+        as_of=b.as_of(),
+        **how,
     )
+    tables.create_table(spark, stream.prediction_path, PREDICTION_SCHEMA)
+    tables.create_table(spark, stream.dead_letter_path, DEAD_LETTER_SCHEMA)
+    return stream
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contract import DEAD_LETTER_SCHEMA, FEATURE_SCHEMA, PREDICTION_SCHEMA
+from tidemark.contract import DEAD_LETTER_SCHEMA, FEATURE_SCHEMA, PREDICTION_SCHEMA, traced
 from tidemark.operators import online, rings, scoring
 from tidemark.plans import bindings as b
 from tidemark.plans.bindings import with_ctes
@@ -22,6 +22,7 @@ from tidemark.streaming.batching import (
 )
 from tidemark.streaming.features import FeatureStream, start_batches
 from tidemark.streaming.inference import InferenceStream
+from tidemark.streaming.metrics import stage_counts
 
 
 def run_feature_stream(spark: SparkSession, folder: str) -> FeatureStream:
@@ -99,25 +100,7 @@ def dual_write(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("sink").agg(F.count_distinct("entity_id").alias("entities"))
 
 
-@query(
-    "inference_stream",
-    with_ctes(
-        """SELECT 'prediction' AS kind, CAST(m.user_id AS VARCHAR) || '_streaming' AS entity_id,
-          CASE WHEN s.v < 20 THEN '0' WHEN s.v < 60 THEN '1' ELSE '2' END AS outcome,
-          CAST(NULL AS BIGINT) AS retry_count
-        FROM msgs m JOIN (SELECT user_id, arg_max(value, ts) AS v FROM msgs
-          WHERE event_type = 'purchase' GROUP BY 1) s
-          ON m.user_id = s.user_id WHERE event_type IN ('purchase', 'click', 'view')
-        UNION ALL SELECT 'dead_letter', CAST(m.user_id AS VARCHAR) || '_streaming',
-          'missing_features', 1
-        FROM msgs m WHERE event_type IN ('purchase', 'click', 'view') AND user_id NOT IN (
-          SELECT user_id FROM msgs WHERE event_type = 'purchase')
-        UNION ALL SELECT 'dead_letter', NULL, CASE event_type WHEN 'signup' THEN 'json_decode'
-          ELSE 'missing_field' END, NULL FROM msgs WHERE event_type IN ('signup', 'error')""",
-        "msgs",
-    ),
-)
-def inference_stream(spark: SparkSession, folder: str) -> DataFrame:
+def run_inference_stream(spark: SparkSession, folder: str) -> InferenceStream:
     """Requests of all events against a store that knows all buyers."""
     base = new_folder(spark, "inference-stream")
     store = online.OnlineStore(spark, f"{base}/online", "entity_id", ["last_value", "last_k"])
@@ -138,24 +121,46 @@ def inference_stream(spark: SparkSession, folder: str) -> DataFrame:
         prediction_path=f"{base}/predictions",
         work_path=f"{base}/work",
         dead_letter_path=f"{base}/letters",
+        metrics_path=f"{base}/metrics",
         features=["last_value", "last_k"],
         as_of=b.as_of(),
     )
     tables.create_table(spark, stream.prediction_path, PREDICTION_SCHEMA)
     tables.create_table(spark, stream.dead_letter_path, DEAD_LETTER_SCHEMA)
     messages = b.as_messages(event_stream(spark, folder), b.request())
-    run = stream.start(messages, f"{base}/marks")
-    run.awaitTermination()
-    done = [p["batchId"] for p in run.recentProgress]
-    stream.drain(spark, max(done, default=-1) + 1)
-    made = tables.read_batches(spark, stream.prediction_path, PREDICTION_SCHEMA).select(
+    stream.start(messages, f"{base}/marks").awaitTermination()
+    stream.settle(spark, f"{base}/retry-marks")
+    return stream
+
+
+_OUTCOMES = """SELECT 'prediction' AS kind, trace_id, CAST(m.user_id AS VARCHAR) || '_streaming' AS entity_id,
+    CASE WHEN s.v < 20 THEN '0' WHEN s.v < 60 THEN '1' ELSE '2' END AS outcome,
+    CAST(NULL AS BIGINT) AS retry_count
+  FROM msgs m JOIN (SELECT user_id, arg_max(value, ts) AS v FROM msgs
+    WHERE event_type = 'purchase' GROUP BY 1) s
+    ON m.user_id = s.user_id WHERE event_type IN ('purchase', 'click', 'view')
+  UNION ALL SELECT 'dead_letter', trace_id, CAST(m.user_id AS VARCHAR) || '_streaming',
+    'missing_features', 1
+  FROM msgs m WHERE event_type IN ('purchase', 'click', 'view') AND user_id NOT IN (
+    SELECT user_id FROM msgs WHERE event_type = 'purchase')
+  UNION ALL SELECT 'dead_letter', trace_id, NULL, CASE event_type WHEN 'signup' THEN 'json_decode'
+    ELSE 'missing_field' END, NULL FROM msgs WHERE event_type IN ('signup', 'error')"""
+
+
+@query("inference_stream", with_ctes(_OUTCOMES, "msgs"))
+def inference_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests of all events against a store that knows all buyers: what became of each."""
+    stream = run_inference_stream(spark, folder)
+    made = tables.read_batches(spark, stream.prediction_path, traced(PREDICTION_SCHEMA)).select(
         F.lit("prediction").alias("kind"),
+        "trace_id",
         "entity_id",
         F.col("prediction").alias("outcome"),
         F.lit(None).cast("bigint").alias("retry_count"),
     )
-    letters = tables.read_batches(spark, stream.dead_letter_path, DEAD_LETTER_SCHEMA).select(
+    letters = tables.read_batches(spark, stream.dead_letter_path, traced(DEAD_LETTER_SCHEMA)).select(
         F.lit("dead_letter").alias("kind"),
+        "trace_id",
         "entity_id",
         F.col("error_type").alias("outcome"),
         "retry_count",
@@ -272,17 +277,43 @@ def reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return rings.reconcile(streamed.select(*truth.columns), truth, ["user_id", "bucket"])
 
 
+def _sum(job: str, stage: str, name: str, where: str) -> str:
+    count = f"CAST(count(*) FILTER (WHERE {where}) AS DOUBLE)"
+    return f"SELECT '{job}' AS job, '{stage}' AS stage, '{name}' AS name, {count} AS total FROM known"
+
+
+_VALID = "event_type IN ('purchase', 'click', 'view')"
+_LATE = f"{_VALID} AND NOT buyer"
+_METRICS = " UNION ALL ".join(
+    [
+        _sum("feature", "parse", "success", _VALID),
+        _sum("feature", "parse", "missing", "event_type = 'signup'"),
+        _sum("feature", "parse", "error", "event_type = 'error'"),
+        _sum("feature", "offline", "success", _VALID),
+        _sum("feature", "online", "success", _VALID),
+        _sum("feature", "dead_letters", "success", f"NOT {_VALID}"),
+        _sum("inference", "parse", "success", _VALID),
+        _sum("inference", "parse", "error", f"NOT {_VALID}"),
+        _sum("inference", "fetch", "success", f"{_VALID} AND buyer"),
+        _sum("inference", "fetch", "missing", _LATE),
+        _sum("inference", "fetch", "error", "false"),
+        _sum("inference", "fetch", "retry", _LATE),
+        _sum("inference", "score", "success", f"{_VALID} AND buyer"),
+        _sum("inference", "score", "error", "false"),
+        _sum("inference", "score", "retry", "false"),
+        _sum("inference", "write", "success", f"{_VALID} AND buyer"),
+        _sum("inference", "write", "error", f"NOT {_VALID} OR NOT buyer"),
+    ]
+)
+
+
 @query(
     "stream_metrics",
-    """SELECT 'parse_success' AS name, CAST(count(*) FILTER (WHERE event_type IN
-        ('purchase', 'click', 'view')) AS DOUBLE) AS total FROM events
-    UNION ALL SELECT 'validation_error', CAST(count(*) FILTER (WHERE event_type = 'signup')
-        AS DOUBLE) FROM events
-    UNION ALL SELECT 'parse_error', CAST(count(*) FILTER (WHERE event_type = 'error')
-        AS DOUBLE) FROM events""",
+    f"""WITH known AS (SELECT event_type, user_id IN (
+      SELECT user_id FROM events WHERE event_type = 'purchase') AS buyer FROM events)
+    {_METRICS}""",
 )
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Counters observed while the feature stream ran."""
-    stream = run_feature_stream(spark, folder)
-    samples = spark.read.parquet(stream.metrics_path)
-    return samples.groupBy("name").agg(F.sum("value").alias("total"))
+    """Counters of all stages of both streams, from one metrics table each."""
+    paths = [run(spark, folder).metrics_path for run in (run_feature_stream, run_inference_stream)]
+    return stage_counts(spark.read.parquet(paths[0]).unionByName(spark.read.parquet(paths[1])))

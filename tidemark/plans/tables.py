@@ -490,7 +490,7 @@ def feature_contract(spark: SparkSession, folder: str) -> DataFrame:
 )
 def map_to_feature_row(spark: SparkSession, folder: str) -> DataFrame:
     valid = msg.accepted(msg.read_feature_messages(b.messages(spark, folder)))
-    return feature_rows(valid, b.as_of()).drop("entity_id")
+    return feature_rows(valid, b.as_of()).drop("entity_id", "trace_id")
 
 
 @query("entity_id_batch", with_ctes("SELECT entity_id FROM features", "features"))

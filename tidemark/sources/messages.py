@@ -33,6 +33,26 @@ def broker_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     )
 
 
+#: How long a message that is delivered again is still recognised.
+REDELIVERED_WITHIN = "1 hour"
+
+
+def each_once(messages: DataFrame, within: str = REDELIVERED_WITHIN) -> DataFrame:
+    """A stream's messages, each trace id once; without ids, or with a null one, all of them.
+
+    The state holds the ids that arrived within the last hour, partitioned by id.
+    """
+    if "trace_id" not in messages.columns:
+        return messages
+    known = F.coalesce("trace_id", F.uuid())
+    return (
+        messages.withColumns({"_arrived": F.current_timestamp(), "_once": known})
+        .withWatermark("_arrived", within)
+        .dropDuplicatesWithinWatermark(["_once"])
+        .drop("_arrived", "_once")
+    )
+
+
 def with_trace_id(messages: DataFrame, *identity: str) -> DataFrame:
     """Keep the source's own message id as ``trace_id`` through every later stage."""
     return messages.withColumn("trace_id", F.concat_ws("-", *identity))
