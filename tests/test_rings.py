@@ -5,6 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.operators import rings, velocity
+from tidemark.session import new_folder
+from tidemark.sources.messages import file_stream
+from tidemark.streaming.rings import RingStream
 
 T0 = dt.datetime(2024, 1, 10)
 SCHEMA = (
@@ -91,3 +94,34 @@ def test_reconcile(spark):
     truth = spark.createDataFrame([(1, 1, 5), (1, 2, 7), (3, 3, 1), (None, 1, 4)], schema)
     got = {(r.user_id, r.status) for r in rings.reconcile(streamed, truth, ["user_id", "bucket"]).collect()}
     assert got == {(1, "different"), (3, "missing"), (2, "extra")}
+
+
+def test_repair_replaces_corrupted_missing_and_extra_buckets(spark):
+    base = new_folder(spark, "repair")
+    live = RingStream(rings.HOURLY, f"{base}/rings", f"{base}/marks")
+    assert live.latest(spark) is None
+
+    def stream(name, rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+        return file_stream(spark, f"{base}/{name}", spark.createDataFrame([], SCHEMA).schema)
+
+    right = [transfer(i, user, hour, recipient=f"r{i}") for i, (user, hour) in enumerate([(1, 0), (1, 1), (2, 1), (3, 2)])]
+    last = [transfer(99, 9, 40)]  # closes the hours before it
+    wrong = [transfer(0, 1, 0, amount=5.0, recipient="r0"), right[1], right[3], transfer(7, 4, 1)]
+    live.start(stream("wrong", wrong + last), "0 seconds").awaitTermination()
+    truth = rings.newest_slots(rings.buckets(spark.createDataFrame(right, SCHEMA), rings.HOURLY), rings.HOURLY)
+
+    def found():
+        return {(r.user_id, r.status) for r in live.differences(spark, truth).collect()}
+
+    assert found() == {(1, "different"), (2, "missing"), (4, "extra")}
+    assert live.repair(spark, truth) == 1 and live.run(spark) == 1
+    assert found() == set()  # readers turn to the repaired rings at once
+    # The next run reads all messages again and one more hour; only that hour is new.
+    more = [transfer(50, 1, 3, amount=2.0)]
+    live.start(stream("right", right + more + last), "0 seconds").awaitTermination()
+    rows = {(r.user_id, r.bucket % 24): (r.tx_count, r.amount_sum, r.recipients) for r in live.latest(spark).collect()}
+    assert found() == {(1, "extra")}
+    hour = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) // 3600
+    assert rows[1, hour % 24] == (1, 1.0, ["r0"]) and rows[1, (hour + 3) % 24] == (1, 2.0, ["r"])
+    assert len(rows) == 5

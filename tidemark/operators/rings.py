@@ -109,6 +109,11 @@ def _newest(bucketed: DataFrame, ring: Ring) -> DataFrame:
     )
 
 
+def newest_slots(bucketed: DataFrame, ring: Ring) -> DataFrame:
+    """One row per user and written slot: the newest bucket of the slot."""
+    return _newest(bucketed, ring).select("user_id", "slot", "b.*")
+
+
 def ring_arrays(bucketed: DataFrame, ring: Ring) -> DataFrame:
     """One row per user with the ring's arrays, position = slot."""
     collected = (

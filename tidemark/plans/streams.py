@@ -262,19 +262,77 @@ def ring_state(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _slots(rows: str, shift: str, closed: str) -> str:
+    """The newest bucket of every slot; ``shift`` is what each amount is off by."""
+    return f"""SELECT user_id, bucket % 24 AS slot, bucket, tx_count, amount_sum FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id, bucket % 24 ORDER BY bucket DESC) AS rn
+      FROM (SELECT sender_id AS user_id, hour AS bucket, count(*) AS tx_count,
+        round(sum(source_amount + {shift}), 6) AS amount_sum FROM ({rows}) WHERE {closed}
+        GROUP BY 1, 2)) WHERE rn = 1"""
+
+
+_DISTORTED = """SELECT * FROM recent WHERE sender_id % 10 <> 2 UNION ALL
+  SELECT * REPLACE (sender_id + 1000000 AS sender_id) FROM recent WHERE sender_id % 10 = 3"""
+_CLOSED_TO_IT = """hour * 3600 + 3600 <= (
+  SELECT max(epoch_us(ts)) / 1000000 FROM events WHERE user_id % 10 <> 2)"""
+
+
+def distorted(transfers: DataFrame) -> DataFrame:
+    """Some senders' amounts are wrong, some senders are lost, some come under two ids as well."""
+    sender, kind = F.col("sender_id"), F.col("sender_id") % 10
+    senders = F.when(kind == 2, F.array().cast("array<bigint>")).when(
+        kind == 3, F.array(sender, sender + 1_000_000)
+    )
+    return transfers.withColumns(
+        {
+            "source_amount": F.col("source_amount") + F.when(kind == 1, 1.0).otherwise(0.0),
+            "sender_id": F.explode(senders.otherwise(F.array(sender))),
+        }
+    )
+
+
 @query(
     "reconcile",
     with_ctes(
-        f"""SELECT DISTINCT sender_id AS user_id, hour AS bucket, 'missing' AS status FROM recent
-        WHERE NOT ({_CLOSED})""",
+        f"""SELECT 'before' AS phase, coalesce(s.user_id, t.user_id) AS user_id,
+          coalesce(s.slot, t.slot) AS slot, CASE WHEN s.user_id IS NULL THEN 'missing'
+            WHEN t.user_id IS NULL THEN 'extra' ELSE 'different' END AS status
+        FROM ({_slots(_DISTORTED, "if(sender_id % 10 = 1, 1.0, 0.0)", _CLOSED_TO_IT)}) s
+        FULL JOIN ({_slots("SELECT * FROM recent", "0.0", "true")}) t
+          ON s.user_id = t.user_id AND s.slot = t.slot
+        WHERE s.user_id IS NULL OR t.user_id IS NULL OR s.bucket <> t.bucket
+          OR s.tx_count <> t.tx_count OR s.amount_sum <> t.amount_sum
+        UNION ALL SELECT 'after', NULL, NULL, 'none'""",
         "recent",
     ),
 )
 def reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    """Buckets the stream has not delivered (hours still open) against the batch truth."""
-    streamed = streamed_hours(spark, folder)
-    truth = rings.buckets(b.transfers(spark, folder), rings.HOURLY).drop("recipients")
-    return rings.reconcile(streamed.select(*truth.columns), truth, ["user_id", "bucket"])
+    """Live rings of a distorted stream against the batch, and again after the repair.
+
+    The second run streams the right transfers, from rings that the batch has computed.
+    """
+    base = new_folder(spark, "reconcile")
+    live = ring_stream.RingStream(rings.HOURLY, f"{base}/rings", f"{base}/marks")
+    stream = b.as_transfers(event_stream(spark, folder))
+    live.start(distorted(stream), "0 seconds").awaitTermination()
+    truth = rings.newest_slots(
+        rings.buckets(b.transfers(spark, folder), rings.HOURLY), rings.HOURLY
+    )
+    found = new_folder(spark, "differences")
+    live.differences(spark, truth).write.parquet(found)
+    live.repair(spark, truth)
+    live.start(stream, "0 seconds").awaitTermination()
+    before = spark.read.parquet(found).select(
+        F.lit("before").alias("phase"), "user_id", "slot", "status"
+    )
+    left = live.differences(spark, truth).agg(F.count("*").alias("n"))
+    after = left.select(
+        F.lit("after").alias("phase"),
+        F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(None).cast("bigint").alias("slot"),
+        F.when(F.col("n") == 0, "none").otherwise("some").alias("status"),
+    )
+    return before.unionByName(after)
 
 
 def _sum(job: str, stage: str, name: str, where: str) -> str:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.scalars import MONEY
-from tidemark.operators.rings import Ring
+from tidemark.operators.rings import Ring, reconcile
 from tidemark.operators.velocity import cross_border
+from tidemark.sources.tables import committed_folders, scan_table
 
 
 _SEPARATOR = "\x1f"
@@ -89,6 +91,8 @@ _TOTALS = [
     T.StructField("cross_border_count", T.LongType()),
 ]
 _SLOT = T.StructType([*_TOTALS, T.StructField("recipients", T.StringType())])
+
+
 class RingState(StatefulProcessor):
     """Per user: slot -> newest bucket of that slot.  Expiry is the reader's business."""
 
@@ -114,6 +118,11 @@ class RingState(StatefulProcessor):
         if touched:
             yield self._emitted(key[0], ring)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """The ring that a batch has computed; buckets it has are not taken from the stream."""
+        for part in initialState[["slot", *_SLOT.fieldNames()]].itertuples(index=False):
+            self._ring.updateValue((int(part.slot),), tuple(part)[1:])
+
     @staticmethod
     def _emitted(user, ring: dict) -> pd.DataFrame:
         """The user's whole ring, one row per written slot."""
@@ -128,8 +137,11 @@ class RingState(StatefulProcessor):
         pass
 
 
-def ring_state(buckets: DataFrame, ring: Ring) -> DataFrame:
-    """Rings of the users whose buckets closed in a micro-batch, as slot rows."""
+def ring_state(buckets: DataFrame, ring: Ring, start: DataFrame | None = None) -> DataFrame:
+    """Rings of the users whose buckets closed in a micro-batch, as slot rows.
+
+    The state of a new query can ``start`` from slot rows that a batch has computed.
+    """
     user_type = buckets.schema["user_id"].dataType
     key = T.StructField("user_id", user_type)
     schema = T.StructType(
@@ -140,11 +152,17 @@ def ring_state(buckets: DataFrame, ring: Ring) -> DataFrame:
             T.StructField("recipients", T.ArrayType(T.StringType())),
         ]
     )
+    initial = None
+    if start is not None:
+        recipients = F.array_join("recipients", _SEPARATOR).alias("recipients")
+        totals = [f.name for f in _TOTALS]
+        initial = start.select("user_id", "slot", *totals, recipients).groupBy("user_id")
     return buckets.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=RingState(ring.slots),
         outputStructType=schema,
         outputMode="Append",
         timeMode="None",
+        initialState=initial,
     )
 
 
@@ -152,3 +170,77 @@ def latest_rings(emitted: DataFrame) -> DataFrame:
     """The last ring emitted per user; ``emitted`` carries the ``batch_id`` that wrote it."""
     newest = emitted.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
     return emitted.join(newest, ["user_id", "batch_id"], "left_semi").drop("batch_id")
+
+
+@dataclass
+class RingStream:
+    """Live rings that a batch can repair.
+
+    The batch is the truth.  ``repair`` writes its rings as the start of the next run: readers turn
+    to that run at once, and the query started next keeps its state from there.  Every run has
+    checkpoints of its own, so what a stream had wrong is neither read nor kept.  The messages
+    since the batch can be read again: a bucket that the batch has seen is not taken twice.
+    """
+
+    ring: Ring
+    path: str
+    marks: str
+
+    def run(self, spark: SparkSession) -> int:
+        """The number of the newest run whose start is whole; run 0 starts from nothing."""
+        starts = committed_folders(spark, f"{self.path}/start")
+        return max((int(name.split("-")[1]) for name in starts), default=0)
+
+    def _start_of(self, spark: SparkSession, run: int) -> DataFrame | None:
+        return scan_table(spark, f"{self.path}/start/run-{run:06d}")
+
+    def start(self, transfers: DataFrame, lateness: str, every: str | None = None):
+        """The query that keeps the rings of the newest run."""
+        spark = transfers.sparkSession
+        run = self.run(spark)
+        folder = f"{self.path}/run-{run:06d}"
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+        closed = closed_buckets(transfers, lateness)
+        trigger = {"availableNow": True} if every is None else {"processingTime": every}
+        return (
+            ring_state(closed, self.ring, self._start_of(spark, run))
+            .writeStream.foreachBatch(write)
+            .outputMode("append")
+            .option("checkpointLocation", f"{self.marks}/run-{run:06d}")
+            .trigger(**trigger)
+            .start()
+        )
+
+    def latest(self, spark: SparkSession) -> DataFrame | None:
+        """Slot rows of the newest run: as last emitted, else as it started."""
+        run = self.run(spark)
+        emitted = scan_table(spark, f"{self.path}/run-{run:06d}")
+        rows = [] if emitted is None else [emitted]
+        start = self._start_of(spark, run)
+        if start is not None:
+            rows.append(start.withColumn("batch_id", F.lit(-1)))
+        if not rows:
+            return None
+        whole = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+        return latest_rings(whole)
+
+    def differences(self, spark: SparkSession, truth: DataFrame) -> DataFrame:
+        """Slots in which the live rings differ from the batch's, and how."""
+        columns = ["user_id", "slot", *_SLOT.fieldNames()]
+        live = self.latest(spark)
+        truth = truth.select(*columns)
+        live = truth.limit(0) if live is None else live.select(*columns)
+        return reconcile(live, truth, ["user_id", "slot"])
+
+    def repair(self, spark: SparkSession, truth: DataFrame) -> int:
+        """Make the batch's rings the start of a new run, and return its number.
+
+        The query of the run before has to be stopped; the next ``start`` goes on from here.
+        """
+        run = self.run(spark) + 1
+        columns = ["user_id", "slot", *_SLOT.fieldNames()]
+        truth.select(*columns).write.mode("overwrite").parquet(f"{self.path}/start/run-{run:06d}")
+        return run
