@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import splits
 from tidemark.operators.canonical import append_with_next_id
-from tidemark.operators.ordered import exact_quantiles, previous_value, running_totals
+from tidemark.operators.ordered import equal_depth, exact_quantiles, previous_value, running_totals
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +85,26 @@ def test_split_floor(spark):
     df = spark.createDataFrame([("fit", 1), ("fit", 0), ("calib", 0)], "split string, y int")
     with pytest.raises(Exception, match="too few positives"):
         splits.split_floor(df, "y", floor=1).collect()
+
+
+def test_chunks_follow_the_data(spark):
+    # Nine of ten values lie in 0.999..1, some are equal, and one key has next to none.
+    narrow = F.when(F.col("id") % 10 > 0, 0.999 + F.rand(5) / 1000).otherwise(F.rand(6) * 1e6 - 5e5)
+    value = F.when(F.col("id") % 50 == 7, 0.9995).otherwise(narrow)
+    df = spark.range(60_000).select(
+        F.when(F.col("id") < 59_990, "hot").otherwise("cold").alias("k"), value.alias("v")
+    )
+    cut = equal_depth(df, ["k"], "v", 1000)
+    cut.persist()
+    sizes = sorted(r["count"] for r in cut.where("k = 'hot' and v != 0.9995").groupBy("_piece").count().collect())
+    assert len(sizes) >= 60 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    spans = cut.groupBy("k", "_piece").agg(F.min("v").alias("low"), F.max("v").alias("high")).collect()
+    ordered = sorted((r.k, r._piece, r.low, r.high) for r in spans)
+    for a, b in zip(ordered, ordered[1:]):
+        assert a[0] != b[0] or a[3] < b[2]  # pieces do not overlap, so equal values share one
+    assert [r[1] for r in ordered if r[0] == "cold"] == [0]
+    cut.unpersist()
+    whole = equal_depth(df.select("v"), [], "v", 10_000)
+    assert whole.groupBy("_piece").count().count() == 8
+    assert equal_depth(df.limit(0), ["k"], "v").count() == 0
+    assert equal_depth(df.limit(0).select("v"), [], "v").count() == 0

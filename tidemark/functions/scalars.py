@@ -127,12 +127,3 @@ def hash_bucket(key: Column, seed: int, buckets: int = 100) -> Column:
     """Seeded bucket 0..buckets-1 of a key, the same in every engine that has md5."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
-
-
-def log_chunk(value: Column, per_octave: int = 64) -> Column:
-    """Order-preserving coarse bucket of a number of unknown range.
-
-    Used to split a long sorted run into pieces: a <= b implies log_chunk(a) <= log_chunk(b).
-    """
-    size = F.floor(F.log2(F.abs(value) + 1) * per_octave)
-    return F.when(value < 0, -size - 1).otherwise(size).cast("bigint")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import flag, log_chunk
-from tidemark.operators.ordered import running_totals
+from tidemark.functions.scalars import flag
+from tidemark.operators.ordered import equal_depth, running_totals
 
 # Ties go to the model with the smaller priority.
 PRIORITY = {"random_forest": 0, "decision_tree": 1}
@@ -30,24 +30,19 @@ def confusion_matrix(df: DataFrame, label: str, predicted: str, classes: list) -
     return counted.where(F.col(label).isNotNull())
 
 
-def score_chunk(score: Column) -> Column:
-    """Cuts scores, which mostly lie in 0..1, into a few thousand ordered pieces."""
-    return log_chunk(score * 1024, per_octave=256)
-
-
 def threshold_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: true and false positives when everything at or above it is positive."""
     per_score = df.groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
     return running_totals(
-        per_score,
+        equal_depth(per_score, [], "threshold"),
         [],
-        [score_chunk(F.col("threshold"))],
+        [F.col("_piece")],
         [F.col("threshold")],
         {"tp": F.col("_pos"), "fp": F.col("_neg")},
         descending=True,
-    ).drop("_pos", "_neg")
+    ).drop("_pos", "_neg", "_piece")
 
 
 def _total(df: DataFrame, label: str, value: int) -> Column:
@@ -101,9 +96,9 @@ def area_under_roc(df: DataFrame, score: str, label: str) -> DataFrame:
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
     below = running_totals(
-        per_score,
+        equal_depth(per_score, [], "_s"),
         [],
-        [score_chunk(F.col("_s"))],
+        [F.col("_piece")],
         [F.col("_s")],
         {"_neg_upto": F.col("_neg")},
     )

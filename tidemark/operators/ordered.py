@@ -13,10 +13,56 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import log_chunk
-
 CHUNK_PREFIX = "_chunk"
 
+#: Rows of a chunk, chunks of a key at most, and items a sketch keeps for its borders (with these,
+#: a border is off by a tenth of a chunk's rows or so, however the values lie).
+CHUNK_ROWS, MOST_CHUNKS, SKETCH_ITEMS = 65_536, 512, 8_192
+
+
+def equal_depth(
+    df: DataFrame, keys: Sequence[str], value: str, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Adds ``_piece``: cuts each key's values into ordered chunks of about ``chunk_rows`` rows.
+
+    The borders come from a mergeable quantile sketch per key, so the chunks follow the data:
+    values that crowd in a narrow range are cut as evenly as others.  Equal values stay together.
+    A key of few rows is one chunk; one of more than ``MOST_CHUNKS`` chunks gets larger ones.
+    """
+    sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), SKETCH_ITEMS).alias("_sketch")
+    sketched = df.groupBy(*keys).agg(sketch, F.count(value).alias("_rows"))
+    # As many chunks as a power of two, so that their borders are among the same ranks for all keys.
+    doubled = F.ceil(F.log2(F.greatest(F.col("_rows") / chunk_rows, F.lit(1.0))))
+    chunks = F.least(F.pow(F.lit(2.0), doubled), F.lit(MOST_CHUNKS)).cast("int")
+    ranks = F.array(*[F.lit(i / MOST_CHUNKS) for i in range(1, MOST_CHUNKS)])
+    marks = F.kll_sketch_get_quantile_double("_sketch", ranks)
+    step = F.lit(MOST_CHUNKS) / chunks
+    picked = F.filter(marks, lambda _, i: F.pmod(i + 1, step.cast("int")) == 0)
+    borders = F.when(chunks > 1, F.array_distinct(picked))
+    found = sketched.select(*keys, borders.alias("_borders"))
+    if keys:
+        joined = _join_carry(df, found, keys)
+    else:
+        joined = df.withColumn("_borders", found.scalar())
+    at = F.coalesce("_borders", F.array().cast("array<double>"))
+    number = F.col(value).cast("double")
+
+    def halved(span: Column, _: Column) -> Column:
+        low, high = span.getField("low"), span.getField("high")
+        middle = F.floor((low + high) / 2).cast("int")
+        above = F.get(at, middle) < number
+        return F.when(low >= high, span).otherwise(
+            F.struct(
+                F.when(above, middle + 1).otherwise(low).alias("low"),
+                F.when(above, high).otherwise(middle).alias("high"),
+            )
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(MOST_CHUNKS.bit_length()))
+    whole = F.struct(F.lit(0).alias("low"), F.size(at).alias("high"))
+    piece = F.aggregate(steps, whole, halved).getField("low")
+    return joined.withColumn("_piece", piece).drop("_borders")
+
 
 def _with_chunks(df: DataFrame, chunk: Sequence[Column]) -> tuple[DataFrame, list[str]]:
     names = [f"{CHUNK_PREFIX}{i}" for i in range(len(chunk))]
@@ -109,8 +155,11 @@ def exact_quantiles(
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         F.count("*").alias("_n")
     )
-    pieces = chunk if chunk is not None else log_chunk(F.col(value))
-    placed = running_totals(counted, keys, [pieces], [F.col(value)], {"_upto": F.col("_n")})
+    if chunk is None:
+        cut = equal_depth(counted, keys, value)
+        placed = running_totals(cut, keys, [F.col("_piece")], [F.col(value)], {"_upto": F.col("_n")})
+    else:
+        placed = running_totals(counted, keys, [chunk], [F.col(value)], {"_upto": F.col("_n")})
     size = counted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     if keys:
         placed = _join_carry(placed, size, keys)

@@ -7,11 +7,13 @@ raising ``TimeoutError`` or ``ConnectionError``.
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,7 @@ _SCORED = [
     T.StructField("score_error", T.StringType()),
     T.StructField("score_message", T.StringType()),
     T.StructField("score_retries", T.LongType()),
+    T.StructField("score_group", T.StringType()),  # the call that the row went into
 ]
 
 
@@ -88,12 +91,13 @@ def score_rows(
     schema = T.StructType([*df.schema.fields, *_SCORED])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, calls = TaskContext.get().partitionId(), itertools.count()
         for batch in batches:
             # Only the features leave Arrow; every other column is handed through as it is.
             columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
             matrix = np.column_stack(columns).astype(float)
             parts = [
-                _group(scorer, matrix[start : start + batch_rows], wait)
+                _group(scorer, matrix[start : start + batch_rows], wait, f"{task}-{next(calls)}")
                 for start in range(0, len(matrix), batch_rows)
             ]
             if not parts:
@@ -107,7 +111,7 @@ def score_rows(
 
 
 def _group(
-    scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None]
+    scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None], name: str
 ) -> tuple[pa.Array, ...]:
     """The scored columns of one group of rows."""
     size = len(matrix)
@@ -132,9 +136,15 @@ def _group(
         column(none, error, pa.string()),
         column(none, text, pa.string()),
         pa.array([retries] * size, type=pa.int64()),
+        pa.array([name] * size, type=pa.string()),
     )
 
 
+def group_sizes(scored: DataFrame) -> DataFrame:
+    """The calls that the scorer got, as they happened, and the rows of each."""
+    return scored.groupBy("score_group").agg(F.count("*").alias("rows"))
+
+
 def predictions(
     scored: DataFrame,
     features: Sequence[str],

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -77,6 +78,7 @@ def model_scores(model: PipelineModel, df: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("score_error"),
         F.lit(None).cast("string").alias("score_message"),
         F.lit(0).cast("bigint").alias("score_retries"),
+        F.lit(None).cast("string").alias("score_group"),
     )
 
 
@@ -163,22 +165,29 @@ def tune_grid(
     grid: Mapping[str, Sequence],
     n_folds: int = 5,
     seed: int = 42,
+    at_once: int = 5,
 ) -> list[dict]:
     """Mean average precision of every grid point over expanding out-of-time folds.
 
     ``folds`` carries ``fold`` 0..n: fold k validates on k and trains on all earlier rows.
-    Each fit is a distributed job; the driver only loops over parameters.
+    Each fit is a distributed job; ``at_once`` of them share the cluster.
     """
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
+    points = [dict(zip(grid, point)) for point in itertools.product(*grid.values())]
+
+    def score(fit: tuple[dict, int]) -> float:
+        params, k = fit
+        model = _fit(
+            folds.where(F.col("fold") < k), features, GBTClassifier(labelCol=label, seed=seed, **params)
+        )
+        return evaluator.evaluate(model.transform(folds.where(F.col("fold") == k)))
+
+    with ThreadPoolExecutor(at_once) as pool:
+        scores = list(pool.map(score, itertools.product(points, range(1, n_folds + 1))))
     results = []
-    for point in itertools.product(*grid.values()):
-        params = dict(zip(grid, point))
-        scores = []
-        for k in range(1, n_folds + 1):
-            estimator = GBTClassifier(labelCol=label, seed=seed, **params)
-            model = _fit(folds.where(F.col("fold") < k), features, estimator)
-            scores.append(evaluator.evaluate(model.transform(folds.where(F.col("fold") == k))))
-        results.append({**params, "average_precision": sum(scores) / len(scores)})
+    for i, params in enumerate(points):
+        own = scores[i * n_folds : (i + 1) * n_folds]
+        results.append({**params, "average_precision": sum(own) / n_folds})
     return results
 
 

@@ -61,8 +61,8 @@ def fit_decision_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("fit_random_forest")
 def fit_random_forest(spark: SparkSession, folder: str) -> DataFrame:
-    """Accuracy of the forest on the inner holdout (20 trees here, 100 by default)."""
-    return _trained(spark, folder, training.fit_random_forest, trees=20)
+    """Accuracy of the forest on the inner holdout."""
+    return _trained(spark, folder, training.fit_random_forest)
 
 
 @query(
@@ -191,9 +191,7 @@ def fit_boosted_binary(spark: SparkSession, folder: str) -> DataFrame:
     rows = b.load(spark, folder, "embeddings").withColumn("y", sc.flag(F.col("label") >= 5))
     splits.train_test_split(rows, ["vec_id"], test_share=0.3).write.parquet(path)
     stored = training.vectors(spark.read.parquet(path), "embedding")
-    model = training.fit_boosted(
-        stored.where("split = 'train'"), "features", "y", rounds=5, depth=3
-    )
+    model = training.fit_boosted(stored.where("split = 'train'"), "features", "y")
     tested = training.predict(model, stored.where("split = 'test'"))
     score = F.col("class_probabilities")[1]
     return evaluate.roc_curve(tested.withColumn("score", score), "score", "y")
@@ -234,7 +232,7 @@ def beta_calibration(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("tune_grid")
 def tune_grid(spark: SparkSession, folder: str) -> DataFrame:
-    """Two grid points over five out-of-time folds of the orders."""
+    """Grid points of 20 rounds over five out-of-time folds of the orders."""
     path = new_folder(spark, "folds")
     priority = F.substring("o_orderpriority", 1, 1).cast("int")
     folded_orders(spark, folder).select(
@@ -247,7 +245,7 @@ def tune_grid(spark: SparkSession, folder: str) -> DataFrame:
         spark.read.parquet(path),
         ["o_totalprice", "priority"],
         "label",
-        {"maxDepth": [2, 3], "maxIter": [2]},
+        {"maxDepth": [3, 5], "maxIter": [20]},
     )
     return training.grid_frame(spark, results)
 

@@ -14,12 +14,7 @@ from tidemark.plans.tables import VALID_SQL, event_stream
 from tidemark.session import new_folder
 from tidemark.sources import tables
 from tidemark.streaming import rings as ring_stream
-from tidemark.streaming.batching import (
-    FLUSH_SECONDS,
-    SCORE_ROWS,
-    flush_trigger,
-    micro_batches,
-)
+from tidemark.streaming.batching import FLUSH_SECONDS, SCORE_ROWS, flush_trigger
 from tidemark.streaming.features import FeatureStream, start_batches
 from tidemark.streaming.inference import InferenceStream
 from tidemark.streaming.metrics import stage_counts
@@ -170,19 +165,25 @@ def inference_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "micro_batch_size",
-    f"""SELECT (rn - 1) // {SCORE_ROWS} AS batch, count(*) AS "rows", min(event_id) AS first_id,
-      max(event_id) AS last_id
-    FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events) GROUP BY 1""",
+    f"""SELECT s."limit", count(*) AS "rows", CAST(0 AS BIGINT) AS oversized, true AS enough_groups
+    FROM events, (SELECT unnest([{SCORE_ROWS}, 7]) AS "limit") s GROUP BY 1""",
 )
 def micro_batch_size(spark: SparkSession, folder: str) -> DataFrame:
-    events = b.load(spark, folder, "events").select("event_id")
-    piece = F.floor(F.col("event_id") / 4096)
-    grouped = micro_batches(events, [F.col("event_id")], [piece], SCORE_ROWS)
-    return grouped.groupBy("batch").agg(
-        F.count("*").alias("rows"),
-        F.min("event_id").alias("first_id"),
-        F.max("event_id").alias("last_id"),
-    )
+    """The groups in which the scorer got all events, as it saw them, for two limits."""
+    result = None
+    for limit in (SCORE_ROWS, 7):
+        rows = b.load(spark, folder, "events").select("event_id", "value")
+        scored = scoring.score_rows(
+            rows, ["value"], scoring.ThresholdRule(0, 20.0, 60.0), batch_rows=limit
+        )
+        found = scoring.group_sizes(scored).agg(
+            F.lit(limit).alias("limit"),
+            F.sum("rows").alias("rows"),
+            F.count_if(F.col("rows") > limit).alias("oversized"),
+            (F.count("*") >= F.ceil(F.sum("rows") / limit)).alias("enough_groups"),
+        )
+        result = found if result is None else result.unionByName(found)
+    return result
 
 
 @query("micro_batch_flush", "SELECT event_id, event_type FROM events")

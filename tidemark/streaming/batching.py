@@ -1,28 +1,12 @@
-"""Micro-batch sizing: groups of at most N messages, flushed after a time limit."""
+"""Micro-batch sizing: rows of a scoring call, and the time limit after which a part is handed on."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from tidemark.operators.ordered import running_totals
-
-# Rows per write group, rows per scoring group, seconds before a flush.
-WRITE_ROWS = 100
+# Rows per scoring call, seconds before a flush.
 SCORE_ROWS = 50
 FLUSH_SECONDS = 1.0
 
 
-def micro_batches(
-    messages: DataFrame, order: Sequence[Column], chunk: Sequence[Column], rows: int
-) -> DataFrame:
-    """Adds ``batch``, the number of the group of at most ``rows`` consecutive messages."""
-    ranked = running_totals(messages, [], chunk, order, {"_rank": F.lit(1)})
-    return ranked.withColumn("batch", F.floor((F.col("_rank") - 1) / rows)).drop("_rank")
-
-
 def flush_trigger(seconds: float = FLUSH_SECONDS) -> str:
     """Processing-time trigger that hands on a partial group after the time limit."""
     return f"{int(seconds * 1000)} milliseconds"
