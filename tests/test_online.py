@@ -131,8 +131,8 @@ def test_point_in_time(spark):
     spine = [("x", at(h), h) for h in (-1, 0, 4, 5, 29, 30, 80, 200)] + [("y", at(3), 0)]
     features = spark.createDataFrame(facts, "e string, ft timestamp, v double")
     asked = spark.createDataFrame(spine, "e string, st timestamp, n int")
-    for seconds in (3_600, 86_400, 10_000_000):
-        joined = asof.point_in_time_join(asked, features, "e", "st", "ft", ["v"], seconds)
+    for rows in (1, 3, 65_536):
+        joined = asof.point_in_time_join(asked, features, "e", "st", "ft", ["v"], rows)
         got = {(r.e, r.n): r.v for r in joined.collect()}
         assert got == {
             ("x", -1): None,

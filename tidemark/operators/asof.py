@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import unix_second
+from tidemark.operators.ordered import CHUNK_ROWS, equal_depth
 
 
 def point_in_time_join(
@@ -17,14 +17,14 @@ def point_in_time_join(
     spine_time: str,
     feature_time: str,
     tie_break: Sequence[str] = (),
-    chunk_seconds: int = 86_400,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Left as-of join: the newest feature row at or before each spine row's time.
 
     Both sides are merged into one time-ordered run per (entity, chunk) and the last feature
     row is carried forward; a small table with the last feature row of every earlier chunk
-    fills the start of each chunk.  No row meets more than its own chunk, so neither a hot
-    entity nor a long history lands in one task.
+    fills the start of each chunk.  Chunks hold about as many rows each, wherever on the time
+    axis an entity's rows crowd, so neither a hot entity nor a long history lands in one task.
     """
     values = [c for c in features.columns if c != entity]
     payload = F.struct(*[F.col(c) for c in values])
@@ -34,12 +34,8 @@ def point_in_time_join(
     rank = F.struct(*[F.col(c) for c in tie_break]) if tie_break else F.struct(F.lit(0).alias("z"))
     no_rank = F.lit(None).cast(features.select(rank.alias("p")).schema["p"].dataType)
 
-    def chunk(time: str) -> Column:
-        return F.floor(unix_second(F.col(time)) / chunk_seconds)
-
     facts = features.where(F.col(feature_time).isNotNull()).select(
         entity,
-        chunk(feature_time).alias("_chunk"),
         F.col(feature_time).alias("_at"),
         F.lit(0).alias("_side"),
         rank.alias("_rank"),
@@ -48,32 +44,31 @@ def point_in_time_join(
     )
     asked = spine.select(
         entity,
-        chunk(spine_time).alias("_chunk"),
         F.col(spine_time).alias("_at"),
         F.lit(1).alias("_side"),
         no_rank.alias("_rank"),
         empty.alias("_fact"),
         spine_row.alias("_row"),
     )
-    run = Window.partitionBy(entity, "_chunk").orderBy("_at", "_side", "_rank")
+    both = facts.unionByName(asked)
+    both = both.withColumn("_micros", F.unix_micros(F.col("_at").cast("timestamp")))
+    rows = equal_depth(both, [entity], "_micros", chunk_rows).drop("_micros")
+    run = Window.partitionBy(entity, "_piece").orderBy("_at", "_side", "_rank")
     upto = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (
-        facts.unionByName(asked)
-        .withColumn("_current", F.last("_fact", ignorenulls=True).over(upto))
-        .where(F.col("_side") == 1)
+    local = rows.withColumn("_current", F.last("_fact", ignorenulls=True).over(upto)).where(
+        F.col("_side") == 1
     )
-    last = facts.groupBy(entity, "_chunk").agg(
-        F.max_by("_fact", F.struct("_at", "_rank")).alias("_last")
+    is_fact = F.col("_side") == 0
+    # Of every chunk its last feature row; a chunk is carried past those that have none.
+    last = rows.groupBy(entity, "_piece").agg(
+        F.max_by(F.when(is_fact, F.col("_fact")), F.when(is_fact, F.struct("_at", "_rank"))).alias("_last")
     )
-    wanted = asked.select(entity, "_chunk").distinct()
-    chunks = Window.partitionBy(entity).orderBy("_chunk")
+    chunks = Window.partitionBy(entity).orderBy("_piece")
     earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        wanted.join(last, [entity, "_chunk"], "full_outer")
-        .withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
-        .select(F.col(entity).alias("_e"), F.col("_chunk").alias("_c"), "_carried")
+    carry = last.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier)).select(
+        F.col(entity).alias("_e"), F.col("_piece").alias("_c"), "_carried"
     )
-    same = F.col(entity).eqNullSafe(F.col("_e")) & (F.col("_chunk") == F.col("_c"))
+    same = F.col(entity).eqNullSafe(F.col("_e")) & (F.col("_piece") == F.col("_c"))
     return (
         local.join(carry, same, "left")
         .withColumn("_found", F.coalesce("_current", "_carried"))

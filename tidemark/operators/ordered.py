@@ -30,7 +30,13 @@ def equal_depth(
     A key of few rows is one chunk; one of more than ``MOST_CHUNKS`` chunks gets larger ones.
     """
     sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), SKETCH_ITEMS).alias("_sketch")
-    sketched = df.groupBy(*keys).agg(sketch, F.count(value).alias("_rows"))
+    rows = F.count(value).alias("_rows")
+    if keys:
+        # Only keys of more than a chunk need a sketch: at most one for every `chunk_rows` rows.
+        large = df.groupBy(*keys).agg(rows).where(F.col("_rows") > chunk_rows).select(*keys)
+        sketched = _join_carry(df, large, keys).groupBy(*keys).agg(sketch, rows)
+    else:
+        sketched = df.agg(sketch, rows)
     # As many chunks as a power of two, so that their borders are among the same ranks for all keys.
     doubled = F.ceil(F.log2(F.greatest(F.col("_rows") / chunk_rows, F.lit(1.0))))
     chunks = F.least(F.pow(F.lit(2.0), doubled), F.lit(MOST_CHUNKS)).cast("int")
@@ -41,7 +47,7 @@ def equal_depth(
     borders = F.when(chunks > 1, F.array_distinct(picked))
     found = sketched.select(*keys, borders.alias("_borders"))
     if keys:
-        joined = _join_carry(df, found, keys)
+        joined = _join_carry(df, found, keys, "left")
     else:
         joined = df.withColumn("_borders", found.scalar())
     at = F.coalesce("_borders", F.array().cast("array<double>"))
@@ -69,11 +75,13 @@ def _with_chunks(df: DataFrame, chunk: Sequence[Column]) -> tuple[DataFrame, lis
     return df.withColumns(dict(zip(names, chunk))), names
 
 
-def _join_carry(rows: DataFrame, carry: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Null-safe inner join that keeps the left copy of the keys."""
+def _join_carry(
+    rows: DataFrame, carry: DataFrame, on: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Null-safe join that keeps the left copy of the keys."""
     renamed = carry.withColumnsRenamed({k: f"_r{k}" for k in on})
     match = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in on]
-    return rows.join(renamed, match).drop(*[f"_r{k}" for k in on])
+    return rows.join(renamed, match, how).drop(*[f"_r{k}" for k in on])
 
 
 def running_totals(
