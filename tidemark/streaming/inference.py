@@ -39,10 +39,9 @@ from tidemark.sources.messages import each_once
 from tidemark.sources.tables import create_table, scan_table, write_batch
 from tidemark.streaming.features import start_batches
 from tidemark.streaming.metrics import StageMetrics
-from tidemark.streaming.retry import MISSED, RETRY_SECONDS, due_requests
+from tidemark.streaming.retry import GROUP_REQUESTS, MISSED, RETRY_SECONDS, due_requests
 
-_SETTLED = ["request_id", "retry_count"]
-_ASKED = ["request_id", "trace_id", "entity_id", "timestamp", "retry_count"]
+_ASKED = ["trace_id", "entity_id", "timestamp", "retry_count"]
 
 
 @dataclass
@@ -84,7 +83,6 @@ class InferenceStream:
         metrics = StageMetrics("inference")
         checked = read_inference_messages(messages)
         parsed = accepted(checked).select(
-            F.lit(None).cast("string").alias("request_id"),
             "trace_id",
             "entity_id",
             "timestamp",
@@ -121,7 +119,7 @@ class InferenceStream:
         none = spark.createDataFrame([], traced(DEAD_LETTER_SCHEMA))
         self._score(spark, asked.select(*_ASKED), none, number, StageMetrics("inference"))
         # Only now, with all sinks written, do these requests wait no more.
-        due.select(*_SETTLED).write.mode("overwrite").parquet(
+        due.select("group_id").distinct().write.mode("overwrite").parquet(
             f"{self.work_path}/settled/batch_id={number}"
         )
 
@@ -168,18 +166,20 @@ class InferenceStream:
                 F.count_if(failed & spent).alias("error"),
                 F.count_if(again & ~spent).alias("retry"),
             )
-            metrics.add("fetch", tally.first().asDict())
-
-        own_id = F.concat_ws("|", F.lit(str(number)), *[F.coalesce(c, F.lit("")) for c in _ASKED[1:4]])
+            fetched = tally.first().asDict()
+            metrics.add("fetch", fetched)
+        # Every group is whole in one file, so that its rows reach the timers together.
+        groups = 1 + fetched["retry"] // GROUP_REQUESTS
+        group = F.pmod(F.xxhash64("trace_id", "entity_id", "timestamp"), F.lit(groups))
         found.where(again & ~spent).groupBy(
-            F.coalesce("request_id", own_id).alias("request_id"),
+            F.concat_ws("|", F.lit(str(number)), group).alias("group_id"),
             "trace_id",
             "entity_id",
             "timestamp",
             (F.col("retry_count") + 1).alias("retry_count"),
-        ).agg(F.count("*").alias("copies")).write.mode("overwrite").parquet(
-            f"{self.work_path}/missed/batch {number}"
-        )
+        ).agg(F.count("*").alias("copies")).repartition("group_id").write.mode(
+            "overwrite"
+        ).parquet(f"{self.work_path}/missed/batch {number}")
         fetch_error = F.struct(
             F.lit(FETCH_ERROR).alias("error_type"), F.col("fetch_error").alias("error_message")
         )
@@ -253,13 +253,15 @@ class InferenceStream:
         )
 
     def waiting(self, spark: SparkSession) -> int:
-        """Requests, equal ones of a batch counted once, whose next look-up is still to come."""
+        """Requests, equal ones of a batch counted once, whose next look-up is still to come.
+
+        Groups that are settled are known by name, one for some thousand requests.
+        """
         missed = spark.read.schema(MISSED).parquet(f"{self.work_path}/missed/*")
         settled = scan_table(spark, f"{self.work_path}/settled", MISSED)
-        waiting = missed.select(*_SETTLED).distinct()
         if settled is not None:
-            waiting = waiting.join(settled.select(*_SETTLED), _SETTLED, "left_anti")
-        return waiting.count()
+            missed = missed.join(settled.select("group_id"), "group_id", "left_anti")
+        return missed.count()
 
     def settle(self, spark: SparkSession, checkpoint: str, every: str = "200 milliseconds") -> None:
         """Run the timers until no request waits; for jobs that end."""
