@@ -125,3 +125,12 @@ def test_repair_replaces_corrupted_missing_and_extra_buckets(spark):
     hour = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) // 3600
     assert rows[1, hour % 24] == (1, 1.0, ["r0"]) and rows[1, (hour + 3) % 24] == (1, 2.0, ["r"])
     assert len(rows) == 5
+
+
+def test_averages_of_one_source(spark):
+    name = rings.SCALARS[0]
+    rows = spark.createDataFrame([(1.0, "training"), (3.0, "training"), (9.0, "batch_input")], f"{name} double, source string")
+    users = spark.createDataFrame([("7", 1.0)], "user_id string, is_business double")
+    got = {r.user_id: r[f"global_{name}"] for r in rings.with_global_row(users, rows).collect()}
+    assert got == {"7": None, rings.GLOBAL_USER: 2.0}
+    assert rings.global_averages(rows.drop("source")).first()[f"global_{name}"] == 13 / 3

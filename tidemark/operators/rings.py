@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import SCALARS, USER_ATTRIBUTES
 from tidemark.functions.scalars import MONEY, unix_second
 from tidemark.operators.velocity import cross_border
+from tidemark.sources.tables import scan_source
 
 NEVER = -1  # fixed value: bucket number of a slot that was never written
 GLOBAL_USER = "__global__"  # fixed value: id of the row with population averages
@@ -202,8 +203,13 @@ def read_time_merge(rings: DataFrame, as_of: Column, keep: tuple[str, ...] = ())
     )
 
 
-def global_averages(features: DataFrame) -> DataFrame:
-    """The cold-start row: population averages of attributes and derived scalars."""
+def global_averages(features: DataFrame, source: str = "training") -> DataFrame:
+    """The cold-start row: population averages of attributes and derived scalars.
+
+    Where rows name their source, only those of one source are averaged.
+    """
+    if "source" in features.columns:
+        features = scan_source(features, source)
     averaged = [c for c in features.columns if c in SCALARS or c in USER_ATTRIBUTES]
     return features.agg(
         F.lit(GLOBAL_USER).alias("user_id"),

@@ -397,11 +397,14 @@ _MEANS_SQL = (
 _GLOBAL_SQL = f"SELECT round(COLUMNS(*), 6) FROM ({_MEANS_SQL})"
 
 
-def _global_row(spark: SparkSession, folder: str) -> DataFrame:
-    rows = velocity.transfer_features(
+def _transfer_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return velocity.transfer_features(
         b.transfers(spark, folder), b.users(spark, folder), b.as_of()
     )
-    return rings.global_averages(rows)
+
+
+def _global_row(spark: SparkSession, folder: str) -> DataFrame:
+    return rings.global_averages(_transfer_rows(spark, folder))
 
 
 @query(
@@ -423,7 +426,7 @@ def global_averages(spark: SparkSession, folder: str) -> DataFrame:
         "country_risk_score",
         "label",
     )
-    everyone = people.unionByName(_global_row(spark, folder), allowMissingColumns=True)
+    everyone = rings.with_global_row(people, _transfer_rows(spark, folder))
     averaged = [f"global_{c}" for c in SCALARS] + list(USER_ATTRIBUTES)
     return rounded(everyone, 6, *averaged)
 
