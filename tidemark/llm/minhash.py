@@ -8,8 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.components import components
+from tidemark.llm.crowds import frequent_links, ordered_sets, rare_pairs, unsettled
 from tidemark.llm.shared import documents, query, scan_filters, written
 
 #: Words of a shingle, and the least similarity of a link in percent.
@@ -129,17 +131,11 @@ def signed(df: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
     )
 
 
-def forest_candidates(sets: DataFrame) -> DataFrame:
-    """Candidate pairs ``a`` < ``b`` of rows (``id``, ``n_shingles``, ``copies``, ``signature``).
+def forest_regions(sets: DataFrame) -> DataFrame:
+    """The trees' regions of rows (``id``, ``n_shingles``, ``copies``, ``signature``).
 
     Each tree orders documents by its own hashes.  A region is a run with the same first hashes;
-    documents alone in their region leave that tree.  In a region each document is paired with its
-    neighbours in order, so the depth to which they agree adapts to how crowded it is.  For what
-    neighbours leave out in a crowded region, each document is also paired with three anchors: the
-    smallest one (of documents that share one passage it is similar to all that are similar to
-    any), the one with most exact copies, and the one that is most often on the commonest full
-    signature of its regions (of many edited copies of one text that is the text itself, or the
-    copy nearest to it).
+    documents alone in their region leave that tree.
     """
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     width = 4 * DEPTH
@@ -153,7 +149,20 @@ def forest_candidates(sets: DataFrame) -> DataFrame:
         ).alias("region"),
     )
     shared = rows.groupBy("region").count().where("count > 1").select("region")
-    crowded = written(rows.join(shared, "region"), "regions")
+    return written(rows.join(shared, "region"), "regions")
+
+
+def forest_candidates(crowded: DataFrame) -> DataFrame:
+    """Candidate pairs ``a`` < ``b`` of documents in the regions of a forest.
+
+    In a region each document is paired with its
+    neighbours in order, so the depth to which they agree adapts to how crowded it is.  For what
+    neighbours leave out in a crowded region, each document is also paired with three anchors: the
+    smallest one (of documents that share one passage it is similar to all that are similar to
+    any), the one with most exact copies, and the one that is most often on the commonest full
+    signature of its regions (of many edited copies of one text that is the text itself, or the
+    copy nearest to it).  ``crowd_links`` finds what all of these leave out.
+    """
     ordered = crowded.repartitionByRange("region", "order", "id").sortWithinPartitions(
         "region", "order", "id"
     )
@@ -192,8 +201,8 @@ def forest_candidates(sets: DataFrame) -> DataFrame:
             ["a", "b", "region", "size", "head"],
         )
 
-    kind = sets.schema["id"].dataType.simpleString()
-    kind_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    kind = crowded.schema["id"].dataType.simpleString()
+    kind_arrow = to_arrow_type(crowded.schema["id"].dataType)
     found = written(
         ordered.select("region", "id", "n_shingles").mapInArrow(
             neighbours, f"a {kind}, b {kind}, region long, size long, head boolean"
@@ -309,6 +318,24 @@ def confirmed(pairs: DataFrame, df: DataFrame, id_col: str, text: str, shingle:
     return both.select("a", "b", "of_a", "of_b").mapInArrow(compare, f"a {kind}, b {kind}")
 
 
+def crowd_links(
+    regions: DataFrame, named: DataFrame, df: DataFrame, id_col: str, text: str, shingle: int
+) -> DataFrame | None:
+    """Links between components (``comp`` of ``named``) in crowded regions; none if all is settled.
+
+    In a region of up to ``NEIGHBOURS + 1`` documents all are neighbours, so only larger ones that
+    hold several components can have lost a link.
+    """
+    left = unsettled(regions, named, NEIGHBOURS + 1)
+    if left.isEmpty():
+        return None
+    texts = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    sets = ordered_sets(left, texts, lambda: Shingles(shingle).of, PERCENT)
+    rare = written(rare_pairs(sets, PERCENT), "rare-pairs")
+    found = confirmed(rare, df, id_col, text, shingle)
+    return found.unionByName(frequent_links(sets, PERCENT))
+
+
 def near_groups(df: DataFrame, id_col: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """One row per input row: its set's size, its component and whether it stays.
 
@@ -330,9 +357,21 @@ def near_groups(df: DataFrame, id_col: str, text: str, shingle: int = SHINGLE) -
         .select("id", "n_shingles", "copies", "signature")
         .dropDuplicates(["id"])
     )
-    pairs = written(forest_candidates(sets), "candidates")
+    regions = forest_regions(sets)
+    pairs = written(forest_candidates(regions), "candidates")
     links = confirmed(pairs, df, id_col, text, shingle)
     grouped = components(links)
+    named = written(
+        classes.join(grouped, classes["first"] == grouped["node"], "left").select(
+            F.col("first").alias("id"), "n_shingles", F.coalesce("component", "first").alias("comp")
+        ).dropDuplicates(["id"]),
+        "named",
+    )
+    more = crowd_links(regions, named, df, id_col, text, shingle)
+    if more is not None:
+        grouped = components(
+            grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+        )
     named = classes.join(grouped, classes["first"] == grouped["node"], "left").select(
         "high", "low", "n_shingles", F.coalesce("component", "first").alias("_component")
     )
