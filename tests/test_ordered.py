@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import splits
+from tidemark.operators import ordered, splits
 from tidemark.operators.canonical import append_with_next_id
 from tidemark.operators.ordered import equal_depth, exact_quantiles, previous_value, running_totals
 
@@ -108,3 +108,65 @@ def test_chunks_follow_the_data(spark):
     assert whole.groupBy("_piece").count().count() == 8
     assert equal_depth(df.limit(0), ["k"], "v").count() == 0
     assert equal_depth(df.limit(0).select("v"), [], "v").count() == 0
+
+
+def test_carries_meet_level_by_level(spark, monkeypatch):
+    """Blocks of 16 chunks: carries of 3000 chunks of two keys, some of them empty, equal brute force."""
+    monkeypatch.setattr(ordered, "BLOCK_CHUNKS", 16)
+    draw = random.Random(4)
+    rows = [(draw.choice(["a", None]), draw.randrange(3000), draw.choice([None, 1, 5])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "k string, c long, n long").groupBy("k", "c").agg(F.max("n").alias("n"))
+    kept = sorted((r.c, r.k or "", r.n) for r in df.collect())
+    for descending in (False, True):
+        got = ordered.sums_before(df, ["k"], ["c"], {"n": "before"}, descending).collect()
+        assert len(got) == len(kept)
+        for r in got:
+            at, key = r.c, r.k or ""
+            same = [n or 0 for c, k, n in kept if k == key and (c > at if descending else c < at)]
+            assert r.before == sum(same)
+    for r in ordered.last_before(df, ["k"], ["c"], {"n": "before"}).collect():
+        at, key = r.c, r.k or ""
+        known = [n for c, k, n in kept if k == key and c < at and n is not None]
+        assert r.before == (known[-1] if known else None)
+
+
+def test_a_window_sees_one_block_of_chunks_only(spark):
+    """A million chunks of one key: the largest group that a window orders has 4096 rows."""
+    chunks = spark.range(1_000_000).select(F.col("id").alias("c"), F.lit(2).alias("n"))
+    made = ordered.sums_before(chunks, [], ["c"], {"n": "before"})
+    assert made.where(F.col("before") != 2 * F.col("c")).isEmpty()
+    text = made._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert len(windows) == 2
+    assert sum("[_block" in line for line in windows) == 2  # by block, and over the blocks
+
+
+def test_chunks_are_cut_again_where_one_cut_is_not_enough(spark):
+    """Four chunks a cut: 20 000 rows in chunks of about 500 need more than two cuts' first level."""
+    value = F.when(F.col("id") % 4 > 0, F.lit(0.5) + F.rand(3) / 1e6).otherwise(F.rand(4) * 100)
+    df = spark.range(20_000).select(F.lit("k").alias("k"), value.alias("v"), "id")
+    cut = equal_depth(df, ["k"], "v", 500, most=4)
+    spans = cut.groupBy("_piece").agg(
+        F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n")
+    ).orderBy("_piece").collect()
+    assert 32 <= len(spans) <= 64 and max(r.n for r in spans) <= 2 * 500
+    assert all(a.high < b.low for a, b in zip(spans, spans[1:]))
+    totals = ordered.running_totals(cut, ["k"], [F.col("_piece")], [F.col("v")], {"t": F.lit(1)})
+    ranks = sorted((r.v, r.t) for r in totals.collect())
+    assert [t for _, t in ranks] == list(range(1, 20_001))
+
+
+def test_borders_do_not_change_when_chunks_are_read_again(spark):
+    """Sketches draw at random, so a lost task must find the borders that the others used."""
+    df = spark.range(400_000).select((F.rand(1) * 1e6).alias("v"), "id")
+    cut = equal_depth(df, [], "v", 5_000)
+    first, second = (cut.groupBy("_piece").agg(F.sum("id").alias("s")) for _ in range(2))
+    assert sorted(first.collect()) == sorted(second.collect())
+
+
+def test_next_ids_and_splits_over_two_levels_of_chunks(spark):
+    new = spark.range(30_000).select(F.col("id").cast("string").alias("x"))
+    none = spark.createDataFrame([], "Id long")
+    got = append_with_next_id(none, new)
+    assert got.agg(F.countDistinct("Id"), F.min("Id"), F.max("Id")).first()[:] == (30_000, 1, 30_000)
+    assert got.select("x").distinct().count() == 30_000

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import CHUNK_ROWS, equal_depth
+from tidemark.operators.ordered import CHUNK_ROWS, equal_depth, last_before
 
 
 def point_in_time_join(
@@ -63,9 +63,7 @@ def point_in_time_join(
     last = rows.groupBy(entity, "_piece").agg(
         F.max_by(F.when(is_fact, F.col("_fact")), F.when(is_fact, F.struct("_at", "_rank"))).alias("_last")
     )
-    chunks = Window.partitionBy(entity).orderBy("_piece")
-    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier)).select(
+    carry = last_before(last, [entity], ["_piece"], {"_last": "_carried"}).select(
         F.col(entity).alias("_e"), F.col("_piece").alias("_c"), "_carried"
     )
     same = F.col(entity).eqNullSafe(F.col("_e")) & (F.col("_piece") == F.col("_c"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import IRIS, FeatureContract, keep_columns
 from tidemark.functions.scalars import batch_entity_id, stream_entity_id
+from tidemark.operators.ordered import running_totals
 from tidemark.operators.splits import COPY_BLOCK, row_digest
 
 STREAM_SOURCE = "streaming"  # fixed value
@@ -74,30 +75,18 @@ def append_with_next_id(
 ) -> DataFrame:
     """Number ``new`` from the largest existing id + 1 (from 1 when there is none).
 
-    Rows are numbered in seeded md5 order.  Digest prefixes cut the numbering into 4096 even
-    chunks; the first number of each chunk comes from a histogram.  Equal rows are counted
-    together; a large group of copies gets its numbers block by block in several tasks.
+    Rows are numbered in seeded md5 order.  Digest prefixes cut the numbering into even chunks on
+    two levels, 4096 parents of 4096 each; every chunk carries the rows before it.  Equal rows are
+    counted together; a large group of copies gets its numbers block by block in several tasks.
     """
     columns = new.columns
-    placed = new.withColumn("_digest", row_digest(columns, seed)).withColumn(
-        "_chunk", F.substring("_digest", 1, 3)
-    )
-    distinct = placed.groupBy(*columns, "_digest", "_chunk").agg(F.count("*").alias("_m"))
-    sizes = placed.groupBy("_chunk").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col("_chunk"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
-    )
+    placed = new.withColumn("_digest", row_digest(columns, seed))
+    distinct = placed.groupBy(*columns, "_digest").agg(F.count("*").alias("_m"))
     top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
-    inside = (
-        Window.partitionBy("_chunk")
-        .orderBy("_digest", *columns)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    first = (
-        distinct.withColumn("_ahead", F.coalesce(F.sum("_m").over(inside), F.lit(0)))
-        .join(F.broadcast(starts), "_chunk")  # at most 4096 rows
-        .withColumn("_first", top.scalar() + F.col("_start") + F.col("_ahead") + 1)
+    chunk = [F.substring("_digest", 1, 3), F.substring("_digest", 4, 3)]
+    order = [F.col(c) for c in ("_digest", *columns)]
+    first = running_totals(distinct, [], chunk, order, {"_upto": F.col("_m")}).withColumn(
+        "_first", top.scalar() + F.col("_upto") - F.col("_m") + 1
     )
     last = F.col("_first") + F.col("_m") - 1
     few = first.where(F.col("_m") <= COPY_BLOCK).select(

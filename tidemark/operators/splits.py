@@ -56,7 +56,7 @@ def train_test_split(
 
     A histogram over the first four hex digits of the digest (at most 65536 rows) finds the
     one digest bucket the cut falls into.  All other rows are labelled by a map-only pass;
-    only that bucket is ranked, with equal rows counted together.
+    only that bucket is ranked, in chunks by further digits, with equal rows counted together.
     """
     digest = row_digest(key, seed)
     bucket = F.substring(digest, 1, 4)
@@ -87,10 +87,10 @@ def train_test_split(
         .groupBy(*df.columns, "_digest", "_need")
         .agg(F.count("*").alias("_m"))
     )
-    order = Window.orderBy("_digest", *df.columns).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = inside.withColumn("_upto", F.sum("_m").over(order))
+    # Each further digit of the digest is a level of the ranking, so the bucket may be large, too.
+    deeper = [F.substring("_digest", at, 2) for at in (5, 7)]
+    order = [F.col(c) for c in ("_digest", *df.columns)]
+    ranked = running_totals(inside, [], deeper, order, {"_upto": F.col("_m")})
     in_test = F.greatest(
         F.lit(0), F.least(F.col("_m"), F.col("_need") - (F.col("_upto") - F.col("_m")))
     )
