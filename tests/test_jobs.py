@@ -4,11 +4,15 @@ import datetime as dt
 import json
 import random
 
+from pyspark.sql import functions as F
+
 from tidemark import jobs
 from tidemark.contract import DEAD_LETTER_SCHEMA, FEATURE_SCHEMA, PREDICTION_SCHEMA, RAW_SCHEMA
 from tidemark.operators.online import OnlineStore
 from tidemark.session import new_folder
 from tidemark.sources import tables
+from tidemark.streaming.metrics import stage_counts, stage_latency
+from tidemark.streaming.progress import ProgressMetrics
 
 NAMES = ["sepal_length_cm", "sepal_width_cm", "petal_length_cm", "petal_width_cm"]
 T0 = dt.datetime(2024, 1, 1)
@@ -80,7 +84,8 @@ def test_feature_job_and_options(spark):
         jobs.parser().parse_args(
             ["feature_stream", "--source", f"{base}/in", "--features", f"{base}/features",
              "--store", f"{base}/store", "--checkpoint", f"{base}/marks",
-             "--dead_letters", f"{base}/letters", "--available_now"]
+             "--dead_letters", f"{base}/letters", "--metrics", f"{base}/metrics",
+             "--progress", f"{base}/progress", "--available_now"]
         )
     )
     assert options.pop("job") == "feature_stream"
@@ -89,6 +94,18 @@ def test_feature_job_and_options(spark):
     assert [r.entity_id for r in rows] == ["4_streaming"]
     assert tables.read_batches(spark, f"{base}/letters", DEAD_LETTER_SCHEMA).count() == 1
 
+    # Spark's own report of its triggers (a last one moves the watermark on), in the same form as the stages' metrics.
+    heard = spark.read.parquet(f"{base}/progress/*")
+    counts = {(r.job, r.stage, r.name): r.total for r in stage_counts(heard).collect()}
+    triggers = counts["feature", "trigger", "triggers"]
+    assert triggers in (1, 2)
+    assert counts["feature", "trigger", "rows_in"] == 2
+    waits = {r.stage: r for r in stage_latency(heard).collect()}
+    assert waits["triggerExecution"].rows == triggers
+    assert 0 < waits["addBatch"].p99 <= waits["triggerExecution"].p99
+    both = heard.unionByName(spark.read.parquet(f"{base}/metrics/*"))
+    assert {"parse", "offline", "online", "trigger"} <= {r.stage for r in stage_counts(both).collect()}
+
     # A batch refresh of the same table leaves the streamed rows alone.
     spark.createDataFrame(samples(3, "training"), RAW_SCHEMA).write.parquet(f"{base}/raw")
     for _ in range(2):
@@ -97,3 +114,28 @@ def test_feature_job_and_options(spark):
     assert sorted(r.source for r in rows) == ["streaming", "training", "training", "training"]
     jobs.ingest(spark, f"{base}/raw", f"{base}/none", f"{base}/features", full=True)
     assert tables.read_batches(spark, f"{base}/features", FEATURE_SCHEMA).count() == 3
+
+
+def test_listener_keeps_what_it_cannot_write(spark):
+    """Observed counters are stages; samples of a failed write come with the next one."""
+    base = new_folder(spark, "listener")
+    listener = ProgressMetrics(spark, f"{base}/file", flush_triggers=1)
+    with open(f"{base.removeprefix('file:')}-blocker", "w") as blocker:
+        blocker.write("a file where a folder is wanted")
+    listener._path = f"{base}-blocker"
+    spark.range(7).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("id long").parquet(f"{base}/in").observe(
+        "seen", F.count("*").alias("success"), F.count_if(F.col("id") > 4).alias("error")
+    )
+    writer = stream.writeStream.format("noop").trigger(availableNow=True)
+    query = listener.follow(writer.option("checkpointLocation", f"{base}/marks").start(), "watched")
+    query.awaitTermination()
+    listener._ended[str(query.runId)].wait(30)
+    listener._path = f"{base}/progress"
+    listener.close()
+    counts = {
+        (r.job, r.stage, r.name): r.total
+        for r in stage_counts(spark.read.parquet(f"{base}/progress/*")).collect()
+    }
+    assert counts["watched", "seen", "success"] == 7 and counts["watched", "seen", "error"] == 2
+    assert counts["watched", "trigger", "rows_in"] == 7

@@ -24,6 +24,7 @@ from tidemark.sources import messages, tables
 from tidemark.streaming.batching import FLUSH_SECONDS, SCORE_ROWS, flush_trigger
 from tidemark.streaming.features import COMPACT_EVERY, FeatureStream
 from tidemark.streaming.inference import InferenceStream
+from tidemark.streaming.progress import ProgressMetrics
 
 
 def ingest(
@@ -138,10 +139,8 @@ def _messages(spark: SparkSession, source: str, topic: str) -> DataFrame:
     return stream.withColumn("trace_id", F.concat_ws("-", *place))
 
 
-def _running(query, wait: bool):
-    if wait:
-        query.awaitTermination()
-    return query
+def _listener(spark: SparkSession, progress: str) -> ProgressMetrics | None:
+    return ProgressMetrics(spark, progress) if progress else None
 
 
 def feature_stream(
@@ -153,12 +152,17 @@ def feature_stream(
     topic: str = "",
     dead_letters: str = "",
     metrics: str = "",
+    progress: str = "",
     project: str = "iris",
     compact_every: int = COMPACT_EVERY,
     available_now: bool = False,
     no_wait: bool = False,
 ):
-    """Messages -> offline table and online store.  Every table has to exist."""
+    """Messages -> offline table and online store.  Every table has to exist.
+
+    ``metrics`` takes what the stages of a micro-batch did, ``progress`` what Spark says of triggers.
+    """
+    listener = _listener(spark, progress)
     stream = FeatureStream(
         features,
         _store(spark, store, project),
@@ -167,7 +171,16 @@ def feature_stream(
         compact_every=compact_every or None,
     )
     every = None if available_now else flush_trigger(FLUSH_SECONDS)
-    return _running(stream.start(_messages(spark, source, topic), checkpoint, every), not no_wait)
+    query = stream.start(_messages(spark, source, topic), checkpoint, every)
+    if listener:
+        listener.follow(query, "feature")
+    if not no_wait:
+        try:
+            query.awaitTermination()
+        finally:
+            if listener:
+                listener.close()
+    return query
 
 
 def inference_stream(
@@ -180,6 +193,7 @@ def inference_stream(
     topic: str = "",
     dead_letters: str = "",
     metrics: str = "",
+    progress: str = "",
     project: str = "iris",
     batch_size: int = SCORE_ROWS,
     max_batch_duration_secs: float = FLUSH_SECONDS,
@@ -191,6 +205,7 @@ def inference_stream(
     Requests without features get their retries from a second query, which an endless job runs
     beside the first one, and a job over what is available after it, until none waits.
     """
+    listener = _listener(spark, progress)
     stream = InferenceStream(
         store=_store(spark, store, project),
         scorer=training.load_model(model),
@@ -206,13 +221,21 @@ def inference_stream(
     asked = _messages(spark, source, topic)
     served = stream.start(asked, f"{checkpoint}/marks", every)
     retry_marks = f"{checkpoint}/retry-marks"
-    if every is not None:
-        stream.start_retries(spark, retry_marks, every)
-        if not no_wait:
-            spark.streams.awaitAnyTermination()
-    elif not no_wait:
-        served.awaitTermination()
-        stream.settle(spark, retry_marks)
+    if listener:
+        listener.follow(served, "inference")
+    try:
+        if every is not None:
+            retries = stream.start_retries(spark, retry_marks, every)
+            if listener:
+                listener.follow(retries, "retries")
+            if not no_wait:
+                spark.streams.awaitAnyTermination()
+        elif not no_wait:
+            served.awaitTermination()
+            stream.settle(spark, retry_marks)
+    finally:
+        if listener and not no_wait:
+            listener.close()
     return served
 
 

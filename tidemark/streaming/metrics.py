@@ -54,18 +54,23 @@ class StageMetrics:
             through = sum(n for (of, _), n in self.counts.items() if of == stage)
             if through:
                 rows.append((stage, LATENCY, seconds, float(through)))
-        made = spark.createDataFrame(rows, "stage string, name string, seconds double, value double")
-        bins = latency_bin(F.col("seconds")).cast("string")
-        labels = {"job": F.lit(self.job), "stage": F.col("stage")}
-        plain = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), v)])
-        made.select(
-            now.cast("timestamp").alias("ts"),
-            "name",
-            F.when(F.col("seconds").isNull(), plain)
-            .otherwise(F.map_concat(plain, F.create_map(F.lit("bin"), bins)))
-            .alias("labels"),
-            "value",
-        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        made = spark.createDataFrame(
+            [(None, self.job, *row) for row in rows], SAMPLED
+        ).withColumn("ts", now.cast("timestamp"))
+        samples(made).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+#: What a stage reports: a counter's value, or (with ``seconds``) how many waited so long.
+SAMPLED = "ts timestamp, job string, stage string, name string, seconds double, value double"
+
+
+def samples(sampled: DataFrame) -> DataFrame:
+    """Rows of the metrics table: labels are job, stage and, for latencies, the bin."""
+    labels = {"job": F.col("job"), "stage": F.col("stage")}
+    plain = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), v)])
+    bins = F.create_map(F.lit("bin"), latency_bin(F.col("seconds")).cast("string"))
+    labelled = F.when(F.col("seconds").isNull(), plain).otherwise(F.map_concat(plain, bins))
+    return sampled.select("ts", "name", labelled.alias("labels"), "value")
 
 
 def stage_counts(samples: DataFrame) -> DataFrame:
