@@ -70,13 +70,7 @@ class Encoder:
         return self._ids(text)
 
     def _ids(self, text: str) -> bytes:
-        words = text.split()
-        gaps = len(words) - 1
-        if (
-            gaps < 0
-            or text.count(" ") + text.count("\n") != gaps
-            or sum(map(len, words)) + gaps != len(text)
-        ):
+        if not single_gaps(text):
             return b"".join(map(self._plain.__getitem__, self.split.findall(text)))
         lines = []
         for line in text.split("\n"):
@@ -84,6 +78,26 @@ class Encoder:
             lines.append(self._plain[first] + b"".join(map(self._spaced.__getitem__, rest)))
         return self._break.join(lines)
 
+    def sizes(self, text: str) -> tuple[list[int], list[int]]:
+        """Code points and tokens of consecutive pieces, each cut where the pattern always cuts."""
+        special = self._special is not None and any(s in text for s in self._specials)
+        if special or not single_gaps(text):
+            pieces = [(len(piece), len(ids) // 4) for piece, ids in self.pieces(text)]
+            return [n for n, _ in pieces], [n for _, n in pieces]
+        chars, tokens = [], []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            chars.append(len(first))
+            chars.extend([len(word) + 1 for word in rest])
+            chars.append(1)
+            tokens.append(len(self._plain[first]) // 4)
+            tokens.extend([len(ids) // 4 for ids in map(self._spaced.__getitem__, rest)])
+            tokens.append(len(self._break) // 4)
+        return chars[:-1], tokens[:-1]
+
+    def is_special(self, piece: str) -> bool:
+        return piece in self._specials
+
     def pieces(self, text: str) -> Iterator[tuple[str, bytes]]:
         """The pieces in which the pattern (or a special string) cuts a text, with their ids."""
         parts = self._special.split(text) if self._special is not None else [text]
@@ -95,6 +109,17 @@ class Encoder:
                     yield piece, self._plain[piece]
 
 
+def single_gaps(text: str) -> bool:
+    """Whether a text has words and, between any two of them, one blank or one line feed."""
+    words = text.split()
+    gaps = len(words) - 1
+    return (
+        gaps >= 0
+        and text.count(" ") + text.count("\n") == gaps
+        and sum(map(len, words)) + gaps == len(text)
+    )
+
+
 class PrefixCounts:
     """Token counts of every prefix of a word, by dynamic programming over its bytes.
 

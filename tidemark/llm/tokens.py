@@ -19,19 +19,22 @@ LIMIT = 1024
 class PrefixTable:
     """Token counts of all prefixes of one text, from one encoding of the whole text.
 
-    Kept are the count and position at the end of each piece that the vocabulary's pattern cuts;
-    counts inside a piece come from its own prefix programme, which pieces share.  White space at
+    Kept are the count and position at the end of each piece, between which the vocabulary's
+    pattern always cuts; counts inside a piece come from its own prefix programme.  White space at
     the end of a prefix is one run, which the pattern cuts in another way than in mid-text.
     """
 
     def __init__(self, text: str, path: str):
         self.text = text
         self._encoder, self._inside = bpe.encoder(path), bpe.prefix_counts(path)
-        pieces = list(self._encoder.pieces(text))
-        self._pieces = [piece for piece, _ in pieces]
-        self._ids = [ids for _, ids in pieces]
-        self.ends = np.cumsum([0, *(len(p) for p in self._pieces)])
-        self.counts = np.cumsum([0, *(len(ids) // 4 for ids in self._ids)])
+        chars, tokens = self._encoder.sizes(text)
+        self.ends = np.cumsum([0, *chars])
+        self.counts = np.cumsum([0, *tokens])
+
+    @property
+    def total(self) -> int:
+        """Tokens of the whole text."""
+        return int(self.counts[-1])
 
     def at(self, chars: int) -> int:
         """Tokens of the text's first ``chars`` code points."""
@@ -52,13 +55,32 @@ class PrefixTable:
     def fitting(self, budget: int) -> int:
         """Most code points that can be kept, in whole pieces and then inside the next one, so
         that the kept prefix has at most ``budget`` tokens."""
+        if self.total <= budget:
+            return len(self.text)
         k = int(np.searchsorted(self.counts, budget, side="right")) - 1
-        chars = int(self.ends[k])
-        if k == len(self._pieces):
-            return chars
-        for more in range(int(self.ends[k + 1]) - 1, chars, -1):
-            if self.at(more) <= budget:
-                return more
+        chars, end, kept = int(self.ends[k]), int(self.ends[k + 1]), int(self.counts[k])
+        piece = self.text[chars:end]
+        if self._encoder.is_special(piece):
+            for more in range(end - 1, chars, -1):
+                if self.at(more) <= budget:
+                    return more
+        else:
+            for part in self._encoder.split.findall(piece):
+                inside = self._inside.of_text(part)
+                if kept + inside[-1] <= budget:
+                    kept += inside[-1]
+                    chars += len(part)
+                    continue
+                # A prefix of a part is cut like the part, contractions and white space excepted.
+                like = not part.isspace() and not (part[0] == "'" and len(part) <= 3)
+                for more in range(len(part) - 1, 0, -1):
+                    if like and part[more - 1] not in _SPACES:
+                        tokens = kept + inside[more]
+                    else:
+                        tokens = self.at(chars + more)
+                    if tokens <= budget:
+                        return chars + more
+                break
         while chars and self.at(chars) > budget:  # white space at the end can count otherwise
             chars -= 1
         return chars
@@ -96,28 +118,21 @@ def token_counts(
 
     Columns: the id, ``n_bytes`` (UTF-8), ``n_tokens`` and, for each budget, ``fit_<budget>``: the
     code points that can be kept.  A null text counts as empty; rows with the same id are
-    counted one by one.  Each text is encoded once; cuts are read off its prefix counts, for
-    which only texts above the smallest budget need a table.
+    counted one by one.  Each text is encoded once, into its table of prefix counts: the number of
+    tokens is the last of them, and cuts are read off it.
     """
     wanted = sorted(budgets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = bpe.encoder(path).ids
         for batch in batches:
             n_bytes, n_tokens = [], []
             fits: list[list[int]] = [[] for _ in wanted]
             for text in batch.column(1).to_pylist():
-                text = text or ""
-                tokens = len(encode(text)) // 4
-                n_bytes.append(len(text.encode()))
-                n_tokens.append(tokens)
-                table = None
+                table = PrefixTable(text or "", path)
+                n_bytes.append(len(table.text.encode()))
+                n_tokens.append(table.total)
                 for budget, fit in zip(wanted, fits):
-                    if tokens <= budget:
-                        fit.append(len(text))
-                    else:
-                        table = table or PrefixTable(text, path)
-                        fit.append(table.fitting(budget))
+                    fit.append(table.fitting(budget))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, n_tokens, *fits))],
                 ["_id", "n_bytes", "n_tokens", *(f"fit_{b}" for b in wanted)],
