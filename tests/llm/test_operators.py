@@ -350,3 +350,47 @@ def test_key_filter_passes_every_key(spark):
     assert marked.where("id % 7 = 0 and key is not null and not _possible").count() == 0
     assert marked.where("id % 7 != 0 and _possible").count() < 200
     assert possible(df, F.col("key"), keys.limit(0)).where("_possible").count() == 0
+
+
+def test_cards_and_telephone_numbers_are_not_added():
+    """Digit runs of ordinary text are no credentials; held-out hex strings still are."""
+    draw = random.Random(8)
+    drawn = ["%040x" % draw.getrandbits(160) for _ in range(300)]
+    digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    plain = [f"{prose(i, 30)} call 555-{digits(4)} or pay with {digits(16)}" for i in range(400)]
+    grammar = secrets.learn(plain + [f"{prose(i, 20)} token={t}" for i, t in enumerate(drawn[:200])])
+    assert sum(grammar.accepts(secrets.symbols(t)) for t in drawn[200:]) >= 90
+    fresh = [f"555-{digits(4)}" for _ in range(100)] + [digits(16) for _ in range(100)]
+    assert not any(grammar.accepts(secrets.symbols(d)) for d in fresh)
+
+
+def test_candidates_outside_base_spans_equal_brute_force():
+    draw = random.Random(12)
+    parts = ["password=", "AKIA" + "Q" * 14, "%032x" % 77, "plainwords", "x", " ", ".", "/", "12345678"]
+    for _ in range(300):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(30)))
+        base = secrets.base_spans(text)
+        free = [
+            m.span() for m in secrets.CANDIDATE.finditer(text)
+            if not any(s < m.end() and m.start() < e for s, e, _ in base)
+        ]
+        assert [m.span() for m in secrets.outside(text, base)] == free
+
+
+def test_prefix_table_gives_totals_and_cuts(spark):
+    """Every prefix count and cut of odd texts against the library, from one encoding each."""
+    library = Tokenizer.from_file(VOCABULARY)
+    count = lambda s: len(library.encode(s, add_special_tokens=False).ids)
+    draw = random.Random(3)
+    odd = ["a  b\t\tc \n\n d", "don't we'll 'tis ''' ''''''", "  x", "x  ", "", "\n", " \n ", " " * 30 + "z",
+           "<|endoftext|> a<|endoftext|>b", "héllo wörld 日本語 12345 a1b2", "one two\nthree, four's\nfive"]
+    odd += ["".join(draw.choice("ab' '\n\t.re1é日") for _ in range(draw.randrange(40))) for _ in range(60)]
+    for text in odd:
+        table = tokens.PrefixTable(text, VOCABULARY)
+        counts = [count(text[:i]) for i in range(len(text) + 1)]
+        assert [table.at(i) for i in range(len(text) + 1)] == counts
+        assert table.total == counts[-1]
+        for budget in range(8):
+            assert counts[table.fitting(budget)] <= budget
+            if counts[-1] <= budget:
+                assert table.fitting(budget) == len(text)

@@ -28,6 +28,9 @@ KINDS = ("assign", "access", "hex")
 #: Strings that are scored by format: all runs of credential characters but the full stop.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 
+#: Classes of characters (see ``symbols``), and the marks of a string's beginning and end.
+CLASSES, START, END = "fzA0-", "^", "$"
+
 #: The most credentials of a kind that an automaton is inferred from.
 EXAMPLES = 400
 #: Thresholds are rounded down to so many steps of one.
@@ -158,7 +161,7 @@ class Automaton:
 
 @dataclass
 class Grammar:
-    """Automata of credential formats against the letters of ordinary words."""
+    """Automata of credential formats against the chain of classes in ordinary strings."""
 
     automata: dict[str, Automaton]
     thresholds: dict[str, float]
@@ -166,32 +169,52 @@ class Grammar:
 
     def odds(self, kind: str, shape: str) -> float:
         """Log-likelihood ratio per character."""
-        plain = sum(self.background.get(c, -12.0) for c in shape)
+        plain = sum(map(self.background.__getitem__, steps_of(shape)))
         return (self.automata[kind].score(shape) - plain) / len(shape)
 
     def accepts(self, shape: str) -> bool:
         return any(self.odds(kind, shape) >= self.thresholds[kind] for kind in self.automata)
 
 
-def labelled(text: str) -> Iterator[tuple[str, str]]:
+def labelled(
+    text: str, base: Sequence[tuple[int, int, str]]
+) -> Iterator[tuple[str, str]]:
     """Kind and value of the credentials that the fixed patterns find."""
-    for start, end, kind in base_spans(text):
+    for start, end, kind in base:
         yield kind, ASSIGN.match(text, start)[1] if kind == "assign" else text[start:end]
 
 
-def plain_symbols(text: str) -> Counter[str]:
-    """How often each class of characters stands in a text, blanks and line feeds left out."""
+def outside(text: str, base: Sequence[tuple[int, int, str]]) -> Iterator[re.Match[str]]:
+    """Candidate strings that no base span touches; both are walked once, in order."""
+    spans, at, reached = sorted((s, e) for s, e, _ in base), 0, 0
+    for m in CANDIDATE.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            reached = max(reached, spans[at][1])
+            at += 1
+        if reached <= m.start():
+            yield m
+
+
+def steps_of(shape: str) -> Iterator[str]:
+    """Neighbouring classes of a shape, its beginning and end included."""
+    return map("".join, zip(START + shape, shape + END))
+
+
+def plain_steps(words: Counter[str]) -> Counter[str]:
+    """How often each step occurs in the shapes of some strings."""
     made: Counter[str] = Counter()
-    for c, n in Counter(text).items():
-        if c not in " \n":
-            made[symbols(c)] += n
+    for word, n in words.items():
+        for step in steps_of(symbols(word)):
+            made[step] += n
     return made
 
 
 def inferred(shapes: dict[str, Sequence[str]], plain: dict[str, int], alpha: float) -> Grammar:
     """A grammar whose thresholds are still open."""
-    total = sum(plain.values()) + 5
-    background = {c: math.log((plain.get(c, 0) + 1) / total) for c in "fzA0-"}
+    background = {}
+    for a in START + CLASSES:
+        after = {b: plain.get(a + b, 0) + 1 for b in CLASSES + END}
+        background |= {a + b: math.log(n / sum(after.values())) for b, n in after.items()}
     automata = {k: Automaton.inferred(sorted(shapes[k]), alpha) for k in KINDS if shapes.get(k)}
     return Grammar(automata, {}, background)
 
@@ -207,13 +230,13 @@ def threshold(steps: dict[int, int]) -> float:
 
 
 def learn(texts: Sequence[str], examples: int = EXAMPLES, alpha: float = ALPHA) -> Grammar:
-    """A grammar from the credentials and the ordinary words of some texts."""
+    """A grammar from the credentials and the other candidate strings of some texts."""
     shapes: dict[str, list[str]] = defaultdict(list)
     plain: Counter[str] = Counter()
     for text in texts:
-        for kind, value in labelled(text):
+        for kind, value in labelled(text, base_spans(text)):
             shapes[kind].append(symbols(value))
-        plain.update(plain_symbols(text))
+        plain.update(plain_steps(Counter(m[0] for m in outside(text, base_spans(text)))))
     made = inferred({k: v[:examples] for k, v in shapes.items()}, plain, alpha)
     for kind in made.automata:
         steps = Counter(math.floor(made.odds(kind, shape) * STEPS) for shape in shapes[kind])
@@ -222,18 +245,21 @@ def learn(texts: Sequence[str], examples: int = EXAMPLES, alpha: float = ALPHA)
 
 
 def learned(df: DataFrame, text: str, examples: int = EXAMPLES, alpha: float = ALPHA) -> Grammar:
-    """A grammar from all rows: every credential counts for thresholds, every character for the
-    background; automata are inferred from at most ``examples`` values a kind, by a hash."""
+    """A grammar from all rows: every credential counts for thresholds, every other candidate
+    string for the background; automata are inferred from at most ``examples`` values a kind, by a hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: Counter[tuple[str, int, str]] = Counter()
+            others: Counter[str] = Counter()
             for one in batch.column(0).to_pylist():
-                for kind, value in labelled(one or ""):
+                base = base_spans(one or "")
+                others.update([m[0] for m in outside(one or "", base)])
+                for kind, value in labelled(one or "", base):
                     digest = hashlib.blake2b(value.encode(), digest_size=8).digest()
                     made[kind, int.from_bytes(digest, "big", signed=True), symbols(value)] += 1
-                for c, n in plain_symbols(one or "").items():
-                    made["plain", 0, c] += n
+            for step, n in plain_steps(others).items():
+                made["plain", 0, step] += n
             kinds, keys, shapes = zip(*made) if made else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -283,10 +309,9 @@ def spans(text: str, grammar: Grammar, accepts) -> list[tuple[int, int, str]]:
     """Base spans and, where no base span is, strings that score as credentials."""
     base = base_spans(text)
     found = list(base)
-    for m in CANDIDATE.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e, _ in base):
-            if accepts(symbols(m[0])):
-                found.append((m.start(), m.end(), "format"))
+    for m in outside(text, base):
+        if accepts(symbols(m[0])):
+            found.append((m.start(), m.end(), "format"))
     order = (*KINDS, "format")
     return sorted(found, key=lambda s: (s[0], order.index(s[2])))
 
@@ -297,8 +322,10 @@ def find_secrets(
     """One row per input row with its spans.
 
     Credentials that the fixed patterns find in any document label the formats; one automaton for
-    each kind is inferred from a bounded number of them, thresholds and background come from all,
-    and every candidate string of every whole text is scored by all automata.  Strings at or above a kind's threshold are added as kind
+    each kind is inferred from a bounded number of them, thresholds and background (a chain of
+    character classes, from candidate strings outside all base spans) come from all, and every
+    candidate string of every whole text is scored by all automata.  Strings at or above a kind's
+    threshold, and likelier as a credential than as an ordinary string, are added as kind
     ``format``.  Null texts are empty.  Without any labelled credential only base spans are given.
     Columns: id, ``found`` (array of kind, start, end; code points, end exclusive).
     """
