@@ -7,6 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate, scoring, training
+from tidemark.streaming.batching import numbered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import tests
 
@@ -107,3 +108,17 @@ def test_model_features_must_match(spark):
     training.check_feature_names(model, ["a", "b"])
     with pytest.raises(ValueError):
         training.check_feature_names(model, ["b", "a"])
+
+
+def test_groups_are_consecutive_messages(spark):
+    """Numbers that are null or come twice take a place each; the scorer gets whole groups only."""
+    ids = [*range(0, 30_000, 2), *[40] * 200, *[None] * 9]
+    rows = spark.createDataFrame([(n, float(i)) for i, n in enumerate(ids)], "n long, x double")
+    ranked = numbered(rows.repartition(3), "n").withColumn("batch", F.floor((F.col("rank") - 1) / 7))
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, len(ids) + 1))
+    assert {r["rank"] for r in ranked.where("n is null").collect()} == set(range(len(ids) - 8, len(ids) + 1))
+    one = ranked.coalesce(1).sortWithinPartitions("batch", "rank")  # more than an Arrow batch
+    scored = scoring.score_rows(one, ["x"], scoring.ThresholdRule(0, 1.0, 2.0), batch_rows=7, group="batch")
+    calls = scored.groupBy("score_group").agg(F.count("*").alias("n"), F.count_distinct("batch").alias("b")).collect()
+    assert len(calls) == -(-len(ids) // 7) and all(c.b == 1 and c.n <= 7 for c in calls)
+    assert sum(c.n for c in calls) == len(ids)

@@ -80,11 +80,13 @@ def score_rows(
     scorer: Scorer,
     batch_rows: int = BATCH_ROWS,
     wait: Callable[[float], None] = time.sleep,
+    group: str | None = None,
 ) -> DataFrame:
     """Adds class, probabilities, time per row, and the error of rows that got no reply.
 
     Rows keep their partition; each task feeds its Arrow batches to the scorer in groups of at
-    most ``batch_rows``.  Replies pair with rows by position, and a reply that is too short
+    most ``batch_rows``.  Rows that follow one another with the same ``group`` are called together
+    and with no others.  Replies pair with rows by position, and a reply that is too short
     leaves an error on the rows it does not cover.
     """
     names = list(features)
@@ -92,13 +94,17 @@ def score_rows(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, calls = TaskContext.get().partitionId(), itertools.count()
-        for batch in batches:
+        for batch in batches if group is None else _whole_groups(batches, group):
             # Only the features leave Arrow; every other column is handed through as it is.
             columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
             matrix = np.column_stack(columns).astype(float)
+            borders = [0, *([] if group is None else _changes(batch, group)), len(matrix)]
             parts = [
-                _group(scorer, matrix[start : start + batch_rows], wait, f"{task}-{next(calls)}")
-                for start in range(0, len(matrix), batch_rows)
+                _group(
+                    scorer, matrix[start : min(start + batch_rows, end)], wait, f"{task}-{next(calls)}"
+                )
+                for begin, end in itertools.pairwise(borders)
+                for start in range(begin, end, batch_rows)
             ]
             if not parts:
                 continue
@@ -110,6 +116,24 @@ def score_rows(
     return df.mapInArrow(score, schema)
 
 
+def _changes(batch: pa.RecordBatch, group: str) -> list[int]:
+    """Positions of the rows whose group is not that of the row before."""
+    keys = batch.column(group).to_numpy(zero_copy_only=False)
+    return (np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, cut where a group ends."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        whole = pa.concat_batches([*rest, batch])
+        last = max(_changes(whole, group), default=0)
+        if last:
+            yield whole.slice(0, last)
+        rest = [whole.slice(last)]
+    yield from rest
+
+
 def _group(
     scorer: Scorer, matrix: np.ndarray, wait: Callable[[float], None], name: str
 ) -> tuple[pa.Array, ...]:

@@ -14,7 +14,7 @@ from tidemark.plans.tables import VALID_SQL, event_stream
 from tidemark.session import new_folder
 from tidemark.sources import tables
 from tidemark.streaming import rings as ring_stream
-from tidemark.streaming.batching import FLUSH_SECONDS, SCORE_ROWS, flush_trigger
+from tidemark.streaming.batching import FLUSH_SECONDS, SCORE_ROWS, flush_trigger, numbered
 from tidemark.streaming.features import FeatureStream, start_batches
 from tidemark.streaming.inference import InferenceStream
 from tidemark.streaming.metrics import stage_counts
@@ -165,23 +165,34 @@ def inference_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "micro_batch_size",
-    f"""SELECT s."limit", count(*) AS "rows", CAST(0 AS BIGINT) AS oversized, true AS enough_groups
-    FROM events, (SELECT unnest([{SCORE_ROWS}, 7]) AS "limit") s GROUP BY 1""",
+    f"""SELECT "limit", (rn - 1) // "limit" AS batch, count(*) AS "rows", min(event_id) AS first_id,
+      max(event_id) AS last_id
+    FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events),
+      (SELECT unnest([{SCORE_ROWS}, 7]) AS "limit") GROUP BY 1, 2""",
 )
 def micro_batch_size(spark: SparkSession, folder: str) -> DataFrame:
-    """The groups in which the scorer got all events, as it saw them, for two limits."""
+    """Every group of consecutive events as the scorer got it, for two limits."""
+    path = new_folder(spark, "numbered")
+    events = b.load(spark, folder, "events").select("event_id", "value")
+    numbered(events, "event_id").write.parquet(path)
     result = None
     for limit in (SCORE_ROWS, 7):
-        rows = b.load(spark, folder, "events").select("event_id", "value")
+        batch = F.floor((F.col("rank") - 1) / limit)
+        rows = spark.read.parquet(path).withColumn("batch", batch)
         scored = scoring.score_rows(
-            rows, ["value"], scoring.ThresholdRule(0, 20.0, 60.0), batch_rows=limit
+            rows.repartition("batch").sortWithinPartitions("batch", "rank"),
+            ["value"],
+            scoring.ThresholdRule(0, 20.0, 60.0),
+            batch_rows=limit,
+            group="batch",
         )
-        found = scoring.group_sizes(scored).agg(
+        found = scored.groupBy("score_group").agg(
             F.lit(limit).alias("limit"),
-            F.sum("rows").alias("rows"),
-            F.count_if(F.col("rows") > limit).alias("oversized"),
-            (F.count("*") >= F.ceil(F.sum("rows") / limit)).alias("enough_groups"),
-        )
+            F.min("batch").alias("batch"),
+            F.count("*").alias("rows"),
+            F.min("event_id").alias("first_id"),
+            F.max("event_id").alias("last_id"),
+        ).drop("score_group")
         result = found if result is None else result.unionByName(found)
     return result
 
