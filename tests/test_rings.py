@@ -2,12 +2,13 @@
 
 import datetime as dt
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators import rings, velocity
 from tidemark.session import new_folder
 from tidemark.sources.messages import file_stream
-from tidemark.streaming.rings import RingStream
+from tidemark.streaming.rings import RingState, RingStream
 
 T0 = dt.datetime(2024, 1, 10)
 SCHEMA = (
@@ -134,3 +135,33 @@ def test_averages_of_one_source(spark):
     got = {r.user_id: r[f"global_{name}"] for r in rings.with_global_row(users, rows).collect()}
     assert got == {"7": None, rings.GLOBAL_USER: 2.0}
     assert rings.global_averages(rows.drop("source")).first()[f"global_{name}"] == 13 / 3
+
+
+def test_users_of_a_group_share_a_state_value():
+    """One call reads and one writes, however many users and slots a micro-batch brings."""
+
+    class Value:
+        value, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls, self.value = self.calls + 1, value
+
+    def came(rows):
+        names = ["user_id", "bucket", "tx_count", "amount_sum", "amount_max", "cross_border_count", "recipients"]
+        return iter([pd.DataFrame([(u, n, k, 1.0, 1.0, 0, f"a\x1f{u}") for u, n, k in rows], columns=names)])
+
+    state, processor = Value(), RingState(24)
+    processor._group = state
+    first = [(u, n, 1) for u in ("1", None, "x") for n in range(30)]
+    out = pd.concat(processor.handleInputRows((0,), came(first), None))
+    assert state.calls == 2 and len(out) == 72 and out["bucket"].min() == 6
+    # An earlier lap and the same bucket again change nothing; only touched users are emitted.
+    assert not list(processor.handleInputRows((0,), came([("x", 5, 9), ("x", 29, 9)]), None))
+    again = pd.concat(processor.handleInputRows((0,), came([(None, 30, 7)]), None))
+    assert again["user_id"].isna().all() and len(again) == 24
+    assert again.loc[again["slot"] == 6, "tx_count"].tolist() == [7]
+    assert again["recipients"].map(len).eq(2).all()

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,7 +83,6 @@ def closed_buckets(transfers: DataFrame, lateness: str) -> DataFrame:
     )
 
 
-_KEY = T.StructType([T.StructField("slot", T.LongType())])
 _TOTALS = [
     T.StructField("bucket", T.LongType()),
     T.StructField("tx_count", T.LongType()),
@@ -92,46 +92,63 @@ _TOTALS = [
 ]
 _SLOT = T.StructType([*_TOTALS, T.StructField("recipients", T.StringType())])
 
+#: Users are kept in this many groups, by the hash of their id.
+GROUPS = 1024
+
+_ARROW = pa.schema(
+    [("user_id", pa.string())]
+    + [(n, pa.int64()) for n in ("slot", "bucket", "tx_count")]
+    + [(n, pa.float64()) for n in ("amount_sum", "amount_max")]
+    + [("cross_border_count", pa.int64()), ("recipients", pa.string())]
+)
+
 
 class RingState(StatefulProcessor):
-    """Per user: slot -> newest bucket of that slot.  Expiry is the reader's business."""
+    """Per group of users: the newest bucket of every user's slots.  Expiry is the reader's business.
+
+    The hours of all users close together, so a micro-batch brings many users of a group.  Their
+    slots are one state value: a state call for each slot would cost more than they do.
+    """
 
     def __init__(self, slots: int):
         self.slots = slots
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._ring = handle.getMapState("ring", _KEY, _SLOT)
+        group = T.StructType([T.StructField("rings", T.BinaryType())])
+        self._group = handle.getValueState("group", group)
+
+    def _kept(self) -> list[pd.DataFrame]:
+        known = self._group.get()
+        return [] if known is None else [pa.ipc.open_stream(known[0]).read_all().to_pandas()]
+
+    def _keep(self, slots: pd.DataFrame) -> None:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _ARROW) as writer:
+            writer.write_table(pa.Table.from_pandas(slots, _ARROW, preserve_index=False))
+        self._group.update((sink.getvalue().to_pybytes(),))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        # A ring has few slots, so it is read whole once and only touched slots are written.
-        ring = {slot[0]: values for slot, values in self._ring.iterator()}
-        touched = set()
-        for frame in rows:
-            for part in frame[_SLOT.fieldNames()].itertuples(index=False):
-                slot = int(part.bucket) % self.slots
-                # A bucket closes once; one of an earlier lap comes too late for its slot.
-                if slot not in ring or ring[slot][0] < part.bucket:
-                    ring[slot] = tuple(part)
-                    touched.add(slot)
-        for slot in touched:
-            self._ring.updateValue((slot,), ring[slot])
-        if touched:
-            yield self._emitted(key[0], ring)
+        came = pd.concat(list(rows))
+        came["slot"] = came["bucket"] % self.slots
+        parts = [part.assign(_came=False) for part in self._kept()] + [came.assign(_came=True)]
+        slots = pd.concat([part[[*_ARROW.names, "_came"]] for part in parts])
+        # A bucket closes once; one of an earlier lap comes too late for its slot.
+        newest = slots.sort_values("bucket", ascending=False, kind="stable")
+        newest = newest.drop_duplicates(["user_id", "slot"])
+        touched = newest["user_id"].isin(newest.loc[newest["_came"], "user_id"])
+        if touched.any():
+            self._keep(newest[_ARROW.names])
+            yield self._emitted(newest.loc[touched, _ARROW.names])
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        """The ring that a batch has computed; buckets it has are not taken from the stream."""
-        for part in initialState[["slot", *_SLOT.fieldNames()]].itertuples(index=False):
-            self._ring.updateValue((int(part.slot),), tuple(part)[1:])
+        """The rings that a batch has computed; buckets they have are not taken from the stream."""
+        self._keep(pd.concat([*self._kept(), initialState[_ARROW.names]]))
 
     @staticmethod
-    def _emitted(user, ring: dict) -> pd.DataFrame:
-        """The user's whole ring, one row per written slot."""
-        out = [(user, slot, *values) for slot, values in ring.items()]
-        frame = pd.DataFrame(out, columns=["user_id", "slot", *_SLOT.fieldNames()])
-        frame["recipients"] = [
-            text.split(_SEPARATOR) if text else [] for text in frame["recipients"]
-        ]
-        return frame
+    def _emitted(slots: pd.DataFrame) -> pd.DataFrame:
+        """The users' whole rings, one row per written slot."""
+        lists = [text.split(_SEPARATOR) if text else [] for text in slots["recipients"]]
+        return slots.assign(recipients=lists)
 
     def close(self) -> None:
         pass
@@ -143,27 +160,33 @@ def ring_state(buckets: DataFrame, ring: Ring, start: DataFrame | None = None) -
     The state of a new query can ``start`` from slot rows that a batch has computed.
     """
     user_type = buckets.schema["user_id"].dataType
-    key = T.StructField("user_id", user_type)
     schema = T.StructType(
         [
-            key,
+            T.StructField("user_id", T.StringType()),
             T.StructField("slot", T.LongType()),
             *_TOTALS,
             T.StructField("recipients", T.ArrayType(T.StringType())),
         ]
     )
+
+    def grouped(rows: DataFrame, *columns):
+        group = F.pmod(F.xxhash64(F.col("user_id").cast(user_type)), F.lit(GROUPS))
+        user = F.col("user_id").cast(user_type).cast("string").alias("user_id")
+        return rows.select(group.alias("group_id"), user, *columns).groupBy("group_id")
+
     initial = None
+    totals = [f.name for f in _TOTALS]
     if start is not None:
         recipients = F.array_join("recipients", _SEPARATOR).alias("recipients")
-        totals = [f.name for f in _TOTALS]
-        initial = start.select("user_id", "slot", *totals, recipients).groupBy("user_id")
-    return buckets.groupBy("user_id").transformWithStateInPandas(
+        initial = grouped(start, "slot", *totals, recipients)
+    emitted = grouped(buckets, *totals, "recipients").transformWithStateInPandas(
         statefulProcessor=RingState(ring.slots),
         outputStructType=schema,
         outputMode="Append",
         timeMode="None",
         initialState=initial,
     )
+    return emitted.withColumn("user_id", F.col("user_id").cast(user_type))
 
 
 def latest_rings(emitted: DataFrame) -> DataFrame:
