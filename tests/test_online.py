@@ -190,3 +190,22 @@ def test_unknown_contract():
     with pytest.raises(KeyError, match="fraud_user"):
         contract("nothing")
     assert IRIS.to_source("snake")["petal_width_cm"] == "petal_width"
+
+
+def test_a_base_alone_is_not_merged(spark):
+    """A base has one row per key, so the state is merged only where changes came after it."""
+    store = online.new_store(spark, "k", ["x"])
+    at = dt.datetime(2024, 1, 1)
+    rows = [("a", 1.0, at), ("a", 2.0, at + dt.timedelta(1)), ("a", None, at + dt.timedelta(2)), (None, 3.0, at)]
+    schema = "k string, x double, feature_timestamp timestamp"
+    store.sync(spark.createDataFrame(rows, schema))
+
+    def state():
+        return {r.k: r.x for r in store.snapshot().collect()}
+
+    def merges():
+        return "Aggregate" in store.snapshot()._jdf.queryExecution().executedPlan().toString()
+
+    assert state() == {"a": None, None: 3.0} and not merges()
+    store.upsert(spark.createDataFrame([("a", 5.0, at)], schema), 0)
+    assert state() == {"a": 5.0, None: 3.0} and merges()

@@ -21,7 +21,9 @@ MAX_LOOKUP_RETRIES = 1  # fixed value
 def latest_per_entity(df: DataFrame, entity: str, order: Sequence[str]) -> DataFrame:
     """The last row per entity; an aggregate, so a hot entity combines before the shuffle."""
     rest = [c for c in df.columns if c != entity]
-    last = F.max_by(F.struct(*rest), F.struct(*order))
+    # Where the order takes in all columns, it is the row.
+    whole = set(rest) == set(order)
+    last = F.max(F.struct(*order)) if whole else F.max_by(F.struct(*rest), F.struct(*order))
     return df.groupBy(entity).agg(last.alias("_r")).select(entity, "_r.*").select(*df.columns)
 
 
@@ -140,7 +142,8 @@ class OnlineStore:
         bases, changes = self._folders()
         contains = max([*changes, *(base.contains for base in bases)], default=-1)
         entities = offline.agg(F.approx_count_distinct(self.entity)).first()[0]
-        latest = latest_per_entity(offline, self.entity, ["feature_timestamp", *self.features])
+        order = ["feature_timestamp", *self.features]
+        latest = latest_per_entity(offline.select(self.entity, *order), self.entity, order)
         self._write_base(self._rows(latest, contains), entities, contains)
 
     def compact(self, batch_id: int) -> None:
@@ -153,7 +156,7 @@ class OnlineStore:
         if stored is None:
             return
         # Rows before the merge, from the files' footers: at least as many as after it.
-        self._write_base(self._merged(stored), stored.count(), batch_id)
+        self._write_base(self._merged(stored, batch_id), stored.count(), batch_id)
         if bases:
             latest = bases[-1]
             replaced = [base.name for base in bases[:-1]]
@@ -221,12 +224,15 @@ class OnlineStore:
             frames.append(rows.select(self.entity, *self.features, *self.ORDER))
         return functools.reduce(DataFrame.unionByName, frames) if frames else None
 
-    def _merged(self, rows: DataFrame) -> DataFrame:
+    def _merged(self, rows: DataFrame, upto: int | None = None) -> DataFrame:
+        """One row per key; a base has no more than that, so only changes make a merge."""
+        if not self._parts(upto)[1]:
+            return rows
         return merge_latest(rows, self.entity, self.features, self.ORDER)
 
     def snapshot(self, upto: int | None = None) -> DataFrame | None:
         stored = self._stored(upto)
-        return None if stored is None else self._merged(stored)
+        return None if stored is None else self._merged(stored, upto)
 
     def lookup(self, keys: DataFrame, upto: int | None = None) -> DataFrame | None:
         """Snapshot rows of the wanted keys only, read from the buckets these keys are in."""
@@ -235,7 +241,7 @@ class OnlineStore:
         stored = self._stored(upto, {r.n for r in numbers})
         if stored is None:
             return None
-        return self._merged(stored.join(wanted, self.entity, "left_semi"))
+        return self._merged(stored.join(wanted, self.entity, "left_semi"), upto)
 
 
 def new_store(spark: SparkSession, entity: str, features: Sequence[str]) -> OnlineStore:
