@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 
@@ -139,3 +140,14 @@ def test_a_sender_of_100_000_transfers_in_a_day(spark):
     assert made.count() == 100_000
     last = made.where("transfer_id = '79999'").first()
     assert (last.tx_count_24h, last.unique_recipients_7d) == (100_000, 5000)
+
+
+def test_sorted_changes_of_a_task_do_not_grow(spark, monkeypatch):
+    rows = transfers()[:200]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = Counter(map(str, velocity.window_features(df).collect()))
+    monkeypatch.setattr(velocity, "TASK_ROWS", 60)  # 9 changes a transfer: 30 partitions
+    spread = velocity.window_features(df)
+    text = spread._jdf.queryExecution().executedPlan().toString()
+    assert "_day" in text and ", 30), REPARTITION_BY_NUM" in text
+    assert Counter(map(str, spread.collect())) == plain

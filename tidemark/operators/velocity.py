@@ -13,6 +13,8 @@ time form a group of their own per sender: each sees all of them and no others.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,10 @@ DISTINCT = {
 }
 MEASURES = [*ADDITIVE, *DISTINCT]
 
+#: Changes that a task sorts, and changes that a transfer makes at most.
+TASK_ROWS = 500_000
+MOST_CHANGES = 1 + len(FRAMES) + 2 * len(DISTINCT)
+
 
 def cross_border() -> Column:
     return flag(F.col("source_currency") != F.col("target_currency"))
@@ -140,12 +146,24 @@ def _signed(measure: str) -> Column:
     ).cast("decimal(38,9)" if column == "_amount" else "bigint")
 
 
+def _spread(changes: DataFrame, rows: int) -> DataFrame:
+    """Senders' days in as many partitions as keep a task's sorts at one size, whatever ``rows``.
+
+    Left to itself, Spark joins partitions by their compressed bytes, of which changes have few.
+    """
+    parts = math.ceil(rows * MOST_CHANGES / TASK_ROWS)
+    if parts <= changes.sparkSession.sparkContext.defaultParallelism:
+        return changes
+    return changes.repartition(parts, "sender_id", "_day")
+
+
 def window_features(transfers: DataFrame) -> DataFrame:
     """Trailing features per (sender_id, second), linear in the number of rows."""
     changes = _entering_and_leaving(per_second(transfers))
     for member, kind in DISTINCT.values():
         changes = changes.unionByName(_distinct_changes(transfers, member, kind))
     changes = changes.withColumn("_day", F.floor(F.col("_at") / DAY))
+    changes = _spread(changes, transfers.count())
     entering = F.when(F.col("_kind") == ENTER, F.col("_max"))
     leaving = F.when(F.col("_kind") == WEEK, F.col("_max"))
 
