@@ -4,6 +4,8 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate, scoring, training
@@ -122,3 +124,25 @@ def test_groups_are_consecutive_messages(spark):
     calls = scored.groupBy("score_group").agg(F.count("*").alias("n"), F.count_distinct("batch").alias("b")).collect()
     assert len(calls) == -(-len(ids) // 7) and all(c.b == 1 and c.n <= 7 for c in calls)
     assert sum(c.n for c in calls) == len(ids)
+
+
+def test_trees_fit_cells_of_rows(spark):
+    """Trees see the rows' bins only: counted cells give the tree that the rows give."""
+    rows = [((i * 37 % 2003) / 7, float(i % 3), float((i * i + i // 50) % 3)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    bins = training.binned(df, ["a", "b"])
+    assert training.cells(bins, df, "y").count() <= 32 * 3 * 3 < df.count()
+    tree = DecisionTreeClassifier(labelCol="y", maxDepth=6, seed=42)
+    plain = training.predict(training._fit(df, ["a", "b"], tree), df).collect()
+    model = training.fit_decision_tree(df, ["a", "b"], "y", depth=6)
+    assert training.predict(model, df).collect() == plain
+
+
+def test_grid_points_share_the_counted_cells(spark):
+    rows = [(i % 4, float(i * 31 % 997), float(i % 5), float(i % 7 < 2 + i % 2)) for i in range(3000)]
+    folds = spark.createDataFrame(rows, "fold long, a double, b double, y double")
+    got = training.tune_grid(folds, ["a", "b"], "y", {"maxDepth": [2], "maxIter": [3]}, n_folds=1)
+    train, test = folds.where("fold < 1"), folds.where("fold = 1")
+    model = training._fit(train, ["a", "b"], GBTClassifier(labelCol="y", seed=42, maxDepth=2, maxIter=3))
+    measure = BinaryClassificationEvaluator(labelCol="y", metricName="areaUnderPR")
+    assert got[0]["average_precision"] == pytest.approx(measure.evaluate(model.transform(test)))
