@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import written
+from tidemark.llm.shared import scratch, written
 
 
 def _hook(links: DataFrame, larger_only: bool) -> DataFrame:
@@ -43,19 +43,20 @@ def components(links: DataFrame) -> DataFrame:
     of the longest chain.  Ends when every node points at a node that points at none.  Nodes
     without links are not listed; null ends are ignored.
     """
-    stars = written(
-        links.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "links",
-    )
-    while True:
-        roots = stars.select(F.col("b").alias("a")).distinct()
-        several = stars.groupBy("a").count().where("count > 1").select("a")
-        again = stars.select("a").join(roots, "a", "left_semi").unionByName(several).limit(1)
-        if again.count() == 0:
-            break
-        stars = written(_hook(_hook(stars, True), False), "links")
-    nodes = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    ends = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return nodes.unionByName(ends)
+    with scratch(links.sparkSession) as keep:
+        stars = written(
+            links.where(F.col("a") != F.col("b"))
+            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+            .distinct(),
+            "links",
+        )
+        while True:
+            roots = stars.select(F.col("b").alias("a")).distinct()
+            several = stars.groupBy("a").count().where("count > 1").select("a")
+            again = stars.select("a").join(roots, "a", "left_semi").unionByName(several).limit(1)
+            if again.count() == 0:
+                break
+            stars = written(_hook(_hook(stars, True), False), "links")
+        nodes = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        ends = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+        return keep(nodes.unionByName(ends), "components")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import documents, possible, query, written
+from tidemark.llm.shared import documents, possible, query, scratch, written
 
 #: Characters of a shingle and the least similarity of two lines' shingle sets, in percent.
 SHINGLE, PERCENT = 5, 75
@@ -31,6 +31,9 @@ TOGETHER = 200
 WHOLE = 3
 #: Lines and characters of a part of a crowded band; larger bands are compared part by part.
 PART_LINES, PART_CHARS = 1000, 1 << 22
+#: Bits of a line's parities, and pairs a line up to which a part's possible pairs are listed.
+PARITY_BITS, LISTED = 1024, 2
+PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
 
 _U64 = np.uint64
 _TAIL = SIZE_BITS + SKETCH_BITS
@@ -82,6 +85,21 @@ class LineSigner:
             made += codes[k : k + len(real)] * self._at[k]
         return _mixed(made[real]), counts
 
+    def parities(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many distinct shingles each line has, and for each of 1024 bins whether it is odd.
+
+        Two lines with d shingles that only one of them has differ in d bins at most.
+        """
+        hashes, counts = self.hashes(lines)
+        line = np.repeat(np.arange(len(lines), dtype=_U64), counts)
+        each = np.sort(line << _U64(40) | hashes & _U64((1 << 40) - 1))
+        each = each[np.diff(each, prepend=~each[:1]) != 0]
+        owner = (each >> _U64(40)).astype(np.int64)
+        bins = owner * PARITY_BITS + (each & _U64(PARITY_BITS - 1)).astype(np.int64)
+        odd = np.bincount(bins, minlength=len(lines) * PARITY_BITS) & 1
+        packed = np.packbits(odd.astype(np.uint8).reshape(len(lines), PARITY_BITS), axis=1)
+        return np.bincount(owner, minlength=len(lines)), packed.view(np.int64)
+
     def of(self, lines: list[str]) -> np.ndarray:
         """For each line its band keys: a hash of the band, then the line's sketch."""
         bins = BANDS * ROWS
@@ -276,52 +294,101 @@ def band_pairs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
             ["k1", "other", "head", "crowd"],
         )
 
-    found = written(
-        rows.mapInArrow(pair, "k1 long, other long, head boolean, crowd boolean"), "band-pairs"
-    )
-    crowds = written(found.where("crowd").select(F.col("k1").alias("run")).distinct(), "crowds")
-    runs = lines.where("bands is not null").select(
-        "k1", F.explode(F.transform("bands", lambda b: F.shiftright(b, _TAIL))).alias("run")
-    )
-    members = written(
-        possible(runs, F.col("run"), crowds)
-        .where("_possible")
-        .join(crowds, "run", "left_semi")
-        .select("run", "k1")
-        .distinct(),
-        "crowd-members",
-    )
-    found = found.where("not crowd")
-    # The ends of partitions (a few rows each), where a band may go on in the next one.
-    ends = found.where("head is not null").select(
-        "k1", F.shiftright("other", _TAIL).alias("band"), F.col("other").alias("x"), "head"
-    )
-    after = ends.where("head").select(F.col("k1").alias("k"), "band", F.col("x").alias("y"))
-    across = (
-        ends.where("not head")
-        .join(after, "band")
-        .where("k1 != k")
-        .select(F.least("k1", "k").alias("k1"), F.greatest("k1", "k").alias("other"))
-    )
-    pairs = found.where("head is null").select("k1", "other").unionByName(across).distinct()
-    return pairs, members
+    with scratch(lines.sparkSession) as keep:
+        found = written(
+            rows.mapInArrow(pair, "k1 long, other long, head boolean, crowd boolean"), "band-pairs"
+        )
+        crowds = written(found.where("crowd").select(F.col("k1").alias("run")).distinct(), "crowds")
+        runs = lines.where("bands is not null").select(
+            "k1", F.explode(F.transform("bands", lambda b: F.shiftright(b, _TAIL))).alias("run")
+        )
+        members = keep(
+            possible(runs, F.col("run"), crowds)
+            .where("_possible")
+            .join(crowds, "run", "left_semi")
+            .select("run", "k1")
+            .distinct(),
+            "crowd-members",
+        )
+        found = found.where("not crowd")
+        # The ends of partitions (a few rows each), where a band may go on in the next one.
+        ends = found.where("head is not null").select(
+            "k1", F.shiftright("other", _TAIL).alias("band"), F.col("other").alias("x"), "head"
+        )
+        after = ends.where("head").select(F.col("k1").alias("k"), "band", F.col("x").alias("y"))
+        across = (
+            ends.where("not head")
+            .join(after, "band")
+            .where("k1 != k")
+            .select(F.least("k1", "k").alias("k1"), F.greatest("k1", "k").alias("other"))
+        )
+        pairs = found.where("head is null").select("k1", "other").unionByName(across).distinct()
+        return keep(pairs, "line-pairs"), members
 
 
-def wanted_texts(pairs: DataFrame, members: DataFrame, df: DataFrame, text: str) -> DataFrame:
-    """``k1``, ``k2``, ``line`` of the lines of pairs and of crowded bands, cut out of ``df`` again."""
-    wanted = written(
-        pairs.select(F.explode(F.array("k1", "other")).alias("k1"))
-        .unionByName(members.select("k1"))
-        .distinct(),
-        "wanted-lines",
-    )
+def line_parities(pairs: DataFrame, members: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """``k1``, ``k2``, ``chars`` and parities of the lines of pairs and of crowded bands.
+
+    ``size`` and the numbers ``PARITIES`` are those of ``LineSigner.parities``; they are made where
+    the lines are cut out of ``df`` again, and stand for them until few pairs are left.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = LineSigner()
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                lines = part.column(2).to_pylist()
+                sizes, odd = signer.parities(lines)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array(list(map(len, lines)), pa.int64()),
+                        pa.array(sizes, pa.int64()),
+                        *(pa.array(column.copy()) for column in odd.T),
+                    ],
+                    ["k1", "k2", "chars", "size", *PARITIES],
+                )
+
+    kinds = ", ".join(f"{name} long" for name in ["k1", "k2", "chars", "size", *PARITIES])
+    keys = pairs.select(F.explode(F.array("k1", "other")).alias("k1")).unionByName(members.select("k1"))
+    with scratch(df.sparkSession) as keep:
+        lines, wanted = _lines_of(keys, df, text)
+        made = lines.mapInArrow(sign, kinds).join(wanted, "k1", "left_semi")
+        return keep(made.dropDuplicates(["k1", "k2"]), "line-parities")
+
+
+def wanted_texts(keys: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """``k1``, ``k2``, ``line`` of the lines with the given ``k1``, cut out of ``df`` again."""
+    with scratch(df.sparkSession) as keep:
+        lines, wanted = _lines_of(keys, df, text)
+        found = lines.join(wanted, "k1", "left_semi").dropDuplicates(["k1", "k2"])
+        return keep(found, "line-texts", "zstd")
+
+
+def _lines_of(keys: DataFrame, df: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """The lines whose ``k1`` may be among the keys, and the distinct keys."""
+    wanted = written(keys.distinct(), "wanted-lines")
     marked = possible(line_texts(df, text), F.col("k1"), wanted).where("_possible")
-    return written(
-        marked.select("k1", "k2", "line")
-        .join(wanted, "k1", "left_semi")
-        .dropDuplicates(["k1", "k2"]),
-        "line-texts",
-        "zstd",
+    return marked.select("k1", "k2", "line"), wanted
+
+
+def plausible(pairs: DataFrame, parities: DataFrame) -> DataFrame:
+    """The pairs that the parities do not rule out; see ``possible_pairs``."""
+    mine = parities.select("k1", "size", *PARITIES)
+    theirs = mine.withColumnsRenamed(
+        {"k1": "other", "size": "_size"} | {name: f"_{name}" for name in PARITIES}
+    )
+    apart = " + ".join(f"bit_count({name} ^ _{name})" for name in PARITIES)
+    less, more = "least(size, _size)", "greatest(size, _size)"
+    return (
+        pairs.join(mine, "k1")
+        .join(theirs, "other")
+        .where(f"100 * {less} >= {PERCENT} * {more}")
+        .where(f"{100 + PERCENT} * ({apart}) <= {100 - PERCENT} * (size + _size)")
+        .select("k1", "other")
+        .distinct()
     )
 
 
@@ -344,50 +411,127 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, f"a {node}, b {node}")
 
 
-def crowd_links(members: DataFrame, texts: DataFrame, grouped: DataFrame) -> DataFrame:
+def possible_pairs(sizes: np.ndarray, words: np.ndarray, group: np.ndarray) -> Iterator[np.ndarray]:
+    """Blocks of pairs of rows of different groups that may be similar; none that are is left out.
+
+    Of n + m shingles of two similar lines at most a seventh stand in one of them only.
+    """
+    step = max(1, (1 << 16) // len(words))
+    for at in range(0, len(words), step):
+        here = slice(at, at + step)
+        apart = np.bitwise_count(words[here, None] ^ words[None]).sum(axis=2, dtype=np.int64)
+        both = sizes[here, None] + sizes[None]
+        good = (100 + PERCENT) * apart <= (100 - PERCENT) * both
+        less, more = np.minimum(sizes[here, None], sizes), np.maximum(sizes[here, None], sizes)
+        good &= (group[here, None] != group) & (100 * less >= PERCENT * more)
+        one, two = np.nonzero(good)
+        yield np.stack([one + at, two], axis=1)[two > one + at]
+
+
+def crowd_links(
+    members: DataFrame, parities: DataFrame, grouped: DataFrame, df: DataFrame, text: str
+) -> DataFrame:
     """Links ``a`` - ``b`` that join what is still apart in crowded bands.
 
     ``grouped`` has the groups of lines linked so far.  A band whose lines are all in one group is
-    settled.  In any other, every line is compared with all lines of other groups, exactly; large
-    bands are cut into parts, and each two parts meet in a task of their own.
+    settled.  In any other, every line is compared with all lines of other groups; large bands are
+    cut into parts, and each two parts meet in a task of their own.  Bands get the parities of
+    their lines, which rule out most pairs for certain; each other pair is compared exactly once,
+    in however many bands it stands.  Only parts with many such pairs get their lines.
     """
-    named = written(
-        texts.join(
-            grouped.select(
-                F.col("node.k1").alias("k1"),
-                F.col("node.k2").alias("k2"),
-                F.col("component.k1").alias("c1"),
-                F.col("component.k2").alias("c2"),
-            ),
-            ["k1", "k2"],
-            "left",
-        ).select(
-            "k1", "k2", "line", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2")
-        ),
-        "named-lines",
-        "zstd",
-    )
-    group = F.struct("c1", "c2")
-    open_runs = written(
-        members.join(named.select("k1", "c1", "c2", F.length("line").alias("size")), "k1")
-        .groupBy("run")
-        .agg(
-            F.min(group).alias("low"),
-            F.max(group).alias("high"),
-            F.greatest(
-                F.ceil(F.count("*") / PART_LINES), F.ceil(F.sum("size") / PART_CHARS)
-            ).alias("parts"),
+    with scratch(df.sparkSession) as keep:
+        named = written(
+            parities.select("k1", "k2", "chars")
+            .join(
+                grouped.select(
+                    F.col("node.k1").alias("k1"),
+                    F.col("node.k2").alias("k2"),
+                    F.col("component.k1").alias("c1"),
+                    F.col("component.k2").alias("c2"),
+                ),
+                ["k1", "k2"],
+                "left",
+            )
+            .select("k1", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"), "chars"),
+            "line-groups",
+        )
+        group = F.struct("c1", "c2")
+        open_runs = written(
+            members.join(named, "k1")
+            .groupBy("run")
+            .agg(
+                F.min(group).alias("low"),
+                F.max(group).alias("high"),
+                F.greatest(
+                    F.ceil(F.count("*") / PART_LINES), F.ceil(F.sum("chars") / PART_CHARS)
+                ).alias("parts"),
+            )
+            .where("low != high")
+            .select("run", "parts"),
+            "open-bands",
+        )
+        part = F.pmod(F.xxhash64("k1"), "parts").cast("int")
+        dealt = (
+            members.join(open_runs, "run")
+            .select(
+                "run", "k1", part.alias("x"), F.explode(F.expr("sequence(0, cast(parts - 1 as int))")).alias("y")
+            )
+            .select("run", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "k1")
+            .join(named.drop("chars"), "k1")
+        )
+        pairs = written(
+            _possible_links(dealt.join(parities.select("k1", "size", *PARITIES), "k1")), "crowd-pairs"
         )
-        .where("low != high")
-        .select("run", "parts"),
-        "open-bands",
+        listed = pairs.where("run is null").select("k1", "other").distinct()
+        keys = listed.select(F.explode(F.array("k1", "other")).alias("k1"))
+        crowded = pairs.where("run is not null").select("run", "x", "y")
+        if crowded.isEmpty():
+            return keep(similar(listed, wanted_texts(keys, df, text)), "crowd-links")
+        dealt = written(dealt.join(crowded, ["run", "x", "y"]), "crowd-parts")
+        texts = wanted_texts(keys.unionByName(dealt.select("k1")), df, text)
+        links = similar(listed, texts).unionByName(_exact_links(dealt.join(texts, "k1")))
+        return keep(links, "crowd-links")
+
+
+def _possible_links(dealt: DataFrame) -> DataFrame:
+    """Pairs ``k1`` - ``other`` of all parts that may be similar; parts with many are listed instead."""
+    rows = (
+        dealt.select("run", "x", "y", "k1", "c1", "c2", "size", *PARITIES)
+        .repartition("run", "x", "y")
+        .sortWithinPartitions("run", "x", "y")
     )
-    part = F.pmod(F.xxhash64("k1"), "parts").cast("int")
-    dealt = (
-        members.join(open_runs, "run")
-        .select("run", "k1", part.alias("x"), F.explode(F.expr("sequence(0, cast(parts - 1 as int))")).alias("y"))
-        .select("run", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "k1")
-        .join(named, "k1")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            k = [np.asarray(part.column(at)) for at in range(3, 7)]
+            _, group = np.unique(np.stack(k[1:3], axis=1), axis=0, return_inverse=True)
+            words = [np.asarray(part.column(7 + at)) for at in range(len(PARITIES))]
+            words = np.stack(words, axis=1).view(_U64)
+            found, n = [], 0
+            for block in possible_pairs(k[3], words, group.ravel()):
+                found.append(k[0][block])
+                n += len(block)
+                if n > LISTED * len(group):
+                    break
+            if n > LISTED * len(group):
+                first = part.slice(0, 1)
+                values = [[None], [None], *(first.column(at).to_pylist() for at in range(3))]
+            else:
+                ends = np.concatenate(found)
+                none = [None] * len(ends)
+                values = [ends.min(axis=1), ends.max(axis=1), none, none, none]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, kind) for v, kind in zip(values, kinds)], ["k1", "other", "run", "x", "y"]
+            )
+
+    return rows.mapInArrow(look, "k1 long, other long, run long, x int, y int")
+
+
+def _exact_links(dealt: DataFrame) -> DataFrame:
+    """Links that join the groups of each part, with all shingles of its lines."""
+    rows = (
+        dealt.select("run", "x", "y", "k1", "k2", "c1", "c2", "line")
         .repartition("run", "x", "y")
         .sortWithinPartitions("run", "x", "y")
     )
@@ -405,9 +549,7 @@ def crowd_links(members: DataFrame, texts: DataFrame, grouped: DataFrame) -> Dat
             )
 
     node = "struct<k1: bigint, k2: bigint>"
-    return dealt.select("run", "x", "y", "k1", "k2", "c1", "c2", "line").mapInArrow(
-        settle, f"a {node}, b {node}"
-    )
+    return rows.mapInArrow(settle, f"a {node}, b {node}")
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -515,6 +657,15 @@ class _Postings:
         return self._owner[np.arange(len(skip)) + skip]
 
 
+def _first_groups(pairs: DataFrame, parities: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """The components of the pairs that are similar enough."""
+    with scratch(df.sparkSession) as keep:
+        left = written(plausible(pairs, parities), "plausible-pairs")
+        keys = left.select(F.explode(F.array("k1", "other")).alias("k1"))
+        links = keep(similar(left, wanted_texts(keys, df, text)), "line-links")
+    return components(links)
+
+
 def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """``doc`` and ``dropped``: the numbers of the lines of each document that go.
 
@@ -523,53 +674,54 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     and empty texts are not listed; rows with the same id are taken for one document, whose
     lines have the same numbers.
     """
-    lines = written(places(df, id_col, text), "lines")
-    pairs, members = band_pairs(lines)
-    pairs = written(pairs, "line-pairs")
-    texts = wanted_texts(pairs, members, df, text)
-    first = written(components(similar(pairs, texts)), "first-groups")
-    more = crowd_links(members, texts, first)
-    stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    grouped = components(stars.unionByName(more)).select(
-        F.col("node.k1").alias("k1"),
-        F.col("node.k2").alias("k2"),
-        F.col("component.k1").alias("c1"),
-        F.col("component.k2").alias("c2"),
-    )
-    named = (
-        lines.select("doc", "at", "k1", "k2")
-        .join(grouped, ["k1", "k2"], "left")
-        .select("doc", "at", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"))
-    )
-    groups = (
-        named.groupBy("c1", "c2")
-        .agg(F.min("doc").alias("keeper"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
-    )
-    # Dealt by document after the join, so that a group of any size can be split in it.
-    found = (
-        named.join(groups, ["c1", "c2"])
-        .repartition("doc")
-        .groupBy("doc", "c1", "c2", "keeper")
-        .agg(F.array_sort(F.collect_set("at")).alias("at"))
-    )
-    dropped = F.when(
-        F.col("doc") == F.col("keeper"), F.slice("at", F.lit(2), F.size("at"))
-    ).otherwise(F.col("at"))
-    return (
-        found.select("doc", dropped.alias("at"))
-        .where(F.size("at") > 0)
-        .groupBy("doc")
-        .agg(F.flatten(F.collect_list("at")).alias("dropped"))
-    )
+    with scratch(df.sparkSession) as keep:
+        lines = written(places(df, id_col, text), "lines")
+        pairs, members = band_pairs(lines)
+        parities = line_parities(pairs, members, df, text)
+        first = _first_groups(pairs, parities, df, text)
+        more = crowd_links(members, parities, first, df, text)
+        stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        grouped = components(stars.unionByName(more)).select(
+            F.col("node.k1").alias("k1"),
+            F.col("node.k2").alias("k2"),
+            F.col("component.k1").alias("c1"),
+            F.col("component.k2").alias("c2"),
+        )
+        named = (
+            lines.select("doc", "at", "k1", "k2")
+            .join(grouped, ["k1", "k2"], "left")
+            .select("doc", "at", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"))
+        )
+        groups = (
+            named.groupBy("c1", "c2")
+            .agg(F.min("doc").alias("keeper"), F.count("*").alias("n"))
+            .where("n > 1")
+            .drop("n")
+        )
+        # Dealt by document after the join, so that a group of any size can be split in it.
+        found = (
+            named.join(groups, ["c1", "c2"])
+            .repartition("doc")
+            .groupBy("doc", "c1", "c2", "keeper")
+            .agg(F.array_sort(F.collect_set("at")).alias("at"))
+        )
+        dropped = F.when(
+            F.col("doc") == F.col("keeper"), F.slice("at", F.lit(2), F.size("at"))
+        ).otherwise(F.col("at"))
+        gone = (
+            found.select("doc", dropped.alias("at"))
+            .where(F.size("at") > 0)
+            .groupBy("doc")
+            .agg(F.flatten(F.collect_list("at")).alias("dropped"))
+        )
+        return keep(gone, "dropped-lines")
 
 
 def _without_repeats(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Id, text without its repeated lines, all other columns as ``rest``, and both counts."""
     others = [F.col(f"`{c}`") for c in df.columns if c not in (id_col, text)]
     rest = F.struct(*others) if others else F.lit(None)
-    gone = written(repeated_lines(df, id_col, text), "dropped-lines")
+    gone = repeated_lines(df, id_col, text)
     gone = gone.withColumnsRenamed({"doc": "_doc", "dropped": "_dropped"})
     # Documents that surely lose no line go on where they are read; only the others are shuffled.
     rows = df.select(id_col, text, rest.alias("rest"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,14 +17,69 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Shuffle files go when the execution that wrote them ends, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+#: Paths written in the innermost ``scratch`` block.
+_paths: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("paths", default=None)
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for what is planned inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, and safe from lost executors."""
+    """``df`` as a table in the shared folder: computed once, and safe from lost executors.
+
+    Inside a ``scratch`` block the table goes when the block ends.
+    """
+    return _written(df, label, compression, _paths.get())
+
+
+def _written(
+    df: DataFrame, label: str, compression: str | None, paths: list[str] | None
+) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path, compression=compression)
+    if paths is not None:
+        paths.append(path)
+    with setting(spark, CLEANUP, "true"):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """Tables ``written`` inside are deleted at the end.
+
+    Yields ``keep``, which writes a table that outlives the block; in an outer block, until that
+    one ends.
+    """
+    outer, paths = _paths.get(), []
+
+    def keep(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+        return _written(df, label, compression, outer)
+
+    token = _paths.set(paths)
+    try:
+        yield keep
+    finally:
+        _paths.reset(token)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
 @contextlib.contextmanager
 def scan_filters(spark: SparkSession) -> Iterator[None]:
     """Joins planned inside send a Bloom filter of the smaller table's keys to the larger scan.
@@ -31,13 +87,9 @@ def scan_filters(spark: SparkSession) -> Iterator[None]:
     Spark does so by itself for large scans; for the joins planned here, which keep a small part
     of the documents, it always pays, since what the filter drops is not shuffled.
     """
-    setting = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "0")
-    try:
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    with setting(spark, size, "0"):
         yield
-    finally:
-        spark.conf.set(setting, before)
 
 
 #: Words of 64 bits of a key filter: at most so many rows of two numbers (about 20 MB) travel.
@@ -68,6 +120,25 @@ def possible(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     )
 
 
+def without(df: DataFrame, id_col: str, kept: DataFrame) -> DataFrame:
+    """The rows of ``df`` with an id that some row of ``kept`` (id, ``kept``) keeps.
+
+    ``kept`` has every id of ``df``.  Only rows whose id may be one that goes are shuffled.
+    """
+    gone = written(
+        kept.where(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("_gone"))
+        .agg(F.bool_or("kept").alias("_kept"))
+        .where("not coalesce(_kept, false)")
+        .select("_gone"),
+        "gone",
+    )
+    marked = possible(df.where(F.col(id_col).isNotNull()), F.col(id_col), gone)
+    stays = marked.where("not _possible").drop("_possible")
+    looked = marked.where("_possible").drop("_possible")
+    return stays.unionByName(looked.join(gone, F.col(id_col) == F.col("_gone"), "left_anti"))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     ascii_only = F.octet_length(text) == F.char_length(text)
