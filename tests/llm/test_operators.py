@@ -1,5 +1,6 @@
 """The training-data operators against brute force, and on odd tables."""
 
+import os
 import random
 import re
 import zlib
@@ -13,7 +14,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import bpe, catalog, lines, minhash, packing, secrets, tokens, weak
-from tidemark.llm.shared import documents, possible
+from tidemark.llm.shared import documents, possible, without
+from tidemark.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -342,6 +344,49 @@ def test_lines_carry_columns_with_the_names_used_inside(spark):
     assert lines.deduplicated(only, "doc_id", "text").columns == ["doc_id", "text", "n_lines", "n_dropped"]
 
 
+def test_parities_rule_out_no_similar_pair():
+    """Edited lines of many lengths: what brute force links is among the possible pairs."""
+    draw = random.Random(5)
+    texts = []
+    for n in (2, 3, 5, 12, 40, 120, 400, 1500):
+        base = prose(n, n).split()
+        for edits in (0, 1, max(1, n // 20), max(1, n // 9), max(1, n // 5)):
+            own = list(base)
+            for _ in range(edits):
+                own[draw.randrange(n)] = f"z{draw.randrange(999)}"
+            texts.append(" ".join(own))
+    sizes, odd = lines.LineSigner().parities(texts)
+    blocks = lines.possible_pairs(sizes, odd.view(np.uint64), np.arange(len(texts)))
+    found = {tuple(pair) for block in blocks for pair in block.tolist()}
+    sets = lines.ShingleSets()
+    alike = {
+        (i, j) for j in range(len(texts)) for i in range(j) if sets.alike([texts[i]], [texts[j]])[0]
+    }
+    assert alike and alike <= found
+    assert len(found) < 0.3 * len(texts) * (len(texts) - 1) / 2
+
+
+def test_stages_leave_no_tables_they_need_no_more(spark):
+    """What a stage writes on its way goes before its result is read; only small tables stay."""
+    folder = shared_folder(spark)
+    docs = documents(spark, FOLDER)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = set(os.listdir(folder))
+        made = stage(spark, docs, FOLDER)
+        left = {one.rsplit("-", 1)[0] for one in set(os.listdir(folder)) - before}
+        assert left <= {"kept", "dropped-lines", "near-groups", "gone", "key-filter", "copies"}, name
+        assert made.count() > 0
+
+
+def test_rows_without_those_that_go(spark):
+    rows = [(1, True), (2, False), (2, True), (3, False), (None, True), (4, None)]
+    kept = spark.createDataFrame(rows, "doc_id long, kept boolean")
+    docs = kept.select("doc_id", F.lit("t").alias("text"))
+    ids = sorted(r.doc_id for r in without(docs, "doc_id", kept).collect())
+    plain = docs.join(kept.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    assert ids == sorted(r.doc_id for r in plain.collect()) == [1, 2, 2]
+
+
 def test_key_filter_passes_every_key(spark):
     df = spark.range(20_000).withColumn("key", F.expr("if(id % 100 = 0, null, id * 31)"))
     keys = df.where("id % 7 = 0 and key is not null").select("key")

@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.components import components
 from tidemark.llm.crowds import frequent_links, ordered_sets, rare_pairs, unsettled
-from tidemark.llm.shared import documents, query, scan_filters, written
+from tidemark.llm.shared import documents, query, scan_filters, scratch, without, written
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE, PERCENT = 5, 75
@@ -344,51 +344,52 @@ def near_groups(df: DataFrame, id_col: str, text: str, shingle: int = SHINGLE) -
     Rows with the same id count as one document.  Columns: id, ``n_shingles``, ``component_id``,
     ``kept``.
     """
-    rows = written(signed(df, id_col, text, shingle), "signatures")
-    classes = written(
-        rows.where("n_shingles > 0")
-        .groupBy("high", "low", "n_shingles")
-        .agg(F.min("id").alias("first"), F.count("*").alias("copies")),
-        "classes",
-    )
-    sets = (
-        rows.where("signature is not null")
-        .join(classes.withColumnRenamed("first", "id"), ["high", "low", "n_shingles", "id"])
-        .select("id", "n_shingles", "copies", "signature")
-        .dropDuplicates(["id"])
-    )
-    regions = forest_regions(sets)
-    pairs = written(forest_candidates(regions), "candidates")
-    links = confirmed(pairs, df, id_col, text, shingle)
-    grouped = components(links)
-    named = written(
-        classes.join(grouped, classes["first"] == grouped["node"], "left").select(
-            F.col("first").alias("id"), "n_shingles", F.coalesce("component", "first").alias("comp")
-        ).dropDuplicates(["id"]),
-        "named",
-    )
-    more = crowd_links(regions, named, df, id_col, text, shingle)
-    if more is not None:
-        grouped = components(
-            grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+    with scratch(df.sparkSession) as keep:
+        rows = written(signed(df, id_col, text, shingle), "signatures")
+        classes = written(
+            rows.where("n_shingles > 0")
+            .groupBy("high", "low", "n_shingles")
+            .agg(F.min("id").alias("first"), F.count("*").alias("copies")),
+            "classes",
         )
-    named = classes.join(grouped, classes["first"] == grouped["node"], "left").select(
-        "high", "low", "n_shingles", F.coalesce("component", "first").alias("_component")
-    )
-    joined = rows.drop("signature").join(named, ["high", "low", "n_shingles"], "left")
-    component = F.coalesce("_component", "id")
-    return joined.select(
-        F.col("id").alias(id_col),
-        "n_shingles",
-        component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
-    )
+        sets = (
+            rows.where("signature is not null")
+            .join(classes.withColumnRenamed("first", "id"), ["high", "low", "n_shingles", "id"])
+            .select("id", "n_shingles", "copies", "signature")
+            .dropDuplicates(["id"])
+        )
+        regions = forest_regions(sets)
+        pairs = written(forest_candidates(regions), "candidates")
+        links = confirmed(pairs, df, id_col, text, shingle)
+        grouped = components(links)
+        named = written(
+            classes.join(grouped, classes["first"] == grouped["node"], "left").select(
+                F.col("first").alias("id"), "n_shingles", F.coalesce("component", "first").alias("comp")
+            ).dropDuplicates(["id"]),
+            "named",
+        )
+        more = crowd_links(regions, named, df, id_col, text, shingle)
+        if more is not None:
+            grouped = components(
+                grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+            )
+        named = classes.join(grouped, classes["first"] == grouped["node"], "left").select(
+            "high", "low", "n_shingles", F.coalesce("component", "first").alias("_component")
+        )
+        joined = rows.drop("signature").join(named, ["high", "low", "n_shingles"], "left")
+        component = F.coalesce("_component", "id")
+        made = joined.select(
+            F.col("id").alias(id_col),
+            "n_shingles",
+            component.alias("component_id"),
+            F.col("id").eqNullSafe(component).alias("kept"),
+        )
+        return keep(made, "near-groups")
 
 
 def near_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that stay: one of each component."""
-    kept = near_groups(docs, "doc_id", "text").where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    return without(docs, "doc_id", near_groups(docs, "doc_id", "text"))
 
 
 @query("op3_minhash_near_dedup")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import WORD, documents, query, written
+from tidemark.llm.shared import WORD, documents, query, scratch, written
 
 #: Source weights by rank, repeating; share of all words to take; most copies of a document.
 WEIGHTS, SHARE, REPEATS = (3, 1, 2), 1.5, 2
@@ -155,8 +155,10 @@ def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with the same id are one draw; documents without a word add nothing and go too.
     """
-    taken = mix_documents(docs).where(F.col("taken") > 0)
-    copies = taken.groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+    with scratch(spark) as keep:
+        taken = mix_documents(docs).where(F.col("taken") > 0)
+        copies = taken.groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+        copies = keep(copies, "copies")
     picked = docs.join(copies, "doc_id")
     repeated = picked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*docs.columns)

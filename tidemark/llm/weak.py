@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import documents, query, written
+from tidemark.llm.shared import documents, query, scratch, without, written
 
 #: Documents on which the scorer is trained (a bounded sample, chosen by a hash of the id).
 TRAINING_ROWS = 4000
@@ -263,8 +263,9 @@ def classify(df: DataFrame, id_col: str, text: str, rows: int = TRAINING_ROWS) -
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier keeps."""
-    kept = classify(docs, "doc_id", "text").where("kept").select("doc_id").distinct()
-    return docs.join(written(kept, "kept"), "doc_id", "left_semi")
+    with scratch(spark) as keep:
+        kept = keep(classify(docs, "doc_id", "text").select("doc_id", "kept"), "kept")
+    return without(docs, "doc_id", kept)
 
 
 @query("op7_quality_classifier")
