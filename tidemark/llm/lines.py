@@ -355,6 +355,8 @@ def line_parities(pairs: DataFrame, members: DataFrame, df: DataFrame, text: str
     keys = pairs.select(F.explode(F.array("k1", "other")).alias("k1")).unionByName(members.select("k1"))
     with scratch(df.sparkSession) as keep:
         lines, wanted = _lines_of(keys, df, text)
+        # Written first, so that a task has one Python worker and not two at once.
+        lines = written(lines, "possible-lines", "zstd")
         made = lines.mapInArrow(sign, kinds).join(wanted, "k1", "left_semi")
         return keep(made.dropDuplicates(["k1", "k2"]), "line-parities")
 
