@@ -1,463 +1,244 @@
-"""Fuzzy line deduplication: MinHash bands, exact Jaccard verification, union-find."""
+"""Fuzzy line deduplication: MinHash bands, exact Jaccard verification, union-find.
 
-from __future__ import annotations
+All of it is Spark's own expressions and joins.
+"""
 
-import hashlib
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.line_sets import (  # noqa: F401 (the plain forms, for comparison)
+    PERCENT,
+    SHINGLE,
+    LineSigner,
+    ShingleSets,
+    possible_pairs,
+)
 from tidemark.llm.shared import documents, possible, query, scratch, written
 
-#: Characters of a shingle and the least similarity of two lines' shingle sets, in percent.
-SHINGLE, PERCENT = 5, 75
-#: Bands and hashes of a band: lines at the least similarity meet in one with 97.8 %.
-BANDS, ROWS = 10, 4
-#: A band key ends with a sketch: a size step and one bit of each of the first minima.
-SIZE_BITS, SKETCH_BITS = 6, 22
-#: Bits of two sketches that agree at least; lines at the least similarity do with 99.6 %.
-AGREEING = 15
-#: Rows on either side of a cut between partitions that are compared across it.
-ENDS = 4
-#: Characters that are signed at a time, and repeated lines that a worker recognises.
-BLOCK, SEEN = 1 << 16, 200_000
-#: Pairs of lines that are compared at a time.
-TOGETHER = 200
-#: Distinct lines of a band up to which the first and the previous one are all the others.
-WHOLE = 3
+#: Bands and hashes of a band: lines at the least similarity meet in one with 98.7 %.
+BANDS, ROWS = 16, 5
+#: First characters of the shingles that stand for all of a line with many of them.
+CHOSEN = r"[aeo0369\x80-\x{10FFFF}]"
+#: Lines are signed by chosen shingles from the first number on, by all below the second.
+FEW, MANY = 32, 48
+#: Hashes of each half of a sketch, and bits in which one half and both differ at most.
+HALF, HALF_APART, APART = 40, 24, 36
 #: Lines and characters of a part of a crowded band; larger bands are compared part by part.
 PART_LINES, PART_CHARS = 1000, 1 << 22
-#: Bits of a line's parities, and pairs a line up to which a part's possible pairs are listed.
-PARITY_BITS, LISTED = 1024, 2
-PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+#: Pairs a line up to which the possible pairs of crowded bands are all compared at once.
+LISTED = 4
+#: Bits of the parities of a line without a sketch.
+PARITIES = [f"p{i}" for i in range(4)]
 
-_U64 = np.uint64
-_TAIL = SIZE_BITS + SKETCH_BITS
+#: Where the bands begin among the hashes.
+_BOUNDS = [f"{(i << 64) // BANDS - (1 << 63)}" for i in range(BANDS)]
+_BOUNDS[0] = "-9223372036854775807"
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective mixing of 64-bit values."""
-    x = (x ^ (x >> _U64(32))) * _U64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> _U64(32))) * _U64(0xD6E8FEB86659FD93)
-    return x ^ (x >> _U64(32))
+def cut_lines(df: DataFrame, text: str, *others: Column) -> DataFrame:
+    """The lines with a word, without blanks at their ends: ``at``, ``line``, ``k1``, ``k2``."""
+    rows = df.select(*others, F.posexplode_outer(F.split(text, "\n", -1)).alias("at", "line"))
+    names = rows.columns[: len(others)]
+    return (
+        rows.withColumn("line", F.trim("line"))
+        .where(F.col("line").rlike(r"[^\t\x0B\f\r ]"))
+        .select(
+            *names,
+            "at",
+            "line",
+            F.xxhash64("line").alias("k1"),
+            F.xxhash64(F.lit("line"), "line").alias("k2"),
+        )
+    )
 
 
-def _fixed(n: int, seed: int) -> np.ndarray:
-    """``n`` fixed pseudo-random odd 64-bit values."""
-    return _mixed(np.arange(1, n + 1, dtype=_U64) + _U64(seed << 32)) | _U64(1)
+def _shingles(line: str) -> str:
+    """The shingles of a line, repeats included; a line that is shorter than one is one."""
+    return (
+        f"if(char_length({line}) < {SHINGLE}, array({line}), "
+        f"regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}})).', 1))"
+    )
 
 
-class LineSigner:
-    """MinHash bands of lines from one hash of each character shingle.
+def _hashes(shingles: str) -> str:
+    """The distinct hashes of shingles."""
+    return f"array_distinct(transform({shingles}, s -> xxhash64(s)))"
 
-    Hashes fall into bins and each bin's least one is a MinHash; an empty bin borrows from a
-    full one that its own fixed sequence of bins meets first, so the result depends on the set
-    of shingles alone.
-    """
 
-    def __init__(self):
-        self._at = _fixed(SHINGLE, 1)
-        self._row = _fixed(ROWS, 2)
-        self._band = _fixed(BANDS, 3)
-        bins = BANDS * ROWS
-        draws = _mixed(np.arange(bins * 32, dtype=_U64) + _U64(7 << 32)) % _U64(bins)
-        self._lenders = draws.astype(np.int64).reshape(32, bins)
-
-    def hashes(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The hashed shingles of all lines, repeats included, and how many each line has.
-
-        A line that is shorter than a shingle is one.
-        """
-        gap = "\n" * (SHINGLE - 1)
-        codes = np.frombuffer((gap.join(lines) + gap).encode("utf-32-le", "surrogatepass"), "<u4")
-        lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-        counts = np.maximum(lengths - SHINGLE + 1, 1)
-        parts = np.empty(2 * len(lines), np.int64)
-        parts[::2], parts[1::2] = counts, lengths + len(gap) - counts
-        real = np.repeat(np.tile([True, False], len(lines)), parts)
-        codes = np.concatenate([codes, np.zeros(SHINGLE - 1, codes.dtype)]).astype(_U64)
-        made = codes[: len(real)] * self._at[0]
-        for k in range(1, SHINGLE):
-            made += codes[k : k + len(real)] * self._at[k]
-        return _mixed(made[real]), counts
-
-    def parities(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """How many distinct shingles each line has, and for each of 1024 bins whether it is odd.
-
-        Two lines with d shingles that only one of them has differ in d bins at most.
-        """
-        hashes, counts = self.hashes(lines)
-        line = np.repeat(np.arange(len(lines), dtype=_U64), counts)
-        each = np.sort(line << _U64(40) | hashes & _U64((1 << 40) - 1))
-        each = each[np.diff(each, prepend=~each[:1]) != 0]
-        owner = (each >> _U64(40)).astype(np.int64)
-        bins = owner * PARITY_BITS + (each & _U64(PARITY_BITS - 1)).astype(np.int64)
-        odd = np.bincount(bins, minlength=len(lines) * PARITY_BITS) & 1
-        packed = np.packbits(odd.astype(np.uint8).reshape(len(lines), PARITY_BITS), axis=1)
-        return np.bincount(owner, minlength=len(lines)), packed.view(np.int64)
-
-    def of(self, lines: list[str]) -> np.ndarray:
-        """For each line its band keys: a hash of the band, then the line's sketch."""
-        bins = BANDS * ROWS
-        hashes, counts = self.hashes(lines)
-        places = ((hashes >> _U64(40)) * _U64(bins) >> _U64(24)).astype(np.int64)
-        places += np.repeat(np.arange(len(lines)) * bins, counts)
-        none = np.iinfo(_U64).max
-        least = np.full(len(lines) * bins, none, _U64)
-        np.minimum.at(least, places, hashes)
-        least = least.reshape(len(lines), bins)
-        whole, empty = least, least == none
-        if empty.any():
-            least = whole.copy()
-            for lenders in self._lenders:
-                line, at = np.nonzero(empty)
-                if not len(line):
-                    break
-                least[line, at] = whole[line, lenders[at]]
-                empty = least == none
-            line, at = np.nonzero(empty)
-            least[line, at] = whole.min(axis=1)[line]
-        keys = (least.reshape(len(lines), BANDS, ROWS) * self._row).sum(axis=2, dtype=_U64)
-        keys = _mixed(keys * self._band + self._band)
-        bits = (_mixed(least[:, :SKETCH_BITS]) & _U64(1)) << np.arange(SKETCH_BITS, dtype=_U64)
-        # Steps of a quarter of the distinct shingles: similar lines are at most two steps apart.
-        line = np.repeat(np.arange(len(lines), dtype=_U64), counts)
-        each = np.sort(line << _U64(40) | hashes & _U64((1 << 40) - 1))
-        fresh = np.diff(each, prepend=~each[:1]) != 0
-        sizes = np.bincount((each[fresh] >> _U64(40)).astype(np.int64), minlength=len(lines))
-        step = np.minimum(np.log(sizes) / np.log(4 / 3), 2**SIZE_BITS - 1).astype(_U64)
-        sketch = bits.sum(axis=1, dtype=_U64) | step << _U64(SKETCH_BITS)
-        return (keys >> _U64(_TAIL) << _U64(_TAIL) | sketch[:, None]).view(np.int64)
-
-
-def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether the sketches of two rows of band keys allow a link."""
-    low = np.int64((1 << SKETCH_BITS) - 1)
-    differ = np.bitwise_count((x ^ y) & low)
-    steps = np.int64((1 << SIZE_BITS) - 1)
-    apart = ((x >> SKETCH_BITS) & steps) - ((y >> SKETCH_BITS) & steps)
-    return (differ <= SKETCH_BITS - AGREEING) & (np.abs(apart) <= 2)
-
-
-def numbered(text: str | None) -> Iterator[tuple[int, str]]:
-    """The lines with a word, without blanks at their ends, and their numbers."""
-    for at, line in enumerate((text or "").split("\n")):
-        line = line.strip(" ")
-        if line.strip("\t\x0b\x0c\r "):
-            yield at, line
-
-
-def digest_of(line: str) -> bytes:
-    return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-
-
-def line_texts(df: DataFrame, text: str) -> DataFrame:
-    """``k1``, ``k2`` and the text of each line with a word; repeats within a batch once."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = {line for one in batch.column(0) for _, line in numbered(one.as_py())}
-            keys = np.frombuffer(b"".join(map(digest_of, lines)), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys[:, 0].copy()),
-                    pa.array(keys[:, 1].copy()),
-                    pa.array(list(lines), pa.string()),
-                ],
-                ["k1", "k2", "line"],
-            )
+def _sorted(hashes: str) -> str:
+    return f"sort_array({hashes})"
 
-    return df.select(text).mapInArrow(split, "k1 long, k2 long, line string")
 
+def _sketch(half: int) -> str:
+    """A bit for each of the least hashes (0) or of as many after them (1), if there are so many."""
+    return (
+        f"if(size(s) >= {HALF * (half + 1)}, aggregate(slice(s, {HALF * half + 1}, {HALF}), 0L, "
+        "(bits, h) -> bits | shiftleft(1L, cast(h & 63 as int))), null)"
+    )
 
-def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per line with a word: ``doc``, ``at``, two halves of a digest, band keys.
 
-    A line that a worker has just seen has null bands.
-    """
+#: Whether the sketches of two lines allow a link, or are none; lines at the least similarity differ
+#: in 8 and 16 bits or so, unlike ones in 29 and 58.
+_ALIKE = (
+    f"coalesce(bit_count(s1 ^ z1) <= {HALF_APART}, true) "
+    f"and coalesce(bit_count(s1 ^ z1) + bit_count(s2 ^ z2) <= {APART}, true)"
+)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer, seen = LineSigner(), set()
-        for batch in batches:
-            of, ats, digests, new = [], [], [], []
-            waiting, size, bands = [], 0, []
-            for row, one in enumerate(batch.column(1)):
-                for at, line in numbered(one.as_py()):
-                    digest = digest_of(line)
-                    of.append(row)
-                    ats.append(at)
-                    digests.append(digest)
-                    new.append(digest not in seen)
-                    if new[-1]:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(digest)
-                        waiting.append(line)
-                        size += len(line)
-                        if size >= BLOCK:
-                            bands.append(signer.of(waiting))
-                            waiting, size = [], 0
-            if waiting:
-                bands.append(signer.of(waiting))
-            keys = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            signed = np.concatenate(bands or [np.empty((0, BANDS), np.int64)])
-            ends = np.concatenate([[0], np.cumsum(new, dtype=np.int64) * BANDS]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(
-                pa.array(ends, mask=None), pa.array(signed.ravel()), mask=pa.array(~np.array(new, bool))
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(of, pa.int64())),
-                    pa.array(ats, pa.int32()),
-                    pa.array(keys[:, 0].copy()),
-                    pa.array(keys[:, 1].copy()),
-                    lists,
-                ],
-                ["doc", "at", "k1", "k2", "bands"],
-            )
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).mapInArrow(
-        sign, f"doc {kind}, at int, k1 long, k2 long, bands array<bigint>"
-    )
+def signed(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``doc``, ``at``, ``k1``, ``k2``, ``form``, band keys and a sketch of each line with a word.
 
+    A band is a part of the numbers; its key is made of a line's least ``ROWS`` hashes from its begin
+    on.  So it is equal if those of both lines together are common, as with MinHash.  Lines of many
+    shingles are signed by those that begin with a chosen character, which are as similar as all but
+    for chance; lines with few of them by all, lines between in both forms (two rows).
+    """
+    rest = SHINGLE - 1
+    chosen = f"regexp_extract_all(line, r'(?s)(?=({CHOSEN}.{{{rest}}})).', 1)"
+    rows = cut_lines(df, text, F.col(id_col).alias("doc"))
+    rows = rows.withColumn("some", F.expr(_sorted(_hashes(chosen))))
+    every = f"if(size(some) < {MANY}, {_sorted(_hashes(_shingles('line')))}, null)"
+    rows = rows.withColumn("every", F.expr(every))
+    forms = f"array(if(size(some) < {FEW}, every, some), if(size(some) < {FEW}, null, every))"
+    rows = rows.select("doc", "at", "k1", "k2", F.posexplode(F.expr(forms)).alias("form", "s"))
+    rows = rows.where("s is not null")
+    bounds = ", ".join(f"{b}L" for b in _BOUNDS)
+    rows = rows.select(
+        "doc",
+        "at",
+        "k1",
+        "k2",
+        "form",
+        F.expr(f"sort_array(concat(s, array({bounds})))").alias("t"),
+        F.expr(f"concat(s, slice(s, 1, {ROWS}))").alias("round"),
+        F.expr(_sketch(0)).alias("s1"),
+        F.expr(_sketch(1)).alias("s2"),
+    )
+    keys = ", ".join(
+        f"xxhash64(slice(round, cast(array_position(t, {b}L) as int) - {i}, {ROWS}))"
+        for i, b in enumerate(_BOUNDS)
+    )
+    keys = F.expr(f"array_distinct(array({keys}))").alias("keys")
+    return rows.select("doc", "at", "k1", "k2", "form", keys, "s1", "s2")
 
-def band_pairs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``k1`` - ``other`` of lines that share a band and have sketches that allow a link.
 
-    Also the lines ``run``, ``k1`` of crowded bands, in which these are not all the pairs.
+def band_pairs(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs ``k1`` - ``other`` of lines that share a band, and the lines ``run``, ``k1`` of crowded ones.
 
-    Rows are sorted by band over all partitions, so a band of any size may be cut.  Within one,
-    each line is paired with the first and with the one before, which has the nearest sketch of
-    those sorted before it.  First keys stand for lines here; should two lines have the same
-    one, both are compared.
+    Also the sketches of lines.  In bands of more than two lines each line is paired with the least
+    and the largest only.  First keys stand for lines here; should two lines have the same one, both
+    are compared.  Pairs whose sketches differ too much are left out.
     """
-    rows = lines.where("bands is not null").select(F.explode("bands").alias("band"), "k1")
-    rows = rows.repartitionByRange("band", "k1").sortWithinPartitions("band", "k1")
-
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, bands = np.empty(0, np.int64), np.empty(0, np.int64)
-        first, last, counted = None, None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            carried = len(bands)
-            bands = np.concatenate([bands, batch.column(0).to_numpy()])
-            keys = np.concatenate([keys, batch.column(1).to_numpy()])
-            runs = bands >> _TAIL
-            starts = np.flatnonzero(np.diff(runs, prepend=runs[0] - 1))
-            leader = np.repeat(starts, np.diff(starts, append=len(runs)))
-            here = np.arange(carried, len(runs))
-            fresh = np.ones(len(runs), np.int64)
-            fresh[1:] = (np.diff(bands) != 0) | (np.diff(keys) != 0)
-            count = np.cumsum(fresh)
-            count -= count[leader] - 1
-            if carried:
-                count[leader == 0] += counted - count[carried - 1]
-            counted = count[-1]
-            crowded = np.unique(runs[here][count[here] > WHOLE])
-            yield _rows(crowded, crowded, None, True)
-            a, b = [], []
-            for there in (leader[here], np.maximum(here - 1, leader[here])):
-                good = (keys[here] != keys[there]) & _alike(bands[here], bands[there])
-                a.append(keys[here][good])
-                b.append(keys[there][good])
-            a, b = np.concatenate(a), np.concatenate(b)
-            yield _rows(np.minimum(a, b), np.maximum(a, b), None)
-            if first is None:
-                first = keys[:ENDS], bands[:ENDS]
-            last = keys[-ENDS:], bands[-ENDS:]
-            # The next batch goes on with this one's last run: its leader and its last line.
-            ends = [leader[-1], len(runs) - 1] if leader[-1] < len(runs) - 1 else [leader[-1]]
-            keys, bands = keys[ends], bands[ends]
-        for head, end in ((True, first), (False, last)):
-            if end is not None:
-                yield _rows(*end, head)
-        if first is not None:
-            yield _rows(keys[:1], bands[:1], False)
-            # Bands at the ends may be crowded together with another partition's lines.
-            edges = np.array([first[1][0], last[1][-1]]) >> _TAIL
-            yield _rows(edges, edges, None, True)
-
-    def _rows(k1, other, head, crowd=False) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(k1),
-                pa.array(other),
-                pa.array([head] * len(k1), pa.bool_()),
-                pa.array([crowd] * len(k1), pa.bool_()),
-            ],
-            ["k1", "other", "head", "crowd"],
-        )
-
+    keyed = lines.select("k1", F.explode_outer("keys").alias("run"))
     with scratch(lines.sparkSession) as keep:
-        found = written(
-            rows.mapInArrow(pair, "k1 long, other long, head boolean, crowd boolean"), "band-pairs"
-        )
-        crowds = written(found.where("crowd").select(F.col("k1").alias("run")).distinct(), "crowds")
-        runs = lines.where("bands is not null").select(
-            "k1", F.explode(F.transform("bands", lambda b: F.shiftright(b, _TAIL))).alias("run")
+        runs = written(
+            keyed.groupBy("run")
+            .agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.count("*").alias("n"))
+            .where("least != most"),
+            "bands",
         )
+        crowds = runs.where("n > 2").select("run", "least", "most")
         members = keep(
-            possible(runs, F.col("run"), crowds)
+            possible(keyed, F.col("run"), crowds.select("run"))
             .where("_possible")
-            .join(crowds, "run", "left_semi")
-            .select("run", "k1")
+            .join(crowds, "run")
+            .select("run", "k1", "least", "most")
             .distinct(),
             "crowd-members",
         )
-        found = found.where("not crowd")
-        # The ends of partitions (a few rows each), where a band may go on in the next one.
-        ends = found.where("head is not null").select(
-            "k1", F.shiftright("other", _TAIL).alias("band"), F.col("other").alias("x"), "head"
+        ends = members.select("k1", F.explode(F.array("least", "most")).alias("end")).where("k1 != end")
+        pairs = (
+            runs.select(F.col("least").alias("k1"), F.col("most").alias("other"))
+            .unionByName(
+                ends.select(F.least("k1", "end").alias("k1"), F.greatest("k1", "end").alias("other"))
+            )
+            .distinct()
         )
-        after = ends.where("head").select(F.col("k1").alias("k"), "band", F.col("x").alias("y"))
-        across = (
-            ends.where("not head")
-            .join(after, "band")
-            .where("k1 != k")
-            .select(F.least("k1", "k").alias("k1"), F.greatest("k1", "k").alias("other"))
+        sketches = keep(
+            lines.where("form = 0 and s1 is not null")
+            .groupBy("k1")
+            .agg(F.first("s1").alias("s1"), F.first("s2").alias("s2")),
+            "sketches",
         )
-        pairs = found.where("head is null").select("k1", "other").unionByName(across).distinct()
-        return keep(pairs, "line-pairs"), members
-
-
-def line_parities(pairs: DataFrame, members: DataFrame, df: DataFrame, text: str) -> DataFrame:
-    """``k1``, ``k2``, ``chars`` and parities of the lines of pairs and of crowded bands.
-
-    ``size`` and the numbers ``PARITIES`` are those of ``LineSigner.parities``; they are made where
-    the lines are cut out of ``df`` again, and stand for them until few pairs are left.
-    """
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = LineSigner()
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                lines = part.column(2).to_pylist()
-                sizes, odd = signer.parities(lines)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(list(map(len, lines)), pa.int64()),
-                        pa.array(sizes, pa.int64()),
-                        *(pa.array(column.copy()) for column in odd.T),
-                    ],
-                    ["k1", "k2", "chars", "size", *PARITIES],
-                )
-
-    kinds = ", ".join(f"{name} long" for name in ["k1", "k2", "chars", "size", *PARITIES])
-    keys = pairs.select(F.explode(F.array("k1", "other")).alias("k1")).unionByName(members.select("k1"))
-    with scratch(df.sparkSession) as keep:
-        lines, wanted = _lines_of(keys, df, text)
-        # Written first, so that a task has one Python worker and not two at once.
-        lines = written(lines, "possible-lines", "zstd")
-        made = lines.mapInArrow(sign, kinds).join(wanted, "k1", "left_semi")
-        return keep(made.dropDuplicates(["k1", "k2"]), "line-parities")
+        theirs = sketches.withColumnsRenamed({"k1": "other", "s1": "z1", "s2": "z2"})
+        alike = (
+            pairs.join(sketches, "k1", "left")
+            .join(theirs, "other", "left")
+            .where(_ALIKE)
+            .select("k1", "other")
+        )
+        return keep(alike, "line-pairs"), members.select("run", "k1"), sketches
 
 
 def wanted_texts(keys: DataFrame, df: DataFrame, text: str) -> DataFrame:
     """``k1``, ``k2``, ``line`` of the lines with the given ``k1``, cut out of ``df`` again."""
     with scratch(df.sparkSession) as keep:
-        lines, wanted = _lines_of(keys, df, text)
-        found = lines.join(wanted, "k1", "left_semi").dropDuplicates(["k1", "k2"])
+        wanted = written(keys.distinct(), "wanted-lines")
+        marked = possible(cut_lines(df, text), F.col("k1"), wanted).where("_possible")
+        lines = marked.select("k1", "k2", "line").join(wanted, "k1", "left_semi")
+        found = lines.groupBy("k1", "k2").agg(F.first("line").alias("line"))
         return keep(found, "line-texts", "zstd")
 
 
-def _lines_of(keys: DataFrame, df: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """The lines whose ``k1`` may be among the keys, and the distinct keys."""
-    wanted = written(keys.distinct(), "wanted-lines")
-    marked = possible(line_texts(df, text), F.col("k1"), wanted).where("_possible")
-    return marked.select("k1", "k2", "line"), wanted
-
-
-def plausible(pairs: DataFrame, parities: DataFrame) -> DataFrame:
-    """The pairs that the parities do not rule out; see ``possible_pairs``."""
-    mine = parities.select("k1", "size", *PARITIES)
-    theirs = mine.withColumnsRenamed(
-        {"k1": "other", "size": "_size"} | {name: f"_{name}" for name in PARITIES}
-    )
-    apart = " + ".join(f"bit_count({name} ^ _{name})" for name in PARITIES)
-    less, more = "least(size, _size)", "greatest(size, _size)"
-    return (
-        pairs.join(mine, "k1")
-        .join(theirs, "other")
-        .where(f"100 * {less} >= {PERCENT} * {more}")
-        .where(f"{100 + PERCENT} * ({apart}) <= {100 - PERCENT} * (size + _size)")
-        .select("k1", "other")
-        .distinct()
-    )
-
-
-def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def similar(pairs: DataFrame, texts: DataFrame, *carried: str) -> DataFrame:
     """Links ``a`` - ``b`` of lines whose full character-shingle sets are similar enough."""
     key = F.struct("k1", "k2")
     mine = texts.select("k1", key.alias("a"), F.col("line").alias("x"))
     theirs = texts.select(F.col("k1").alias("other"), key.alias("b"), F.col("line").alias("y"))
     both = pairs.join(mine, "k1").join(theirs, "other")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = ShingleSets()
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                keep = sets.alike(part.column(2).to_pylist(), part.column(3).to_pylist())
-                yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    node = "struct<k1: bigint, k2: bigint>"
-    return both.select("a", "b", "x", "y").mapInArrow(compare, f"a {node}, b {node}")
+    named = ["a", "b", *carried]
+    sets = both.select(*named, *(F.expr(_hashes(_shingles(line))).alias(line) for line in "xy"))
+    sizes = sets.select(
+        *named,
+        F.size(F.array_intersect("x", "y")).alias("n"),
+        (F.size("x") + F.size("y")).alias("all"),
+    )
+    return sizes.where(f"100 * n >= {PERCENT} * (all - n)").select(*named)
 
 
-def possible_pairs(sizes: np.ndarray, words: np.ndarray, group: np.ndarray) -> Iterator[np.ndarray]:
-    """Blocks of pairs of rows of different groups that may be similar; none that are is left out.
+def line_parities(texts: DataFrame) -> DataFrame:
+    """``k1``, ``size`` and parities: how many shingles fall into each bin, odd or even.
 
-    Of n + m shingles of two similar lines at most a seventh stand in one of them only.
+    Two lines with d shingles that only one of them has differ in d bins at most.
     """
-    step = max(1, (1 << 16) // len(words))
-    for at in range(0, len(words), step):
-        here = slice(at, at + step)
-        apart = np.bitwise_count(words[here, None] ^ words[None]).sum(axis=2, dtype=np.int64)
-        both = sizes[here, None] + sizes[None]
-        good = (100 + PERCENT) * apart <= (100 - PERCENT) * both
-        less, more = np.minimum(sizes[here, None], sizes), np.maximum(sizes[here, None], sizes)
-        good &= (group[here, None] != group) & (100 * less >= PERCENT * more)
-        one, two = np.nonzero(good)
-        yield np.stack([one + at, two], axis=1)[two > one + at]
+    hashes = F.explode_outer(F.expr(_hashes(_shingles("line")))).alias("h")
+    rows = texts.select("k1", "k2", hashes).select(
+        "k1",
+        "k2",
+        F.expr(f"cast(shiftrightunsigned(h, 6) & {len(PARITIES) - 1} as int)").alias("word"),
+        F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"),
+    )
+    return rows.groupBy("k1", "k2").agg(
+        F.count("*").alias("size"),
+        *(F.bit_xor(F.expr(f"if(word = {i}, bit, 0L)")).alias(p) for i, p in enumerate(PARITIES)),
+    )
 
 
 def crowd_links(
-    members: DataFrame, parities: DataFrame, grouped: DataFrame, df: DataFrame, text: str
+    members: DataFrame, sketches: DataFrame, texts: DataFrame, grouped: DataFrame
 ) -> DataFrame:
     """Links ``a`` - ``b`` that join what is still apart in crowded bands.
 
     ``grouped`` has the groups of lines linked so far.  A band whose lines are all in one group is
     settled.  In any other, every line is compared with all lines of other groups; large bands are
-    cut into parts, and each two parts meet in a task of their own.  Bands get the parities of
-    their lines, which rule out most pairs for certain; each other pair is compared exactly once,
-    in however many bands it stands.  Only parts with many such pairs get their lines.
+    cut into parts, and each two parts meet in a task of their own.  Sketches rule out most pairs, and
+    parities those of lines without one (for certain); each other pair is compared exactly once, in
+    however many bands it stands.
     """
-    with scratch(df.sparkSession) as keep:
-        named = written(
-            parities.select("k1", "k2", "chars")
-            .join(
-                grouped.select(
-                    F.col("node.k1").alias("k1"),
-                    F.col("node.k2").alias("k2"),
-                    F.col("component.k1").alias("c1"),
-                    F.col("component.k2").alias("c2"),
-                ),
-                ["k1", "k2"],
-                "left",
-            )
-            .select("k1", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"), "chars"),
-            "line-groups",
+    with scratch(members.sparkSession) as keep:
+        named = texts.join(
+            grouped.select("node.k1", "node.k2", F.col("component").alias("group")), ["k1", "k2"], "left"
+        ).select(
+            "k1",
+            F.char_length("line").alias("chars"),
+            F.coalesce("group.k1", "k1").alias("c1"),
+            F.coalesce("group.k2", "k2").alias("c2"),
         )
-        group = F.struct("c1", "c2")
+        named = written(named, "line-groups")
+        group = F.xxhash64("c1", "c2")
         open_runs = written(
             members.join(named, "k1")
             .groupBy("run")
@@ -472,200 +253,86 @@ def crowd_links(
             .select("run", "parts"),
             "open-bands",
         )
+        opened = written(members.join(open_runs, "run"), "open-members")
+        plain = opened.select("k1").distinct().join(sketches, "k1", "left_anti")
+        parities = written(
+            line_parities(texts.join(plain, "k1", "left_semi")).drop("k2"), "line-parities"
+        )
         part = F.pmod(F.xxhash64("k1"), "parts").cast("int")
         dealt = (
-            members.join(open_runs, "run")
-            .select(
-                "run", "k1", part.alias("x"), F.explode(F.expr("sequence(0, cast(parts - 1 as int))")).alias("y")
+            opened.select(
+                "run",
+                "k1",
+                part.alias("part"),
+                F.explode(F.expr("sequence(0, cast(parts - 1 as int))")).alias("y"),
             )
-            .select("run", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "k1")
+            .select("run", F.least("part", "y").alias("x"), F.greatest("part", "y").alias("y"), "part", "k1")
             .join(named.drop("chars"), "k1")
+            .join(sketches, "k1", "left")
+            .join(parities, "k1", "left")
         )
-        pairs = written(
-            _possible_links(dealt.join(parities.select("k1", "size", *PARITIES), "k1")), "crowd-pairs"
+        dealt = written(dealt, "crowd-parts")
+        theirs = dealt.withColumnsRenamed(
+            {"k1": "other", "part": "_part", "c1": "d1", "c2": "d2", "size": "_size"}
+            | {"s1": "z1", "s2": "z2"}
+            | {name: f"_{name}" for name in PARITIES}
         )
-        listed = pairs.where("run is null").select("k1", "other").distinct()
-        keys = listed.select(F.explode(F.array("k1", "other")).alias("k1"))
-        crowded = pairs.where("run is not null").select("run", "x", "y")
-        if crowded.isEmpty():
-            return keep(similar(listed, wanted_texts(keys, df, text)), "crowd-links")
-        dealt = written(dealt.join(crowded, ["run", "x", "y"]), "crowd-parts")
-        texts = wanted_texts(keys.unionByName(dealt.select("k1")), df, text)
-        links = similar(listed, texts).unionByName(_exact_links(dealt.join(texts, "k1")))
-        return keep(links, "crowd-links")
-
-
-def _possible_links(dealt: DataFrame) -> DataFrame:
-    """Pairs ``k1`` - ``other`` of all parts that may be similar; parts with many are listed instead."""
-    rows = (
-        dealt.select("run", "x", "y", "k1", "c1", "c2", "size", *PARITIES)
-        .repartition("run", "x", "y")
-        .sortWithinPartitions("run", "x", "y")
-    )
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
-            k = [np.asarray(part.column(at)) for at in range(3, 7)]
-            _, group = np.unique(np.stack(k[1:3], axis=1), axis=0, return_inverse=True)
-            words = [np.asarray(part.column(7 + at)) for at in range(len(PARITIES))]
-            words = np.stack(words, axis=1).view(_U64)
-            found, n = [], 0
-            for block in possible_pairs(k[3], words, group.ravel()):
-                found.append(k[0][block])
-                n += len(block)
-                if n > LISTED * len(group):
-                    break
-            if n > LISTED * len(group):
-                first = part.slice(0, 1)
-                values = [[None], [None], *(first.column(at).to_pylist() for at in range(3))]
-            else:
-                ends = np.concatenate(found)
-                none = [None] * len(ends)
-                values = [ends.min(axis=1), ends.max(axis=1), none, none, none]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, kind) for v, kind in zip(values, kinds)], ["k1", "other", "run", "x", "y"]
+        apart = " + ".join(f"bit_count({name} ^ _{name})" for name in PARITIES)
+        less, more = "least(size, _size)", "greatest(size, _size)"
+        pairs = (
+            dealt.join(theirs, ["run", "x", "y"])
+            .where("k1 < other and (c1 != d1 or c2 != d2) and (x = y or part != _part)")
+            .where(_ALIKE)
+            .where(f"coalesce(100 * {less} >= {PERCENT} * {more}, true)")
+            .where(f"coalesce({100 + PERCENT} * ({apart}) <= {100 - PERCENT} * (size + _size), true)")
+            .select(
+                "k1",
+                "other",
+                F.struct(F.col("c1").alias("k1"), F.col("c2").alias("k2")).alias("c"),
+                F.struct(F.col("d1").alias("k1"), F.col("d2").alias("k2")).alias("d"),
             )
-
-    return rows.mapInArrow(look, "k1 long, other long, run long, x int, y int")
+            .distinct()
+        )
+        return keep(_joining(written(pairs, "crowd-pairs"), texts), "crowd-links")
 
 
-def _exact_links(dealt: DataFrame) -> DataFrame:
-    """Links that join the groups of each part, with all shingles of its lines."""
-    rows = (
-        dealt.select("run", "x", "y", "k1", "k2", "c1", "c2", "line")
-        .repartition("run", "x", "y")
-        .sortWithinPartitions("run", "x", "y")
-    )
+def _joining(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``a`` - ``b`` of groups: those of the pairs whose lines are similar enough.
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = ShingleSets()
-        for part in _parts(batches):
-            k = [np.asarray(part.column(at)) for at in range(3, 7)]
-            _, group = np.unique(np.stack(k[2:], axis=1), axis=0, return_inverse=True)
-            a, b = sets.joining(part.column(7).to_pylist(), group.ravel())
-            halves = [pa.array(k[0]), pa.array(k[1])]
-            nodes = pa.StructArray.from_arrays(halves, ["k1", "k2"])
-            yield pa.RecordBatch.from_arrays(
-                [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], ["a", "b"]
+    Of many pairs, the outermost of each line are compared first, which leaves out pairs whose
+    groups they have joined; what is left is compared in the same way.
+    """
+    links = []
+    while True:
+        n = pairs.count()
+        lines = pairs.select(F.explode(F.array("k1", "other")).alias("k1")).distinct().count()
+        some = pairs
+        if n > LISTED * lines:
+            first = pairs.groupBy("other", "d").agg(F.min(F.struct("k1", "c")).alias("m"))
+            last = pairs.groupBy("k1", "c").agg(F.max(F.struct("other", "d")).alias("m"))
+            some = (
+                first.select("m.k1", "other", "m.c", "d")
+                .unionByName(last.select("k1", "m.other", "c", "m.d"))
+                .distinct()
             )
-
-    node = "struct<k1: bigint, k2: bigint>"
-    return rows.mapInArrow(settle, f"a {node}, b {node}")
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each part of a band, which stand together, whatever the batches."""
-    kept: list[pa.Table] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([np.asarray(batch.column(at)).astype(np.int64) for at in range(3)], axis=1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
-        for start, end in zip(cuts, cuts[1:]):
-            key = tuple(keys[start])
-            if key != last and kept:
-                yield pa.concat_tables(kept).combine_chunks()
-                kept = []
-            last = key
-            kept.append(pa.Table.from_batches([batch.slice(start, end - start)]))
-    if kept:
-        yield pa.concat_tables(kept).combine_chunks()
-
-
-class ShingleSets:
-    """Sets of hashed shingles; those of the last lines are kept, up to a number of shingles."""
-
-    def __init__(self, most: int = 1 << 21):
-        self._signer, self._most = LineSigner(), most
-        self._sets, self._held = {}, 0
-
-    def _load(self, lines: set[str]) -> None:
-        if self._held > self._most:
-            self._sets.clear()
-            self._held = 0
-        new = [line for line in lines if line not in self._sets]
-        if new:
-            hashes, counts = self._signer.hashes(new)
-            for line, made in zip(new, np.split(hashes, np.cumsum(counts)[:-1])):
-                made = np.sort(made)
-                self._sets[line] = made[np.diff(made, prepend=~made[:1]) != 0]
-            self._held += len(hashes)
-
-    def joining(self, lines: list[str], group: np.ndarray) -> tuple[list[int], list[int]]:
-        """Places of two lines each: links that join all groups which similar lines join.
-
-        Similar lines share one of the rarest shingles of each, of which a quarter is looked at;
-        lines that do are then compared on all shingles.
-        """
-        self._load(set(lines))
-        sets = [self._sets[line] for line in lines]
-        sizes = np.array([len(s) for s in sets])
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        order = np.lexsort((token, count[token], owner))
-        rank = np.arange(len(token)) - ends[owner]
-        # Of n shingles at least three quarters are common, so one of these stands on both sides.
-        prefix = np.zeros(len(token), bool)
-        prefix[order] = rank < (sizes - -(-PERCENT * sizes // 100) + 1)[owner]
-        looked = _Postings(token, owner, prefix & (count[token] > 1))
-        every = _Postings(token, owner, count[token] > 1)
-        group, a, b = group.copy(), [], []
-        for i in range(len(sets)):
-            mine = token[ends[i] : ends[i + 1]]
-            near = looked.of(mine[prefix[ends[i] : ends[i + 1]]])
-            near = near[(near > i) & (group[near] != group[i])]
-            if not len(near):
-                continue
-            near = np.unique(near)
-            common = np.bincount(every.of(mine), minlength=len(sets))[near]
-            for j in near[100 * common >= PERCENT * (sizes[i] + sizes[near] - common)]:
-                if group[i] != group[j]:
-                    a.append(i)
-                    b.append(int(j))
-                    group[group == group[j]] = group[i]
-        return a, b
-
-    def alike(self, left: list[str], right: list[str]) -> list[bool]:
-        """Whether each line on the left is similar enough to the one on the right."""
-        self._load({*left, *right})
-        return [self._enough(self._sets[x], self._sets[y]) for x, y in zip(left, right)]
-
-    @staticmethod
-    def _enough(one: np.ndarray, two: np.ndarray) -> bool:
-        less, more = sorted((len(one), len(two)))
-        if 100 * less < PERCENT * more:
-            return False
-        both = np.concatenate([one, two])
-        both.sort()
-        common = int(np.count_nonzero(both[1:] == both[:-1]))
-        return 100 * common >= PERCENT * (less + more - common)
-
-
-class _Postings:
-    """The owners of each token, of those entries that are marked."""
-
-    def __init__(self, token: np.ndarray, owner: np.ndarray, marked: np.ndarray):
-        token, owner = token[marked], owner[marked]
-        order = np.argsort(token, kind="stable")
-        self._token, self._owner = token[order], owner[order]
-
-    def of(self, tokens: np.ndarray) -> np.ndarray:
-        start = np.searchsorted(self._token, tokens)
-        size = np.searchsorted(self._token, tokens, "right") - start
-        skip = np.repeat(start - np.cumsum(size) + size, size)
-        return self._owner[np.arange(len(skip)) + skip]
-
-
-def _first_groups(pairs: DataFrame, parities: DataFrame, df: DataFrame, text: str) -> DataFrame:
-    """The components of the pairs that are similar enough."""
-    with scratch(df.sparkSession) as keep:
-        left = written(plausible(pairs, parities), "plausible-pairs")
-        keys = left.select(F.explode(F.array("k1", "other")).alias("k1"))
-        links = keep(similar(left, wanted_texts(keys, df, text)), "line-links")
-    return components(links)
+        found = similar(some, texts, "c", "d").select(F.col("c").alias("a"), F.col("d").alias("b"))
+        links.append(written(found.distinct(), "group-links"))
+        if some is not pairs:
+            groups = components(links[-1])
+            rest = pairs.join(some.select("k1", "other"), ["k1", "other"], "left_anti")
+            for side in ("c", "d"):
+                rest = (
+                    rest.join(groups, F.col(side) == F.col("node"), "left")
+                    .withColumn(side, F.coalesce("component", side))
+                    .drop("node", "component")
+                )
+            pairs = written(rest.where("c != d"), "crowd-pairs")
+        if some is pairs or pairs.isEmpty():
+            break
+    made = links[0]
+    for more in links[1:]:
+        made = made.unionByName(more)
+    return made
 
 
 def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -677,11 +344,12 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     lines have the same numbers.
     """
     with scratch(df.sparkSession) as keep:
-        lines = written(places(df, id_col, text), "lines")
-        pairs, members = band_pairs(lines)
-        parities = line_parities(pairs, members, df, text)
-        first = _first_groups(pairs, parities, df, text)
-        more = crowd_links(members, parities, first, df, text)
+        lines = written(signed(df, id_col, text), "lines")
+        pairs, members, sketches = band_pairs(lines)
+        keys = pairs.select(F.explode(F.array("k1", "other")).alias("k1"))
+        texts = wanted_texts(keys.unionByName(members.select("k1")), df, text)
+        first = components(similar(pairs, texts))
+        more = crowd_links(members, sketches, texts, first)
         stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
         grouped = components(stars.unionByName(more)).select(
             F.col("node.k1").alias("k1"),
@@ -690,7 +358,8 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
             F.col("component.k2").alias("c2"),
         )
         named = (
-            lines.select("doc", "at", "k1", "k2")
+            lines.where("form = 0")
+            .select("doc", "at", "k1", "k2")
             .join(grouped, ["k1", "k2"], "left")
             .select("doc", "at", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"))
         )
