@@ -396,6 +396,19 @@ def test_lines_of_all_lengths_without_python(spark, monkeypatch):
     assert 20 <= sum(made.values()) <= len(texts) - 60
 
 
+def test_lines_that_another_line_begins_with(spark):
+    """Three quarters of a line are linked to the whole one, whose sketch has other hashes as well."""
+    draw, texts = random.Random(17), []
+    for i in range(120):
+        n = (120, 250, 500, 1200)[i % 4]
+        whole = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+        texts += [whole, whole[: 4 + -(-76 * (n - 4) // 100)]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {r.doc_id: r.n_dropped for r in lines.deduplicated(frame, "doc_id", "text").collect()}
+    assert sum(made[i] for i in range(1, len(texts), 2)) >= 117
+    assert not any(made[i] for i in range(0, len(texts), 2))
+
+
 def test_stages_leave_no_tables_they_need_no_more(spark):
     """What a stage writes on its way goes before its result is read; only small tables stay."""
     folder = shared_folder(spark)

@@ -24,8 +24,9 @@ BANDS, ROWS = 16, 5
 CHOSEN = r"[aeo0369\x80-\x{10FFFF}]"
 #: Lines are signed by chosen shingles from the first number on, by all below the second.
 FEW, MANY = 32, 48
-#: Hashes of each half of a sketch, and bits in which one half and both differ at most.
-HALF, HALF_APART, APART = 40, 24, 36
+#: Hashes in a line's small sketch and, twice as many, in its large one; bits in which the small ones
+#: and both together differ at most.
+HALF, HALF_APART, APART = 40, 24, 42
 #: Lines and characters of a part of a crowded band; larger bands are compared part by part.
 PART_LINES, PART_CHARS = 1000, 1 << 22
 #: Pairs a line up to which the possible pairs of crowded bands are all compared at once.
@@ -72,16 +73,17 @@ def _sorted(hashes: str) -> str:
     return f"sort_array({hashes})"
 
 
-def _sketch(half: int) -> str:
-    """A bit for each of the least hashes (0) or of as many after them (1), if there are so many."""
+def _sketch(large: int) -> str:
+    """A bit for each of a line's least hashes, if there are so many."""
+    n = HALF * (large + 1)
     return (
-        f"if(size(s) >= {HALF * (half + 1)}, aggregate(slice(s, {HALF * half + 1}, {HALF}), 0L, "
-        "(bits, h) -> bits | shiftleft(1L, cast(h & 63 as int))), null)"
+        f"if(size(s) >= {n}, aggregate(slice(s, 1, {n}), 0L, "
+        f"(bits, h) -> bits | shiftleft(1L, cast(shiftright(h, {6 * large}) & 63 as int))), null)"
     )
 
 
-#: Whether the sketches of two lines allow a link, or are none; lines at the least similarity differ
-#: in 8 and 16 bits or so, unlike ones in 29 and 58.
+#: Whether the sketches of two lines allow a link, or are none.  Lines at the least similarity differ
+#: in up to 11 and 20 bits or so (if one has all the other has), unlike ones in 29 and 55.
 _ALIKE = (
     f"coalesce(bit_count(s1 ^ z1) <= {HALF_APART}, true) "
     f"and coalesce(bit_count(s1 ^ z1) + bit_count(s2 ^ z2) <= {APART}, true)"
