@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import documents, possible, query, scratch, written
+from tidemark.llm.shared import FILTER_WORDS, documents, possible, query, scratch, written
 
 #: Characters of a shingle and the least similarity of two lines' shingle sets, in percent.
 SHINGLE, PERCENT = 5, 75
@@ -31,11 +31,15 @@ TOGETHER = 200
 WHOLE = 3
 #: Lines and characters of a part of a crowded band; larger bands are compared part by part.
 PART_LINES, PART_CHARS = 1000, 1 << 22
-#: Bits of a line's parities, and pairs a line up to which a part's possible pairs are listed.
-PARITY_BITS, LISTED = 1024, 2
-PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+#: Bits of a line's parities: a power of two, from its number of distinct shingles on.
+LEAST_BITS, MOST_BITS = 64, 1 << 16
+#: Pairs a line up to which a part's possible pairs are listed; bins a shingle in other parts.
+LISTED, BINS = 2, 16
+#: Rows of bands or parts, and words of parities, that are looked at together.
+AT_ONCE, WORDS = 1 << 17, 1 << 18
 
 _U64 = np.uint64
+Keep = Callable[[DataFrame, str], DataFrame]
 _TAIL = SIZE_BITS + SKETCH_BITS
 
 
@@ -85,23 +89,39 @@ class LineSigner:
             made += codes[k : k + len(real)] * self._at[k]
         return _mixed(made[real]), counts
 
-    def parities(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """How many distinct shingles each line has, and for each of 1024 bins whether it is odd.
+    def parities(self, lines: list[str], bits: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+        """How many distinct shingles each line has, and for each of the bins whether it is odd.
 
         Two lines with d shingles that only one of them has differ in d bins at most.
         """
-        hashes, counts = self.hashes(lines)
-        line = np.repeat(np.arange(len(lines), dtype=_U64), counts)
+        each, sizes = self._distinct(*self.hashes(lines))
+        odd = self._odd(each, np.full(len(lines), bits))
+        return sizes, odd.view(np.int64).reshape(len(lines), -1)
+
+    @staticmethod
+    def _distinct(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each line's number above 40 bits of each of its distinct shingles; how many those are."""
+        line = np.repeat(np.arange(len(counts), dtype=_U64), counts)
         each = np.sort(line << _U64(40) | hashes & _U64((1 << 40) - 1))
         each = each[np.diff(each, prepend=~each[:1]) != 0]
+        return each, np.bincount((each >> _U64(40)).astype(np.int64), minlength=len(counts))
+
+    @staticmethod
+    def _odd(each: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """The parities of so many bins of each line, packed, line after line."""
         owner = (each >> _U64(40)).astype(np.int64)
-        bins = owner * PARITY_BITS + (each & _U64(PARITY_BITS - 1)).astype(np.int64)
-        odd = np.bincount(bins, minlength=len(lines) * PARITY_BITS) & 1
-        packed = np.packbits(odd.astype(np.uint8).reshape(len(lines), PARITY_BITS), axis=1)
-        return np.bincount(owner, minlength=len(lines)), packed.view(np.int64)
+        bins = (np.cumsum(bits) - bits)[owner] + (each.astype(np.int64) & (bits - 1)[owner])
+        return np.packbits((np.bincount(bins, minlength=bits.sum()) & 1).astype(np.uint8))
 
     def of(self, lines: list[str]) -> np.ndarray:
         """For each line its band keys: a hash of the band, then the line's sketch."""
+        return self.signed(lines)[0]
+
+    def signed(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Band keys, numbers of distinct shingles, bytes of parities, and all parities.
+
+        A line has as many bins as distinct shingles at least, if not more than ``MOST_BITS``.
+        """
         bins = BANDS * ROWS
         hashes, counts = self.hashes(lines)
         places = ((hashes >> _U64(40)) * _U64(bins) >> _U64(24)).astype(np.int64)
@@ -110,28 +130,27 @@ class LineSigner:
         least = np.full(len(lines) * bins, none, _U64)
         np.minimum.at(least, places, hashes)
         least = least.reshape(len(lines), bins)
-        whole, empty = least, least == none
-        if empty.any():
-            least = whole.copy()
+        line, at = np.nonzero(least == none)
+        if len(line):
+            whole, least = least, least.copy()
             for lenders in self._lenders:
-                line, at = np.nonzero(empty)
+                lent = whole[line, lenders[at]]
+                least[line, at] = lent
+                left = lent == none
+                line, at = line[left], at[left]
                 if not len(line):
                     break
-                least[line, at] = whole[line, lenders[at]]
-                empty = least == none
-            line, at = np.nonzero(empty)
             least[line, at] = whole.min(axis=1)[line]
         keys = (least.reshape(len(lines), BANDS, ROWS) * self._row).sum(axis=2, dtype=_U64)
         keys = _mixed(keys * self._band + self._band)
-        bits = (_mixed(least[:, :SKETCH_BITS]) & _U64(1)) << np.arange(SKETCH_BITS, dtype=_U64)
+        signs = (_mixed(least[:, :SKETCH_BITS]) & _U64(1)) << np.arange(SKETCH_BITS, dtype=_U64)
         # Steps of a quarter of the distinct shingles: similar lines are at most two steps apart.
-        line = np.repeat(np.arange(len(lines), dtype=_U64), counts)
-        each = np.sort(line << _U64(40) | hashes & _U64((1 << 40) - 1))
-        fresh = np.diff(each, prepend=~each[:1]) != 0
-        sizes = np.bincount((each[fresh] >> _U64(40)).astype(np.int64), minlength=len(lines))
+        each, sizes = self._distinct(hashes, counts)
         step = np.minimum(np.log(sizes) / np.log(4 / 3), 2**SIZE_BITS - 1).astype(_U64)
-        sketch = bits.sum(axis=1, dtype=_U64) | step << _U64(SKETCH_BITS)
-        return (keys >> _U64(_TAIL) << _U64(_TAIL) | sketch[:, None]).view(np.int64)
+        sketch = signs.sum(axis=1, dtype=_U64) | step << _U64(SKETCH_BITS)
+        keys = (keys >> _U64(_TAIL) << _U64(_TAIL) | sketch[:, None]).view(np.int64)
+        bits = np.clip(1 << np.ceil(np.log2(sizes)).astype(np.int64), LEAST_BITS, MOST_BITS)
+        return keys, sizes, bits // 8, self._odd(each, bits)
 
 
 def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -155,18 +174,34 @@ def digest_of(line: str) -> bytes:
     return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def line_texts(df: DataFrame, text: str) -> DataFrame:
-    """``k1``, ``k2`` and the text of each line with a word; repeats within a batch once."""
+def line_texts(df: DataFrame, text: str, keys: DataFrame) -> DataFrame:
+    """``k1``, ``k2`` and the text of the lines whose ``k1`` may be the one column of ``keys``.
+
+    Repeats within a batch come once.  As in ``possible``, a bit in a bounded table of words tells
+    which lines may be wanted; workers look it up, so that all other lines stay where they are cut.
+    """
+    name = keys.columns[0]
+    bits = keys.groupBy(F.expr(f"{name} & {FILTER_WORDS - 1}").alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned({name}, 58) as int)))").alias("bits")
+    )
+    found = bits.toArrow()  # at most FILTER_WORDS rows of two numbers
+    table = np.zeros(FILTER_WORDS, np.int64)
+    table[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    sent = df.sparkSession.sparkContext.broadcast(table)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value.view(_U64)
         for batch in batches:
-            lines = {line for one in batch.column(0) for _, line in numbered(one.as_py())}
+            lines = list({line for one in batch.column(0) for _, line in numbered(one.as_py())})
             keys = np.frombuffer(b"".join(map(digest_of, lines)), np.int64).reshape(-1, 2)
+            hashed = keys[:, 0].copy().view(_U64)
+            word = table[(hashed & _U64(FILTER_WORDS - 1)).astype(np.int64)]
+            wanted = np.flatnonzero(word >> (hashed >> _U64(58)) & _U64(1))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys[:, 0].copy()),
-                    pa.array(keys[:, 1].copy()),
-                    pa.array(list(lines), pa.string()),
+                    pa.array(keys[wanted, 0]),
+                    pa.array(keys[wanted, 1]),
+                    pa.array([lines[at] for at in wanted], pa.string()),
                 ],
                 ["k1", "k2", "line"],
             )
@@ -175,16 +210,17 @@ def line_texts(df: DataFrame, text: str) -> DataFrame:
 
 
 def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per line with a word: ``doc``, ``at``, two halves of a digest, band keys.
+    """One row per line with a word: ``doc``, ``at``, two halves of a digest, and its signs.
 
-    A line that a worker has just seen has null bands.
+    Those are its band keys, ``chars``, the number ``size`` of its distinct shingles and their
+    parities ``odd``.  A line that a worker has just seen has null bands and no other signs.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen = LineSigner(), set()
         for batch in batches:
-            of, ats, digests, new = [], [], [], []
-            waiting, size, bands = [], 0, []
+            of, ats, digests, new, chars = [], [], [], [], []
+            waiting, size, made = [], 0, []
             for row, one in enumerate(batch.column(1)):
                 for at, line in numbered(one.as_py()):
                     digest = digest_of(line)
@@ -192,6 +228,7 @@ def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
                     ats.append(at)
                     digests.append(digest)
                     new.append(digest not in seen)
+                    chars.append(len(line))
                     if new[-1]:
                         if len(seen) >= SEEN:
                             seen.clear()
@@ -199,16 +236,21 @@ def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
                         waiting.append(line)
                         size += len(line)
                         if size >= BLOCK:
-                            bands.append(signer.of(waiting))
+                            made.append(signer.signed(waiting))
                             waiting, size = [], 0
             if waiting:
-                bands.append(signer.of(waiting))
+                made.append(signer.signed(waiting))
             keys = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            signed = np.concatenate(bands or [np.empty((0, BANDS), np.int64)])
+            none = [np.empty((0, BANDS), np.int64), *[np.empty(0, np.int64)] * 2, np.empty(0, np.uint8)]
+            signed, sizes, lengths, odd = map(np.concatenate, zip(*made)) if made else none
+            new = np.array(new, bool)
             ends = np.concatenate([[0], np.cumsum(new, dtype=np.int64) * BANDS]).astype(np.int32)
             lists = pa.ListArray.from_arrays(
-                pa.array(ends, mask=None), pa.array(signed.ravel()), mask=pa.array(~np.array(new, bool))
+                pa.array(ends, mask=None), pa.array(signed.ravel()), mask=pa.array(~new)
             )
+            size, cuts = np.zeros(len(new), np.int64), np.zeros(len(new) + 1, np.int64)
+            size[new], cuts[1:][new] = sizes, lengths
+            cuts = pa.py_buffer(np.cumsum(cuts).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(of, pa.int64())),
@@ -216,17 +258,21 @@ def places(df: DataFrame, id_col: str, text: str) -> DataFrame:
                     pa.array(keys[:, 0].copy()),
                     pa.array(keys[:, 1].copy()),
                     lists,
+                    pa.array(chars, pa.int64()),
+                    pa.array(size),
+                    pa.Array.from_buffers(pa.binary(), len(new), [None, cuts, pa.py_buffer(odd)]),
                 ],
-                ["doc", "at", "k1", "k2", "bands"],
+                ["doc", "at", "k1", "k2", "bands", "chars", "size", "odd"],
             )
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")).mapInArrow(
-        sign, f"doc {kind}, at int, k1 long, k2 long, bands array<bigint>"
+        sign,
+        f"doc {kind}, at int, k1 long, k2 long, bands array<bigint>, chars long, size long, odd binary",
     )
 
 
-def band_pairs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def band_pairs(lines: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
     """Pairs ``k1`` - ``other`` of lines that share a band and have sketches that allow a link.
 
     Also the lines ``run``, ``k1`` of crowded bands, in which these are not all the pairs.
@@ -237,161 +283,180 @@ def band_pairs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     one, both are compared.
     """
     rows = lines.where("bands is not null").select(F.explode("bands").alias("band"), "k1")
-    rows = rows.repartitionByRange("band", "k1").sortWithinPartitions("band", "k1")
+    # Sorted by one number, which Spark does by radix; equal bands are ordered by key below.
+    rows = rows.repartitionByRange("band", "k1").sortWithinPartitions("band")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, bands = np.empty(0, np.int64), np.empty(0, np.int64)
-        first, last, counted = None, None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            carried = len(bands)
-            bands = np.concatenate([bands, batch.column(0).to_numpy()])
-            keys = np.concatenate([keys, batch.column(1).to_numpy()])
+        first, last = None, None
+        for bands, keys, ended in _whole_runs(batches):
+            order = np.lexsort((keys, bands))
+            bands, keys = bands[order], keys[order]
             runs = bands >> _TAIL
             starts = np.flatnonzero(np.diff(runs, prepend=runs[0] - 1))
-            leader = np.repeat(starts, np.diff(starts, append=len(runs)))
-            here = np.arange(carried, len(runs))
-            fresh = np.ones(len(runs), np.int64)
+            lengths = np.diff(starts, append=len(runs))
+            leader, here = np.repeat(starts, lengths), np.arange(len(runs))
+            fresh = np.ones(len(runs), bool)
             fresh[1:] = (np.diff(bands) != 0) | (np.diff(keys) != 0)
-            count = np.cumsum(fresh)
-            count -= count[leader] - 1
-            if carried:
-                count[leader == 0] += counted - count[carried - 1]
-            counted = count[-1]
-            crowded = np.unique(runs[here][count[here] > WHOLE])
-            yield _rows(crowded, crowded, None, True)
+            crowded = np.add.reduceat(fresh, starts, dtype=np.int64) > WHOLE
+            # Bands at the ends may be crowded together with another partition's lines.
+            crowded[0] |= first is None
+            crowded[-1] |= ended
+            members = fresh & np.repeat(crowded, lengths)
+            yield _rows(runs[members], keys[members], None, True)
             a, b = [], []
-            for there in (leader[here], np.maximum(here - 1, leader[here])):
-                good = (keys[here] != keys[there]) & _alike(bands[here], bands[there])
-                a.append(keys[here][good])
+            for there in (leader, np.maximum(here - 1, leader)):
+                good = (keys != keys[there]) & _alike(bands, bands[there])
+                a.append(keys[good])
                 b.append(keys[there][good])
             a, b = np.concatenate(a), np.concatenate(b)
             yield _rows(np.minimum(a, b), np.maximum(a, b), None)
             if first is None:
                 first = keys[:ENDS], bands[:ENDS]
-            last = keys[-ENDS:], bands[-ENDS:]
-            # The next batch goes on with this one's last run: its leader and its last line.
-            ends = [leader[-1], len(runs) - 1] if leader[-1] < len(runs) - 1 else [leader[-1]]
-            keys, bands = keys[ends], bands[ends]
-        for head, end in ((True, first), (False, last)):
-            if end is not None:
-                yield _rows(*end, head)
-        if first is not None:
-            yield _rows(keys[:1], bands[:1], False)
-            # Bands at the ends may be crowded together with another partition's lines.
-            edges = np.array([first[1][0], last[1][-1]]) >> _TAIL
-            yield _rows(edges, edges, None, True)
+                yield _rows(*first, True)
+            if ended:
+                last = np.unique([*here[-ENDS:], leader[-1]])
+                yield _rows(keys[last], bands[last], False)
 
     def _rows(k1, other, head, crowd=False) -> pa.RecordBatch:
+        heads = pa.nulls(len(k1), pa.bool_()) if head is None else pa.array(np.full(len(k1), head))
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(k1),
-                pa.array(other),
-                pa.array([head] * len(k1), pa.bool_()),
-                pa.array([crowd] * len(k1), pa.bool_()),
-            ],
+            [pa.array(k1), pa.array(other), heads, pa.array(np.full(len(k1), crowd))],
             ["k1", "other", "head", "crowd"],
         )
 
-    with scratch(lines.sparkSession) as keep:
-        found = written(
-            rows.mapInArrow(pair, "k1 long, other long, head boolean, crowd boolean"), "band-pairs"
-        )
-        crowds = written(found.where("crowd").select(F.col("k1").alias("run")).distinct(), "crowds")
-        runs = lines.where("bands is not null").select(
-            "k1", F.explode(F.transform("bands", lambda b: F.shiftright(b, _TAIL))).alias("run")
-        )
-        members = keep(
-            possible(runs, F.col("run"), crowds)
-            .where("_possible")
-            .join(crowds, "run", "left_semi")
-            .select("run", "k1")
-            .distinct(),
-            "crowd-members",
-        )
-        found = found.where("not crowd")
-        # The ends of partitions (a few rows each), where a band may go on in the next one.
-        ends = found.where("head is not null").select(
-            "k1", F.shiftright("other", _TAIL).alias("band"), F.col("other").alias("x"), "head"
-        )
-        after = ends.where("head").select(F.col("k1").alias("k"), "band", F.col("x").alias("y"))
-        across = (
-            ends.where("not head")
-            .join(after, "band")
-            .where("k1 != k")
-            .select(F.least("k1", "k").alias("k1"), F.greatest("k1", "k").alias("other"))
-        )
-        pairs = found.where("head is null").select("k1", "other").unionByName(across).distinct()
-        return keep(pairs, "line-pairs"), members
+    found = keep(
+        rows.mapInArrow(pair, "k1 long, other long, head boolean, crowd boolean"), "band-pairs"
+    )
+    members = found.where("crowd").select(F.col("k1").alias("run"), F.col("other").alias("k1"))
+    found = found.where("not crowd")
+    # The ends of partitions (a few rows each), where a band may go on in the next one.
+    ends = found.where("head is not null").select(
+        "k1", F.shiftright("other", _TAIL).alias("band"), F.col("other").alias("x"), "head"
+    )
+    after = ends.where("head").select(F.col("k1").alias("k"), "band", F.col("x").alias("y"))
+    across = (
+        ends.where("not head")
+        .join(after, "band")
+        .where("k1 != k")
+        .select(F.least("k1", "k").alias("k1"), F.greatest("k1", "k").alias("other"))
+    )
+    pairs = found.where("head is null").select("k1", "other").unionByName(across).distinct()
+    return keep(pairs, "line-pairs"), members
 
 
-def line_parities(pairs: DataFrame, members: DataFrame, df: DataFrame, text: str) -> DataFrame:
-    """``k1``, ``k2``, ``chars`` and parities of the lines of pairs and of crowded bands.
+def _whole_runs(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Sorted band keys and lines, in blocks that end with a band, and whether all have come."""
+    held, n = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([batch.column(at).to_numpy() for at in range(2)])
+        n += batch.num_rows
+        if n < AT_ONCE:
+            continue
+        bands, keys = map(np.concatenate, zip(*held))
+        cut = int(np.searchsorted(bands >> _TAIL, bands[-1] >> _TAIL))
+        if cut:
+            yield bands[:cut], keys[:cut], False
+        # A band that fills the block waits for more, up to all that the partition has of it.
+        held, n = [[bands[cut:], keys[cut:]]], 0
+    if held:
+        bands, keys = map(np.concatenate, zip(*held))
+        yield bands, keys, True
+
+
+def line_parities(
+    pairs: DataFrame, members: DataFrame, lines: DataFrame, keep: Keep
+) -> DataFrame:
+    """``k1``, ``k2``, ``chars``, ``size``, ``odd`` of the lines of pairs and of crowded bands.
 
-    ``size`` and the numbers ``PARITIES`` are those of ``LineSigner.parities``; they are made where
-    the lines are cut out of ``df`` again, and stand for them until few pairs are left.
+    ``odd`` are the parities of ``LineSigner.signed``, which stand for the lines until few pairs
+    are left.
     """
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = LineSigner()
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                lines = part.column(2).to_pylist()
-                sizes, odd = signer.parities(lines)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(list(map(len, lines)), pa.int64()),
-                        pa.array(sizes, pa.int64()),
-                        *(pa.array(column.copy()) for column in odd.T),
-                    ],
-                    ["k1", "k2", "chars", "size", *PARITIES],
-                )
-
-    kinds = ", ".join(f"{name} long" for name in ["k1", "k2", "chars", "size", *PARITIES])
     keys = pairs.select(F.explode(F.array("k1", "other")).alias("k1")).unionByName(members.select("k1"))
-    with scratch(df.sparkSession) as keep:
-        lines, wanted = _lines_of(keys, df, text)
-        # Written first, so that a task has one Python worker and not two at once.
-        lines = written(lines, "possible-lines", "zstd")
-        made = lines.mapInArrow(sign, kinds).join(wanted, "k1", "left_semi")
-        return keep(made.dropDuplicates(["k1", "k2"]), "line-parities")
+    with scratch(lines.sparkSession):
+        wanted = written(keys.distinct(), "wanted-lines")
+        new = lines.where("bands is not null").select("k1", "k2", "chars", "size", "odd")
+        found = possible(new, F.col("k1"), wanted).where("_possible").drop("_possible")
+        found = found.join(wanted, "k1", "left_semi").dropDuplicates(["k1", "k2"])
+        return keep(found, "line-parities")
 
 
 def wanted_texts(keys: DataFrame, df: DataFrame, text: str) -> DataFrame:
     """``k1``, ``k2``, ``line`` of the lines with the given ``k1``, cut out of ``df`` again."""
     with scratch(df.sparkSession) as keep:
-        lines, wanted = _lines_of(keys, df, text)
-        found = lines.join(wanted, "k1", "left_semi").dropDuplicates(["k1", "k2"])
-        return keep(found, "line-texts", "zstd")
+        wanted = written(keys.distinct(), "wanted-lines")
+        found = line_texts(df, text, wanted).join(wanted, "k1", "left_semi")
+        return keep(found.dropDuplicates(["k1", "k2"]), "line-texts", "zstd")
+
+
+class Parities:
+    """Parities of lines, each of as many words as it has."""
+
+    def __init__(self, words: np.ndarray, widths: np.ndarray):
+        self._words, self._widths = words, widths
+        self._starts = np.cumsum(widths) - widths
+
+    @classmethod
+    def column(cls, column: pa.Array) -> Parities:
+        """Those of a binary column without nulls."""
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+        words = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy()
+        return cls(words.view(_U64), np.diff(ends).astype(np.int64) // 8)
 
+    @classmethod
+    def joined(cls, one: Parities, two: Parities) -> Parities:
+        """Those of one and then those of the other."""
+        pairs = (one._words, two._words), (one._widths, two._widths)
+        return cls(*map(np.concatenate, pairs))
 
-def _lines_of(keys: DataFrame, df: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """The lines whose ``k1`` may be among the keys, and the distinct keys."""
-    wanted = written(keys.distinct(), "wanted-lines")
-    marked = possible(line_texts(df, text), F.col("k1"), wanted).where("_possible")
-    return marked.select("k1", "k2", "line"), wanted
+    def allow(self, sizes: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Whether the lines of two numbers each may be similar; none that are is left out.
+
+        Of n + m shingles of two similar lines at most a seventh stand in one of them only.
+        """
+        less, more = np.minimum(sizes[one], sizes[two]), np.maximum(sizes[one], sizes[two])
+        good = 100 * less >= PERCENT * more
+        width = np.minimum(self._widths[one], self._widths[two])
+        for w in np.unique(width[good]):
+            here = np.flatnonzero(good & (width == w))
+            for part in np.split(here, range(WORDS // w, len(here), WORDS // w)):
+                differ = self._folded(one[part], w) ^ self._folded(two[part], w)
+                apart = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+                good[part] = (100 + PERCENT) * apart <= (100 - PERCENT) * (less + more)[part]
+        return good
+
+    def _folded(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Words of that many bins: a bin is odd if an odd number of those it takes in are."""
+        at = self._starts[rows][:, None] + np.arange(width)
+        made = self._words[at]
+        left = self._widths[rows]
+        for step in range(1, int(left.max(initial=0)) // width):
+            more = left > step * width
+            made[more] ^= self._words[at[more] + step * width]
+        return made
 
 
 def plausible(pairs: DataFrame, parities: DataFrame) -> DataFrame:
-    """The pairs that the parities do not rule out; see ``possible_pairs``."""
-    mine = parities.select("k1", "size", *PARITIES)
-    theirs = mine.withColumnsRenamed(
-        {"k1": "other", "size": "_size"} | {name: f"_{name}" for name in PARITIES}
-    )
-    apart = " + ".join(f"bit_count({name} ^ _{name})" for name in PARITIES)
+    """The pairs that the parities do not rule out; see ``Parities.allow``."""
+    mine = parities.select("k1", "size", "odd")
+    theirs = mine.withColumnsRenamed({"k1": "other", "size": "_size", "odd": "_odd"})
     less, more = "least(size, _size)", "greatest(size, _size)"
-    return (
-        pairs.join(mine, "k1")
-        .join(theirs, "other")
-        .where(f"100 * {less} >= {PERCENT} * {more}")
-        .where(f"{100 + PERCENT} * ({apart}) <= {100 - PERCENT} * (size + _size)")
-        .select("k1", "other")
-        .distinct()
-    )
+    both = pairs.join(mine, "k1").join(theirs, "other").where(f"100 * {less} >= {PERCENT} * {more}")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if n:
+                sizes = np.concatenate([batch.column(at).to_numpy() for at in (2, 4)])
+                odd = Parities.joined(*(Parities.column(batch.column(at)) for at in (3, 5)))
+                good = odd.allow(sizes, np.arange(n), np.arange(n, 2 * n))
+                yield batch.select([0, 1]).filter(pa.array(good))
+
+    both = both.select("k1", "other", "size", "odd", "_size", "_odd")
+    return both.mapInArrow(look, "k1 long, other long").distinct()
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -413,21 +478,46 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, f"a {node}, b {node}")
 
 
-def possible_pairs(sizes: np.ndarray, words: np.ndarray, group: np.ndarray) -> Iterator[np.ndarray]:
+def possible_pairs(
+    sizes: np.ndarray,
+    words: Parities | np.ndarray,
+    group: np.ndarray,
+    part: np.ndarray | None = None,
+    done: np.ndarray | None = None,
+    side: np.ndarray | None = None,
+) -> Iterator[np.ndarray]:
     """Blocks of pairs of rows of different groups that may be similar; none that are is left out.
 
-    Of n + m shingles of two similar lines at most a seventh stand in one of them only.
+    Rows of different parts are not paired, nor are those of one of a part's two sides, 1 and 2.
+    Parts that are marked as done after a block get no more pairs.  All parts are looked at
+    together: rows stand by size, and each meets the ones after it while they are close enough.
     """
-    step = max(1, (1 << 16) // len(words))
-    for at in range(0, len(words), step):
-        here = slice(at, at + step)
-        apart = np.bitwise_count(words[here, None] ^ words[None]).sum(axis=2, dtype=np.int64)
-        both = sizes[here, None] + sizes[None]
-        good = (100 + PERCENT) * apart <= (100 - PERCENT) * both
-        less, more = np.minimum(sizes[here, None], sizes), np.maximum(sizes[here, None], sizes)
-        good &= (group[here, None] != group) & (100 * less >= PERCENT * more)
-        one, two = np.nonzero(good)
-        yield np.stack([one + at, two], axis=1)[two > one + at]
+    if isinstance(words, np.ndarray):
+        words = Parities(words.ravel(), np.full(len(words), words.shape[1]))
+    part = np.zeros(len(sizes), np.int64) if part is None else part
+    side = np.zeros(len(sizes), np.int64) if side is None else side
+    order = np.lexsort((sizes, part))
+    sizes_, part_, group_, side_ = sizes[order], part[order], group[order], side[order]
+    rows, step = np.arange(len(order)), 0
+    one, two, n = [], [], 0
+    while len(rows):
+        step += 1
+        rows = rows[: np.searchsorted(rows, len(order) - step)]
+        near = part_[rows] == part_[rows + step]
+        rows = rows[near & (100 * sizes_[rows] >= PERCENT * sizes_[rows + step])]
+        met = group_[rows] != group_[rows + step]
+        met &= (side_[rows] == 0) | (side_[rows] != side_[rows + step])
+        one.append(rows[met])
+        two.append(rows[met] + step)
+        n += len(one[-1])
+        if n >= AT_ONCE or not len(rows):
+            a, b = order[np.concatenate(one)], order[np.concatenate(two)]
+            good = words.allow(sizes, a, b)
+            a, b = a[good], b[good]
+            yield np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+            one, two, n = [], [], 0
+            if done is not None:
+                rows = rows[~done[part_[rows]]]
 
 
 def crowd_links(
@@ -443,8 +533,7 @@ def crowd_links(
     """
     with scratch(df.sparkSession) as keep:
         named = written(
-            parities.select("k1", "k2", "chars")
-            .join(
+            parities.join(
                 grouped.select(
                     F.col("node.k1").alias("k1"),
                     F.col("node.k2").alias("k2"),
@@ -453,13 +542,12 @@ def crowd_links(
                 ),
                 ["k1", "k2"],
                 "left",
-            )
-            .select("k1", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"), "chars"),
+            ).withColumns({"c1": F.coalesce("c1", "k1"), "c2": F.coalesce("c2", "k2")}),
             "line-groups",
         )
         group = F.struct("c1", "c2")
         open_runs = written(
-            members.join(named, "k1")
+            members.join(named.select("k1", "c1", "c2", "chars"), "k1")
             .groupBy("run")
             .agg(
                 F.min(group).alias("low"),
@@ -472,60 +560,69 @@ def crowd_links(
             .select("run", "parts"),
             "open-bands",
         )
-        part = F.pmod(F.xxhash64("k1"), "parts").cast("int")
-        dealt = (
-            members.join(open_runs, "run")
-            .select(
-                "run", "k1", part.alias("x"), F.explode(F.expr("sequence(0, cast(parts - 1 as int))")).alias("y")
-            )
-            .select("run", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "k1")
-            .join(named.drop("chars"), "k1")
-        )
         pairs = written(
-            _possible_links(dealt.join(parities.select("k1", "size", *PARITIES), "k1")), "crowd-pairs"
+            _possible_links(_dealt(members, open_runs).join(named.select("k1", "c1", "c2", "size", "odd"), "k1")), "crowd-pairs"
         )
         listed = pairs.where("run is null").select("k1", "other").distinct()
         keys = listed.select(F.explode(F.array("k1", "other")).alias("k1"))
         crowded = pairs.where("run is not null").select("run", "x", "y")
         if crowded.isEmpty():
             return keep(similar(listed, wanted_texts(keys, df, text)), "crowd-links")
-        dealt = written(dealt.join(crowded, ["run", "x", "y"]), "crowd-parts")
+        dealt = _dealt(members, open_runs.join(crowded.select("run").distinct(), "run"))
+        dealt = dealt.join(crowded, ["run", "x", "y"]).join(named.select("k1", "c1", "c2"), "k1")
+        dealt = written(dealt, "crowd-parts")
         texts = wanted_texts(keys.unionByName(dealt.select("k1")), df, text)
         links = similar(listed, texts).unionByName(_exact_links(dealt.join(texts, "k1")))
         return keep(links, "crowd-links")
 
 
+def _dealt(members: DataFrame, runs: DataFrame) -> DataFrame:
+    """The lines of each two parts ``x``, ``y`` of a band, and of each part by itself.
+
+    Lines of two parts that meet are on two sides: those of one part meet among themselves.
+    """
+    part = F.pmod(F.xxhash64("k1"), "parts").cast("int")
+    other = F.explode(F.expr("sequence(0, cast(parts - 1 as int))"))
+    side = F.expr("cast(case when x = y then 0 when x < y then 1 else 2 end as long)")
+    both = members.join(runs, "run").select("run", "k1", part.alias("x"), other.alias("y"))
+    ends = F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")
+    return both.select("run", *ends, "k1", side.alias("side"))
+
+
 def _possible_links(dealt: DataFrame) -> DataFrame:
     """Pairs ``k1`` - ``other`` of all parts that may be similar; parts with many are listed instead."""
     rows = (
-        dealt.select("run", "x", "y", "k1", "c1", "c2", "size", *PARITIES)
+        dealt.select("run", "x", "y", "k1", "c1", "c2", "side", "size", "odd")
         .repartition("run", "x", "y")
         .sortWithinPartitions("run", "x", "y")
     )
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
-            k = [np.asarray(part.column(at)) for at in range(3, 7)]
-            _, group = np.unique(np.stack(k[1:3], axis=1), axis=0, return_inverse=True)
-            words = [np.asarray(part.column(7 + at)) for at in range(len(PARITIES))]
-            words = np.stack(words, axis=1).view(_U64)
-            found, n = [], 0
-            for block in possible_pairs(k[3], words, group.ravel()):
-                found.append(k[0][block])
-                n += len(block)
-                if n > LISTED * len(group):
-                    break
-            if n > LISTED * len(group):
-                first = part.slice(0, 1)
-                values = [[None], [None], *(first.column(at).to_pylist() for at in range(3))]
-            else:
-                ends = np.concatenate(found)
-                none = [None] * len(ends)
-                values = [ends.min(axis=1), ends.max(axis=1), none, none, none]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, kind) for v, kind in zip(values, kinds)], ["k1", "other", "run", "x", "y"]
-            )
+        for part, starts in _parts(batches):
+            k1, c1, c2, side, size = (part.column(at).to_numpy() for at in range(3, 8))
+            lengths = np.diff(starts, append=part.num_rows)
+            number = np.repeat(np.arange(len(starts)), lengths)
+            order = np.lexsort((c2, c1))
+            group = np.zeros(len(order), np.int64)
+            group[order[1:]] = np.cumsum((np.diff(c1[order]) != 0) | (np.diff(c2[order]) != 0))
+            listed, n = [], np.zeros(len(starts), np.int64)
+            done = n > 0
+            odd = Parities.column(part.column(8))
+            for block in possible_pairs(size, odd, group, number, done, side):
+                listed.append(block)
+                n += np.bincount(number[block[:, 0]], minlength=len(n))
+                done[:] = n > LISTED * lengths
+            ends = np.concatenate([np.empty((0, 2), np.int64), *listed])
+            ends = k1[ends[~done[number[ends[:, 0]]]]]
+            first = part.select([0, 1, 2]).take(pa.array(starts[done]))
+            yield _rows(pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1)), *[None] * 3)
+            yield _rows(None, None, *first.columns)
+
+    def _rows(*columns: pa.Array | None) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        n = next(len(one) for one in columns if one is not None)
+        filled = [pa.nulls(n, k) if one is None else one.cast(k) for one, k in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays(filled, ["k1", "other", "run", "x", "y"])
 
     return rows.mapInArrow(look, "k1 long, other long, run long, x int, y int")
 
@@ -533,45 +630,54 @@ def _possible_links(dealt: DataFrame) -> DataFrame:
 def _exact_links(dealt: DataFrame) -> DataFrame:
     """Links that join the groups of each part, with all shingles of its lines."""
     rows = (
-        dealt.select("run", "x", "y", "k1", "k2", "c1", "c2", "line")
-        .repartition("run", "x", "y")
+        dealt.select("run", "x", "y", "k1", "k2", "c1", "c2", "side", "line")
+        # A number of partitions is kept, while Spark would join small ones by their bytes.
+        .repartition(int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run", "x", "y")
         .sortWithinPartitions("run", "x", "y")
     )
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = ShingleSets()
-        for part in _parts(batches):
-            k = [np.asarray(part.column(at)) for at in range(3, 7)]
-            _, group = np.unique(np.stack(k[2:], axis=1), axis=0, return_inverse=True)
-            a, b = sets.joining(part.column(7).to_pylist(), group.ravel())
-            halves = [pa.array(k[0]), pa.array(k[1])]
-            nodes = pa.StructArray.from_arrays(halves, ["k1", "k2"])
-            yield pa.RecordBatch.from_arrays(
-                [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], ["a", "b"]
-            )
+        for rows, starts in _parts(batches, 1):
+            for start, end in zip(starts, [*starts[1:], rows.num_rows]):
+                part = rows.slice(start, end - start)
+                k = [part.column(at).to_numpy() for at in range(3, 8)]
+                _, group = np.unique(np.stack(k[2:4], axis=1), axis=0, return_inverse=True)
+                a, b = sets.joining(part.column(8).to_pylist(), group.ravel(), k[4])
+                halves = [pa.array(k[0]), pa.array(k[1])]
+                nodes = pa.StructArray.from_arrays(halves, ["k1", "k2"])
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.take(pa.array(a, pa.int64())), nodes.take(pa.array(b, pa.int64()))], ["a", "b"]
+                )
 
     node = "struct<k1: bigint, k2: bigint>"
     return rows.mapInArrow(settle, f"a {node}, b {node}")
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each part of a band, which stand together, whatever the batches."""
-    kept: list[pa.Table] = []
-    last = None
+def _parts(
+    batches: Iterator[pa.RecordBatch], least: int = AT_ONCE
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows of whole parts of bands, ``least`` or more at a time, and where each part begins."""
+    held, n = [], 0
+
+    def cut(rows: pa.RecordBatch) -> np.ndarray:
+        keys = np.stack([rows.column(at).to_numpy().astype(np.int64) for at in range(3)], axis=1)
+        return np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([np.asarray(batch.column(at)).astype(np.int64) for at in range(3)], axis=1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
-        for start, end in zip(cuts, cuts[1:]):
-            key = tuple(keys[start])
-            if key != last and kept:
-                yield pa.concat_tables(kept).combine_chunks()
-                kept = []
-            last = key
-            kept.append(pa.Table.from_batches([batch.slice(start, end - start)]))
-    if kept:
-        yield pa.concat_tables(kept).combine_chunks()
+        held.append(batch)
+        n += batch.num_rows
+        if n >= least:
+            rows = pa.concat_batches(held)
+            starts = cut(rows)
+            if len(starts) > 1:
+                yield rows.slice(0, starts[-1]), starts[:-1]
+            held, n = [rows.slice(starts[-1])], 0
+    if held:
+        rows = pa.concat_batches(held)
+        yield rows, cut(rows)
 
 
 class ShingleSets:
@@ -593,38 +699,30 @@ class ShingleSets:
                 self._sets[line] = made[np.diff(made, prepend=~made[:1]) != 0]
             self._held += len(hashes)
 
-    def joining(self, lines: list[str], group: np.ndarray) -> tuple[list[int], list[int]]:
+    def joining(
+        self, lines: list[str], group: np.ndarray, side: np.ndarray | None = None
+    ) -> tuple[list[int], list[int]]:
         """Places of two lines each: links that join all groups which similar lines join.
 
-        Similar lines share one of the rarest shingles of each, of which a quarter is looked at;
-        lines that do are then compared on all shingles.
+        With so many bins a shingle, parities leave few pairs that are not similar; those of
+        groups that are still apart are compared on all shingles.  Lines of one of two sides are
+        not compared.
         """
         self._load(set(lines))
         sets = [self._sets[line] for line in lines]
         sizes = np.array([len(s) for s in sets])
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        bits = np.clip(1 << np.ceil(np.log2(BINS * sizes)).astype(np.int64), LEAST_BITS, None)
         owner = np.repeat(np.arange(len(sets)), sizes)
-        order = np.lexsort((token, count[token], owner))
-        rank = np.arange(len(token)) - ends[owner]
-        # Of n shingles at least three quarters are common, so one of these stands on both sides.
-        prefix = np.zeros(len(token), bool)
-        prefix[order] = rank < (sizes - -(-PERCENT * sizes // 100) + 1)[owner]
-        looked = _Postings(token, owner, prefix & (count[token] > 1))
-        every = _Postings(token, owner, count[token] > 1)
+        bins = (np.concatenate(sets) & (bits - 1).astype(_U64)[owner]).astype(np.int64)
+        words = np.zeros(bits.sum() // 64, _U64)
+        at = (np.cumsum(bits) - bits)[owner] + bins
+        np.bitwise_xor.at(words, at >> 6, _U64(1) << (at & 63).astype(_U64))
         group, a, b = group.copy(), [], []
-        for i in range(len(sets)):
-            mine = token[ends[i] : ends[i + 1]]
-            near = looked.of(mine[prefix[ends[i] : ends[i + 1]]])
-            near = near[(near > i) & (group[near] != group[i])]
-            if not len(near):
-                continue
-            near = np.unique(near)
-            common = np.bincount(every.of(mine), minlength=len(sets))[near]
-            for j in near[100 * common >= PERCENT * (sizes[i] + sizes[near] - common)]:
-                if group[i] != group[j]:
+        for block in possible_pairs(sizes, Parities(words, bits // 64), group, side=side):
+            for i, j in block[group[block[:, 0]] != group[block[:, 1]]].tolist():
+                if group[i] != group[j] and self._enough(sets[i], sets[j]):
                     a.append(i)
-                    b.append(int(j))
+                    b.append(j)
                     group[group == group[j]] = group[i]
         return a, b
 
@@ -644,21 +742,6 @@ class ShingleSets:
         return 100 * common >= PERCENT * (less + more - common)
 
 
-class _Postings:
-    """The owners of each token, of those entries that are marked."""
-
-    def __init__(self, token: np.ndarray, owner: np.ndarray, marked: np.ndarray):
-        token, owner = token[marked], owner[marked]
-        order = np.argsort(token, kind="stable")
-        self._token, self._owner = token[order], owner[order]
-
-    def of(self, tokens: np.ndarray) -> np.ndarray:
-        start = np.searchsorted(self._token, tokens)
-        size = np.searchsorted(self._token, tokens, "right") - start
-        skip = np.repeat(start - np.cumsum(size) + size, size)
-        return self._owner[np.arange(len(skip)) + skip]
-
-
 def _first_groups(pairs: DataFrame, parities: DataFrame, df: DataFrame, text: str) -> DataFrame:
     """The components of the pairs that are similar enough."""
     with scratch(df.sparkSession) as keep:
@@ -668,6 +751,21 @@ def _first_groups(pairs: DataFrame, parities: DataFrame, df: DataFrame, text: st
     return components(links)
 
 
+def _joined_groups(first: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``first`` and of links between lines, which join those of their ends."""
+    with scratch(links.sparkSession) as keep:
+        group = F.coalesce("component", "node")
+        ends = links.select(F.col("a").alias("node"), "b").join(first, "node", "left")
+        ends = ends.select(group.alias("a"), F.col("b").alias("node")).join(first, "node", "left")
+        joined = components(ends.select("a", group.alias("b")))
+        into = joined.select(F.col("component").alias("_into"), F.col("node").alias("component"))
+        moved = first.join(into, "component", "left").select(
+            "node", F.coalesce("_into", "component").alias("component")
+        )
+        fresh = joined.join(first, "node", "left_anti")
+        return keep(moved.unionByName(fresh), "components")
+
+
 def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """``doc`` and ``dropped``: the numbers of the lines of each document that go.
 
@@ -677,29 +775,38 @@ def repeated_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     lines have the same numbers.
     """
     with scratch(df.sparkSession) as keep:
-        lines = written(places(df, id_col, text), "lines")
-        pairs, members = band_pairs(lines)
-        parities = line_parities(pairs, members, df, text)
+        with scratch(df.sparkSession) as hold:
+            signed = written(places(df, id_col, text), "signed-lines")
+            pairs, members = band_pairs(signed, hold)
+            parities = line_parities(pairs, members, signed, hold)
+            lines = hold(signed.select("doc", "at", "k1", "k2"), "lines")
         first = _first_groups(pairs, parities, df, text)
         more = crowd_links(members, parities, first, df, text)
-        stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        grouped = components(stars.unionByName(more)).select(
+        grouped = _joined_groups(first, more).select(
             F.col("node.k1").alias("k1"),
             F.col("node.k2").alias("k2"),
             F.col("component.k1").alias("c1"),
             F.col("component.k2").alias("c2"),
         )
-        named = (
-            lines.select("doc", "at", "k1", "k2")
-            .join(grouped, ["k1", "k2"], "left")
-            .select("doc", "at", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2"))
+        # Only lines that may be in a group, and then those that may be in one of several, are
+        # shuffled to be joined.
+        marked = possible(lines.select("doc", "at", "k1", "k2"), F.col("k1"), grouped.select("k1"))
+        joined = marked.where("_possible").join(grouped, ["k1", "k2"], "left")
+        alone = marked.where("not _possible").withColumns({"c1": F.lit(None), "c2": F.lit(None)})
+        named = written(
+            joined.unionByName(alone).select(
+                "doc", "at", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2")
+            ),
+            "named-lines",
         )
-        groups = (
+        groups = written(
             named.groupBy("c1", "c2")
             .agg(F.min("doc").alias("keeper"), F.count("*").alias("n"))
             .where("n > 1")
-            .drop("n")
+            .drop("n"),
+            "several",
         )
+        named = possible(named, F.col("c1"), groups.select("c1")).where("_possible").drop("_possible")
         # Dealt by document after the join, so that a group of any size can be split in it.
         found = (
             named.join(groups, ["c1", "c2"])

@@ -20,8 +20,19 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Shuffle files go when the execution that wrote them ends, not when the driver collects garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-#: Paths written in the innermost ``scratch`` block.
-_paths: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("paths", default=None)
+
+class _Paths:
+    """Paths written in the innermost ``scratch`` block; tasks that carry this module have none."""
+
+    def __init__(self):
+        self._held = contextvars.ContextVar("paths", default=None)
+        self.get, self.set, self.reset = self._held.get, self._held.set, self._held.reset
+
+    def __reduce__(self):
+        return type(self), ()
+
+
+_paths = _Paths()
 
 
 @contextlib.contextmanager
