@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,11 +175,10 @@ def digest_of(line: str) -> bytes:
     return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def line_texts(df: DataFrame, text: str, keys: DataFrame) -> DataFrame:
-    """``k1``, ``k2`` and the text of the lines whose ``k1`` may be the one column of ``keys``.
+def _key_bits(keys: DataFrame) -> np.ndarray:
+    """As in ``possible``, a bounded table of words whose bits tell which lines may be wanted.
 
-    Repeats within a batch come once.  As in ``possible``, a bit in a bounded table of words tells
-    which lines may be wanted; workers look it up, so that all other lines stay where they are cut.
+    First halves of digests are as good as hashed.
     """
     name = keys.columns[0]
     bits = keys.groupBy(F.expr(f"{name} & {FILTER_WORDS - 1}").alias("word")).agg(
@@ -187,7 +187,15 @@ def line_texts(df: DataFrame, text: str, keys: DataFrame) -> DataFrame:
     found = bits.toArrow()  # at most FILTER_WORDS rows of two numbers
     table = np.zeros(FILTER_WORDS, np.int64)
     table[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    sent = df.sparkSession.sparkContext.broadcast(table)
+    return table
+
+
+def line_texts(df: DataFrame, text: str, sent: Broadcast[np.ndarray]) -> DataFrame:
+    """``k1``, ``k2`` and the text of the lines that may be wanted by ``_key_bits``.
+
+    Repeats within a batch come once.  Workers look the bits up, so that all other lines stay
+    where they are cut.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value.view(_U64)
@@ -388,8 +396,11 @@ def wanted_texts(keys: DataFrame, df: DataFrame, text: str) -> DataFrame:
     """``k1``, ``k2``, ``line`` of the lines with the given ``k1``, cut out of ``df`` again."""
     with scratch(df.sparkSession) as keep:
         wanted = written(keys.distinct(), "wanted-lines")
-        found = line_texts(df, text, wanted).join(wanted, "k1", "left_semi")
-        return keep(found.dropDuplicates(["k1", "k2"]), "line-texts", "zstd")
+        sent = df.sparkSession.sparkContext.broadcast(_key_bits(wanted))
+        found = line_texts(df, text, sent).join(wanted, "k1", "left_semi")
+        made = keep(found.dropDuplicates(["k1", "k2"]), "line-texts", "zstd")
+        sent.destroy()
+        return made
 
 
 class Parities:
